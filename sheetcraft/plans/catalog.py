@@ -115,3 +115,163 @@ QUERIES: dict[str, Query] = {
     "referral_parse_time": referral_parse_time,
     "action_log_rename": action_log_rename,
 }
+
+
+# --- programs ------------------------------------------------------------------
+
+from sheetcraft.operators import programs as P  # noqa: E402
+from sheetcraft.operators import reshape as R  # noqa: E402
+from sheetcraft.functions.text import snake  # noqa: E402
+
+PROGRAM_SNAKE = {v: k for k, v in {**A.PROGRAMS_DISPLAY, **A.AGES_DISPLAY}.items()}
+
+
+def _snake(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
+    mapping = {**PROGRAM_SNAKE, **(extra or {})}
+    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
+
+
+def programs_invalid_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prog = A.programs_export(spark, sf_dir)
+    return prog.select(F.col(f"`{P.RECORD_ID}`").alias("record_id"), P.invalid_programs_mask().alias("invalid"))
+
+
+def programs_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.remove_invalid_programs(A.programs_export(spark, sf_dir))
+    return _snake(out.select(P.RECORD_ID, P.STATUS))
+
+
+def programs_valid_any_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.remove_invalid_programs(A.programs_export(spark, sf_dir), filter_status=False)
+    return _snake(out.select(P.RECORD_ID, P.STATUS))
+
+
+def programs_type_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.type_code_programs(A.programs_export(spark, sf_dir))
+    return _snake(out.select(P.RECORD_ID, P.TYPE_CODE, P.PROVIDER_TYPE), {P.TYPE_CODE: "type_code"})
+
+
+def programs_type_code_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.type_code_programs(A.programs_export(spark, sf_dir), dropna=True)
+    return _snake(out.select(P.RECORD_ID, P.TYPE_CODE, P.PROVIDER_TYPE), {P.TYPE_CODE: "type_code"})
+
+
+def programs_sda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.sda_code_programs(A.ages_export(spark, sf_dir))
+    return _snake(out.select(P.RECORD_ID, P.REGION, P.SDA), {P.SDA: "sda"})
+
+
+def programs_sda_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.sda_code_programs(A.ages_export(spark, sf_dir), how="case")
+    return _snake(out.select(P.RECORD_ID, P.REGION, P.SDA), {P.SDA: "sda"})
+
+
+def programs_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.flag_program_types(A.programs_export(spark, sf_dir))
+    flags = {n: snake(n) for n in P.PROGRAM_TYPE_NAMES}
+    return _snake(out.select(P.RECORD_ID, P.PROGRAM_TYPES, *[F.col(f"`{n}`") for n in flags]), flags)
+
+
+def programs_total_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.care_for_ages_total_months(A.ages_export(spark, sf_dir))
+    return _snake(
+        out.select(P.RECORD_ID, P.FROM_TOTAL, P.TO_TOTAL),
+        {P.FROM_TOTAL: "from_total_months", P.TO_TOTAL: "to_total_months"},
+    )
+
+
+def programs_age_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.care_for_flag_from_total_months(P.care_for_ages_total_months(A.ages_export(spark, sf_dir)))
+    names = {P.FROM_TOTAL: "f", P.TO_TOTAL: "t", P.UNKNOWN_RANGE: "unknown_care_range"}
+    for (label, _, _), col in zip(P.AGE_RANGES, P.AGE_RANGE_COLUMNS):
+        names[col] = snake(label)
+    return _snake(out.select(P.RECORD_ID, *[F.col(f"`{c}`") for c in names]), names)
+
+
+DETAIL_GROUPS = {
+    "Infant": {"Rate": "infant_rate", "Capacity": "infant_capacity"},
+    "Toddler": {"Rate": "toddler_rate", "Capacity": "toddler_capacity"},
+}
+
+
+def details_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age details in long form (Record ID, Age Group, Rate, Capacity)."""
+    wide = A.adapter(spark, sf_dir, "details").withColumnRenamed("record_id", P.RECORD_ID)
+    return R.unstack_groups(wide, [P.RECORD_ID], DETAIL_GROUPS, key_casts={P.RECORD_ID: "bigint"})
+
+
+def age_details_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snake(details_long(spark, sf_dir), {R.AGE_GROUP: "age_group", "Rate": "rate", "Capacity": "capacity"})
+
+
+def programs_has_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = P.programs_has_rates_caps(A.programs_export(spark, sf_dir), details_long(spark, sf_dir))
+    return _snake(
+        out.select(P.RECORD_ID, P.HAS_RATE, P.HAS_CAPACITY),
+        {P.HAS_RATE: "has_rate", P.HAS_CAPACITY: "has_capacity"},
+    )
+
+
+def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = details_long(spark, sf_dir)
+    return d.filter(F.col("Rate").isNotNull()).select(F.col(f"`{P.RECORD_ID}`").alias("record_id")).distinct()
+
+
+def row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.read_table(spark, sf_dir, "documents").select("lang", "source").dropDuplicates()
+
+
+def rename_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = A.read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("DHS_id"),
+        F.col("p_name").alias("ODHS_name"),
+        F.col("p_brand").alias("brand_DHS"),
+        F.col("p_size").alias("size"),
+    )
+    return P.dhs_to_odhs_names(part)
+
+
+def drop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = A.read_table(spark, sf_dir, "part")
+    blank = (F.col("p_partkey") % 10) == 0
+    with_blanks = part.select(
+        F.when(~blank, F.col("p_partkey")).alias("k"),
+        F.when(~blank, F.col("p_name")).alias("name"),
+        F.lit(None).cast("string").alias("empty_col"),
+    )
+    return R.drop_empty(with_blanks)
+
+
+def union_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = A.read_table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")
+    )
+    nation = A.read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey")).alias("key"),
+        F.col("n_name").alias("name"),
+        F.col("n_regionkey").cast("bigint").alias("regionkey"),
+    )
+    return R.union_mixed([region, nation])
+
+
+QUERIES.update(
+    {
+        "programs_invalid_mask": programs_invalid_mask,
+        "programs_valid": programs_valid,
+        "programs_valid_any_status": programs_valid_any_status,
+        "programs_type_code": programs_type_code,
+        "programs_type_code_only": programs_type_code_only,
+        "programs_sda": programs_sda,
+        "programs_sda_case": programs_sda_case,
+        "programs_flags": programs_flags,
+        "programs_total_months": programs_total_months,
+        "programs_age_flags": programs_age_flags,
+        "age_details_long": age_details_long,
+        "programs_has_rate_cap": programs_has_rate_cap,
+        "distinct_ids": distinct_ids,
+        "row_dedup": row_dedup,
+        "rename_pattern": rename_pattern,
+        "drop_empty": drop_empty,
+        "union_mixed": union_mixed,
+    }
+)

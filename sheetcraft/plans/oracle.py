@@ -96,4 +96,159 @@ def oracle_texts() -> dict[str, str]:
         "referral_parse_time": REFERRAL_PARSE_TIME,
         "action_log_rename": ACTION_LOG_RENAME,
     }
+    out = {k: _sub(v) for k, v in raw.items()}
+    out.update(program_oracles())
+    return out
+
+
+# --- programs ----------------------------------------------------------------
+
+_INVALID_ANY_STATUS = """coalesce(upper(license) like '%TEST%', false)
+  or coalesce(upper(license) like '%DUPLICATE%', false) or coalesce(upper(provider_type) like '%EARLY LEARNING HUB%', false)
+  or regulation is null or coalesce(business_name = ', ', false)"""
+
+PROGRAMS_INVALID_MASK = """
+select record_id, coalesce(status <> 'Active', false) or """ + _INVALID_ANY_STATUS + """ as invalid
+from {programs} x
+"""
+
+PROGRAMS_VALID = """
+select record_id, status from {programs} x
+where not (coalesce(status <> 'Active', false) or """ + _INVALID_ANY_STATUS + """)
+"""
+
+PROGRAMS_VALID_ANY_STATUS = """
+select record_id, status from {programs} x where not (""" + _INVALID_ANY_STATUS + """)
+"""
+
+PROGRAMS_TYPE_CODE = """
+with m as (select record_id, trim(provider_type) as pt, upper(substr(trim(license),1,2)) as l2, upper(substr(trim(license),1,3)) as l3,
+    trim(regulation) as rg, coalesce(upper(program_types) like '%PRESCHOOL%', false) as ps,
+    coalesce(upper(program_types) like '%SCHOOL AGE%', false) as sa from {programs} x)
+select record_id, case
+  when pt='Licensed Center' and l2='CC' and rg='Licensed Child Care Center' then 'CC'
+  when pt='Licensed Home' and l2='CF' and rg='Certified Family Child Care' then 'CF'
+  when pt='Licensed Home' and l2='RF' and rg='Registered Family Child Care' then 'RF'
+  when pt in ('License Exempt Home','License Exempt Center') and (l2='RS' or l3='IQY') and rg='Regulated Subsidy' then 'RS'
+  when pt='License Exempt Center' and l2='PS' and rg='Recorded Preschool Program' then 'PSR'
+  when pt='License Exempt Center' and l2='SA' and rg='Recorded School Age Program' then 'SAR'
+  when pt in ('License Exempt Center','Interim Emergency Site') and l2='RA' and rg='Recorded Agency' then 'RA'
+  when pt='License Exempt Center' and l2='AP' and rg='Unlicensed' then 'AP'
+  when pt='License Exempt Center' and ps and not sa and rg='Unlicensed' then 'PSE'
+  when pt='License Exempt Center' and not ps and sa and rg='Unlicensed' then 'SAE'
+  when pt='License Exempt Center' and ps = sa and rg='Unlicensed' then 'CE'
+  when pt='License Exempt Home' and rg='Unlicensed' then 'FE' end as type_code,
+  pt as provider_type
+from m
+"""
+
+PROGRAMS_TYPE_CODE_ONLY = "select * from (" + PROGRAMS_TYPE_CODE + ") t where type_code is not null"
+
+REGION_VALUES = """(values ('Blue Mountain', 1), ('Multnomah', 2), ('Marion-Polk-Yamhill', 3), ('North Coast', 4),
+  ('Linn-Benton-Lincoln', 5), ('Lane', 6), ('South Central', 7), ('South Coast', 8), ('Southern', 9),
+  ('The Gorge', 10), ('Grant-Harney', 11), ('Central', 12), ('Eastern', 14), ('Clackamas', 15),
+  ('Washington', 16)) r(name, sda)"""
+
+PROGRAMS_SDA = """
+select a.record_id, a.region, r.sda from {ages} a left join """ + REGION_VALUES + """ on trim(a.region) = r.name
+"""
+
+_FLAG_NAMES = (
+    ("Preschool", "preschool"),
+    ("Head Start (OPK)", "head_start_opk"),
+    ("Early Head Start (OPK)", "early_head_start_opk"),
+    ("School Age Before & After Care", "school_age_before_after_care"),
+    ("Baby Promise", "baby_promise"),
+    ("CCI (Multnomah)", "cci_multnomah"),
+    ("School Age Full-Time", "school_age_full_time"),
+    ("Preschool Promise", "preschool_promise"),
+    ("Foster Care", "foster_care"),
+    ("Relief Nursery", "relief_nursery"),
+    ("Teen Parent", "teen_parent"),
+    ("Tribal", "tribal"),
+)
+
+PROGRAMS_FLAGS = (
+    "select record_id, trim(program_types) as program_types, "
+    + ", ".join(
+        f"coalesce(contains(upper(program_types), upper('{name}')), false) as {alias}" for name, alias in _FLAG_NAMES
+    )
+    + " from {programs} x"
+)
+
+PROGRAMS_TOTAL_MONTHS = """
+select record_id, from_months + from_years * 12 as from_total_months, to_months + to_years * 12 as to_total_months
+from {ages} x
+"""
+
+PROGRAMS_AGE_FLAGS = """
+with m as (select record_id, from_months + from_years * 12 as f, to_months + to_years * 12 as t from {ages} x),
+v as (select *, coalesce(t <> 0 and f <> t, false) as ok from m)
+select record_id, f, t, not ok as unknown_care_range,
+  ok and coalesce(0 <= t, false) and coalesce(f < 24, false) as infant,
+  ok and coalesce(24 <= t, false) and coalesce(f < 36, false) as toddler,
+  ok and coalesce(36 <= t, false) and coalesce(f < 60, false) as preschool,
+  ok and coalesce(60 <= t, false) as school_age
+from v
+"""
+
+AGE_DETAILS_LONG = """
+with d as (select * from {details} x where infant_rate is not null or infant_capacity is not null
+             or toddler_rate is not null or toddler_capacity is not null)
+select record_id, 'Infant' as age_group, infant_capacity as capacity, infant_rate as rate from d
+union all select record_id, 'Toddler', toddler_capacity, toddler_rate from d
+"""
+
+PROGRAMS_HAS_RATE_CAP = """
+with d as (select record_id, infant_rate is not null or toddler_rate is not null as r,
+             infant_capacity is not null or toddler_capacity is not null as c from {details} x)
+select distinct p.record_id, coalesce(d.r, false) as has_rate, coalesce(d.c, false) as has_capacity
+from {programs} p left join d on p.record_id is not distinct from d.record_id
+"""
+
+DISTINCT_IDS = """
+select distinct record_id from {details} x where infant_rate is not null or toddler_rate is not null
+"""
+
+ROW_DEDUP = "select distinct lang, source from documents"
+
+RENAME_PATTERN = """
+select p_partkey as "ODHS_id", p_name as "ODHS_name", p_brand as "brand_ODHS", p_size as size
+from part
+"""
+
+DROP_EMPTY = """
+select k, name from (
+  select case when p_partkey % 10 <> 0 then p_partkey end as k,
+         case when p_partkey % 10 <> 0 then p_name end as name
+  from part) t
+where k is not null or name is not null
+"""
+
+UNION_MIXED = """
+select cast(r_regionkey as varchar) as key, r_name as name, cast(null as bigint) as regionkey from region
+union all
+select concat('N', n_nationkey) as key, n_name as name, cast(n_regionkey as bigint) as regionkey from nation
+"""
+
+def program_oracles() -> dict[str, str]:
+    raw = {
+        "programs_invalid_mask": PROGRAMS_INVALID_MASK,
+        "programs_valid": PROGRAMS_VALID,
+        "programs_valid_any_status": PROGRAMS_VALID_ANY_STATUS,
+        "programs_type_code": PROGRAMS_TYPE_CODE,
+        "programs_type_code_only": PROGRAMS_TYPE_CODE_ONLY,
+        "programs_sda": PROGRAMS_SDA,
+        "programs_sda_case": PROGRAMS_SDA,
+        "programs_flags": PROGRAMS_FLAGS,
+        "programs_total_months": PROGRAMS_TOTAL_MONTHS,
+        "programs_age_flags": PROGRAMS_AGE_FLAGS,
+        "age_details_long": AGE_DETAILS_LONG,
+        "programs_has_rate_cap": PROGRAMS_HAS_RATE_CAP,
+        "distinct_ids": DISTINCT_IDS,
+        "row_dedup": ROW_DEDUP,
+        "rename_pattern": RENAME_PATTERN,
+        "drop_empty": DROP_EMPTY,
+        "union_mixed": UNION_MIXED,
+    }
     return {k: _sub(v) for k, v in raw.items()}
