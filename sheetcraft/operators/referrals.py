@@ -177,3 +177,62 @@ def explode_filters(df: DataFrame, strict: bool = False, position: str | None =
     if position:
         return with_list.select(*rest, F.posexplode(_q(NOTES)).alias(position, NOTES))
     return with_list.select(*rest, F.explode(_q(NOTES)).alias(NOTES))
+
+
+def flatten_json(
+    df: DataFrame,
+    column: str = NOTES,
+    schema: str | None = None,
+    clash_suffix: str = "_filter",
+) -> DataFrame:
+    """Replace a JSON-object text column by one column per leaf (nested objects
+    become dotted names such as ``b.c``; lists stay whole).
+
+    The leaf set is the union over all rows: found by one aggregate
+    (``schema_of_variant_agg`` over object values only) unless ``schema`` (a
+    Spark DDL type such as ``struct<a: bigint, b: struct<c: bigint>>``) is
+    given.  Non-object values give an all-null row.  A leaf named like an
+    existing column gets ``clash_suffix``.
+    """
+    from pyspark.sql import types as T
+
+    rest = [c for c in df.columns if c != column]
+    v = F.try_parse_json(_q(column))
+    is_object = F.schema_of_variant(v).startswith("OBJECT")
+    if schema is None:
+        found = df.select(F.schema_of_variant_agg(F.when(is_object, v)).alias("s")).first()
+        ddl = found["s"] if found is not None else None
+        if not ddl or not ddl.startswith("OBJECT"):
+            return df.select(*[_q(c) for c in rest])
+        schema = "STRUCT" + ddl[len("OBJECT"):].replace("OBJECT<", "STRUCT<")
+    dtype = df.sparkSession.range(0).select(F.lit(None).cast(schema).alias("x")).schema["x"].dataType
+    if not isinstance(dtype, T.StructType):
+        raise ValueError(f"schema must be a struct type, got {schema!r}")
+
+    leaves: list[tuple[list[str], T.DataType]] = []
+
+    def walk(prefix: list[str], st: T.StructType) -> None:
+        for f in st.fields:
+            if isinstance(f.dataType, T.StructType):
+                walk(prefix + [f.name], f.dataType)
+            else:
+                leaves.append((prefix + [f.name], f.dataType))
+
+    walk([], dtype)
+    taken = set(rest)
+    out_cols = [_q(c) for c in rest]
+    obj = F.when(is_object, v)
+    for path, leaf_type in leaves:
+        json_path = "$" + "".join('["' + p.replace('"', '\\"') + '"]' for p in path)
+        type_name = "string" if isinstance(leaf_type, T.VariantType) else leaf_type.simpleString()
+        name = ".".join(path)
+        if name in taken:
+            name = name + clash_suffix
+        taken.add(name)
+        out_cols.append(F.try_variant_get(obj, json_path, type_name).alias(name))
+    return df.select(*out_cols)
+
+
+def process_referral_notes(df: DataFrame, strict: bool = False, schema: str | None = None) -> DataFrame:
+    """Rows with notes -> one row per filter -> filter leaves as columns."""
+    return flatten_json(explode_filters(df, strict=strict), NOTES, schema=schema)

@@ -275,3 +275,91 @@ QUERIES.update(
         "union_mixed": union_mixed,
     }
 )
+
+
+# --- notes, JSON, URLs, dimension, stage counts ----------------------------------
+
+from sheetcraft.functions import jsonpath as J  # noqa: E402
+from sheetcraft.functions import urls as U  # noqa: E402
+from sheetcraft.functions.regions import REGIONS, counties  # noqa: E402
+from sheetcraft.operators import metrics as M  # noqa: E402
+
+
+def notes_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    export = A.referral_export(spark, sf_dir).select(referrals.REFERRAL_ID, referrals.LOG_TYPE, referrals.NOTES)
+    out = referrals.explode_filters(export, position="filter_pos")
+    return _snake_referrals(out.withColumn("filter_pos", F.col("filter_pos").cast("bigint"))).withColumnRenamed(
+        "notes", "filter_json"
+    )
+
+
+def notes_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = referrals.clean_referrals(_search_logs(spark, sf_dir))
+    return _snake_referrals(referrals.process_referral_notes(cleaned))
+
+
+def json_path_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = A.read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        J.json_path("props", ["k"]).alias("k"),
+        J.json_path("props", ["missing"], default="none").alias("missing"),
+        J.json_path("props", ["k", "x"], default="not-a-map").alias("nested"),
+    )
+
+
+def url_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = A.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", U.is_absolute_url("url").alias("is_absolute"))
+
+
+def url_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = A.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", U.join_url_path("url", "about", on_error="null").alias("joined"))
+
+
+COUNTY_NAMES = [c for _, _, cs in REGIONS for c in cs]
+
+
+def county_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Programs placed in a county (one in 37 in none), coded by the county
+    dimension: a broadcast of the fixed 36-row table."""
+    part = A.read_table(spark, sf_dir, "part")
+    names = F.array(*[F.lit(c) for c in COUNTY_NAMES])
+    progs = part.select(
+        F.col("p_partkey").alias("record_id"),
+        F.try_element_at(names, (F.col("p_partkey") % (len(COUNTY_NAMES) + 1) + 1).cast("int")).alias("county"),
+    )
+    dim = counties(spark)
+    out = progs.join(F.broadcast(dim), "county", "left")
+    return out.select("record_id", "county", "region", "sda")
+
+
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, search rows, rows kept and removed by the cleaning.
+
+    Input counts come from one aggregate over the (column-pruned) export; the
+    kept count is an ``Observation`` on the output while it is written, so no
+    extra job re-runs the cleaning.  Four numbers reach the driver.
+    """
+    export = A.referral_export(spark, sf_dir)
+    is_search = F.col(f"`{referrals.LOG_NAME}`").isin(*referrals.SEARCH_LOG_NAMES)
+    inp = export.agg(F.count(F.lit(1)).alias("r"), F.count(F.when(is_search, 1)).alias("s")).first()
+    cleaned, obs = M.observe_rows(referrals.clean_referrals(referrals.filter_search_logs(export)), "kept")
+    cleaned.write.format("noop").mode("overwrite").save()
+    kept = obs.get["rows"]
+    row = (inp["r"], inp["s"], kept, inp["s"] - kept)
+    return spark.createDataFrame([row], "rows_read bigint, rows_searches bigint, rows_kept bigint, rows_removed bigint")
+
+
+QUERIES.update(
+    {
+        "notes_filters": notes_filters,
+        "notes_flatten": notes_flatten,
+        "json_path_default": json_path_default,
+        "url_absolute": url_absolute,
+        "url_join": url_join,
+        "county_lookup": county_lookup,
+        "stage_counts": stage_counts,
+    }
+)

@@ -98,6 +98,7 @@ def oracle_texts() -> dict[str, str]:
     }
     out = {k: _sub(v) for k, v in raw.items()}
     out.update(program_oracles())
+    out.update(extra_oracles())
     return out
 
 
@@ -252,3 +253,79 @@ def program_oracles() -> dict[str, str]:
         "union_mixed": UNION_MIXED,
     }
     return {k: _sub(v) for k, v in raw.items()}
+
+
+# --- notes, JSON, URLs, dimension ---------------------------------------------------
+
+_FILTER_LISTS = """
+fl as (select *, cast(json_extract(case when json_valid(notes) then notes end, '$.Filters') as json[]) as fls
+       from {src} z where notes is not null),
+ex as (select fl.*, u.f, u.pos from fl, unnest(fl.fls) with ordinality as u(f, pos) where len(fl.fls) > 0)
+"""
+
+NOTES_FILTERS = "with " + _FILTER_LISTS.replace("{src}", "{logs}") + """
+select referral_id, log_type, pos - 1 as filter_pos, cast(f as varchar) as filter_json from ex
+"""
+
+NOTES_FLATTEN = ("with " + _NUMBERED + """,
+u as (select distinct * from n),
+m as (select *, max(search_no) over (partition by referral_id, action_ts) as max_no from u),
+c as (select referral_id, action_ts, search_no, recorded_by, type, county, city, zipcode, log_name, log_type, notes
+      from m where referral_id is null or action_ts is null or coalesce(max_no <= 10, true)),
+""" + _FILTER_LISTS.replace("{src}", "c") + """
+select referral_id, action_ts, search_no, recorded_by, type, county, city, zipcode, log_name, log_type,
+  cast(json_extract(f, '$.k') as bigint) as k, json_extract_string(f, '$.name') as name,
+  json_extract_string(f, '$.value') as value
+from ex
+""")
+
+JSON_PATH_DEFAULT = """
+select event_id, json_extract_string(props, '$.k') as k,
+  coalesce(json_extract_string(props, '$.missing'), 'none') as missing,
+  coalesce(json_extract_string(props, '$.k.x'), 'not-a-map') as nested
+from events
+"""
+
+_URL_RE = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+_ABS_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"
+
+URL_ABSOLUTE = f"select page_id, regexp_matches(url, '{_ABS_RE}') as is_absolute from pages"
+
+URL_JOIN = f"""
+with s as (select page_id, url,
+  regexp_extract(url, '{_URL_RE}', 1) as scheme, regexp_extract(url, '{_URL_RE}', 2) as netloc,
+  regexp_extract(url, '{_URL_RE}', 3) as path, regexp_extract(url, '{_URL_RE}', 4) as query,
+  regexp_extract(url, '{_URL_RE}', 5) as fragment from pages)
+select page_id, case when regexp_matches(url, '{_ABS_RE}') then
+  scheme || '://' || netloc || '/' ||
+  array_to_string(list_filter(string_split(path || '/about', '/'), lambda x: x <> '' and x <> '.'), '/')
+  || query || fragment end as joined
+from s
+"""
+
+
+def _county_oracle() -> str:
+    from sheetcraft.functions.regions import REGIONS
+
+    names = [c for _, _, cs in REGIONS for c in cs]
+    values = ", ".join(f"('{c}', '{r}', {s})" for r, s, cs in REGIONS for c in cs)
+    arr = ", ".join(f"'{c}'" for c in names)
+    return f"""
+with p as (select p_partkey as record_id, list_extract([{arr}], cast(p_partkey % {len(names) + 1} + 1 as int)) as county
+           from part)
+select p.record_id, p.county, d.region, d.sda from p left join (values {values}) d(county, region, sda)
+  on p.county = d.county
+"""
+
+
+def extra_oracles() -> dict[str, str]:
+    raw = {
+        "notes_filters": NOTES_FILTERS,
+        "notes_flatten": NOTES_FLATTEN,
+    }
+    out = {k: _sub(v) for k, v in raw.items()}
+    out["json_path_default"] = JSON_PATH_DEFAULT
+    out["url_absolute"] = URL_ABSOLUTE
+    out["url_join"] = URL_JOIN
+    out["county_lookup"] = _county_oracle()
+    return out
