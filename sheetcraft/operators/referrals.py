@@ -171,6 +171,10 @@ def explode_filters(df: DataFrame, strict: bool = False, position: str | None =
     from sheetcraft.functions.jsonpath import parse_filters_strict
 
     notes = _q(NOTES)
+    if strict:
+        from sheetcraft.session import ship_package
+
+        ship_package(df.sparkSession)
     parsed = parse_filters_strict(notes) if strict else parse_filters(notes)
     rest = [_q(c) for c in df.columns if c != NOTES]
     with_list = df.filter(notes.isNotNull()).select(*rest, parsed.alias(NOTES)).filter(_q(NOTES).isNotNull())

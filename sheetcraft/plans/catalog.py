@@ -363,3 +363,85 @@ QUERIES.update(
         "stage_counts": stage_counts,
     }
 )
+
+
+# --- workbooks: exports written from the given tables, then scanned back ------------------
+
+from sheetcraft.operators import headers as H  # noqa: E402
+from sheetcraft.session import scratch_dir  # noqa: E402
+from sheetcraft.sources import files as FS  # noqa: E402
+from sheetcraft.sources import workbooks as W  # noqa: E402
+
+ROWS_PER_WORKBOOK = 1000
+
+
+def export_workbooks(df: DataFrame, name: str, **kw) -> str:
+    """Write ``df`` as workbooks into a fresh shared folder; return the folder."""
+    spark = df.sparkSession
+    out = scratch_dir(spark, name)
+    kw.setdefault("rows_per_file", ROWS_PER_WORKBOOK)
+    W.write_workbooks(df, out, **kw).write.format("noop").mode("overwrite").save()
+    return out
+
+
+def _customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.read_table(spark, sf_dir, "customer")
+
+
+def workbook_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> xlsx files -> directory collect (scan, header names, type
+    inference, empty drop) -> table."""
+    folder = export_workbooks(_customer(spark, sf_dir), "customer-xlsx")
+    cells = FS.materialize(W.scan_workbooks(spark, folder), "customer-cells")
+    return W.to_table(cells)
+
+
+def workbook_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sheet per market segment; all sheets scanned; the sheet name is the
+    segment."""
+    folder = export_workbooks(_customer(spark, sf_dir), "customer-sheets", sheet_col="c_mktsegment")
+    cells = FS.materialize(W.scan_workbooks(spark, folder, sheet_name=None), "customer-sheet-cells")
+    t = W.to_table(cells, with_source=True)
+    return t.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.col("sheet").alias("c_mktsegment"))
+
+
+def workbook_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = export_workbooks(_customer(spark, sf_dir), "customer-catalog", sheet_col="c_mktsegment")
+    return W.sheet_catalog(spark, folder).select("sheet").distinct()
+
+
+def referral_clean_from_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole referral job as in production: exported workbooks ->
+    collect -> search-log filter -> clean."""
+    folder = export_workbooks(A.referral_export(spark, sf_dir), "referral-xlsx")
+    cells = FS.materialize(W.scan_workbooks(spark, folder), "referral-cells")
+    logs = referrals.filter_search_logs(W.to_table(cells))
+    return _snake_referrals(referrals.clean_referrals(logs))
+
+
+DETAIL_HEADER = ["Record ID", "Infant", "Infant", "Toddler", "Toddler"]
+DETAIL_SECOND_ROW = [["Record ID", "Rate", "Capacity", "Rate", "Capacity"]]
+
+
+def age_details_from_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age details exported with a two-row header -> header inference ->
+    wide to long."""
+    details = A.adapter(spark, sf_dir, "details").select(
+        "record_id", "infant_rate", "infant_capacity", "toddler_rate", "toddler_capacity"
+    )
+    folder = export_workbooks(details, "details-xlsx", header=DETAIL_HEADER, header_rows=DETAIL_SECOND_ROW)
+    cells = FS.materialize(W.scan_workbooks(spark, folder), "details-cells")
+    wide = H.infer_header_table(cells)
+    long = R.unstack_groups(wide, [P.RECORD_ID], key_casts={P.RECORD_ID: "bigint"})
+    return _snake(long, {R.AGE_GROUP: "age_group", "Rate": "rate", "Capacity": "capacity"})
+
+
+QUERIES.update(
+    {
+        "workbook_roundtrip": workbook_roundtrip,
+        "workbook_sheets": workbook_sheets,
+        "workbook_catalog": workbook_catalog,
+        "referral_clean_from_workbooks": referral_clean_from_workbooks,
+        "age_details_from_workbook": age_details_from_workbook,
+    }
+)

@@ -99,6 +99,7 @@ def oracle_texts() -> dict[str, str]:
     out = {k: _sub(v) for k, v in raw.items()}
     out.update(program_oracles())
     out.update(extra_oracles())
+    out.update(workbook_oracles())
     return out
 
 
@@ -329,3 +330,20 @@ def extra_oracles() -> dict[str, str]:
     out["url_join"] = URL_JOIN
     out["county_lookup"] = _county_oracle()
     return out
+
+
+def workbook_oracles() -> dict[str, str]:
+    return {
+        "workbook_roundtrip": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
+                                  c_mktsegment from customer""",
+        "workbook_sheets": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
+                               c_mktsegment from customer""",
+        "workbook_catalog": "select distinct c_mktsegment as sheet from customer",
+        "referral_clean_from_workbooks": _sub(REFERRAL_CLEAN),
+        "age_details_from_workbook": _sub("""
+with d as (select * from {details} x where infant_rate is not null or infant_capacity is not null
+             or toddler_rate is not null or toddler_capacity is not null)
+select record_id, 'Infant' as age_group, cast(infant_capacity as bigint) as capacity, infant_rate as rate from d
+union all select record_id, 'Toddler', cast(toddler_capacity as bigint), toddler_rate from d
+"""),
+    }

@@ -84,3 +84,27 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sheetcraft`` importable in Python workers (``addPyFile`` of a
+    zip written once per application into the shared folder)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_sheetcraft_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target_dir = scratch_dir(spark, "pyfiles")
+    local = local_path(target_dir)
+    if local is None:
+        local = tempfile.mkdtemp(prefix="sheetcraft-pyfiles-")
+    zpath = os.path.join(local, "sheetcraft.zip")
+    with zipfile.ZipFile(zpath, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    sc._sheetcraft_shipped = True
