@@ -445,3 +445,83 @@ QUERIES.update(
         "age_details_from_workbook": age_details_from_workbook,
     }
 )
+
+
+# --- refresh policies over exported workbooks ---------------------------------------------
+
+from sheetcraft.sources.refresh import WorkbookRefresher  # noqa: E402
+
+
+def _positive_balance(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("c_acctbal") > 0)
+
+
+def _customer_columns(df: DataFrame) -> DataFrame:
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def _refresher(spark: SparkSession, sf_dir: str, name: str) -> tuple[WorkbookRefresher, str]:
+    folder = export_workbooks(_customer(spark, sf_dir), f"{name}-src")
+    target = scratch_dir(spark, f"{name}-target")
+    r = WorkbookRefresher(spark, folder, target, pre_process=_positive_balance, post_process=_customer_columns)
+    return r, folder
+
+
+def refresh_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, _ = _refresher(spark, sf_dir, "refresh-check")
+    r.refresh("check")
+    return r.refresh("check")  # second call: nothing stale, reads the table
+
+
+def refresh_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build, then make one source unreadable: fallback keeps its last cells."""
+    import os
+
+    from sheetcraft.session import local_path
+
+    r, folder = _refresher(spark, sf_dir, "refresh-fallback")
+    r.refresh("check")
+    base = local_path(folder)
+    first = sorted(f for f in os.listdir(base) if f.endswith(".xlsx"))[0]
+    with open(os.path.join(base, first), "wb") as fh:
+        fh.write(b"damaged")
+    return r.refresh("fallback")
+
+
+def refresh_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, _ = _refresher(spark, sf_dir, "refresh-force")
+    r.refresh("check")
+    return r.refresh("force")
+
+
+def refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, _ = _refresher(spark, sf_dir, "refresh-skip")
+    return r.refresh("skip")
+
+
+def refresh_only_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, _ = _refresher(spark, sf_dir, "refresh-cached")
+    r.refresh("check")
+    return r.refresh("only_cached")
+
+
+def refresh_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller-supplied policy: rebuild only when stale, else read."""
+    r, _ = _refresher(spark, sf_dir, "refresh-custom")
+
+    def policy(ref: WorkbookRefresher) -> DataFrame:
+        return ref.refresh("check") if ref.is_stale() else ref.read_cache()
+
+    return r.refresh(policy)
+
+
+QUERIES.update(
+    {
+        "refresh_check": refresh_check,
+        "refresh_fallback": refresh_fallback,
+        "refresh_force": refresh_force,
+        "refresh_skip": refresh_skip,
+        "refresh_only_cached": refresh_only_cached,
+        "refresh_custom": refresh_custom,
+    }
+)

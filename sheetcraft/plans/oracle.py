@@ -340,6 +340,11 @@ def workbook_oracles() -> dict[str, str]:
                                c_mktsegment from customer""",
         "workbook_catalog": "select distinct c_mktsegment as sheet from customer",
         "referral_clean_from_workbooks": _sub(REFERRAL_CLEAN),
+        **{
+            f"refresh_{k}": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
+                                c_mktsegment from customer where c_acctbal > 0"""
+            for k in ("check", "fallback", "force", "skip", "only_cached", "custom")
+        },
         "age_details_from_workbook": _sub("""
 with d as (select * from {details} x where infant_rate is not null or infant_capacity is not null
              or toddler_rate is not null or toddler_capacity is not null)

@@ -44,6 +44,7 @@ SCAN_SCHEMA = T.StructType(
         T.StructField("_line", T.IntegerType()),
         T.StructField("layout", T.StringType()),
         T.StructField("cells", T.ArrayType(CELL)),
+        T.StructField("error", T.StringType()),
     ]
 )
 CATALOG_SCHEMA = "path string, sheet_pos int, sheet string, error string"
@@ -60,6 +61,7 @@ _PA_SCAN = pa.schema(
         ("_line", pa.int32()),
         ("layout", pa.string()),
         ("cells", _PA_CELL),
+        ("error", pa.string()),
     ]
 )
 
@@ -115,12 +117,23 @@ def _layout_key(cells: list) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:16]
 
 
-def _scan_batches(wanted):
+def _scan_batches(wanted, errors: str = "raise"):
     from sheetcraft.sources.xlsx import read_workbook
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = {k: [] for k in _PA_SCAN.names}
 
+        def add(p, mtime, pos, name, row, line, layout, cells, error=None):
+            cols["path"].append(p)
+            cols["mtime"].append(mtime)
+            cols["sheet_pos"].append(pos)
+            cols["sheet"].append(name)
+            cols["_row"].append(row)
+            cols["_line"].append(line)
+            cols["layout"].append(layout)
+            cols["cells"].append(cells)
+            cols["error"].append(error)
+
         def flush():
             batch = pa.RecordBatch.from_pydict(cols, schema=_PA_SCAN)
             for v in cols.values():
@@ -132,34 +145,41 @@ def _scan_batches(wanted):
             mtimes = batch.column("modificationTime")
             contents = batch.column("content")
             for i, p in enumerate(paths):
-                data = contents[i].as_py()
                 mtime = mtimes[i].as_py()
-                current, line, layout = None, 0, None
-                for pos, name, row, cells in read_workbook(data, wanted):
-                    if (pos, name) != current:
-                        current, line, layout = (pos, name), 0, _layout_key(cells)
-                    cols["path"].append(p)
-                    cols["mtime"].append(mtime)
-                    cols["sheet_pos"].append(pos)
-                    cols["sheet"].append(name)
-                    cols["_row"].append(row)
-                    cols["_line"].append(line)
-                    cols["layout"].append(layout)
-                    cols["cells"].append([{"t": c[0], "v": c[1]} if c else None for c in cells])
-                    line += 1
-                    if len(cols["path"]) >= _CHUNK:
-                        yield flush()
+                start = len(cols["path"])
+                try:
+                    current, line, layout = None, 0, None
+                    for pos, name, row, cells in read_workbook(contents[i].as_py(), wanted):
+                        if (pos, name) != current:
+                            current, line, layout = (pos, name), 0, _layout_key(cells)
+                        add(p, mtime, pos, name, row, line, layout,
+                            [{"t": c[0], "v": c[1]} if c else None for c in cells])
+                        line += 1
+                        if len(cols["path"]) >= _CHUNK and errors == "raise":
+                            yield flush()
+                except Exception as e:  # noqa: BLE001
+                    if errors == "raise":
+                        raise RuntimeError(f"cannot read workbook {p}: {type(e).__name__}: {e}") from e
+                    for v in cols.values():
+                        del v[start:]
+                    add(p, mtime, None, None, -1, None, None, None, f"{type(e).__name__}: {e}")
+                if errors != "raise" and len(cols["path"]) >= _CHUNK:
+                    yield flush()
         if cols["path"]:
             yield flush()
 
     return run
 
 
-def scan_files(files: DataFrame, sheet_name=0) -> DataFrame:
-    """Parse a ``binaryFile`` frame (path, modificationTime, content)."""
+def scan_files(files: DataFrame, sheet_name=0, errors: str = "raise") -> DataFrame:
+    """Parse a ``binaryFile`` frame (path, modificationTime, content).
+
+    ``errors="reject"``: a file that cannot be read gives one row with
+    ``_row = -1`` and ``error`` set instead of failing the job.
+    """
     ship_package(files.sparkSession)
     return files.select("path", "modificationTime", "content").mapInArrow(
-        _scan_batches(_wanted(sheet_name)), SCAN_SCHEMA
+        _scan_batches(_wanted(sheet_name), errors), SCAN_SCHEMA
     )
 
 
