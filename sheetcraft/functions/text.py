@@ -16,21 +16,15 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _whitespace_class() -> str:
-    # Python's str.strip() removes every code point for which str.isspace()
-    # holds; SQL trim() removes blanks only.  Build the same set as a Java
-    # regex character class from that rule.
-    chars = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace()]
-    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
-
-
-_WS = _whitespace_class()
-_STRIP_RE = f"^{_WS}+|{_WS}+$"
+# Python's str.strip() removes every code point for which str.isspace() holds;
+# SQL trim() without a set removes blanks only.  The set, built from that rule:
+WHITESPACE = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Strip leading and trailing white space, as Python's ``str.strip``."""
-    return F.regexp_replace(_col(c), _STRIP_RE, "")
+    """Strip leading and trailing white space, as Python's ``str.strip``
+    (``trim`` with an explicit character set: a code-point scan, no regex)."""
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def strip_names_py(name: str) -> str:

@@ -60,15 +60,18 @@ def join_url_path(c: Column | str, rel: str, on_error: str = "raise") -> Column:
     if rel.startswith("/"):
         # PurePosixPath('/x') / '/b' == '/b'
         joined = F.lit(rel)
-        absolute = F.lit(True)
+        head = F.lit(rel)
     else:
         joined = F.concat(base_path, F.lit("/" + rel))
-        absolute = base_path.startswith("/")
+        head = base_path
     segs = F.array_join(_segments(joined), "/")
-    # PurePosixPath keeps a leading '//' (exactly two) but collapses three or more.
-    lead = F.when(absolute & joined.startswith("//") & ~joined.startswith("///"), F.lit("//")).when(
-        absolute, F.lit("/")
-    ).otherwise(F.lit(""))
+    # PurePosixPath keeps exactly two leading slashes of the left operand, and
+    # collapses one or three and more to one.
+    lead = (
+        F.when(head.startswith("//") & ~head.startswith("///"), F.lit("//"))
+        .when(head.startswith("/"), F.lit("/"))
+        .otherwise(F.lit(""))
+    )
     norm = F.concat(lead, segs)
     # An empty relative result is '.' for PurePosixPath.
     norm = F.when(norm == "", F.lit(".")).otherwise(norm)
