@@ -92,21 +92,24 @@ def _null_key_rows(df: DataFrame, distinct: bool) -> DataFrame:
     return out.dropDuplicates() if distinct else out
 
 
-def number_searches(df: DataFrame) -> DataFrame:
+def number_searches(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int = 500_000) -> DataFrame:
     """Number rows within (ReferralID, Date of Action) from 1; null key -> null.
 
     The number is an identifier, not an order; ties are broken by every other
-    output column (ascending, nulls first) so it is deterministic.
+    output column (ascending, nulls first) so it is deterministic.  Groups
+    above ``hot_rows`` rows are numbered in range buckets
+    (``sheetcraft.operators.numbering``), with the same numbers.
     """
-    numbered = df.filter(keys_present()).withColumn(
-        SEARCH_NO, F.row_number().over(_number_window()).cast("bigint")
-    )
+    from sheetcraft.operators.numbering import number_rows
+
+    keyed = _project(df.withColumn(SEARCH_NO, F.lit(None).cast("bigint"))).drop(SEARCH_NO)
+    numbered = number_rows(keyed.filter(keys_present()), GROUP_KEYS, _ORDER_COLUMNS, SEARCH_NO, hot_rows, bucket_rows)
     return _project(numbered).unionByName(_null_key_rows(df, distinct=False))
 
 
-def process_referral_action_logs(df: DataFrame, on_error: str = "raise") -> DataFrame:
+def process_referral_action_logs(df: DataFrame, on_error: str = "raise", hot_rows: int = 2_000_000) -> DataFrame:
     """Anonymise, parse times, number searches, project the 11 output columns."""
-    return number_searches(parse_times(anonymise(df), on_error))
+    return number_searches(parse_times(anonymise(df), on_error), hot_rows=hot_rows)
 
 
 def clean_numbered_antijoin(numbered: DataFrame, threshold: int = MAX_SEARCHES_PER_MINUTE) -> DataFrame:
