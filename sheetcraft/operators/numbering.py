@@ -43,10 +43,15 @@ def number_rows(
     split them off first."""
     key_cols = [_q(k) for k in keys]
     order_cols = [_q(c).asc_nulls_first() for c in order]
+    window = Window.partitionBy(*key_cols).orderBy(*order_cols)
     sizes = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__n"))
     hot = sizes.filter(F.col("__n") > hot_rows)
+    # One small job (partial aggregate, one row back): without hot groups the
+    # plan is the plain window.
+    if hot.limit(1).count() == 0:
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
     cold = df.join(hot.select(*keys), list(keys), "left_anti")
-    cold_out = cold.withColumn(out, F.row_number().over(Window.partitionBy(*key_cols).orderBy(*order_cols)).cast("bigint"))
+    cold_out = cold.withColumn(out, F.row_number().over(window).cast("bigint"))
 
     hot_rows_df = df.join(hot, list(keys), "left_semi")
     tup = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)])

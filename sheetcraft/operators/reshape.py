@@ -217,3 +217,20 @@ def union_mixed(frames: Sequence[DataFrame], infer: bool = True) -> DataFrame:
     if infer and mixed:
         out = retype(out, mixed)
     return out
+
+
+# --- forward fill ---------------------------------------------------------------------
+
+
+def forward_fill(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Fill nulls downward with the last non-null value in ``order_by`` order
+    within ``partition_by`` (e.g. path and sheet, ordered by ``_row``).  A
+    whole partition key goes to one task, so partition by file or sheet."""
+    from pyspark.sql import Window
+
+    w = (
+        Window.partitionBy(*[_q(c) for c in partition_by])
+        .orderBy(*[_q(c) for c in order_by])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return df.withColumns({c: F.last(_q(c), ignorenulls=True).over(w) for c in columns})

@@ -294,7 +294,11 @@ def notes_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notes_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = referrals.clean_referrals(_search_logs(spark, sf_dir))
+    """Stage 6 writes the cleaned referrals; stage 7 reads that table, so the
+    leaf discovery (one aggregate) and the flatten do not redo the cleaning."""
+    from sheetcraft.sources.files import materialize
+
+    cleaned = materialize(referrals.clean_referrals(_search_logs(spark, sf_dir)), "referrals-cleaned")
     return _snake_referrals(referrals.process_referral_notes(cleaned))
 
 
@@ -525,3 +529,65 @@ QUERIES.update(
         "refresh_custom": refresh_custom,
     }
 )
+
+
+# --- schema-given notes flatten; streaming ingestion --------------------------------------
+
+NOTES_SCHEMA = "struct<k: bigint, name: string, value: string>"
+
+
+def notes_flatten_given_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``notes_flatten`` with the leaf types given: no discovery pass and
+    no need to write the cleaned table first."""
+    cleaned = referrals.clean_referrals(_search_logs(spark, sf_dir))
+    return _snake_referrals(referrals.process_referral_notes(cleaned, schema=NOTES_SCHEMA))
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer split into two drops of workbooks; an available-now stream
+    ingests the first drop, then only the new files of the second."""
+    from sheetcraft.streaming.ingest import ingest_workbooks, ingested_table
+
+    cust = _customer(spark, sf_dir)
+    drop = scratch_dir(spark, "drop")
+    first = cust.filter(F.col("c_custkey") % 2 == 0)
+    second = cust.filter(F.col("c_custkey") % 2 == 1)
+    W.write_workbooks(first, drop, rows_per_file=ROWS_PER_WORKBOOK, prefix="a").write.format("noop").mode(
+        "overwrite"
+    ).save()
+    cells, ckpt = scratch_dir(spark, "stream-cells"), scratch_dir(spark, "stream-ckpt")
+    ingest_workbooks(spark, drop, cells, ckpt)
+    W.write_workbooks(second, drop, rows_per_file=ROWS_PER_WORKBOOK, prefix="b").write.format("noop").mode(
+        "overwrite"
+    ).save()
+    ingest_workbooks(spark, drop, cells, ckpt)
+    return ingested_table(spark, cells)
+
+
+QUERIES.update({"notes_flatten_given_schema": notes_flatten_given_schema, "stream_ingest": stream_ingest})
+
+
+CUSTOMER_SCHEMA = "index bigint, c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> CSV with a 0-based row index in key order (no single-task
+    window) -> read back with a declared schema."""
+    out = scratch_dir(spark, "customer-csv")
+    FS.write_csv(_customer(spark, sf_dir), out, index=True, order_by=["c_custkey"])
+    return spark.read.option("header", True).schema(CUSTOMER_SCHEMA).csv(out)
+
+
+def forward_fill_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders with the priority blanked on all but each customer's first
+    order, filled back down per customer in order-key order."""
+    o = A.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    from pyspark.sql import Window
+
+    first = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) == 1
+    blanked = o.withColumn("p", F.when(first, F.col("o_orderpriority")))
+    filled = R.forward_fill(blanked, ["p"], ["o_custkey"], ["o_orderkey"])
+    return filled.select("o_orderkey", "o_custkey", F.col("p").alias("first_priority"))
+
+
+QUERIES.update({"csv_roundtrip": csv_roundtrip, "forward_fill_sheet": forward_fill_sheet})

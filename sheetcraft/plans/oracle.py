@@ -325,6 +325,7 @@ def extra_oracles() -> dict[str, str]:
         "notes_flatten": NOTES_FLATTEN,
     }
     out = {k: _sub(v) for k, v in raw.items()}
+    out["notes_flatten_given_schema"] = out["notes_flatten"]
     out["json_path_default"] = JSON_PATH_DEFAULT
     out["url_absolute"] = URL_ABSOLUTE
     out["url_join"] = URL_JOIN
@@ -339,6 +340,13 @@ def workbook_oracles() -> dict[str, str]:
         "workbook_sheets": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
                                c_mktsegment from customer""",
         "workbook_catalog": "select distinct c_mktsegment as sheet from customer",
+        "csv_roundtrip": """select row_number() over (order by c_custkey) - 1 as index, c_custkey, c_name, c_nationkey,
+                             c_acctbal, c_mktsegment from customer""",
+        "forward_fill_sheet": """select o_orderkey, o_custkey,
+             first_value(o_orderpriority) over (partition by o_custkey order by o_orderkey) as first_priority
+             from orders""",
+        "stream_ingest": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
+                             c_mktsegment from customer""",
         "referral_clean_from_workbooks": _sub(REFERRAL_CLEAN),
         **{
             f"refresh_{k}": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
