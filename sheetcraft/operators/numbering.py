@@ -44,36 +44,15 @@ def number_rows(
     key_cols = [_q(k) for k in keys]
     order_cols = [_q(c).asc_nulls_first() for c in order]
     window = Window.partitionBy(*key_cols).orderBy(*order_cols)
-    sizes = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows)
-    # One small job (partial aggregate, one row back): without hot groups the
-    # plan is the plain window.
-    if hot.limit(1).count() == 0:
+    hot = hot_keys(df, keys, hot_rows)
+    # Without hot groups the plan is the plain window.
+    if hot is None:
         return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    cold = df.join(hot.select(*keys), list(keys), "left_anti")
+    cold = df.join(hot, list(keys), "left_anti")
     cold_out = cold.withColumn(out, F.row_number().over(window).cast("bigint"))
 
     hot_rows_df = df.join(hot, list(keys), "left_semi")
-    tup = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)])
-    with_t = hot_rows_df.withColumn("__t", tup)
-    # deterministic sample: about SAMPLES_PER_BUCKET rows per bucket
-    rate = min(1.0, SAMPLES_PER_BUCKET / float(bucket_rows))
-    h = F.abs(F.xxhash64(*[_q(c) for c in list(keys) + list(order)]) % F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = with_t.filter(h < rate).select(*key_cols, "__t")
-    ranked = sample.withColumn("__i", F.row_number().over(Window.partitionBy(*key_cols).orderBy("__t"))).withColumn(
-        "__m", F.count(F.lit(1)).over(Window.partitionBy(*key_cols))
-    )
-    step = F.greatest(F.lit(1), F.ceil(F.col("__m") / F.lit(float(SAMPLES_PER_BUCKET))))
-    splitters = (
-        ranked.filter((F.col("__i") % step) == 0)
-        .groupBy(*key_cols)
-        .agg(F.array_sort(F.collect_list("__t")).alias("__s"))
-    )
-    bucketed = with_t.join(splitters, list(keys), "left").withColumn(
-        "__b",
-        F.coalesce(F.size(F.filter(F.col("__s"), lambda s: s <= F.col("__t"))), F.lit(0)),
-    )
-    bucketed = bucketed.withColumn("__b", F.when(F.col("__s").isNull(), F.lit(0)).otherwise(F.col("__b")))
+    bucketed = range_buckets(hot_rows_df, keys, order, bucket_rows)
     local = bucketed.withColumn(
         "__l", F.row_number().over(Window.partitionBy(*key_cols, F.col("__b")).orderBy(*order_cols))
     )
@@ -93,3 +72,39 @@ def number_rows(
         .select(*[_q(c) for c in df.columns], out)
     )
     return cold_out.select(*[_q(c) for c in df.columns], out).unionByName(hot_out)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows (partial aggregate), or None when
+    there are none (one small job, one row back)."""
+    sizes = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > hot_rows).select(*[_q(k) for k in keys])
+    return None if hot.limit(1).count() == 0 else hot
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket_rows: int) -> DataFrame:
+    """Add ``__t`` (the ordering struct) and ``__b``, a range bucket within
+    each key: monotone in ``order`` (ascending, nulls first), about
+    ``bucket_rows`` rows per bucket, from a deterministic sample's splitters."""
+    key_cols = [_q(k) for k in keys]
+    tup = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)])
+    with_t = df.withColumn("__t", tup)
+    rate = min(1.0, SAMPLES_PER_BUCKET / float(bucket_rows))
+    h = F.abs(F.xxhash64(*[_q(c) for c in list(keys) + list(order)]) % F.lit(1_000_003)) / F.lit(1_000_003.0)
+    sample = with_t.filter(h < rate).select(*key_cols, "__t")
+    ranked = sample.withColumn("__i", F.row_number().over(Window.partitionBy(*key_cols).orderBy("__t"))).withColumn(
+        "__m", F.count(F.lit(1)).over(Window.partitionBy(*key_cols))
+    )
+    step = F.greatest(F.lit(1), F.ceil(F.col("__m") / F.lit(float(SAMPLES_PER_BUCKET))))
+    splitters = (
+        ranked.filter((F.col("__i") % step) == 0)
+        .groupBy(*key_cols)
+        .agg(F.array_sort(F.collect_list("__t")).alias("__s"))
+    )
+    bucketed = with_t.join(splitters, list(keys), "left").withColumn(
+        "__b",
+        F.when(F.col("__s").isNull(), F.lit(0)).otherwise(
+            F.size(F.filter(F.col("__s"), lambda s: s <= F.col("__t")))
+        ),
+    )
+    return bucketed.drop("__s")

@@ -222,15 +222,50 @@ def union_mixed(frames: Sequence[DataFrame], infer: bool = True) -> DataFrame:
 # --- forward fill ---------------------------------------------------------------------
 
 
-def forward_fill(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def forward_fill(
+    df: DataFrame,
+    columns: Sequence[str],
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    hot_rows: int = 2_000_000,
+    bucket_rows: int = 500_000,
+) -> DataFrame:
     """Fill nulls downward with the last non-null value in ``order_by`` order
-    within ``partition_by`` (e.g. path and sheet, ordered by ``_row``).  A
-    whole partition key goes to one task, so partition by file or sheet."""
+    (ascending, nulls first) within ``partition_by``.
+
+    Groups above ``hot_rows`` rows are cut into range buckets: each bucket is
+    filled by its own window, and a value is carried in from the last non-null
+    of the earlier buckets (a table with one row per bucket).  No task holds
+    more than about ``bucket_rows`` rows of one group.
+    """
     from pyspark.sql import Window
 
-    w = (
-        Window.partitionBy(*[_q(c) for c in partition_by])
-        .orderBy(*[_q(c) for c in order_by])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from sheetcraft.operators.numbering import hot_keys, range_buckets
+
+    keys = [_q(c) for c in partition_by]
+    order = [_q(c).asc_nulls_first() for c in order_by]
+    running = Window.unboundedPreceding, Window.currentRow
+
+    def local_fill(frame: DataFrame, part: list) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(*running)
+        return frame.withColumns({c: F.last(_q(c), ignorenulls=True).over(w) for c in columns})
+
+    hot = hot_keys(df, partition_by, hot_rows)
+    if hot is None:
+        return local_fill(df, keys)
+    cold = local_fill(df.join(hot, list(partition_by), "left_anti"), keys)
+    bucketed = range_buckets(df.join(hot, list(partition_by), "left_semi"), partition_by, order_by, bucket_rows)
+    filled = local_fill(bucketed, keys + [F.col("__b")])
+    # last non-null per bucket, then carried into the later buckets
+    last = bucketed.groupBy(*keys, "__b").agg(
+        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), F.col("__t"))).alias(f"__last{i}") for i, c in enumerate(columns)]
+    )
+    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(
+        *keys, "__b", *[F.last(f"__last{i}", ignorenulls=True).over(earlier).alias(f"__in{i}") for i in range(len(columns))]
+    )
+    hot_out = filled.join(carry, list(partition_by) + ["__b"]).withColumns(
+        {c: F.coalesce(_q(c), F.col(f"__in{i}")) for i, c in enumerate(columns)}
     )
-    return df.withColumns({c: F.last(_q(c), ignorenulls=True).over(w) for c in columns})
+    cols = [_q(c) for c in df.columns]
+    return cold.select(*cols).unionByName(hot_out.select(*cols))

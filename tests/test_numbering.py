@@ -26,3 +26,16 @@ def test_one_hot_group_with_nulls_in_order(spark):
     split = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10, bucket_rows=16)
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
     assert split.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 200, 200)
+
+
+def test_forward_fill_hot_groups_equal_plain(spark):
+    from sheetcraft.operators.reshape import forward_fill
+
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority")
+    blank = o.withColumn("p", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")))
+    # one hot group: every order in segment 0
+    one = blank.withColumn("g", F.lit(0))
+    plain = forward_fill(one, ["p"], ["g"], ["o_orderkey"])
+    split = forward_fill(one, ["p"], ["g"], ["o_orderkey"], hot_rows=50, bucket_rows=40)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert split.filter(F.col("p").isNull()).count() == plain.filter(F.col("p").isNull()).count()
