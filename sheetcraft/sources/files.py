@@ -37,18 +37,14 @@ def read_csv(spark: SparkSession, path: str, infer_schema: bool = True, null_tok
 
 
 def with_row_index(df: DataFrame, order_by: list[str], name: str = "index") -> DataFrame:
-    """A 0-based row index in ``order_by`` order without a single-partition
-    window: per-partition counts of the range-sorted data, then offsets."""
-    from pyspark.sql import Window
-
-    s = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("__p", F.spark_partition_id())
-    local = s.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order_by)) - 1)
-    counts = local.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.withColumn(
-        "__off", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("__p", F.coalesce("__off", F.lit(0)).alias("__off"))
-    out = local.join(F.broadcast(offsets), "__p").withColumn(name, (F.col("__off") + F.col("__i")).cast("bigint"))
-    return out.drop("__p", "__i", "__off")
+    """A 0-based row index in ``order_by`` order.  The whole table is one
+    group for ``number_rows``: a plain window while it is small, range buckets
+    with offsets once it is large, so no task holds the whole table."""
+    from sheetcraft.operators.numbering import number_rows
+
+    one = df.withColumn("__all", F.lit(0))
+    out = number_rows(one, ["__all"], order_by, "__n")
+    return out.withColumn(name, F.col("__n") - 1).drop("__all", "__n")
 
 
 def write_csv(df: DataFrame, path: str, index: bool = False, order_by: list[str] | None = None) -> None:
