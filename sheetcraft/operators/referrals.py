@@ -136,6 +136,7 @@ def clean_referrals(
     on_error: str = "raise",
     threshold: int = MAX_SEARCHES_PER_MINUTE,
     method: str = "presize",
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """process + clean in one plan.
 
@@ -148,9 +149,17 @@ def clean_referrals(
     """
     base = parse_times(anonymise(df), on_error)
     if method == "window":
-        return clean_numbered_window(number_searches(base), threshold)
+        # A group above hot_rows (> threshold) is dropped anyway: remove such
+        # groups first so the max window only sees bounded groups.
+        from sheetcraft.operators.numbering import hot_keys
+
+        hot_rows = max(threshold, hot_rows)
+        hot = hot_keys(base.filter(keys_present()), GROUP_KEYS, hot_rows)
+        if hot is not None:
+            base = base.join(hot, GROUP_KEYS, "left_anti")
+        return clean_numbered_window(number_searches(base, hot_rows=hot_rows), threshold)
     if method == "antijoin":
-        return clean_numbered_antijoin(number_searches(base), threshold)
+        return clean_numbered_antijoin(number_searches(base, hot_rows=max(threshold, hot_rows)), threshold)
     if method != "presize":
         raise ValueError(f"unknown method {method!r}")
     keyed = base.filter(keys_present())

@@ -582,10 +582,11 @@ def forward_fill_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders with the priority blanked on all but each customer's first
     order, filled back down per customer in order-key order."""
     o = A.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    from pyspark.sql import Window
-
-    first = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) == 1
-    blanked = o.withColumn("p", F.when(first, F.col("o_orderpriority")))
+    # each customer's first order key: a partial aggregate, joined back
+    firsts = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_key"))
+    blanked = o.join(firsts, "o_custkey").withColumn(
+        "p", F.when(F.col("o_orderkey") == F.col("first_key"), F.col("o_orderpriority"))
+    )
     filled = R.forward_fill(blanked, ["p"], ["o_custkey"], ["o_orderkey"])
     return filled.select("o_orderkey", "o_custkey", F.col("p").alias("first_priority"))
 

@@ -39,3 +39,11 @@ def test_forward_fill_hot_groups_equal_plain(spark):
     split = forward_fill(one, ["p"], ["g"], ["o_orderkey"], hot_rows=50, bucket_rows=40)
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
     assert split.filter(F.col("p").isNull()).count() == plain.filter(F.col("p").isNull()).count()
+
+
+def test_clean_methods_agree_with_hot_paths(spark):
+    logs = C._search_logs(spark, SF_SMALL)
+    want = R.clean_referrals(logs)
+    for method in ("window", "antijoin"):
+        got = R.clean_referrals(logs, method=method, hot_rows=10)
+        assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
