@@ -384,6 +384,9 @@ def export_workbooks(df: DataFrame, name: str, **kw) -> str:
     spark = df.sparkSession
     out = scratch_dir(spark, name)
     kw.setdefault("rows_per_file", ROWS_PER_WORKBOOK)
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism)  # writers run in parallel tasks
     W.write_workbooks(df, out, **kw).write.format("noop").mode("overwrite").save()
     return out
 

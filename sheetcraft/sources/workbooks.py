@@ -49,6 +49,7 @@ SCAN_SCHEMA = T.StructType(
 )
 CATALOG_SCHEMA = "path string, sheet_pos int, sheet string, error string"
 MAX_LAYOUTS = 10000
+MAX_PROFILE_ROWS = 1_000_000
 _CHUNK = 4096
 _PA_CELL = pa.list_(pa.struct([("t", pa.string()), ("v", pa.string())]))
 _PA_SCAN = pa.schema(
@@ -117,56 +118,106 @@ def _layout_key(cells: list) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:16]
 
 
+class _ScanBuffer:
+    """Column-wise buffers for scan output; cells become a list<struct> Arrow
+    array built from flat arrays (no per-cell Python dicts)."""
+
+    def __init__(self) -> None:
+        self.cols = {k: [] for k in ("path", "mtime", "sheet_pos", "sheet", "_row", "_line", "layout", "error")}
+        self.offsets = [0]
+        self.tags: list = []
+        self.vals: list = []
+        self.valid: list = []
+        self.row_valid: list = []
+
+    def __len__(self) -> int:
+        return len(self.cols["path"])
+
+    def add(self, p, mtime, pos, name, row, line, layout, cells, error=None) -> None:
+        c = self.cols
+        c["path"].append(p)
+        c["mtime"].append(mtime)
+        c["sheet_pos"].append(pos)
+        c["sheet"].append(name)
+        c["_row"].append(row)
+        c["_line"].append(line)
+        c["layout"].append(layout)
+        c["error"].append(error)
+        if cells is None:
+            self.row_valid.append(False)
+        else:
+            self.row_valid.append(True)
+            for cell in cells:
+                if cell is None:
+                    self.tags.append(None)
+                    self.vals.append(None)
+                    self.valid.append(False)
+                else:
+                    self.tags.append(cell[0])
+                    self.vals.append(cell[1])
+                    self.valid.append(True)
+        self.offsets.append(len(self.tags))
+
+    def mark(self) -> tuple[int, int]:
+        return len(self), len(self.tags)
+
+    def rollback(self, mark: tuple[int, int]) -> None:
+        rows, cells = mark
+        for v in self.cols.values():
+            del v[rows:]
+        del self.row_valid[rows:]
+        del self.offsets[rows + 1:]
+        del self.tags[cells:]
+        del self.vals[cells:]
+        del self.valid[cells:]
+
+    def flush(self) -> pa.RecordBatch:
+        structs = pa.StructArray.from_arrays(
+            [pa.array(self.tags, pa.string()), pa.array(self.vals, pa.string())],
+            names=["t", "v"],
+            mask=pa.array([not v for v in self.valid], pa.bool_()),
+        )
+        cells = pa.ListArray.from_arrays(
+            pa.array(self.offsets, pa.int32()), structs, mask=pa.array([not v for v in self.row_valid], pa.bool_())
+        )
+        arrays = []
+        for f in _PA_SCAN:
+            arrays.append(cells if f.name == "cells" else pa.array(self.cols[f.name], f.type))
+        batch = pa.RecordBatch.from_arrays(arrays, schema=_PA_SCAN)
+        self.__init__()
+        return batch
+
+
 def _scan_batches(wanted, errors: str = "raise"):
     from sheetcraft.sources.xlsx import read_workbook
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = {k: [] for k in _PA_SCAN.names}
-
-        def add(p, mtime, pos, name, row, line, layout, cells, error=None):
-            cols["path"].append(p)
-            cols["mtime"].append(mtime)
-            cols["sheet_pos"].append(pos)
-            cols["sheet"].append(name)
-            cols["_row"].append(row)
-            cols["_line"].append(line)
-            cols["layout"].append(layout)
-            cols["cells"].append(cells)
-            cols["error"].append(error)
-
-        def flush():
-            batch = pa.RecordBatch.from_pydict(cols, schema=_PA_SCAN)
-            for v in cols.values():
-                v.clear()
-            return batch
-
+        buf = _ScanBuffer()
         for batch in batches:
             paths = batch.column("path").to_pylist()
             mtimes = batch.column("modificationTime")
             contents = batch.column("content")
             for i, p in enumerate(paths):
                 mtime = mtimes[i].as_py()
-                start = len(cols["path"])
+                mark = buf.mark()
                 try:
                     current, line, layout = None, 0, None
                     for pos, name, row, cells in read_workbook(contents[i].as_py(), wanted):
                         if (pos, name) != current:
                             current, line, layout = (pos, name), 0, _layout_key(cells)
-                        add(p, mtime, pos, name, row, line, layout,
-                            [{"t": c[0], "v": c[1]} if c else None for c in cells])
+                        buf.add(p, mtime, pos, name, row, line, layout, cells)
                         line += 1
-                        if len(cols["path"]) >= _CHUNK and errors == "raise":
-                            yield flush()
+                        if len(buf) >= _CHUNK and errors == "raise":
+                            yield buf.flush()
                 except Exception as e:  # noqa: BLE001
                     if errors == "raise":
                         raise RuntimeError(f"cannot read workbook {p}: {type(e).__name__}: {e}") from e
-                    for v in cols.values():
-                        del v[start:]
-                    add(p, mtime, None, None, -1, None, None, None, f"{type(e).__name__}: {e}")
-                if errors != "raise" and len(cols["path"]) >= _CHUNK:
-                    yield flush()
-        if cols["path"]:
-            yield flush()
+                    buf.rollback(mark)
+                    buf.add(p, mtime, None, None, -1, None, None, None, f"{type(e).__name__}: {e}")
+                if errors != "raise" and len(buf) >= _CHUNK:
+                    yield buf.flush()
+        if len(buf):
+            yield buf.flush()
 
     return run
 
@@ -350,6 +401,50 @@ def typed_value(c: Column, dtype: str | None) -> Column:
     return v.cast(dtype)
 
 
+def layout_profile(cells: DataFrame, first_line: int = 1, limit: int = MAX_LAYOUTS) -> dict[str, dict]:
+    """One aggregate job: per layout, the header texts and, per cell position,
+    counters of the data cells' tags (how many non-null, numbers, integral
+    numbers, booleans, dates).  Result size: layouts x width (bounded)."""
+    num = F.col("c.v").try_cast("double")
+    exploded = cells.select("layout", "_line", F.posexplode("cells").alias("pos", "c"))
+    is_data = F.col("_line") >= first_line
+    prof = exploded.groupBy("layout", "pos").agg(
+        F.max(F.when(F.col("_line") == 0, F.col("c.v"))).alias("head"),
+        F.max(F.when(F.col("_line") == 0, F.lit(1))).alias("has_head"),
+        F.count(F.when(is_data, F.col("c.v"))).alias("all"),
+        F.count(F.when(is_data & (F.col("c.t") == "n"), 1)).alias("n"),
+        F.count(F.when(is_data & (F.col("c.t") == "n") & (num == F.floor(num)) & (F.abs(num) < 9.2e18), 1)).alias("i"),
+        F.count(F.when(is_data & (F.col("c.t") == "b"), 1)).alias("b"),
+        F.count(F.when(is_data & (F.col("c.t") == "d"), 1)).alias("d"),
+    )
+    rows = prof.limit(MAX_PROFILE_ROWS + 1).collect()
+    if len(rows) > MAX_PROFILE_ROWS:
+        raise ValueError(f"header layouts x columns exceed {MAX_PROFILE_ROWS}")
+    out: dict[str, dict] = {}
+    for r in rows:
+        entry = out.setdefault(r["layout"], {"head": {}, "stats": {}})
+        if r["has_head"]:
+            entry["head"][r["pos"]] = r["head"]
+        entry["stats"][r["pos"]] = (r["all"], r["n"], r["i"], r["b"], r["d"])
+    if len(out) > limit:
+        raise ValueError(f"more than {limit} distinct header layouts")
+    return out
+
+
+def _decide(all_, n, i, b, d) -> str | None:
+    if all_ == 0:
+        return None
+    if i == all_:
+        return "bigint"
+    if n == all_:
+        return "double"
+    if b == all_:
+        return "boolean"
+    if d == all_:
+        return "timestamp_ntz"
+    return "string"
+
+
 def to_table(
     cells: DataFrame,
     header: bool = True,
@@ -362,25 +457,32 @@ def to_table(
     ``header``: the first present row of each sheet names the columns (pandas
     names); otherwise columns are ``0, 1, ...``.  Files with different headers
     are unioned by name.  ``drop_empty`` drops all-null columns, then all-null
-    rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.
+    rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.  Layouts
+    and types come from one aggregate job (``layout_profile``).
     """
-    found = layouts(cells)
-    if header:
-        names = {k: pandas_names(v) for k, v in found.items()}
-        first = 1
-    else:
-        width = max((len(v) for v in found.values()), default=0)
-        names = {k: [str(i) for i in range(width)] for k in found}
-        first = 0
-    if not names:
+    first = 1 if header else 0
+    prof = layout_profile(cells, first)
+    if not prof:
         return cells.sparkSession.createDataFrame([], T.StructType([]))
-    tagged = project_layouts(cells, names, first)
+    names: dict[str, list[str]] = {}
+    for layout, entry in prof.items():
+        width = max(list(entry["stats"]) + list(entry["head"]), default=-1) + 1
+        if header:
+            names[layout] = pandas_names([entry["head"].get(j) for j in range(width)])
+        else:
+            names[layout] = [str(j) for j in range(width)]
+    # counters per output name, summed over layouts
+    totals: dict[str, list[int]] = {}
     order: list[str] = []
-    for ns in names.values():
-        for n in ns:
-            if n not in order:
+    for layout, ns in names.items():
+        for j, n in enumerate(ns):
+            if n not in totals:
+                totals[n] = [0, 0, 0, 0, 0]
                 order.append(n)
-    types = infer_cell_types(tagged, order) if infer_types else {n: "string" for n in order}
+            st = prof[layout]["stats"].get(j, (0, 0, 0, 0, 0))
+            totals[n] = [a + b for a, b in zip(totals[n], st)]
+    types = {n: _decide(*totals[n]) for n in order} if infer_types else {n: "string" for n in order}
+    tagged = project_layouts(cells, names, first)
     keep = [n for n in order if not (drop_empty and types[n] is None)]
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
     out = tagged.select(*src, *[typed_value(_q(n), types[n]).alias(n) for n in keep])

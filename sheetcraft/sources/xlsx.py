@@ -21,6 +21,7 @@ NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 NS_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 NS_PKG_REL = "http://schemas.openxmlformats.org/package/2006/relationships"
 _M = "{%s}" % NS_MAIN
+_C = f"{_M}c"
 
 # Built-in number formats that show dates or times (ECMA-376 18.8.30).
 _DATE_FORMAT_IDS = set(range(14, 23)) | {45, 46, 47}
@@ -144,7 +145,9 @@ def read_workbook(data: bytes, wanted: set[int] | set[str] | None = None) -> Ite
                     if el.tag != f"{_M}row":
                         continue
                     cells: list = []
-                    for c in el.findall(f"{_M}c"):
+                    for c in el:
+                        if c.tag != _C:
+                            continue
                         ref = c.get("r")
                         idx = _col_index(ref) if ref else len(cells)
                         while len(cells) < idx:
