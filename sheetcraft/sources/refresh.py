@@ -119,7 +119,8 @@ class WorkbookRefresher:
         self.recursive = recursive
         self.exclude = tuple(exclude)
         self.fs = _FS(spark, self.target)
-        self.last_parsed: list[str] = []  # paths parsed by the last refresh
+        self.last_parsed: list[str] = []  # paths parsed by the last refresh ("*" = all)
+        self.parsed_count = 0
 
     # --- processors (F1, F2) --------------------------------------------------------
 
@@ -214,11 +215,15 @@ class WorkbookRefresher:
 
     # --- writing ----------------------------------------------------------------------------
 
-    def _parse(self, stale: list[tuple[str, str]], errors: str) -> tuple[DataFrame, dict[str, str]]:
+    def _parse(self, stale_paths: list[str] | None, errors: str) -> tuple[DataFrame, dict[str, str]]:
         """Parse the stale files once into a staging table; return it and the
-        per-file errors (bounded by the number of stale files)."""
-        paths = [p for p, _ in stale]
-        files = self.spark.read.format("binaryFile").load(paths)
+        per-file errors (bounded by the number of failed files).
+        ``stale_paths=None`` means every listed file (the directory is read
+        as such, no path list on the driver)."""
+        if stale_paths is None:
+            files = W._exclude(W._reader(self.spark, self.glob, self.recursive).load(self.source), self.exclude)
+        else:
+            files = self.spark.read.format("binaryFile").load(stale_paths)
         src = F.substring(F.sha1(F.col("path")), 1, 16)
         staged = materialize(W.scan_files(files, self.sheet_name, errors).withColumn("src", src), "refresh-stage")
         bad = {r["path"]: r["error"] for r in staged.filter(F.col("_row") == -1).select("path", "error").collect()}
@@ -232,12 +237,17 @@ class WorkbookRefresher:
             ok_old.select("path", "mtime", "length", "ops_fingerprint"), ["path", "mtime", "length", "ops_fingerprint"],
             "left_anti",
         )
-        stale = [(r["path"], r["src"]) for r in stale_df.select("path", "src").collect()]
+        n_stale, n_listed = stale_df.count(), listing.count()
+        every = n_stale == n_listed
+        # File-level metadata only: the stale paths (or none when every file
+        # is stale and the directory is read as such) and deleted sources.
+        stale_paths = None if every else [r["path"] for r in stale_df.select("path").collect()]
         deleted = [r["src"] for r in old.join(listing.select("path"), "path", "left_anti").select("src").collect()]
-        self.last_parsed = [p for p, _ in stale]
+        self.parsed_count = n_stale
+        self.last_parsed = stale_paths if stale_paths is not None else ["*"]
         failed: dict[str, str] = {}
-        if stale:
-            staged, failed = self._parse(stale, errors)
+        if n_stale:
+            staged, failed = self._parse(stale_paths, errors)
             if failed and errors == "raise":
                 raise RuntimeError(f"unreadable workbooks: {failed}")
             keep_old = set()
@@ -255,10 +265,11 @@ class WorkbookRefresher:
                 .parquet(self.cells_path)
             )
             # A stale file that now has no rows must not keep old cells.
-            written = {r["src"] for r in good.select("src").distinct().collect()}
-            for p, s in stale:
-                if p not in failed and s not in written:
-                    self.fs.delete(f"{self.cells_path}/src={s}")
+            emptied = stale_df.join(good.select("src").distinct(), "src", "left_anti")
+            if failed:
+                emptied = emptied.filter(~F.col("path").isin(*failed))
+            for r in emptied.select("src").collect():
+                self.fs.delete(f"{self.cells_path}/src={r['src']}")
         for s in deleted:
             self.fs.delete(f"{self.cells_path}/src={s}")
         # new manifest: fresh entries kept, stale ones replaced, failures noted
@@ -296,7 +307,7 @@ class WorkbookRefresher:
         if callable(policy):
             return policy(self)
         if policy == "only_cached":
-            self.last_parsed = []
+            self.last_parsed, self.parsed_count = [], 0
             return self.read_cache()
         if policy == "skip":
             self.last_parsed = []
@@ -308,7 +319,7 @@ class WorkbookRefresher:
             return self._rebuild("raise")
         if policy in ("check", "fallback"):
             if not self.is_stale():
-                self.last_parsed = []
+                self.last_parsed, self.parsed_count = [], 0
                 return self.read_cache()
             return self._rebuild("raise" if policy == "check" else "reject")
         raise ValueError(f"unknown policy {policy!r}; one of {POLICIES} or a callable")
