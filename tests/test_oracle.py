@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, rows_of
+from tools.oracle_check import TABLES, rows_of, types_match
 
 from .conftest import SF_SMALL
 
@@ -26,8 +26,11 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_SMALL).toArrow()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    got = sdf.toArrow()
     rel = con.sql(E.oracle_sql()[name])
+    sschema = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    assert not types_match(sschema, dict(zip(rel.columns, [str(t) for t in rel.types])))
     want = rel.arrow()
     want = want.read_all() if hasattr(want, "read_all") else want
     assert sorted(got.column_names) == sorted(want.column_names)
