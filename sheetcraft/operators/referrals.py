@@ -92,6 +92,15 @@ def _null_key_rows(df: DataFrame, distinct: bool) -> DataFrame:
     return out.dropDuplicates() if distinct else out
 
 
+def _number_keyed(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int = 500_000) -> DataFrame:
+    """Numbered rows of ``df`` whose group key is present (projected)."""
+    from sheetcraft.operators.numbering import number_rows
+
+    keyed = _project(df.withColumn(SEARCH_NO, F.lit(None).cast("bigint"))).drop(SEARCH_NO)
+    numbered = number_rows(keyed.filter(keys_present()), GROUP_KEYS, _ORDER_COLUMNS, SEARCH_NO, hot_rows, bucket_rows)
+    return _project(numbered)
+
+
 def number_searches(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int = 500_000) -> DataFrame:
     """Number rows within (ReferralID, Date of Action) from 1; null key -> null.
 
@@ -100,11 +109,7 @@ def number_searches(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int =
     above ``hot_rows`` rows are numbered in range buckets
     (``sheetcraft.operators.numbering``), with the same numbers.
     """
-    from sheetcraft.operators.numbering import number_rows
-
-    keyed = _project(df.withColumn(SEARCH_NO, F.lit(None).cast("bigint"))).drop(SEARCH_NO)
-    numbered = number_rows(keyed.filter(keys_present()), GROUP_KEYS, _ORDER_COLUMNS, SEARCH_NO, hot_rows, bucket_rows)
-    return _project(numbered).unionByName(_null_key_rows(df, distinct=False))
+    return _number_keyed(df, hot_rows, bucket_rows).unionByName(_null_key_rows(df, distinct=False))
 
 
 def process_referral_action_logs(df: DataFrame, on_error: str = "raise", hot_rows: int = 2_000_000) -> DataFrame:
@@ -122,8 +127,9 @@ def clean_numbered_antijoin(numbered: DataFrame, threshold: int = MAX_SEARCHES_P
 
 
 def clean_numbered_window(numbered: DataFrame, threshold: int = MAX_SEARCHES_PER_MINUTE) -> DataFrame:
-    """Fused form: distinct, then the group's highest number by a window on the
-    same keys (the distinct and this window reuse the numbering's partitioning)."""
+    """Fused form on numbered rows: distinct, then the group's highest number
+    by a window on the keys; keep groups whose highest number is within the
+    threshold (null keys always stay)."""
     nonnull = numbered.filter(keys_present()).dropDuplicates()
     top = F.max(_q(SEARCH_NO)).over(Window.partitionBy(*[_q(k) for k in GROUP_KEYS]))
     kept = nonnull.withColumn("__top", top).filter(F.coalesce(F.col("__top") <= threshold, F.lit(True)))
@@ -154,12 +160,21 @@ def clean_referrals(
         from sheetcraft.operators.numbering import hot_keys
 
         hot_rows = max(threshold, hot_rows)
-        hot = hot_keys(base.filter(keys_present()), GROUP_KEYS, hot_rows)
+        keyed = base.filter(keys_present())
+        hot = hot_keys(keyed, GROUP_KEYS, hot_rows)
         if hot is not None:
-            base = base.join(hot, GROUP_KEYS, "left_anti")
-        return clean_numbered_window(number_searches(base, hot_rows=hot_rows), threshold)
+            keyed = keyed.join(hot, GROUP_KEYS, "left_anti")
+        # numbering, distinct and the max window share one key partitioning
+        numbered = _project(keyed.withColumn(SEARCH_NO, F.row_number().over(_number_window()).cast("bigint")))
+        top = F.max(_q(SEARCH_NO)).over(Window.partitionBy(*[_q(k) for k in GROUP_KEYS]))
+        kept = numbered.dropDuplicates().withColumn("__top", top).filter(F.col("__top") <= threshold)
+        return _project(kept).unionByName(_null_key_rows(base, distinct=True))
     if method == "antijoin":
-        return clean_numbered_antijoin(number_searches(base, hot_rows=max(threshold, hot_rows)), threshold)
+        numbered = _number_keyed(base, hot_rows=max(threshold, hot_rows))
+        dedup = numbered.dropDuplicates()
+        bad = dedup.filter(_q(SEARCH_NO) > threshold).select(*[_q(k) for k in GROUP_KEYS]).distinct()
+        kept = dedup.join(bad, GROUP_KEYS, "left_anti")
+        return _project(kept).unionByName(_null_key_rows(base, distinct=True))
     if method != "presize":
         raise ValueError(f"unknown method {method!r}")
     keyed = base.filter(keys_present())
