@@ -59,10 +59,8 @@ def test_scan_prunes_columns(spark):
 def test_window_variant_shares_one_key_exchange(spark):
     df = E.queries()["referral_clean_window"](spark, SF_SMALL)
     p = _final_plan(df)
-    keyed_branch = p.split("+- HashAggregate(keys=[Action Log Name")[0]
     assert "Window [max(" in p and "Window [row_number()" in p
     # the numbered branch: exactly one exchange, hash-partitioned on the two keys
     ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     key_ex = [e for e in ex if e.count("#") == 2]
     assert len(key_ex) == 1, ex
-    assert keyed_branch.count("Exchange") >= 1
