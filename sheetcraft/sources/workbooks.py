@@ -71,6 +71,22 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _null_tokens():
+    from sheetcraft.sources.files import NULL_TOKENS
+
+    return NULL_TOKENS
+
+
+def cell_value(cell: Column, null_tokens: bool = True) -> Column:
+    """The text of a ``struct<t, v>`` cell; with ``null_tokens`` a string or
+    error cell holding one of the pandas default NA texts is null."""
+    v = cell.getField("v")
+    if not null_tokens:
+        return v
+    is_token = cell.getField("t").isin("s", "e") & v.isin(*_null_tokens())
+    return F.when(~is_token | is_token.isNull(), v)
+
+
 # --- listing -----------------------------------------------------------------------
 
 
@@ -367,7 +383,7 @@ def infer_cell_types(tagged: DataFrame, columns: Sequence[str]) -> dict[str, str
         v = _q(c).getField("v")
         num = v.try_cast("double")
         aggs += [
-            F.count(v).alias(f"all{i}"),
+            F.count(cell_value(_q(c))).alias(f"all{i}"),
             F.count(F.when(t == "n", 1)).alias(f"n{i}"),
             F.count(F.when((t == "n") & (num == F.floor(num)) & (F.abs(num) < 9.2e18), 1)).alias(f"i{i}"),
             F.count(F.when(t == "b", 1)).alias(f"b{i}"),
@@ -392,8 +408,8 @@ def infer_cell_types(tagged: DataFrame, columns: Sequence[str]) -> dict[str, str
     return out
 
 
-def typed_value(c: Column, dtype: str | None) -> Column:
-    v = c.getField("v")
+def typed_value(c: Column, dtype: str | None, null_tokens: bool = True) -> Column:
+    v = cell_value(c, null_tokens)
     if dtype is None or dtype == "string":
         return v
     if dtype == "bigint":
@@ -401,7 +417,9 @@ def typed_value(c: Column, dtype: str | None) -> Column:
     return v.cast(dtype)
 
 
-def layout_profile(cells: DataFrame, first_line: int = 1, limit: int = MAX_LAYOUTS) -> dict[str, dict]:
+def layout_profile(
+    cells: DataFrame, first_line: int = 1, limit: int = MAX_LAYOUTS, null_tokens: bool = True
+) -> dict[str, dict]:
     """One aggregate job: per layout, the header texts and, per cell position,
     counters of the data cells' tags (how many non-null, numbers, integral
     numbers, booleans, dates).  Result size: layouts x width (bounded)."""
@@ -411,7 +429,7 @@ def layout_profile(cells: DataFrame, first_line: int = 1, limit: int = MAX_LAYOU
     prof = exploded.groupBy("layout", "pos").agg(
         F.max(F.when(F.col("_line") == 0, F.col("c.v"))).alias("head"),
         F.max(F.when(F.col("_line") == 0, F.lit(1))).alias("has_head"),
-        F.count(F.when(is_data, F.col("c.v"))).alias("all"),
+        F.count(F.when(is_data, cell_value(F.col("c"), null_tokens))).alias("all"),
         F.count(F.when(is_data & (F.col("c.t") == "n"), 1)).alias("n"),
         F.count(F.when(is_data & (F.col("c.t") == "n") & (num == F.floor(num)) & (F.abs(num) < 9.2e18), 1)).alias("i"),
         F.count(F.when(is_data & (F.col("c.t") == "b"), 1)).alias("b"),
@@ -451,17 +469,19 @@ def to_table(
     infer_types: bool = True,
     drop_empty: bool = True,
     with_source: bool = False,
+    null_tokens: bool = True,
 ) -> DataFrame:
     """Scanned cells -> one typed table for all files and sheets.
 
     ``header``: the first present row of each sheet names the columns (pandas
     names); otherwise columns are ``0, 1, ...``.  Files with different headers
     are unioned by name.  ``drop_empty`` drops all-null columns, then all-null
-    rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.  Layouts
-    and types come from one aggregate job (``layout_profile``).
+    rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.
+    ``null_tokens``: string cells with a pandas default NA text are null.
+    Layouts and types come from one aggregate job (``layout_profile``).
     """
     first = 1 if header else 0
-    prof = layout_profile(cells, first)
+    prof = layout_profile(cells, first, null_tokens=null_tokens)
     if not prof:
         return cells.sparkSession.createDataFrame([], T.StructType([]))
     names: dict[str, list[str]] = {}
@@ -485,7 +505,7 @@ def to_table(
     tagged = project_layouts(cells, names, first)
     keep = [n for n in order if not (drop_empty and types[n] is None)]
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
-    out = tagged.select(*src, *[typed_value(_q(n), types[n]).alias(n) for n in keep])
+    out = tagged.select(*src, *[typed_value(_q(n), types[n], null_tokens).alias(n) for n in keep])
     if drop_empty and keep:
         out = out.na.drop(how="all", subset=keep)
     return out

@@ -124,3 +124,15 @@ def test_header_spec_rules():
         H.infer_spec(["id", "g"], [["id", "x"]] * 3, sample_limit=3)
     s = H.infer_spec(["v.5", "w"], [["1", "2"]], pattern=r"\.(\d+)$", repl=lambda m: "_" + m.group(1))
     assert s.names == ["v_5", "w"]
+
+
+def test_null_tokens(spark):
+    out = scratch_dir(spark, "t-tokens")
+    with open(os.path.join(local_path(out), "n.xlsx"), "wb") as fh:
+        fh.write(_book([("s", [["a", "b"], ["NA", 1], ["x", "null"], ["N/A", 3]])]))
+    t = W.to_table(W.scan_workbooks(spark, out))
+    rows = sorted(t.collect(), key=lambda r: str(r["a"]))
+    assert [r["a"] for r in rows] == [None, None, "x"]
+    assert dict(t.dtypes)["b"] == "bigint"  # "null" text is not a value, the rest are integers
+    keep = W.to_table(W.scan_workbooks(spark, out), null_tokens=False)
+    assert dict(keep.dtypes)["b"] == "string" and keep.filter("a = 'NA'").count() == 1
