@@ -292,11 +292,11 @@ class WorkbookRefresher:
             self.fs.delete(f"{self.target}/manifest/v={v}")
         # rebuild the table from the cells of the listed files
         live = self.spark.read.parquet(f"{self.target}/manifest/v={version}").select("src")
-        cells = self.spark.read.parquet(self.cells_path).join(live, "src", "left_semi") if self.fs.exists(
-            self.cells_path
-        ) else None
-        if cells is None:
-            raise RuntimeError("no workbook data")
+        if n_listed == 0 or not self.fs.exists(self.cells_path):
+            # zero usable inputs: an empty table (nothing to write: no columns)
+            self.fs.delete(self.table_path)
+            return self.post_process(self.spark.createDataFrame([], "_empty string").drop("_empty"))
+        cells = self.spark.read.parquet(self.cells_path).join(live, "src", "left_semi")
         table = self.pre_process(W.to_table(cells, header=self.header))
         table.write.mode("overwrite").format(self.fmt).options(**self.options).save(self.table_path)
         return self.read_cache()

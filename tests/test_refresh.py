@@ -73,3 +73,11 @@ def test_skip_and_only_cached_and_csv(spark, setup):
     assert r.refresh(lambda ref: ref.read_cache().limit(3)).count() == 3
     with pytest.raises(ValueError):
         r.refresh("nope")
+
+
+def test_empty_folder_gives_empty_table(spark):
+    src = scratch_dir(spark, "t-empty-src")
+    r = WorkbookRefresher(spark, src, scratch_dir(spark, "t-empty-target"))
+    t = r.refresh("check")
+    assert t.count() == 0 and t.columns == []
+    assert W.to_table(W.scan_workbooks(spark, src)).count() == 0
