@@ -136,3 +136,55 @@ def test_null_tokens(spark):
     assert dict(t.dtypes)["b"] == "bigint"  # "null" text is not a value, the rest are integers
     keep = W.to_table(W.scan_workbooks(spark, out), null_tokens=False)
     assert dict(keep.dtypes)["b"] == "string" and keep.filter("a = 'NA'").count() == 1
+
+
+def _excel_like(date1904: bool = False) -> bytes:
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    pr = '<workbookPr date1904="1"/>' if date1904 else "<workbookPr/>"
+    files = {
+        "[Content_Types].xml": "<Types/>",
+        "xl/workbook.xml": f'<workbook {ns} {rel}>{pr}<sheets><sheet name="Data &amp; More" sheetId="1" r:id="rId7"/>'
+        "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+        '<Relationship Id="rId7" Type="worksheet" Target="/xl/worksheets/data.xml"/></Relationships>',
+        "xl/styles.xml": f'<styleSheet {ns}><numFmts count="1"><numFmt numFmtId="170" formatCode="[$-409]d\\-mmm\\-yy;@"/>'
+        '</numFmts><cellXfs count="4"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="4"/></cellXfs>'
+        "</styleSheet>",
+        "xl/sharedStrings.xml": f'<sst {ns} count="3"><si><t>name</t></si><si><r><rPr><b/></rPr><t>Bo</t></r>'
+        '<r><t xml:space="preserve">ld &amp; x</t></r></si><si><t>when</t></si></sst>',
+        "xl/worksheets/data.xml": f"<worksheet {ns}><sheetData>"
+        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>2</v></c><c r="C1" t="inlineStr"><is><t>amount</t></is></c>'
+        '<c r="D1" t="inlineStr"><is><t>flag</t></is></c></row>'
+        '<row r="3"><c r="A3" t="s"><v>1</v></c><c r="B3" s="1"><v>45292</v></c><c r="C3" s="3"><v>1234.5</v></c>'
+        '<c r="D3" t="b"><v>1</v></c></row>'
+        '<row r="4"><c r="A4" t="str"><f>UPPER("q")</f><v>Q</v></c><c r="B4" s="2"><v>45293.5</v></c>'
+        '<c r="C4" t="e"><v>#DIV/0!</v></c><c r="D4" t="b"><v>0</v></c></row>'
+        "</sheetData></worksheet>",
+    }
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        for k, v in files.items():
+            zf.writestr(k, v)
+    return buf.getvalue()
+
+
+def test_excel_written_workbook():
+    data = _excel_like()
+    assert xlsx.xlsx_sheet_names(data) == ["Data & More"]
+    rows = list(xlsx.read_workbook(data))
+    assert [r[2] for r in rows] == [0, 2, 3]  # the blank sheet row 2 is absent
+    assert rows[1][3] == [("s", "Bold & x"), ("d", "2024-01-01 00:00:00"), ("n", "1234.5"), ("b", "true")]
+    assert rows[2][3] == [("s", "Q"), ("d", "2024-01-02 12:00:00"), ("e", "#DIV/0!"), ("b", "false")]
+    rows1904 = list(xlsx.read_workbook(_excel_like(date1904=True)))
+    assert rows1904[1][3][1] == ("d", "2028-01-02 00:00:00")  # 1462 days later
+
+
+def test_excel_written_workbook_table(spark):
+    out = scratch_dir(spark, "t-excel")
+    with open(os.path.join(local_path(out), "e.xlsx"), "wb") as fh:
+        fh.write(_excel_like())
+    t = W.to_table(W.scan_workbooks(spark, out))
+    assert dict(t.dtypes) == {"name": "string", "when": "timestamp_ntz", "amount": "string", "flag": "boolean"}
+    got = sorted(t.collect(), key=lambda r: r["name"])
+    assert got[0]["when"] == dt.datetime(2024, 1, 1) and got[0]["flag"] is True
