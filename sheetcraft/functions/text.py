@@ -27,10 +27,6 @@ def strip_ws(c: ColumnOrName) -> Column:
     return F.trim(_col(c), F.lit(WHITESPACE))
 
 
-def strip_names_py(name: str) -> str:
-    return name.strip()
-
-
 def or_false(c: Column) -> Column:
     """Null -> false (the reference's ``fillna(False)`` on masks)."""
     return F.coalesce(c, F.lit(False))
@@ -51,15 +47,6 @@ def xor(a: Column, b: Column) -> Column:
     return a != b
 
 
-def regex_sub_names(names: list[str], pattern: str | re.Pattern | None, repl="") -> list[str]:
-    """Regex replacement on column names (metadata, driver side).  ``repl`` may
-    be a string or a callable on the match, as ``re.sub`` allows."""
-    if pattern is None:
-        return list(names)
-    rx = re.compile(pattern) if isinstance(pattern, str) else pattern
-    return [rx.sub(repl, n) if isinstance(n, str) else n for n in names]
-
-
 def snake(name: str) -> str:
     """Display name -> snake_case identifier (``Head Start (OPK)`` -> ``head_start_opk``)."""
     out = re.sub(r"[^0-9a-zA-Z]+", "_", name).strip("_").lower()

@@ -12,8 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetcraft.functions import jsonpath as J
+from sheetcraft.functions import urls as U
+from sheetcraft.functions.regions import REGIONS, counties
+from sheetcraft.functions.text import snake
 from sheetcraft.operators import action_logs, referrals
+from sheetcraft.operators import headers as H
+from sheetcraft.operators import metrics as M
+from sheetcraft.operators import programs as P
+from sheetcraft.operators import reshape as R
 from sheetcraft.plans import adapters as A
+from sheetcraft.session import scratch_dir
+from sheetcraft.sources import files as FS
+from sheetcraft.sources import workbooks as W
+from sheetcraft.sources.refresh import WorkbookRefresher
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,9 +131,6 @@ QUERIES: dict[str, Query] = {
 
 # --- programs ------------------------------------------------------------------
 
-from sheetcraft.operators import programs as P  # noqa: E402
-from sheetcraft.operators import reshape as R  # noqa: E402
-from sheetcraft.functions.text import snake  # noqa: E402
 
 PROGRAM_SNAKE = {v: k for k, v in {**A.PROGRAMS_DISPLAY, **A.AGES_DISPLAY}.items()}
 
@@ -279,11 +288,6 @@ QUERIES.update(
 
 # --- notes, JSON, URLs, dimension, stage counts ----------------------------------
 
-from sheetcraft.functions import jsonpath as J  # noqa: E402
-from sheetcraft.functions import urls as U  # noqa: E402
-from sheetcraft.functions.regions import REGIONS, counties  # noqa: E402
-from sheetcraft.operators import metrics as M  # noqa: E402
-
 
 def notes_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = A.referral_export(spark, sf_dir).select(referrals.REFERRAL_ID, referrals.LOG_TYPE, referrals.NOTES)
@@ -371,10 +375,6 @@ QUERIES.update(
 
 # --- workbooks: exports written from the given tables, then scanned back ------------------
 
-from sheetcraft.operators import headers as H  # noqa: E402
-from sheetcraft.session import scratch_dir  # noqa: E402
-from sheetcraft.sources import files as FS  # noqa: E402
-from sheetcraft.sources import workbooks as W  # noqa: E402
 
 ROWS_PER_WORKBOOK = 1000
 
@@ -456,8 +456,6 @@ QUERIES.update(
 
 # --- refresh policies over exported workbooks ---------------------------------------------
 
-from sheetcraft.sources.refresh import WorkbookRefresher  # noqa: E402
-
 
 def _positive_balance(df: DataFrame) -> DataFrame:
     return df.filter(F.col("c_acctbal") > 0)
