@@ -133,6 +133,11 @@ def read_workbook(data: bytes, wanted: set[int] | set[str] | None = None) -> Ite
     (positions or names; None = all), streaming each sheet's rows."""
     with zipfile.ZipFile(io.BytesIO(data)) as zf:
         sheets, date1904 = _sheet_targets(zf)
+        if wanted is not None:
+            names = {n for n, _ in sheets}
+            missing = [w for w in wanted if not (w in names or (isinstance(w, int) and 0 <= w < len(sheets)))]
+            if missing:
+                raise ValueError(f"Worksheet(s) {missing!r} not found")
         strings = None
         dates = _date_styles(zf)
         for pos, (name, target) in enumerate(sheets):

@@ -188,3 +188,12 @@ def test_excel_written_workbook_table(spark):
     assert dict(t.dtypes) == {"name": "string", "when": "timestamp_ntz", "amount": "string", "flag": "boolean"}
     got = sorted(t.collect(), key=lambda r: r["name"])
     assert got[0]["when"] == dt.datetime(2024, 1, 1) and got[0]["flag"] is True
+
+
+def test_missing_sheet_raises():
+    data = _book([("only", [["a"], [1]])])
+    with pytest.raises(ValueError):
+        list(xlsx.read_workbook(data, {"other"}))
+    with pytest.raises(ValueError):
+        list(xlsx.read_workbook(data, {3}))
+    assert len(list(xlsx.read_workbook(data, {0, "only"}))) == 2
