@@ -22,6 +22,7 @@ from sheetcraft.operators import metrics as M
 from sheetcraft.operators import programs as P
 from sheetcraft.operators import reshape as R
 from sheetcraft.plans import adapters as A
+from sheetcraft.plans import jobs as JOBS
 from sheetcraft.session import scratch_dir
 from sheetcraft.sources import files as FS
 from sheetcraft.sources import workbooks as W
@@ -595,3 +596,45 @@ def forward_fill_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"csv_roundtrip": csv_roundtrip, "forward_fill_sheet": forward_fill_sheet})
+
+
+# --- end-to-end jobs over exported workbooks --------------------------------------------
+
+def _referral_job(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    folder = export_workbooks(A.referral_export(spark, sf_dir), "job-referral-src")
+    return JOBS.process_referrals(spark, folder, scratch_dir(spark, "job-referral-out"))
+
+
+def job_referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snake_referrals(_referral_job(spark, sf_dir)[0])
+
+
+def job_referral_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snake_referrals(_referral_job(spark, sf_dir)[1])
+
+
+def job_action_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Program action logs exported as workbooks (with two extra columns the
+    job drops) -> the job's CSV, compared without its file-order index."""
+    logs = A.adapter(spark, sf_dir, "logs")
+    export = logs.select(
+        F.col("referral_id").alias("WLS ID"),
+        F.col("recorded_by").alias("Recorded By"),
+        F.date_format("action_ts", "yyyy-MM-dd HH:mm:ss").alias("Recorded Date"),
+        F.date_format("action_ts", "yyyy-MM-dd HH:mm:ss").alias("Date of Action"),
+        F.col("log_name").alias("Action Log Name"),
+        F.col("log_type").alias("Action Log Type"),
+        F.col("notes").alias("Notes"),
+        F.col("county").alias("County"),
+        F.col("zipcode").alias("Zipcode"),
+    )
+    folder = export_workbooks(export, "job-actions-src")
+    out = JOBS.process_action_logs(spark, folder, scratch_dir(spark, "job-actions-out"))
+    return out.drop("index").toDF(
+        "program_id", "recorded_by", "recorded_date", "action_date", "log_name", "log_type", "notes"
+    )
+
+
+QUERIES.update(
+    {"job_referrals": job_referrals, "job_referral_filters": job_referral_filters, "job_action_logs": job_action_logs}
+)

@@ -340,6 +340,12 @@ def workbook_oracles() -> dict[str, str]:
         "workbook_sheets": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
                                c_mktsegment from customer""",
         "workbook_catalog": "select distinct c_mktsegment as sheet from customer",
+        "job_referrals": _sub(REFERRAL_WITHOUT_NOTES),
+        "job_referral_filters": _sub(NOTES_FLATTEN),
+        "job_action_logs": _sub("""
+select referral_id as program_id, recorded_by, strftime(action_ts, '%Y-%m-%d %H:%M:%S') as recorded_date,
+       strftime(action_ts, '%Y-%m-%d %H:%M:%S') as action_date, log_name, log_type, notes from {logs} a
+"""),
         "csv_roundtrip": """select row_number() over (order by c_custkey) - 1 as index, c_custkey, c_name, c_nationkey,
                              c_acctbal, c_mktsegment from customer""",
         "forward_fill_sheet": """select o_orderkey, o_custkey,

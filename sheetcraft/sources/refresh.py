@@ -103,8 +103,10 @@ class WorkbookRefresher:
         options: dict[str, str] | None = None,
         recursive: bool = False,
         exclude: Sequence[str] = (),
+        with_source: bool = False,
     ) -> None:
         self.spark = spark
+        self.with_source = with_source
         self.source = source
         self.target = target.rstrip("/")
         self.glob = glob
@@ -142,7 +144,8 @@ class WorkbookRefresher:
 
     @property
     def fingerprint(self) -> str:
-        parts = [repr(self.sheet_name), repr(self.header), self.fmt, repr(sorted(self.options.items()))]
+        parts = [repr(self.sheet_name), repr(self.header), repr(self.with_source), self.fmt,
+                 repr(sorted(self.options.items()))]
         parts += [_fingerprint_of(f) for f in self._pre]
         return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
 
@@ -211,7 +214,7 @@ class WorkbookRefresher:
 
     def _from_sources(self) -> DataFrame:
         cells = W.scan_workbooks(self.spark, self.source, self.sheet_name, self.glob, self.recursive, self.exclude)
-        return self.pre_process(W.to_table(cells, header=self.header))
+        return self.pre_process(W.to_table(cells, header=self.header, with_source=self.with_source))
 
     # --- writing ----------------------------------------------------------------------------
 
@@ -297,7 +300,7 @@ class WorkbookRefresher:
             self.fs.delete(self.table_path)
             return self.post_process(self.spark.createDataFrame([], "_empty string").drop("_empty"))
         cells = self.spark.read.parquet(self.cells_path).join(live, "src", "left_semi")
-        table = self.pre_process(W.to_table(cells, header=self.header))
+        table = self.pre_process(W.to_table(cells, header=self.header, with_source=self.with_source))
         table.write.mode("overwrite").format(self.fmt).options(**self.options).save(self.table_path)
         return self.read_cache()
 
