@@ -22,6 +22,10 @@ NS_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 NS_PKG_REL = "http://schemas.openxmlformats.org/package/2006/relationships"
 _M = "{%s}" % NS_MAIN
 _C = f"{_M}c"
+_ROW = f"{_M}row"
+_IS = f"{_M}is"
+_T = f"{_M}t"
+_V = f"{_M}v"
 
 # Built-in number formats that show dates or times (ECMA-376 18.8.30).
 _DATE_FORMAT_IDS = set(range(14, 23)) | {45, 46, 47}
@@ -128,6 +132,66 @@ def _serial_to_iso(text: str, date1904: bool) -> str:
     return value.isoformat(sep=" ")
 
 
+_ROOT_TAG = re.compile(rb"<(?:\w+:)?worksheet\b[^>]*>")
+_NS_DECL = re.compile(rb'xmlns(?::[\w.-]+)?\s*=\s*"[^"]*"')
+_SHEETDATA = re.compile(rb"<((?:\w+:)?)sheetData\b[^>]*?(/?)>")
+_READ = 1 << 22
+
+
+def _row_elements(fh) -> Iterator[ET.Element]:
+    """Row elements of a sheet part, parsed chunk by chunk: each chunk ends at
+    a row boundary and is parsed by one C-level ``fromstring`` call inside a
+    wrapper that re-declares the worksheet's namespaces (bounded memory)."""
+    buf = b""
+    eof = False
+
+    def fill() -> bool:
+        nonlocal buf, eof
+        chunk = fh.read(_READ)
+        if not chunk:
+            eof = True
+            return False
+        buf += chunk
+        return True
+
+    while not eof and not _ROOT_TAG.search(buf):
+        fill()
+    root = _ROOT_TAG.search(buf)
+    if root is None:
+        return
+    decls = b" ".join(_NS_DECL.findall(root.group(0)))
+    while not eof and not _SHEETDATA.search(buf, root.end()):
+        fill()
+    sd = _SHEETDATA.search(buf, root.end())
+    if sd is None or sd.group(2) == b"/":
+        return
+    prefix = sd.group(1)
+    close_row = b"</" + prefix + b"row>"
+    close_data = b"</" + prefix + b"sheetData>"
+    buf = buf[sd.end():]
+    head = b"<w " + decls + b">"
+    while True:
+        end_data = buf.find(close_data)
+        if end_data >= 0:
+            block, done = buf[:end_data], True
+        else:
+            cut = buf.rfind(close_row)
+            if cut < 0 or len(buf) - cut < _READ // 2 and not eof:
+                if fill():
+                    continue
+                cut = buf.rfind(close_row)
+            if cut < 0:
+                block, done = buf, True
+            else:
+                cut += len(close_row)
+                block, buf, done = buf[:cut], buf[cut:], False
+        if block.strip():
+            for row in ET.fromstring(head + block + b"</w>"):
+                yield row
+        if done:
+            return
+
+
 def read_workbook(data: bytes, wanted: set[int] | set[str] | None = None) -> Iterator[tuple[int, str, int, list]]:
     """Yield ``(sheet_pos, sheet, row_index, cells)`` for the wanted sheets
     (positions or names; None = all), streaming each sheet's rows."""
@@ -146,8 +210,9 @@ def read_workbook(data: bytes, wanted: set[int] | set[str] | None = None) -> Ite
             if strings is None:
                 strings = _shared_strings(zf)
             with zf.open(target) as fh:
-                for _, el in ET.iterparse(fh, events=("end",)):
-                    if el.tag != f"{_M}row":
+                last = -1
+                for el in _row_elements(fh):
+                    if el.tag != _ROW:
                         continue
                     cells: list = []
                     for c in el:
@@ -160,16 +225,21 @@ def read_workbook(data: bytes, wanted: set[int] | set[str] | None = None) -> Ite
                         cells.append(_cell(c, strings, dates, date1904))
                     while cells and cells[-1] is None:
                         cells.pop()
-                    yield pos, name, int(el.get("r")) - 1, cells
-                    el.clear()
+                    r = el.get("r")
+                    last = int(r) - 1 if r else last + 1
+                    yield pos, name, last, cells
 
 
 def _cell(c, strings: list[str], dates: set[int], date1904: bool):
     t = c.get("t", "n")
     if t == "inlineStr":
-        is_ = c.find(f"{_M}is")
-        return ("s", "".join(x.text or "" for x in is_.iter(f"{_M}t"))) if is_ is not None else None
-    v = c.find(f"{_M}v")
+        is_ = c.find(_IS)
+        if is_ is None:
+            return None
+        if len(is_) == 1 and is_[0].tag == _T:
+            return ("s", is_[0].text or "")
+        return ("s", "".join(x.text or "" for x in is_.iter(_T)))
+    v = c.find(_V)
     if v is None or v.text is None:
         return None
     text = v.text

@@ -197,3 +197,42 @@ def test_missing_sheet_raises():
     with pytest.raises(ValueError):
         list(xlsx.read_workbook(data, {3}))
     assert len(list(xlsx.read_workbook(data, {0, "only"}))) == 2
+
+
+def _prefixed_book(rows_xml: str, self_closing: bool = False) -> bytes:
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    files = {
+        "xl/workbook.xml": f'<x:workbook xmlns:x="{main}" xmlns:r="{rel}"><x:sheets>'
+        '<x:sheet name="P" sheetId="1" r:id="rId1"/></x:sheets></x:workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+        '<Relationship Id="rId1" Type="worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<x:worksheet xmlns:x="{main}" '
+        'xmlns:mc="http://schemas.openxmlformats.org/markup-compatibility/2006" '
+        'xmlns:x14ac="http://schemas.microsoft.com/office/spreadsheetml/2009/9/ac" mc:Ignorable="x14ac">'
+        '<x:dimension ref="A1:B9"/>'
+        + ("<x:sheetData/>" if self_closing else f"<x:sheetData>{rows_xml}</x:sheetData>")
+        + '<x:mergeCells count="0"/></x:worksheet>',
+    }
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        for k, v in files.items():
+            zf.writestr(k, v)
+    return buf.getvalue()
+
+
+def test_prefixed_xml_self_closing_rows_and_chunks(monkeypatch):
+    rows = "".join(
+        f'<x:row r="{i}" x14ac:dyDescent="0.25"><x:c r="A{i}" t="inlineStr"><x:is><x:t>v{i}</x:t></x:is></x:c>'
+        f'<x:c r="C{i}"><x:v>{i}</x:v></x:c></x:row>' + (f'<x:row r="{i}0" spans="1:2"/>' if i % 3 == 0 else "")
+        for i in range(1, 40)
+    )
+    data = _prefixed_book(rows)
+    want = list(xlsx.read_workbook(data))
+    monkeypatch.setattr(xlsx, "_READ", 64)  # force many row-boundary cuts
+    got = list(xlsx.read_workbook(data))
+    assert got == want
+    assert got[0][3] == [("s", "v1"), None, ("n", "1")]
+    assert [r[2] for r in got][:4] == [0, 1, 2, 29]  # self-closing row 30 after row 3
+    assert list(xlsx.read_workbook(_prefixed_book(""))) == []
+    assert list(xlsx.read_workbook(_prefixed_book("", self_closing=True))) == []
