@@ -255,7 +255,8 @@ def flatten_json(
     obj = F.when(is_object, v)
     for path, leaf_type in leaves:
         json_path = "$" + "".join('["' + p.replace('"', '\\"') + '"]' for p in path)
-        type_name = "string" if isinstance(leaf_type, T.VariantType) else leaf_type.simpleString()
+        # mixed leaves (VARIANT) come out as JSON text; never-valued ones (VOID) as null text
+        type_name = "string" if isinstance(leaf_type, (T.VariantType, T.NullType)) else leaf_type.simpleString()
         name = ".".join(path)
         if name in taken:
             name = name + clash_suffix

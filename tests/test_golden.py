@@ -208,3 +208,12 @@ def test_url_absolute_and_errors(spark):
         urls.join_url_path("u", "http://other/x")
     with pytest.raises(ValueError):
         urls.join_url_path("u", "a?q=1")
+
+
+def test_notes_special_keys_and_null_only_leaves(spark):
+    rows = [(1, '{"Filters":[{"a b":1,"n":null,"d.o":{"x y":"z"},"q\\"t":2}]}'), (2, '{"Filters":[{"a b":2}]}')]
+    out = R.process_referral_notes(spark.createDataFrame(rows, "id int, Notes string"))
+    assert out.columns == ["id", "a b", "d.o.x y", "n", 'q"t']
+    got = {r["id"]: r for r in out.collect()}
+    assert got[1]["a b"] == 1 and got[1]["d.o.x y"] == "z" and got[1]["n"] is None and got[1]['q"t'] == 2
+    assert got[2]["a b"] == 2 and got[2]["d.o.x y"] is None
