@@ -49,12 +49,20 @@ def parse_filters_strict(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
+def path_segment(key) -> str:
+    """One variant-path segment for an object key.  The path syntax has no
+    escapes: a key with a double quote is single-quoted; a key with both kinds
+    of quote cannot be addressed."""
+    text = str(key)
+    if '"' not in text:
+        return f'["{text}"]'
+    if "'" not in text:
+        return f"['{text}']"
+    raise ValueError(f"key {text!r} contains both quote characters")
+
+
 def _path(keys: Iterable) -> str:
-    parts = ["$"]
-    for k in keys:
-        text = str(k).replace("\\", "\\\\").replace('"', '\\"')
-        parts.append(f'["{text}"]')
-    return "".join(parts)
+    return "$" + "".join(path_segment(k) for k in keys)
 
 
 def json_path(c: Column | str, keys: Iterable, default=None, as_type: str = "string") -> Column:

@@ -227,6 +227,8 @@ def flatten_json(
     """
     from pyspark.sql import types as T
 
+    from sheetcraft.functions.jsonpath import path_segment
+
     rest = [c for c in df.columns if c != column]
     v = F.try_parse_json(_q(column))
     is_object = F.schema_of_variant(v).startswith("OBJECT")
@@ -254,7 +256,7 @@ def flatten_json(
     out_cols = [_q(c) for c in rest]
     obj = F.when(is_object, v)
     for path, leaf_type in leaves:
-        json_path = "$" + "".join('["' + p.replace('"', '\\"') + '"]' for p in path)
+        json_path = "$" + "".join(path_segment(p) for p in path)
         # mixed leaves (VARIANT) come out as JSON text; never-valued ones (VOID) as null text
         type_name = "string" if isinstance(leaf_type, (T.VariantType, T.NullType)) else leaf_type.simpleString()
         name = ".".join(path)
