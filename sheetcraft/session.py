@@ -108,3 +108,28 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     sc._sheetcraft_shipped = True
+
+
+def scale_conf(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Settings sized to the input: enough initial shuffle partitions that
+    each holds about ``target_partition_bytes`` (AQE coalesces small ones and
+    splits skewed ones), at least two waves of tasks, and scan splits of the
+    same size.  Pass the result as ``extra`` to ``build_session`` or to
+    ``spark-submit --conf``."""
+    slots = max(1, executors * cores_per_executor)
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(2 * slots, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

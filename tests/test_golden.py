@@ -217,3 +217,12 @@ def test_notes_special_keys_and_null_only_leaves(spark):
     got = {r["id"]: r for r in out.collect()}
     assert got[1]["a b"] == 1 and got[1]["d.o.x y"] == "z" and got[1]["n"] is None and got[1]['q"t'] == 2
     assert got[2]["a b"] == 2 and got[2]["d.o.x y"] is None
+
+
+def test_scale_conf():
+    from sheetcraft.session import scale_conf
+
+    big = scale_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    small = scale_conf(10 << 20, executors=1, cores_per_executor=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
