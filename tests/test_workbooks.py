@@ -236,3 +236,16 @@ def test_prefixed_xml_self_closing_rows_and_chunks(monkeypatch):
     assert [r[2] for r in got][:4] == [0, 1, 2, 29]  # self-closing row 30 after row 3
     assert list(xlsx.read_workbook(_prefixed_book(""))) == []
     assert list(xlsx.read_workbook(_prefixed_book("", self_closing=True))) == []
+
+
+def test_custom_inferrer(spark):
+    out = scratch_dir(spark, "t-infer")
+    with open(os.path.join(local_path(out), "c.xlsx"), "wb") as fh:
+        fh.write(_book([("s", [["id", "g", "g"], ["id", "m1", "m2"], [1, 2, 3]])]))
+    cells = W.scan_workbooks(spark, out)
+    default = H.infer_header_table(cells)
+    assert default.columns == ["id", "g"]
+    # a rule that never sees header rows keeps the first row as data and
+    # makes the once-occurring names the keys
+    flat = H.infer_header_table(cells, inferrer=lambda names, rows: H.infer_spec(names, []))
+    assert set(flat.columns) == {"id", "g", "g.1"} and flat.count() == 2
