@@ -118,6 +118,7 @@ class WorkbookRefresher:
         self.options = dict(options or {})
         if fmt == "csv":
             self.options.setdefault("header", "true")
+            self.options.setdefault("inferSchema", "true")  # read back typed, as a CSV reader infers
         self.recursive = recursive
         self.exclude = tuple(exclude)
         self.fs = _FS(spark, self.target)

@@ -70,6 +70,7 @@ def test_skip_and_only_cached_and_csv(spark, setup):
     assert not os.path.exists(local_path(r.table_path))
     t = r.refresh("check")
     assert t.count() == cust.count()
+    assert dict(t.dtypes)["c_acctbal"] == "double"
     assert r.refresh(lambda ref: ref.read_cache().limit(3)).count() == 3
     with pytest.raises(ValueError):
         r.refresh("nope")
