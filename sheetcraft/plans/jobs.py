@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetcraft.operators import action_logs, referrals
+from sheetcraft.operators import action_logs, metrics, referrals
 from sheetcraft.sources import files as FS
 from sheetcraft.sources.refresh import WorkbookRefresher
 
@@ -51,9 +51,11 @@ def process_referrals(
     cleaned.write.mode("overwrite").parquet(f"{out_dir}/_cleaned")
     cleaned = spark.read.parquet(f"{out_dir}/_cleaned")
     main = cleaned.drop(referrals.NOTES)
-    FS.write_csv(main, f"{out_dir}/{REFERRALS_CSV}")
+    observed, obs = metrics.observe_rows(main, "referrals")
+    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{REFERRALS_CSV}"), obs, "Wrote", ("referral", "referrals"))
     filters = referrals.process_referral_notes(cleaned, schema=notes_schema)
-    FS.write_csv(filters, f"{out_dir}/{FILTERS_CSV}")
+    observed, obs = metrics.observe_rows(filters, "filters")
+    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{FILTERS_CSV}"), obs, "Wrote", ("filter", "filters"))
     return _read_back(spark, main, f"{out_dir}/{REFERRALS_CSV}"), _read_back(
         spark, filters, f"{out_dir}/{FILTERS_CSV}"
     )
@@ -84,5 +86,6 @@ def process_action_logs(
     table = refresher.refresh(policy)
     indexed = FS.with_row_index(table, order).drop(*order)
     out = indexed.select("index", *[F.col(f"`{c}`") for c in action_logs.OUT_COLUMNS])
-    FS.write_csv(out, f"{out_dir}/{ACTION_LOGS_CSV}")
+    observed, obs = metrics.observe_rows(out, "action_logs")
+    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{ACTION_LOGS_CSV}"), obs, "Wrote", ("log", "logs"))
     return _read_back(spark, out, f"{out_dir}/{ACTION_LOGS_CSV}")
