@@ -261,10 +261,21 @@ def _cell(c, strings: list[str], dates: set[int], date1904: bool):
 # --- writing --------------------------------------------------------------------
 
 
+_CTRL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
+_TEXT_SPECIAL = re.compile("[&<>\x00-\x08\x0b\x0c\x0e-\x1f]")
+
+
 def _esc(s: str) -> str:
+    """Escape for an attribute value; characters not allowed in XML 1.0 are dropped."""
     s = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
-    # Characters not allowed in XML 1.0 are dropped.
-    return re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f]", "", s)
+    return _CTRL.sub("", s)
+
+
+def _esc_text(s: str) -> str:
+    """Escape for element text (quotes need no escaping there)."""
+    if not _TEXT_SPECIAL.search(s):
+        return s
+    return _CTRL.sub("", s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;"))
 
 
 def _col_name(i: int) -> str:
@@ -279,6 +290,8 @@ def _col_name(i: int) -> str:
 def _cell_xml(ref: str, v) -> str:
     if v is None:
         return ""
+    if type(v) is str:
+        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_esc_text(v)}</t></is></c>'
     if isinstance(v, bool):
         return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
     if isinstance(v, (int, float)):
@@ -290,7 +303,7 @@ def _cell_xml(ref: str, v) -> str:
             v = dt.datetime(v.year, v.month, v.day)
         serial = (v.replace(tzinfo=None) - _EPOCH_1900).total_seconds() / 86400.0
         return f'<c r="{ref}" s="1"><v>{serial!r}</v></c>'
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_esc(str(v))}</t></is></c>'
+    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_esc_text(str(v))}</t></is></c>'
 
 
 _CONTENT_TYPES = (
@@ -323,6 +336,7 @@ class WorkbookWriter:
         self._names: list[str] = []
         self._sheet = None
         self._row = 0
+        self._letters: list[str] = []
 
     def start_sheet(self, name: str) -> None:
         self._end_sheet()
@@ -336,7 +350,11 @@ class WorkbookWriter:
     def write_row(self, values: Iterable) -> None:
         self._row += 1
         r = self._row
-        body = "".join(_cell_xml(f"{_col_name(i)}{r}", v) for i, v in enumerate(values))
+        values = list(values)
+        while len(self._letters) < len(values):
+            self._letters.append(_col_name(len(self._letters)))
+        letters = self._letters
+        body = "".join(_cell_xml(f"{letters[i]}{r}", v) for i, v in enumerate(values) if v is not None)
         self._sheet.write(f'<row r="{r}">{body}</row>'.encode())
 
     def _end_sheet(self) -> None:
