@@ -65,14 +65,20 @@ def sheet_names(path: str, data: bytes) -> list[str]:
 # --- reading ---------------------------------------------------------------------
 
 
+_COLS: dict[str, int] = {}
+
+
 def _col_index(ref: str) -> int:
-    n = 0
-    for ch in ref:
-        if "A" <= ch <= "Z":
-            n = n * 26 + (ord(ch) - 64)
-        else:
-            break
-    return n - 1
+    """0-based column of a cell reference such as ``AB12`` (cached by letters)."""
+    letters = ref.rstrip("0123456789$")
+    idx = _COLS.get(letters)
+    if idx is None:
+        n = 0
+        for ch in letters.upper():
+            if "A" <= ch <= "Z":
+                n = n * 26 + (ord(ch) - 64)
+        idx = _COLS[letters] = n - 1
+    return idx
 
 
 def _is_date_format(code: str) -> bool:
