@@ -84,3 +84,25 @@ def join_url_path(c: Column | str, rel: str, on_error: str = "raise") -> Column:
     return F.when(ok, url).otherwise(
         F.raise_error(F.concat(F.lit("not an absolute URL: "), F.coalesce(_col(c), F.lit("NULL"))))
     )
+
+
+def url_text(c: Column | str, on_error: str = "raise") -> Column:
+    """Text form of an absolute URL as ``urlunsplit(urlsplit(url))`` gives it:
+    the scheme lower-cased, an empty query or fragment marker dropped.  A URL
+    without scheme or host raises (``on_error="raise"``) or gives null."""
+    p = url_parts(c)
+    q, frag = p["query"], p["fragment"]
+    text = F.concat(
+        F.lower(p["scheme"]),
+        F.lit("://"),
+        p["netloc"],
+        p["path"],
+        F.when(q == "?", F.lit("")).otherwise(q),
+        F.when(frag == "#", F.lit("")).otherwise(frag),
+    )
+    ok = is_absolute_url(c)
+    if on_error == "null":
+        return F.when(ok, text)
+    return F.when(ok, text).otherwise(
+        F.raise_error(F.concat(F.lit("could not be interpreted as an absolute URL: "), F.coalesce(_col(c), F.lit("NULL"))))
+    )

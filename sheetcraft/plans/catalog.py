@@ -322,6 +322,11 @@ def url_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", U.is_absolute_url("url").alias("is_absolute"))
 
 
+def url_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = A.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", U.url_text("url", on_error="null").alias("url_text"))
+
+
 def url_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = A.read_table(spark, sf_dir, "pages")
     return pages.select("page_id", U.join_url_path("url", "about", on_error="null").alias("joined"))
@@ -368,6 +373,7 @@ QUERIES.update(
         "json_path_default": json_path_default,
         "url_absolute": url_absolute,
         "url_join": url_join,
+        "url_normalized": url_normalized,
         "county_lookup": county_lookup,
         "stage_counts": stage_counts,
     }

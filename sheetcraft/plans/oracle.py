@@ -305,6 +305,18 @@ from s
 """
 
 
+URL_NORMALIZED = f"""
+with s as (select page_id, url,
+  regexp_extract(url, '{_URL_RE}', 1) as scheme, regexp_extract(url, '{_URL_RE}', 2) as netloc,
+  regexp_extract(url, '{_URL_RE}', 3) as path, regexp_extract(url, '{_URL_RE}', 4) as query,
+  regexp_extract(url, '{_URL_RE}', 5) as fragment from pages)
+select page_id, case when regexp_matches(url, '{_ABS_RE}') then
+  lower(scheme) || '://' || netloc || path || case when query = '?' then '' else query end
+  || case when fragment = '#' then '' else fragment end end as url_text
+from s
+"""
+
+
 def _county_oracle() -> str:
     from sheetcraft.functions.regions import REGIONS
 
@@ -329,6 +341,7 @@ def extra_oracles() -> dict[str, str]:
     out["json_path_default"] = JSON_PATH_DEFAULT
     out["url_absolute"] = URL_ABSOLUTE
     out["url_join"] = URL_JOIN
+    out["url_normalized"] = URL_NORMALIZED
     out["county_lookup"] = _county_oracle()
     return out
 

@@ -226,3 +226,20 @@ def test_scale_conf():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
     small = scale_conf(10 << 20, executors=1, cores_per_executor=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+@settings(max_examples=60, deadline=None)
+@given(scheme=st.sampled_from(["http", "HTTPS", "ftp"]), host=st.sampled_from(["h.example.org", "H:8080", "u@h"]),
+       path=st.sampled_from(["", "/", "/a/b", "/a//b/", "/x.html"]), query=st.sampled_from(["", "?", "?q=1&r=2"]),
+       frag=st.sampled_from(["", "#", "#top"]))
+def test_url_text_matches_python(spark, scheme, host, path, query, frag):
+    url = f"{scheme}://{host}{path}{query}{frag}"
+    got = spark.createDataFrame([(url,)], "u string").select(urls.url_text("u")).first()[0]
+    assert got == urlunsplit(urlsplit(url))
+
+
+def test_url_text_rejects_relative(spark):
+    df = spark.createDataFrame([("/just/a/path",)], "u string")
+    assert df.select(urls.url_text("u", on_error="null")).first()[0] is None
+    with pytest.raises(PySparkException):
+        df.select(urls.url_text("u")).collect()
