@@ -411,7 +411,9 @@ def infer_cell_types(tagged: DataFrame, columns: Sequence[str]) -> dict[str, str
 def typed_value(c: Column, dtype: str | None, null_tokens: bool = True) -> Column:
     v = cell_value(c, null_tokens)
     if dtype is None or dtype == "string":
-        return v
+        # in a mixed text column a boolean cell reads as Python prints it
+        t = c.getField("t")
+        return F.when(t == "b", F.when(v == "true", F.lit("True")).otherwise(F.lit("False"))).otherwise(v)
     if dtype == "bigint":
         return v.cast("double").cast("bigint")
     return v.cast(dtype)

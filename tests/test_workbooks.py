@@ -249,3 +249,11 @@ def test_custom_inferrer(spark):
     # makes the once-occurring names the keys
     flat = H.infer_header_table(cells, inferrer=lambda names, rows: H.infer_spec(names, []))
     assert set(flat.columns) == {"id", "g", "g.1"} and flat.count() == 2
+
+
+def test_mixed_column_booleans_print_like_python(spark):
+    out = scratch_dir(spark, "t-mixed")
+    with open(os.path.join(local_path(out), "m.xlsx"), "wb") as fh:
+        fh.write(_book([("s", [["a"], [True], ["x"], [2], [False]])]))
+    t = W.to_table(W.scan_workbooks(spark, out))
+    assert sorted(r["a"] for r in t.collect()) == ["2", "False", "True", "x"]
