@@ -11,8 +11,10 @@ offsets.  The numbers equal the plain window's.
 
 Bounded sides: the hot-key table has at most rows/hot_rows entries; splitters
 and offsets have about rows/bucket_rows entries; AQE broadcasts them when
-their runtime size allows.  One limitation: rows identical in every ordering
-column share a bucket.
+their runtime size allows.  When keys and ordering columns are all the columns
+(copies are interchangeable), copies are counted by a partial aggregate and
+regenerated in bounded chunks, so a hot block of copies is spread too;
+otherwise rows identical in every ordering column share a bucket.
 """
 
 from __future__ import annotations
@@ -52,6 +54,11 @@ def number_rows(
     cold_out = cold.withColumn(out, F.row_number().over(window).cast("bigint"))
 
     hot_rows_df = df.join(hot, list(keys), "left_semi")
+    if set(df.columns) == set(keys) | set(order):
+        hot_out = _number_collapsed(hot_rows_df, keys, order, out, bucket_rows)
+        return cold_out.select(*[_q(c) for c in df.columns], out).unionByName(
+            hot_out.select(*[_q(c) for c in df.columns], out)
+        )
     bucketed = range_buckets(hot_rows_df, keys, order, bucket_rows)
     local = bucketed.withColumn(
         "__l", F.row_number().over(Window.partitionBy(*key_cols, F.col("__b")).orderBy(*order_cols))
@@ -74,6 +81,44 @@ def number_rows(
     return cold_out.select(*[_q(c) for c in df.columns], out).unionByName(hot_out)
 
 
+def _number_collapsed(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, bucket_rows: int,
+                      chunk_rows: int = 100_000) -> DataFrame:
+    """Hot groups whose rows are fully described by keys + order: copies are
+    interchangeable, so they are counted by a partial aggregate, the distinct
+    rows are numbered by running sums of their copy counts (range buckets +
+    offsets), and the copies are regenerated in chunks of at most
+    ``chunk_rows`` numbers, spread over tasks before they are expanded."""
+    key_cols = [_q(k) for k in keys]
+    order_cols = [_q(c).asc_nulls_first() for c in order]
+    distinct = df.groupBy(*key_cols, *[_q(c) for c in order]).agg(F.count(F.lit(1)).alias("__c"))
+    bucketed = range_buckets(distinct, keys, order, bucket_rows)
+    running = Window.partitionBy(*key_cols, F.col("__b")).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    local = bucketed.withColumn("__end", F.sum("__c").over(running))
+    sizes = bucketed.groupBy(*key_cols, "__b").agg(F.sum("__c").alias("__s"))
+    offsets = sizes.withColumn(
+        "__off",
+        F.coalesce(
+            F.sum("__s").over(Window.partitionBy(*key_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ),
+    ).drop("__s")
+    ranged = (
+        local.join(offsets, list(keys) + ["__b"])
+        .withColumn("__last", F.col("__off") + F.col("__end"))
+        .withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    )
+    chunk = F.lit(chunk_rows).cast("bigint")
+    n_chunks = F.floor((F.col("__c") - 1) / chunk).cast("bigint")
+    chunks = ranged.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks))).withColumn(
+        "__from", F.col("__first") + F.col("__k") * chunk
+    ).withColumn("__to", F.least(F.col("__last"), F.col("__from") + chunk - 1))
+    spread = chunks.repartition(*key_cols, F.col("__from"))
+    numbered = spread.withColumn(out, F.explode(F.sequence(F.col("__from").cast("bigint"), F.col("__to").cast("bigint"))))
+    return numbered.select(*[_q(c) for c in df.columns], out)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows (partial aggregate), or None when
     there are none (one small job, one row back)."""

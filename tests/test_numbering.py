@@ -47,3 +47,16 @@ def test_clean_methods_agree_with_hot_paths(spark):
     for method in ("window", "antijoin"):
         got = R.clean_referrals(logs, method=method, hot_rows=10)
         assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_hot_block_of_copies(spark):
+    # 300 copies of one row plus 100 distinct rows, all on one key
+    rows = [("k", "same", 1)] * 300 + [("k", f"v{i}", i) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, v string, w int")
+    plain = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10_000)
+    split = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10, bucket_rows=16)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    from sheetcraft.operators import numbering
+
+    chunked = numbering._number_collapsed(df, ["k"], ["v", "w"], "n", bucket_rows=16, chunk_rows=7)
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
