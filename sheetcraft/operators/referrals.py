@@ -59,6 +59,11 @@ def keys_present() -> Column:
     return _q(REFERRAL_ID).isNotNull() & _q(ACTION_DATE).isNotNull()
 
 
+def keys_missing() -> Column:
+    """Negation of ``keys_present`` in a form a Parquet scan accepts."""
+    return _q(REFERRAL_ID).isNull() | _q(ACTION_DATE).isNull()
+
+
 def filter_search_logs(df: DataFrame) -> DataFrame:
     """Keep the two search log names (membership filter, pushed to the scan)."""
     return df.filter(_q(LOG_NAME).isin(*SEARCH_LOG_NAMES))
@@ -87,8 +92,9 @@ def _project(df: DataFrame) -> DataFrame:
     return df.select(*[_q(c) for c in REFERRAL_COLUMNS])
 
 
-def _null_key_rows(df: DataFrame, distinct: bool) -> DataFrame:
-    out = _project(df.filter(~keys_present()).withColumn(SEARCH_NO, F.lit(None).cast("bigint")))
+def _null_key_rows(df: DataFrame, distinct: bool, filtered: bool = False) -> DataFrame:
+    rows = df if filtered else df.filter(keys_missing())
+    out = _project(rows.withColumn(SEARCH_NO, F.lit(None).cast("bigint")))
     return out.dropDuplicates() if distinct else out
 
 
@@ -133,7 +139,7 @@ def clean_numbered_window(numbered: DataFrame, threshold: int = MAX_SEARCHES_PER
     nonnull = numbered.filter(keys_present()).dropDuplicates()
     top = F.max(_q(SEARCH_NO)).over(Window.partitionBy(*[_q(k) for k in GROUP_KEYS]))
     kept = nonnull.withColumn("__top", top).filter(F.coalesce(F.col("__top") <= threshold, F.lit(True)))
-    nulls = numbered.filter(~keys_present()).dropDuplicates()
+    nulls = numbered.filter(keys_missing()).dropDuplicates()
     return _project(kept).unionByName(_project(nulls))
 
 
@@ -177,7 +183,17 @@ def clean_referrals(
         return _project(kept).unionByName(_null_key_rows(base, distinct=True))
     if method != "presize":
         raise ValueError(f"unknown method {method!r}")
-    keyed = base.filter(keys_present())
+    if on_error == "raise":
+        # A parsed time is null exactly when its text is: test the keys on the
+        # stored columns, so the null tests reach the Parquet scan (row groups
+        # without nulls are skipped by the null-key branch).
+        keyed = parse_times(anonymise(df.filter(keys_present())), on_error)
+        null_part = _null_key_rows(
+            parse_times(anonymise(df.filter(keys_missing())), on_error), distinct=True, filtered=True
+        )
+    else:
+        keyed = base.filter(keys_present())
+        null_part = _null_key_rows(base, distinct=True)
     oversized = (
         keyed.groupBy(*[_q(k) for k in GROUP_KEYS])
         .count()
@@ -186,7 +202,7 @@ def clean_referrals(
     )
     kept = keyed.join(oversized, GROUP_KEYS, "left_anti")
     numbered = kept.withColumn(SEARCH_NO, F.row_number().over(_number_window()).cast("bigint"))
-    return _project(numbered).unionByName(_null_key_rows(base, distinct=True))
+    return _project(numbered).unionByName(null_part)
 
 
 def explode_filters(df: DataFrame, strict: bool = False, position: str | None = None) -> DataFrame:

@@ -64,3 +64,23 @@ def test_window_variant_shares_one_key_exchange(spark):
     ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     key_ex = [e for e in ex if e.count("#") == 2]
     assert len(key_ex) == 1, ex
+
+
+def test_referral_scans_get_key_null_filters(spark):
+    from pyspark.sql import functions as F
+
+    from sheetcraft.operators import referrals as R
+    from sheetcraft.plans import adapters as A
+    from sheetcraft.sources.files import materialize
+
+    export = A.referral_export(spark, SF_SMALL)
+    table = materialize(export.withColumn("ReferralID", F.col("ReferralID")), "t-plan-referrals")
+    out = R.clean_referrals(R.filter_search_logs(table))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        p = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "IsNotNull(ReferralID)" in p
+    assert "Or(IsNull(ReferralID)" in p
