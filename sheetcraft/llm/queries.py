@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
 from sheetcraft.llm.ngram_join import jaccard_components
 
@@ -12,8 +14,14 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
