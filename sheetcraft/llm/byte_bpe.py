@@ -7,7 +7,8 @@ of R are encoded again, w doubling until the first and the last token of the
 window come out as they went in.  This is exact: a token sequence is the
 encoding of its bytes if each pair of neighbours is, and every pair outside
 the window, or across its rim, was a pair of L or R before.  Halves and seams
-recur across words, so both are remembered (bounded, per worker process).
+recur across words, so both are remembered (bounded, per worker process), and
+equal pieces of a batch are encoded once.
 Decoding concatenates the token bytes up the same kind of tree.
 """
 
@@ -16,21 +17,27 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
-from array import array
-from itertools import chain, islice
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetcraft.llm.common import keyed_text, prepare
+from sheetcraft.llm.pieces import spread_ids, text_runs
 
-REMEMBERED = 400_000  # pieces and seams a worker remembers at most, each
-SHORT = 24  # bytes up to which halves are remembered
-PIECES_AT_ONCE = 200_000
-LEAF = 4096  # tokens that decoding concatenates at once
+REMEMBERED = 400_000  # pieces, halves and windows a worker remembers at most, each
+SHORT = 32  # bytes up to which pieces and halves are remembered
+LEAF_BYTES = 12  # bytes that are encoded without halving
+NEVER = 1 << 62
+LEAF = 1 << 16  # tokens that decoding concatenates at once
+
+# Fixed value: the pattern whose matches are the pieces; split_pieces finds
+# the same matches, and a test holds the two against each other.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -70,24 +77,99 @@ def merge_all(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(out)
 
 
+SPACE, LETTER, NUMBER, OTHER = range(4)
+_CLASSES: list[np.ndarray] = []
+
+
+def char_classes() -> np.ndarray:
+    """White space, letter, number or other, for every code point."""
+    if not _CLASSES:
+        table = np.full(0x110000, OTHER, dtype=np.uint8)
+        every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+        for pattern, kind in ((r"\s", SPACE), (r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+            found = "".join(regex.findall(pattern, every))
+            table[np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32)] = kind
+        _CLASSES.append(table)
+    return _CLASSES[0]
+
+
+def split_pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """All pieces of the texts in order, and how many each text has: the
+    matches of PIECES, found from runs of one class of characters."""
+    text = "".join(texts)
+    chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    n = len(chars)
+    begins = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+    kind = np.concatenate((char_classes().take(chars), [SPACE, SPACE, SPACE])).astype(np.uint8)
+    first = np.zeros(n + 4, dtype=bool)  # of a text
+    first[begins] = True
+    start = first[: n + 1].copy()
+    start[1:n] |= kind[1:n] != kind[: n - 1]
+    # White space before other characters: its last is a piece of its own, or
+    # joins them if it is a blank.
+    after = np.flatnonzero(start[:n] & (kind[:n] != SPACE) & ~first[:n])
+    after = after[kind[after - 1] == SPACE]
+    start[after - 1] = True
+    start[after[chars[after - 1] == 0x20]] = False
+    # An apostrophe that begins a piece, and the letters it takes along.
+    quote = np.flatnonzero(chars == 0x27)
+    quote = quote[start[quote]]
+    if len(quote):
+        padded = np.concatenate((chars, np.zeros(3, dtype=np.uint32)))
+        one = np.where(first[quote + 1], 0, padded[quote + 1])
+        two = np.where((one == 0) | first[quote + 2], 0, padded[quote + 2])
+        taken = np.where(np.isin(one, [ord(c) for c in "stmd"]), 2, 0)
+        pairs = ((one << 8) | two)[..., None] == [ord(a) << 8 | ord(b) for a, b in ("re", "ve", "ll")]
+        taken = np.where((one < 128) & (two < 128) & pairs.any(axis=1), 3, taken)
+        quote, taken = quote[taken > 0], taken[taken > 0]
+        start[quote + 1] = False
+        rest = quote + taken
+        start[rest[(kind[rest] == LETTER) & ~first[rest]]] = True
+    at = np.flatnonzero(start[:n])
+    widths = 1 + (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF)
+    place = np.concatenate(([0], np.cumsum(widths)))
+    offsets = np.append(place[at], place[-1]).astype(np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+    return pieces, np.diff(np.searchsorted(at, begins))
+
+
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    """Plain BPE of a few bytes, by scanning for the lowest rank."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    rank = ranks.get
+    pairs = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        low = min(pairs)
+        if low == NEVER:
+            break
+        i = pairs.index(low)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
+    return tuple([ranks[x] for x in parts])
+
+
 class TreeEncoder(dict):
     """Maps a piece of text to its token ids; remembers what it has seen."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.pattern = regex.compile(pattern)
+        self.token_bytes = pa.array(self.tokens, pa.large_binary())
         self.halves: dict[bytes, tuple[int, ...]] = {}
-        self.seams: dict[int, bool] = {}
+        self.windows: dict[tuple[int, ...], tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode()
         rank = self.ranks.get(raw)
         ids = self.tree(raw) if rank is None else (rank,)
-        if len(raw) <= 2 * SHORT:
+        if len(raw) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[piece] = ids
@@ -95,10 +177,11 @@ class TreeEncoder(dict):
 
     def tree(self, raw: bytes) -> tuple[int, ...]:
         n = len(raw)
-        if n == 1:
-            return (self.ranks[raw],)
         if n <= SHORT and (ids := self.halves.get(raw)) is not None:
             return ids
+        if n <= LEAF_BYTES:
+            ids = self.halves[raw] = merge_short(raw, self.ranks)
+            return ids
         ids = self.joined(self.tree(raw[: n // 2]), self.tree(raw[n // 2 :]))
         if n <= SHORT:
             if len(self.halves) >= REMEMBERED:
@@ -107,60 +190,57 @@ class TreeEncoder(dict):
         return ids
 
     def joined(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
-        if self.apart(left[-1], right[0]):
-            return left + right
         w = 1
         while True:
             inner = left[-w:] + right[:w]
-            again = merge_all(b"".join([self.tokens[t] for t in inner]), self.ranks)
+            again = self.window(inner)
             firm_left = w >= len(left) or again[0] == inner[0]
             firm_right = w >= len(right) or again[-1] == inner[-1]
             if firm_left and firm_right:
                 return left[:-w] + again + right[w:]
             w *= 2
 
-    def apart(self, a: int, b: int) -> bool:
-        """Whether tokens ``a`` and ``b`` side by side stay as they are."""
-        key = a << 32 | b
-        known = self.seams.get(key)
+    def window(self, inner: tuple[int, ...]) -> tuple[int, ...]:
+        """The encoding of the bytes of some tokens."""
+        known = self.windows.get(inner)
         if known is None:
-            known = merge_all(self.tokens[a] + self.tokens[b], self.ranks) == (a, b)
-            if len(self.seams) >= REMEMBERED:
-                self.seams.clear()
-            self.seams[key] = known
+            raw = b"".join([self.tokens[t] for t in inner])
+            known = merge_short(raw, self.ranks) if len(raw) <= 48 else merge_all(raw, self.ranks)
+            if len(inner) <= 4:
+                if len(self.windows) >= REMEMBERED:
+                    self.windows.clear()
+                self.windows[inner] = known
         return known
 
-    def encode(self, text: str) -> array:
-        """Ids of a whole text, every match of the pattern on its own."""
-        if len(text) <= PIECES_AT_ONCE:
-            return array("I", chain.from_iterable(map(self.__getitem__, self.pattern.findall(text))))
-        ids, pieces = array("I"), (m[0] for m in self.pattern.finditer(text))
-        while some := list(islice(pieces, PIECES_AT_ONCE)):
-            ids.extend(chain.from_iterable(map(self.__getitem__, some)))
-        return ids
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids (uint32) of each text, every piece encoded on its own.  The
+        distinct pieces of the texts are encoded once."""
+        pieces, per_text = split_pieces(texts)
+        return spread_ids(pieces, per_text, lambda distinct: [self[p] for p in distinct])
 
-    def decode(self, ids: array) -> bytes:
-        if len(ids) <= LEAF:
-            return b"".join(map(self.tokens.__getitem__, ids))
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+    def decode(self, ids: np.ndarray) -> bytes:
+        if len(ids) > LEAF:
+            half = len(ids) // 2
+            return self.decode(ids[:half]) + self.decode(ids[half:])
+        if not len(ids):
+            return b""
+        return bytes(self.token_bytes.take(pa.array(ids)).buffers()[2])
 
 
-_ENCODERS: dict[tuple[int, str], TreeEncoder] = {}
+_ENCODERS: dict[int, TreeEncoder] = {}
 
 
-def encoder(raw_ranks: bytes, pattern: str) -> TreeEncoder:
+def encoder(raw_ranks: bytes) -> TreeEncoder:
     """The worker's encoder for a rank file, built once a process."""
-    key = (zlib.crc32(raw_ranks), pattern)
+    key = zlib.crc32(raw_ranks)
     if key not in _ENCODERS:
-        _ENCODERS[key] = TreeEncoder(read_ranks(raw_ranks), pattern)
+        _ENCODERS[key] = TreeEncoder(read_ranks(raw_ranks))
     return _ENCODERS[key]
 
 
 def bpe_round_trip(
     docs: DataFrame,
     ranks_path: str,
-    pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -174,32 +254,25 @@ def bpe_round_trip(
     raw_ranks = Path(ranks_path).read_bytes()
 
     def run(batches):
-        enc = encoder(raw_ranks, pattern)
+        enc = encoder(raw_ranks)
         for batch in batches:
-            ids, out, size = [], [], 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = enc.encode(text or "")
-                ids.append(key)
-                out.append((len(tokens), tokens.tobytes(), enc.decode(tokens)))
-                size += len(out[-1][1])
-                if size > 8 << 20:
-                    yield _batch(ids, out)
-                    ids, out, size = [], [], 0
-            if ids:
-                yield _batch(ids, out)
+            texts = batch.column(1).to_pylist()
+            for positions, group in text_runs(texts):
+                ids = enc.encode_all(group)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(positions)),
+                        pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                        pa.array([enc.decode(x) for x in ids], pa.binary()),
+                    ],
+                    ["id", "n_tokens", "ids", "decoded"],
+                )
 
     schema = f"{id_col} long, n_tokens long, ids binary, decoded binary"
     return keyed_text(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def _batch(ids: list, out: list[tuple]) -> pa.RecordBatch:
-    n, tokens, decoded = zip(*out)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(tokens, pa.binary()), pa.array(decoded, pa.binary())],
-        ["id", "n_tokens", "ids", "decoded"],
-    )
-
-
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return encoded.select(
         id_col,

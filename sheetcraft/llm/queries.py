@@ -8,19 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
 from sheetcraft.llm.ngram_join import jaccard_components
+from sheetcraft.llm.token_ids import shard_digest, write_token_shards
+from sheetcraft.session import scratch_dir
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "token-shards") + "/ids"
+    model = public_tokenizers.path("word_bpe_49k.json")
+    files = write_token_shards(read_table(spark, sf_dir, "documents"), folder, model, end_id=1)
+    return shard_digest(spark, folder, files)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+    return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks))
 
 
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_token_ids": op4_token_ids,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
