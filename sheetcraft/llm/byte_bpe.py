@@ -17,17 +17,15 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetcraft.llm.common import keyed_text, prepare
-from sheetcraft.llm.pieces import spread_ids, text_runs
+from sheetcraft.llm.pieces import LETTER, SPACE, char_classes, spread_ids, text_runs
 
 REMEMBERED = 400_000  # pieces, halves and windows a worker remembers at most, each
 SHORT = 32  # bytes up to which pieces and halves are remembered
@@ -77,22 +75,6 @@ def merge_all(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(out)
 
 
-SPACE, LETTER, NUMBER, OTHER = range(4)
-_CLASSES: list[np.ndarray] = []
-
-
-def char_classes() -> np.ndarray:
-    """White space, letter, number or other, for every code point."""
-    if not _CLASSES:
-        table = np.full(0x110000, OTHER, dtype=np.uint8)
-        every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-        for pattern, kind in ((r"\s", SPACE), (r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
-            found = "".join(regex.findall(pattern, every))
-            table[np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32)] = kind
-        _CLASSES.append(table)
-    return _CLASSES[0]
-
-
 def split_pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
     """All pieces of the texts in order, and how many each text has: the
     matches of PIECES, found from runs of one class of characters."""

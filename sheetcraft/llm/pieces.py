@@ -1,5 +1,5 @@
-"""Ids of many text pieces at once: each distinct piece is looked up once and
-the ids are spread over its places with numpy."""
+"""Characters by class, and ids of many text pieces at once: each distinct
+piece is looked up once and the ids are spread over its places with numpy."""
 
 from __future__ import annotations
 
@@ -8,10 +8,27 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 
 GROUP_CHARS = 4 << 20  # characters whose pieces are told apart at once
 
 
+SPACE, LETTER, NUMBER, OTHER = range(4)
+_CLASSES: list[np.ndarray] = []
+
+
+def char_classes() -> np.ndarray:
+    """White space, letter, number or other, for every code point."""
+    if not _CLASSES:
+        table = np.full(0x110000, OTHER, dtype=np.uint8)
+        every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+        for pattern, kind in ((r"\s", SPACE), (r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+            found = "".join(regex.findall(pattern, every))
+            table[np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32)] = kind
+        _CLASSES.append(table)
+    return _CLASSES[0]
+
+
 def text_runs(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
     """Positions and texts (null: empty) in groups of bounded total length."""
     positions, group, size = [], [], 0

@@ -7,11 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
+from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.ngram_join import jaccard_components
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.session import scratch_dir
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = identify_languages(docs, ~held_out())
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -29,6 +36,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_token_ids": op4_token_ids,
     "op8_byte_bpe": op8_byte_bpe,
