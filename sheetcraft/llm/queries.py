@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
 from sheetcraft.llm.lang_id import held_out, identify_languages
+from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
+from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.session import scratch_dir
 
+# Token share of each quality label in the mix.
+QUALITY_MIX = {"1": 0.97, "0": 0.03}
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -30,6 +35,17 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(spark, folder, files)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules(docs, quality_model(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    mixed = mix_documents(docs, read_table(spark, sf_dir, "labels"), QUALITY_MIX, carry=["doc_id"])
+    return mixed.select("doc_id", "domain", "n_tokens", "rate", "copies")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks))
@@ -39,6 +55,8 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_token_ids": op4_token_ids,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
