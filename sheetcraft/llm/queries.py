@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
@@ -12,11 +13,21 @@ from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
 from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
+from sheetcraft.llm.url_filters import filter_urls
 from sheetcraft.session import scratch_dir
 
 # Token share of each quality label in the mix.
 QUALITY_MIX = {"1": 0.97, "0": 0.03}
 
+# The url rules, verdict and host with path.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -51,6 +62,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels: a page whose id is labelled as of low quality or toxic is bad."""
+    labels = read_table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    known = labels.select(F.col("doc_id").alias("page_id"), bad.alias("blocked"))
+    return filter_urls(read_table(spark, sf_dir, "pages"), known, URL_RULES)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -58,6 +77,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_url_filters": op10_url_filters,
 }
 
 ORACLE_SQL: dict[str, str] = {}
