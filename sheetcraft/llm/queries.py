@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
+from sheetcraft.llm.embed_dedup import embedding_components
 from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
@@ -62,6 +63,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe_round_trip(read_table(spark, sf_dir, "documents"), ranks))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels: a page whose id is labelled as of low quality or toxic is bad."""
     labels = read_table(spark, sf_dir, "labels")
@@ -77,6 +82,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filters": op10_url_filters,
 }
 
