@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sheetcraft.llm.byte_bpe import bpe_round_trip, digests
 from sheetcraft.llm.common import read_table
 from sheetcraft.llm.embed_dedup import embedding_components
+from sheetcraft.llm.html_extract import extract_main_text
 from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
@@ -47,6 +48,10 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(spark, folder, files)
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_rules(docs, quality_model(docs, read_table(spark, sf_dir, "labels")))
@@ -79,6 +84,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_token_ids": op4_token_ids,
+    "op5_html_extract": op5_html_extract,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
