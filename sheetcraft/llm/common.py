@@ -43,9 +43,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only id (long) and text (string); other columns never reach Python."""
-    return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
+def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *others: str) -> DataFrame:
+    """Only id (long), text (string) and named others; the rest never reaches
+    Python."""
+    own = F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col)
+    return docs.select(*own, *others)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -193,33 +193,54 @@ def identify_languages(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    **options,
+) -> DataFrame:
+    """``(id_col, lang_pred, score)``, a row a document row; options and
+    behaviour as in ``identify_documents``."""
+    rows = keyed_text(docs.withColumn(lang_col, F.when(learn, F.col(lang_col))), id_col, text_col, lang_col)
+    found = identify_documents(rows, F.lit(True), id_col, text_col, lang_col, carry=[id_col], **options)
+    return found.select(id_col, "lang_pred", "score")
+
+
+def identify_documents(
+    docs: DataFrame,
+    learn: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    carry: list[str] | None = None,
     docs_per_lang: int = 30,
     languages: int = 40,
     sample_chars: int = 24_000,
 ) -> DataFrame:
-    """``(id_col, lang_pred, score)``, a row a document row, in one pass.
+    """The ``carry`` columns (all by default, but for those named lang_pred or
+    score) with lang_pred and score, a row a document row, in one pass.
 
     The model is learnt from rows where ``learn`` holds and the label is not
     null, from at most ``docs_per_lang`` rows and ``sample_chars`` symbols of
     each of the ``languages`` most frequent labels.  A null text, one without
     a letter, and any text when there is no labelled row give ``und`` and 0.
-    Repeated rows keep their rows; other columns are not read."""
-    spark = docs.sparkSession
-    prepare(spark)
+    Repeated rows keep their rows; columns not carried are not read."""
+    prepare(docs.sparkSession)
     per_doc = math.ceil(4 * sample_chars / docs_per_lang)
     sample = labelled_sample(docs, learn, id_col, text_col, lang_col, docs_per_lang, languages, per_doc)
+    carry = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry is None else carry
+    names = [f"c{i}" for i in range(len(carry))]
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(n) for c, n in zip(carry, names)))
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
 
     def run(batches):
         model = _model(sample, sample_chars)
         for batch in batches:
-            for positions, group in text_runs(batch.column(1).to_pylist()):
+            for positions, group in text_runs(batch.column(0).to_pylist()):
                 langs, scores = model.predict(group)
+                own = batch.take(pa.array(positions))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(positions)), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    ["id", "lang_pred", "score"],
+                    [*own.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    [*names, "lang_pred", "score"],
                 )
 
-    return keyed_text(docs, id_col, text_col).mapInArrow(run, f"{id_col} long, lang_pred string, score double")
+    return rows.mapInArrow(run, fields + "lang_pred string, score double").toDF(*carry, "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -14,6 +14,7 @@ from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
 from sheetcraft.llm.quality import quality_model, quality_rules
+from sheetcraft.llm.substring_dedup import repeated_spans
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.llm.url_filters import filter_urls
 from sheetcraft.session import scratch_dir
@@ -37,6 +38,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat earlier passages, with the word ranges to remove."""
+    docs = read_table(spark, sf_dir, "documents")
+    words = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["to_word"] - x["from_word"])
+    return repeated_spans(docs).select(F.col("id").alias("doc_id"), "removed", words.alias("n_removed_words"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -82,6 +90,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_token_ids": op4_token_ids,
     "op5_html_extract": op5_html_extract,
