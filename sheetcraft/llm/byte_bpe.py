@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import keyed_text, prepare
-from sheetcraft.llm.pieces import LETTER, SPACE, char_classes, spread_ids, text_runs
+from sheetcraft.llm.common import keyed_text, once_a_worker, prepare
+from sheetcraft.llm.pieces import LETTER, SPACE, char_classes, packed, spread_ids, text_runs
 
-REMEMBERED = 400_000  # pieces, halves and windows a worker remembers at most, each
+REMEMBERED = 200_000  # pieces and halves a worker remembers at most, each
 SHORT = 32  # bytes up to which pieces and halves are remembered
 LEAF_BYTES = 12  # bytes that are encoded without halving
 NEVER = 1 << 62
@@ -135,7 +135,7 @@ def merge_short(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class TreeEncoder(dict):
-    """Maps a piece of text to its token ids; remembers what it has seen."""
+    """Maps a piece of text to its packed ids; remembers what it has seen."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
@@ -147,10 +147,10 @@ class TreeEncoder(dict):
         self.halves: dict[bytes, tuple[int, ...]] = {}
         self.windows: dict[tuple[int, ...], tuple[int, ...]] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
         rank = self.ranks.get(raw)
-        ids = self.tree(raw) if rank is None else (rank,)
+        ids = packed(self.tree(raw) if rank is None else (rank,))
         if len(raw) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -189,7 +189,7 @@ class TreeEncoder(dict):
             raw = b"".join([self.tokens[t] for t in inner])
             known = merge_short(raw, self.ranks) if len(raw) <= 48 else merge_all(raw, self.ranks)
             if len(inner) <= 4:
-                if len(self.windows) >= REMEMBERED:
+                if len(self.windows) >= REMEMBERED // 4:
                     self.windows.clear()
                 self.windows[inner] = known
         return known
@@ -209,15 +209,9 @@ class TreeEncoder(dict):
         return bytes(self.token_bytes.take(pa.array(ids)).buffers()[2])
 
 
-_ENCODERS: dict[int, TreeEncoder] = {}
-
-
 def encoder(raw_ranks: bytes) -> TreeEncoder:
-    """The worker's encoder for a rank file, built once a process."""
-    key = zlib.crc32(raw_ranks)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TreeEncoder(read_ranks(raw_ranks))
-    return _ENCODERS[key]
+    """The worker's encoder for a rank file."""
+    return once_a_worker(("bpe", zlib.crc32(raw_ranks)), lambda: TreeEncoder(read_ranks(raw_ranks)))
 
 
 def bpe_round_trip(

@@ -9,17 +9,19 @@ the shared folder (``spark.checkpoint.dir``), which also cuts their lineage.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetcraft.session import scratch_dir, ship_package
 
 BLOCK = 1 << 16  # bytes hashed at a time, so that the arrays stay in cache
-BATCH_TEXT = 4 << 20  # bytes of text worked on at a time
+BATCH_TEXT = 1 << 20  # bytes of text worked on at a time
 
+T = TypeVar("T")
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -31,6 +33,18 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+_WORKER: dict[object, object] = {}
+
+
+def once_a_worker(key: object, build: Callable[[], T]) -> T:
+    """What ``build`` makes, kept by the Python worker until another is asked
+    for: workers outlive stages, and hold one model at a time."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = build()
+    return _WORKER[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,6 +64,11 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(*own, *others)
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells rows of one id, or of none, apart by their text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n."""
     inv = pow(_BASE, -1, 1 << 64)

@@ -3,14 +3,15 @@ piece is looked up once and the ids are spread over its places with numpy."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-GROUP_CHARS = 4 << 20  # characters whose pieces are told apart at once
+GROUP_CHARS = 1 << 20  # characters whose pieces are told apart at once
 
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -43,16 +44,22 @@ def text_runs(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
         yield positions, group
 
 
+def packed(ids: Sequence[int]) -> bytes:
+    """Ids as unsigned 32-bit integers, a compact form to remember."""
+    return array("I", ids).tobytes()
+
+
 def spread_ids(
-    pieces: pa.Array, per_text: np.ndarray, lookup: Callable[[list[str]], list[tuple[int, ...]]]
+    pieces: pa.Array, per_text: np.ndarray, lookup: Callable[[list[str]], list[bytes]]
 ) -> list[np.ndarray]:
-    """Ids (uint32) of each text from its pieces."""
+    """Ids (uint32) of each text from its pieces; ``lookup`` gives the packed
+    ids of distinct pieces."""
     if not len(pieces):
         return [np.empty(0, dtype=np.uint32)] * len(per_text)
     coded = pieces.dictionary_encode()
     known = lookup(coded.dictionary.to_pylist())
-    sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known))
-    flat = np.fromiter(chain.from_iterable(known), dtype=np.uint32, count=int(sizes.sum()))
+    sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) >> 2
+    flat = np.frombuffer(b"".join(known), dtype=np.uint32)
     first = np.cumsum(sizes) - sizes
     index = coded.indices.to_numpy()
     counts = sizes.take(index)

@@ -32,13 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import joined, keyed_text, prepare, spaces, written
-from sheetcraft.llm.pieces import spread_ids, text_runs
+from sheetcraft.llm.common import joined, keyed_text, once_a_worker, prepare, spaces, written
+from sheetcraft.llm.pieces import packed, spread_ids, text_runs
 
 MAGIC = b"TID1"
 BLOCK_IDS = 1 << 20  # ids after which a block ends (documents are whole)
 REMEMBERED = 400_000  # pieces whose ids a worker remembers
 SHORT = 48  # characters up to which a piece is remembered
+_BYTES = np.arange(256, dtype=np.uint8)
+_LETTER = np.isin(_BYTES, np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", dtype=np.uint8))
+_MARK = np.isin(_BYTES, np.frombuffer(b".,;:!?", dtype=np.uint8))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 NULL_ID = -(1 << 63)  # stands for a null document id in the files
 
 # Bytes of each of the four values of a control byte.
@@ -87,52 +91,54 @@ def read_block(raw: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray
 
 
 class PieceEncoder:
-    """A tokenizers model applied to the white-space pieces of texts.
+    """A tokenizers model applied to pieces of texts.
 
-    The model drops white space, so the ids of a text are those of its pieces
-    one after another; distinct pieces are encoded once and remembered."""
+    The model lower-cases, drops white space and never joins a letter with a
+    punctuation mark, so the ids of a text are those of its pieces one after
+    another; distinct pieces are encoded once and remembered."""
 
     def __init__(self, model_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model_json)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def lookup(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def lookup(self, pieces: list[str]) -> list[bytes]:
         known = self.known
         out = [known.get(p) for p in pieces]
         missing = [i for i, ids in enumerate(out) if ids is None]
         if missing:
-            coded = self.model.encode_batch([pieces[i] for i in missing], add_special_tokens=False)
+            coded = self.model.encode_batch_fast([pieces[i] for i in missing], add_special_tokens=False)
             if len(known) + len(missing) > REMEMBERED:
                 known.clear()
-            for i, ids in zip(missing, coded):
-                out[i] = tuple(ids.ids)
+            for i, found in zip(missing, coded):
+                out[i] = packed(found.ids)
                 if len(pieces[i]) <= SHORT:
                     known[pieces[i]] = out[i]
         return out
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, from pieces of a word and the white space after it."""
+        """Ids of each text.  A piece is white space and what follows it up to
+        the next white space, or to a mark after an ASCII letter.  ASCII
+        letters are lower-cased first, unless there may be the text of a
+        special token, which is told by its case."""
         data, offsets = joined([t.encode() for t in texts])
+        if b"<|" not in data.tobytes():
+            data = _LOWER.take(data)
         blank = spaces(data)
-        word = ~blank
-        word[1:] &= blank[:-1]
-        at = np.flatnonzero(word)
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        start[1:] |= _MARK.take(data[1:]) & _LETTER.take(data[:-1])
+        start[offsets[:-1]] = True
+        at = np.flatnonzero(start)
         bounds = np.append(at, len(data)).astype(np.int64)
         pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(data))
         return spread_ids(pieces, np.diff(np.searchsorted(at, offsets)), self.lookup)
 
 
-_ENCODERS: dict[int, PieceEncoder] = {}
-
-
 def _encoder(model_json: str) -> PieceEncoder:
-    key = zlib.crc32(model_json.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(model_json)
-    return _ENCODERS[key]
+    return once_a_worker(("pieces", zlib.crc32(model_json.encode())), lambda: PieceEncoder(model_json))
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
