@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import prepare
+from sheetcraft.llm.common import once_a_worker, prepare
 from sheetcraft.llm.dom import Node, attribute_values, block_tree
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -271,14 +271,9 @@ def train_model(sample: Iterable[str], layouts: int) -> TreeModel:
     return model
 
 
-_MODELS: dict[tuple[int, int], TreeModel] = {}
-
-
 def _model(sample: list[str], layouts: int) -> TreeModel:
-    key = (zlib.crc32("\0".join(sample).encode("utf-8", "surrogatepass")), layouts)
-    if key not in _MODELS:
-        _MODELS[key] = train_model(sample, layouts)
-    return _MODELS[key]
+    key = ("pages", zlib.crc32("\0".join(sample).encode("utf-8", "surrogatepass")), layouts)
+    return once_a_worker(key, lambda: train_model(sample, layouts))
 
 
 def extract_main_text(

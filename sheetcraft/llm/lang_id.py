@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import keyed_text, prepare
+from sheetcraft.llm.common import keyed_text, once_a_worker, prepare
 from sheetcraft.llm.pieces import LETTER, char_classes, text_runs
 
 ROW = 256
@@ -34,46 +34,44 @@ ENDED = 1 << 30  # a phrase ended on the way to this state
 UNDETERMINED = "und"
 
 
-def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
-    """Transitions of the smallest automaton of all factors of a sequence."""
-    step: list[dict[int, int]] = [{}]
+def suffix_automaton(symbols: list[int]) -> np.ndarray:
+    """Transitions (states x symbols, -1 for none) of the smallest automaton
+    of all factors of a sequence."""
+    step = np.full((max(2, 2 * len(symbols)), SYMBOLS), -1, dtype=np.int32)
     link, length, last = [-1], [0], 0
     for c in symbols:
-        new = len(step)
-        step.append({})
+        new = len(link)
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and c not in step[p]:
-            step[p][c] = new
+        while p >= 0 and step[p, c] < 0:
+            step[p, c] = new
             p = link[p]
         if p >= 0:
-            q = step[p][c]
+            q = int(step[p, c])
             if length[q] == length[p] + 1:
                 link[new] = q
             else:
-                copy = len(step)
-                step.append(dict(step[q]))
+                copy = len(link)
+                step[copy] = step[q]
                 link.append(link[q])
                 length.append(length[p] + 1)
                 link[q] = link[new] = copy
-                while p >= 0 and step[p].get(c) == q:
-                    step[p][c] = copy
+                while p >= 0 and step[p, c] == q:
+                    step[p, c] = copy
                     p = link[p]
         last = new
-    return step
+    return step[: len(link)].copy()
 
 
 def parse_table(symbols: list[int]) -> np.ndarray:
     """``table[state * SYMBOLS + symbol]``: next state * SYMBOLS, plus ENDED
     where the phrase cannot go on and the symbol starts a new one."""
-    step = suffix_automaton(symbols)
-    table = np.full((len(step), SYMBOLS), -1, dtype=np.int32)
-    for state, own in enumerate(step):
-        for c, to in own.items():
-            table[state, c] = to * SYMBOLS
-    restart = np.where(table[0] < 0, 0, table[0]) | ENDED
-    table = np.where(table < 0, restart[None, :], table)
+    table = suffix_automaton(symbols)
+    none = table < 0
+    table *= SYMBOLS
+    restart = np.where(none[0], 0, table[0]) | ENDED
+    np.copyto(table, restart[None, :], where=none)
     table[:, PADDING] = 0
     return table.ravel()
 
@@ -159,14 +157,9 @@ class LanguageModel:
         return langs, scores
 
 
-_MODELS: dict[tuple[int, int], LanguageModel] = {}
-
-
 def _model(sample: list[tuple[str, str]], chars: int) -> LanguageModel:
-    key = (zlib.crc32(repr(sample).encode("utf-8", "surrogatepass")), chars)
-    if key not in _MODELS:
-        _MODELS[key] = LanguageModel(sample, chars)
-    return _MODELS[key]
+    key = ("language", zlib.crc32(repr(sample).encode("utf-8", "surrogatepass")), chars)
+    return once_a_worker(key, lambda: LanguageModel(sample, chars))
 
 
 def labelled_sample(
@@ -211,7 +204,7 @@ def identify_documents(
     carry: list[str] | None = None,
     docs_per_lang: int = 30,
     languages: int = 40,
-    sample_chars: int = 24_000,
+    sample_chars: int = 12_000,
 ) -> DataFrame:
     """The ``carry`` columns (all by default, but for those named lang_pred or
     score) with lang_pred and score, a row a document row, in one pass.
