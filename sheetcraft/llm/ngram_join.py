@@ -22,7 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import FOLDED, joined, keyed_text, mix, prepare, shingle_hashes, text_groups, word_hashes, written
+from sheetcraft.llm.common import (
+    FOLDED,
+    joined,
+    keyed_text,
+    mix,
+    prepare,
+    shingle_hashes,
+    text_groups,
+    text_key,
+    word_hashes,
+    written,
+)
 from sheetcraft.llm.graph import components, star_edges
 from sheetcraft.llm.setjoin import band_of, linked_sets, size_bands
 
@@ -45,6 +56,13 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return out
 
 
+def set_hash(items: np.ndarray) -> int | None:
+    """What identical sets have in common; none for the empty set."""
+    if not len(items):
+        return None
+    return int(mix(np.array([items.sum(dtype=_U) + _U(len(items))], dtype=_U)).view(np.int64)[0])
+
+
 def max_difference(band: tuple[int, int], num: int, den: int) -> int:
     """Most items in which two sets differ whose smaller one lies in ``band``."""
     return band[1] * (den - num) // num
@@ -93,21 +111,20 @@ def _describe(num: int, den: int, k: int):
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.select(["id", "key"]), batch.column("text").to_pylist()
             for positions, group in text_groups(range(len(texts)), texts):
                 sets = shingle_sets(group, k)
                 sigs = [signatures(s, bands, num, den) if len(s) else s for s in sets]
                 lengths = np.concatenate(([0], np.cumsum([len(s) for s in sigs])))
                 flat = np.concatenate(sigs).view(np.int64)
-                set_id = [int(mix(np.array([s.sum(dtype=_U) + _U(len(s))], dtype=_U)).view(np.int64)[0]) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(positions)),
+                        *ids.take(pa.array(positions)).columns,
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(set_id, pa.int64()),
+                        pa.array([set_hash(s) for s in sets], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64())),
                     ],
-                    ["id", "n_items", "set_id", "sigs"],
+                    ["id", "key", "n_items", "set_id", "sigs"],
                 )
 
     return run
@@ -118,15 +135,18 @@ def _members(num: int, den: int, k: int):
 
     def run(batches):
         for batch in batches:
-            rows, texts = batch.select(["node", "root"]), batch.column("text").to_pylist()
+            nodes, texts = batch.column("node").to_pylist(), batch.column("text").to_pylist()
             for positions, group in text_groups(range(len(texts)), texts):
                 sets = shingle_sets(group, k)
+                # Rows equal in id and text hash may still differ in text.
+                own = [(p, s) for p, s in zip(positions, sets) if set_hash(s) == nodes[p]]
+                if not own:
+                    continue
+                at, sets = zip(*own)
                 lengths = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-                own = rows.take(pa.array(positions))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        own.column(0),
-                        own.column(1),
+                        *batch.select(["node", "root"]).take(pa.array(at)).columns,
                         pa.array([band_of(bands, len(s)) for s in sets], pa.int32()),
                         pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))),
                     ],
@@ -153,21 +173,22 @@ def jaccard_components(
     read.  An empty table gives an empty result."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = keyed_text(docs, id_col, text_col).toDF("id", "text")
+    rows = keyed_text(docs, id_col, text_col).toDF("id", "text").select("id", text_key(F.col("text")).alias("key"), "text")
     described = written(
-        rows.mapInArrow(_describe(num, den, k), "id long, n_items long, set_id long, sigs array<long>"), "partenum"
+        rows.mapInArrow(_describe(num, den, k), "id long, key long, n_items long, set_id long, sigs array<long>"), "partenum"
     )
     postings = described.select(F.col("set_id").alias("node"), F.explode("sigs").alias("sig"))
     clusters = components(star_edges(postings, "sig", "node"))
     chosen = (
         described.where("set_id is not null")
-        .select(F.col("set_id").alias("node"), "id")
+        .select(F.col("set_id").alias("node"), "id", "key")
         .join(clusters, "node")
         .groupBy("node", "root")
-        .agg(F.min("id").alias("id"))
+        .agg(F.min(F.struct("id", "key")).alias("at"))
     )
+    holder = rows.join(chosen, rows["id"].eqNullSafe(chosen["at.id"]) & (rows["key"] == chosen["at.key"]))
     sets = written(
-        rows.join(chosen, "id").select("node", "root", "text").mapInArrow(
+        holder.select("node", "root", "text").mapInArrow(
             _members(num, den, k), "node long, root long, band int, items array<long>"
         ),
         "sets",

@@ -24,10 +24,10 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import FOLDED, joined, mix, powers, prepare, shingle_hashes, text_groups, word_hashes, written
+from sheetcraft.llm.common import FOLDED, joined, mix, powers, prepare, shingle_hashes, text_groups, text_key, word_hashes, written
 from sheetcraft.llm.graph import components, star_edges
 from sheetcraft.llm.setjoin import band_of, linked_sets, size_bands
 
@@ -268,10 +268,6 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"\n".join(out).decode("utf-8", "surrogatepass")
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 80, den: int = 100, recall: float = 0.95
 ) -> DataFrame:
