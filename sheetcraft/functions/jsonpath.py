@@ -18,12 +18,12 @@ def parse_filters(c: Column | str) -> Column:
     texts; anything else (bad JSON, not an object, no or empty ``Filters``,
     ``Filters`` not a list) -> null.  Runs JVM-side.
 
-    Difference to Python's ``json.loads``: trailing text after a valid value is
-    accepted.  ``parse_filters_strict`` matches ``json.loads`` exactly.
+    The whole text must be one JSON value (``from_json`` alone would accept text
+    after it).  ``parse_filters_strict`` matches ``json.loads`` exactly.
     """
     col = F.col(c) if isinstance(c, str) else c
     arr = F.from_json(col, FILTERS_SCHEMA).getField("Filters")
-    return F.when(F.size(arr) > 0, arr)
+    return F.when((F.size(arr) > 0) & F.try_parse_json(col).isNotNull(), arr)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

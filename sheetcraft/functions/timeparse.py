@@ -20,20 +20,11 @@ def parse_action_time(c: Column | str, on_error: str = "raise", fmt: str = ACTIO
     reference's behaviour); ``"null"`` turns it into null.
     """
     col = F.col(c) if isinstance(c, str) else c
-    fmt_lit = F.lit(fmt)
-    ok = F.try_to_timestamp(col, fmt_lit).isNotNull()
-    parsed = F.to_timestamp_ntz(col, fmt_lit)
     if on_error == "null":
-        return F.when(ok, parsed)
+        return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
     if on_error != "raise":
         raise ValueError(f"on_error must be 'raise' or 'null', got {on_error!r}")
-    return (
-        F.when(col.isNull(), F.lit(None).cast("timestamp_ntz"))
-        .when(ok, parsed)
-        .otherwise(
-            F.raise_error(F.concat(F.lit("unparseable action time: "), col)).cast("timestamp_ntz")
-        )
-    )
+    return F.to_timestamp_ntz(col, F.lit(fmt))
 
 
 def format_action_time(c: Column | str) -> Column:

@@ -1,20 +1,12 @@
-"""Row numbering within groups that stays exact and distributed for hot groups.
-
-``row_number() over (partition by keys order by cols)`` sends a whole group
-to one task.  Here groups are sized first (partial aggregate).  Groups up to
-``hot_rows`` rows use that window directly.  Larger groups are cut into range
-buckets of about ``bucket_rows`` rows: splitters are order statistics of a
-deterministic sample of the group (compared as structs, which order
-lexicographically with nulls first, the window's order), each bucket is
-numbered by its own window, and a small prefix sum of bucket sizes gives the
-offsets.  The numbers equal the plain window's.
-
-Bounded sides: the hot-key table has at most rows/hot_rows entries; splitters
-and offsets have about rows/bucket_rows entries; AQE broadcasts them when
-their runtime size allows.  When keys and ordering columns are all the columns
-(copies are interchangeable), copies are counted by a partial aggregate and
-regenerated in bounded chunks, so a hot block of copies is spread too;
-otherwise rows identical in every ordering column share a bucket.
+"""Exact numbering within groups, with one plan for every group size.
+
+Rows are range-partitioned by (keys, order, tie breaker) and written with
+their partition number, so a group of any size, null keys included, lies in as
+many consecutive partitions as its rows fill, and copies of a row may lie in
+several.  Within a partition a window numbers the rows of each key; the rows
+of the key in earlier partitions (a table with a row a key and partition) are
+the offset.  The numbers equal those of ``row_number() over (partition by keys
+order by order)``; no task sees more of a key than one partition holds.
 """
 
 from __future__ import annotations
@@ -24,132 +16,57 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES_PER_BUCKET = 32
+from sheetcraft.sources.files import materialize
+
+KEY, ORDER, TIE, COPY, PART = "__key", "__order", "__tie", "__copy", "__part"
+HELPERS = (KEY, ORDER, TIE, COPY, PART)
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    hot_rows: int = 2_000_000,
-    bucket_rows: int = 500_000,
-) -> DataFrame:
+def _struct(columns: Sequence[str]) -> Column:
+    """Columns as one value: compares by column, nulls first and equal."""
+    return F.struct(*[_q(c).alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df``, written in range partitions of (keys, order): adds the key and
+    order structs, two tie breakers (a hash of the row, and a number that
+    tells copies apart) and the partition number, increasing in that order."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = [c for c, t in df.dtypes if t != "variant" and not t.startswith("map<")]
+    ranged = df.withColumns(
+        {
+            KEY: _struct(keys),
+            ORDER: _struct(order),
+            TIE: F.xxhash64(*[_q(c) for c in plain]),
+            COPY: F.monotonically_increasing_id(),
+        }
+    ).repartitionByRange(partitions, KEY, ORDER, TIE, COPY)
+    return materialize(ranged.withColumn(PART, F.spark_partition_id()), "in-order")
+
+
+def within_part() -> Window:
+    """A key's rows of one partition, in order."""
+    return Window.partitionBy(PART, KEY).orderBy(ORDER, TIE, COPY)
+
+
+def earlier_parts() -> Window:
+    """The partitions of a key before the current one."""
+    return Window.partitionBy(KEY).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
     """Add ``out`` (bigint, from 1) numbering rows within ``keys`` by ``order``
-    ascending, nulls first.  Rows with a null key are numbered too (as one
-    group each key value, null included); callers that want null -> null
-    split them off first."""
-    key_cols = [_q(k) for k in keys]
-    order_cols = [_q(c).asc_nulls_first() for c in order]
-    window = Window.partitionBy(*key_cols).orderBy(*order_cols)
-    hot = hot_keys(df, keys, hot_rows)
-    # Without hot groups the plan is the plain window.
-    if hot is None:
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    cold = df.join(hot, list(keys), "left_anti")
-    cold_out = cold.withColumn(out, F.row_number().over(window).cast("bigint"))
-
-    hot_rows_df = df.join(hot, list(keys), "left_semi")
-    if set(df.columns) == set(keys) | set(order):
-        hot_out = _number_collapsed(hot_rows_df, keys, order, out, bucket_rows)
-        return cold_out.select(*[_q(c) for c in df.columns], out).unionByName(
-            hot_out.select(*[_q(c) for c in df.columns], out)
-        )
-    bucketed = range_buckets(hot_rows_df, keys, order, bucket_rows)
-    local = bucketed.withColumn(
-        "__l", F.row_number().over(Window.partitionBy(*key_cols, F.col("__b")).orderBy(*order_cols))
-    )
-    counts = bucketed.groupBy(*key_cols, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    offsets = counts.withColumn(
-        "__off",
-        F.coalesce(
-            F.sum("__c").over(
-                Window.partitionBy(*key_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).drop("__c")
-    hot_out = (
-        local.join(offsets, list(keys) + ["__b"])
-        .withColumn(out, (F.col("__off") + F.col("__l")).cast("bigint"))
-        .select(*[_q(c) for c in df.columns], out)
-    )
-    return cold_out.select(*[_q(c) for c in df.columns], out).unionByName(hot_out)
-
-
-def _number_collapsed(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, bucket_rows: int,
-                      chunk_rows: int = 100_000) -> DataFrame:
-    """Hot groups whose rows are fully described by keys + order: copies are
-    interchangeable, so they are counted by a partial aggregate, the distinct
-    rows are numbered by running sums of their copy counts (range buckets +
-    offsets), and the copies are regenerated in chunks of at most
-    ``chunk_rows`` numbers, spread over tasks before they are expanded."""
-    key_cols = [_q(k) for k in keys]
-    order_cols = [_q(c).asc_nulls_first() for c in order]
-    distinct = df.groupBy(*key_cols, *[_q(c) for c in order]).agg(F.count(F.lit(1)).alias("__c"))
-    bucketed = range_buckets(distinct, keys, order, bucket_rows)
-    running = Window.partitionBy(*key_cols, F.col("__b")).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = bucketed.withColumn("__end", F.sum("__c").over(running))
-    sizes = bucketed.groupBy(*key_cols, "__b").agg(F.sum("__c").alias("__s"))
-    offsets = sizes.withColumn(
-        "__off",
-        F.coalesce(
-            F.sum("__s").over(Window.partitionBy(*key_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).drop("__s")
-    ranged = (
-        local.join(offsets, list(keys) + ["__b"])
-        .withColumn("__last", F.col("__off") + F.col("__end"))
-        .withColumn("__first", F.col("__last") - F.col("__c") + 1)
-    )
-    chunk = F.lit(chunk_rows).cast("bigint")
-    n_chunks = F.floor((F.col("__c") - 1) / chunk).cast("bigint")
-    chunks = ranged.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks))).withColumn(
-        "__from", F.col("__first") + F.col("__k") * chunk
-    ).withColumn("__to", F.least(F.col("__last"), F.col("__from") + chunk - 1))
-    spread = chunks.repartition(*key_cols, F.col("__from"))
-    numbered = spread.withColumn(out, F.explode(F.sequence(F.col("__from").cast("bigint"), F.col("__to").cast("bigint"))))
-    return numbered.select(*[_q(c) for c in df.columns], out)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows (partial aggregate), or None when
-    there are none (one small job, one row back)."""
-    sizes = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(*[_q(k) for k in keys])
-    return None if hot.limit(1).count() == 0 else hot
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket_rows: int) -> DataFrame:
-    """Add ``__t`` (the ordering struct) and ``__b``, a range bucket within
-    each key: monotone in ``order`` (ascending, nulls first), about
-    ``bucket_rows`` rows per bucket, from a deterministic sample's splitters."""
-    key_cols = [_q(k) for k in keys]
-    tup = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)])
-    with_t = df.withColumn("__t", tup)
-    rate = min(1.0, SAMPLES_PER_BUCKET / float(bucket_rows))
-    h = F.abs(F.xxhash64(*[_q(c) for c in list(keys) + list(order)]) % F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = with_t.filter(h < rate).select(*key_cols, "__t")
-    ranked = sample.withColumn("__i", F.row_number().over(Window.partitionBy(*key_cols).orderBy("__t"))).withColumn(
-        "__m", F.count(F.lit(1)).over(Window.partitionBy(*key_cols))
-    )
-    step = F.greatest(F.lit(1), F.ceil(F.col("__m") / F.lit(float(SAMPLES_PER_BUCKET))))
-    splitters = (
-        ranked.filter((F.col("__i") % step) == 0)
-        .groupBy(*key_cols)
-        .agg(F.array_sort(F.collect_list("__t")).alias("__s"))
-    )
-    bucketed = with_t.join(splitters, list(keys), "left").withColumn(
-        "__b",
-        F.when(F.col("__s").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter(F.col("__s"), lambda s: s <= F.col("__t")))
-        ),
+    ascending, nulls first; null keys are values like any other.  Rows equal
+    in ``order`` are numbered in the order of a hash of all their columns.
+    Writes one table to the shared folder."""
+    rows = in_order(df, keys, order)
+    counts = rows.groupBy(PART, KEY).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(PART, KEY, F.coalesce(F.sum("__n").over(earlier_parts()), F.lit(0)).alias("__before"))
+    numbered = rows.withColumn("__here", F.row_number().over(within_part()))
+    return numbered.join(offsets, [PART, KEY]).select(
+        *[_q(c) for c in df.columns if c != out], (F.col("__before") + F.col("__here")).cast("bigint").alias(out)
     )
-    return bucketed.drop("__s")

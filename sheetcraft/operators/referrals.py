@@ -98,29 +98,26 @@ def _null_key_rows(df: DataFrame, distinct: bool, filtered: bool = False) -> Dat
     return out.dropDuplicates() if distinct else out
 
 
-def _number_keyed(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int = 500_000) -> DataFrame:
+def _number_keyed(df: DataFrame) -> DataFrame:
     """Numbered rows of ``df`` whose group key is present (projected)."""
     from sheetcraft.operators.numbering import number_rows
 
     keyed = _project(df.withColumn(SEARCH_NO, F.lit(None).cast("bigint"))).drop(SEARCH_NO)
-    numbered = number_rows(keyed.filter(keys_present()), GROUP_KEYS, _ORDER_COLUMNS, SEARCH_NO, hot_rows, bucket_rows)
-    return _project(numbered)
+    return _project(number_rows(keyed.filter(keys_present()), GROUP_KEYS, _ORDER_COLUMNS, SEARCH_NO))
 
 
-def number_searches(df: DataFrame, hot_rows: int = 2_000_000, bucket_rows: int = 500_000) -> DataFrame:
+def number_searches(df: DataFrame) -> DataFrame:
     """Number rows within (ReferralID, Date of Action) from 1; null key -> null.
 
     The number is an identifier, not an order; ties are broken by every other
-    output column (ascending, nulls first) so it is deterministic.  Groups
-    above ``hot_rows`` rows are numbered in range buckets
-    (``sheetcraft.operators.numbering``), with the same numbers.
+    output column (ascending, nulls first) so it is deterministic.
     """
-    return _number_keyed(df, hot_rows, bucket_rows).unionByName(_null_key_rows(df, distinct=False))
+    return _number_keyed(df).unionByName(_null_key_rows(df, distinct=False))
 
 
-def process_referral_action_logs(df: DataFrame, on_error: str = "raise", hot_rows: int = 2_000_000) -> DataFrame:
+def process_referral_action_logs(df: DataFrame, on_error: str = "raise") -> DataFrame:
     """Anonymise, parse times, number searches, project the 11 output columns."""
-    return number_searches(parse_times(anonymise(df), on_error), hot_rows=hot_rows)
+    return number_searches(parse_times(anonymise(df), on_error))
 
 
 def clean_numbered_antijoin(numbered: DataFrame, threshold: int = MAX_SEARCHES_PER_MINUTE) -> DataFrame:
@@ -143,12 +140,17 @@ def clean_numbered_window(numbered: DataFrame, threshold: int = MAX_SEARCHES_PER
     return _project(kept).unionByName(_project(nulls))
 
 
+def _oversized(keyed: DataFrame, threshold: int) -> DataFrame:
+    """Group keys with more rows than the threshold (partial aggregate)."""
+    return keyed.groupBy(*[_q(k) for k in GROUP_KEYS]).count().filter(F.col("count") > threshold).drop("count")
+
+
 def clean_referrals(
     df: DataFrame,
     on_error: str = "raise",
     threshold: int = MAX_SEARCHES_PER_MINUTE,
     method: str = "presize",
-    hot_rows: int = 100_000,
+    dedup_first: bool = False,
 ) -> DataFrame:
     """process + clean in one plan.
 
@@ -157,26 +159,24 @@ def clean_referrals(
         oversized keys, number the survivors (groups of <= threshold rows).
       * ``"window"``: number everything, then a max window on the same keys.
       * ``"antijoin"``: the reference's numbered -> distinct -> anti join.
-    All three give the same rows.
+    All three give the same rows.  ``dedup_first`` drops copies of a whole row
+    before anything is counted or numbered, so copies do not add up to an
+    oversized group.
     """
+    if dedup_first:
+        df = df.dropDuplicates()
     base = parse_times(anonymise(df), on_error)
     if method == "window":
-        # A group above hot_rows (> threshold) is dropped anyway: remove such
-        # groups first so the max window only sees bounded groups.
-        from sheetcraft.operators.numbering import hot_keys
-
-        hot_rows = max(threshold, hot_rows)
+        # Oversized groups go first, so the window sees bounded groups only.
         keyed = base.filter(keys_present())
-        hot = hot_keys(keyed, GROUP_KEYS, hot_rows)
-        if hot is not None:
-            keyed = keyed.join(hot, GROUP_KEYS, "left_anti")
+        keyed = keyed.join(_oversized(keyed, threshold), GROUP_KEYS, "left_anti")
         # numbering, distinct and the max window share one key partitioning
         numbered = _project(keyed.withColumn(SEARCH_NO, F.row_number().over(_number_window()).cast("bigint")))
         top = F.max(_q(SEARCH_NO)).over(Window.partitionBy(*[_q(k) for k in GROUP_KEYS]))
         kept = numbered.dropDuplicates().withColumn("__top", top).filter(F.col("__top") <= threshold)
         return _project(kept).unionByName(_null_key_rows(base, distinct=True))
     if method == "antijoin":
-        numbered = _number_keyed(base, hot_rows=max(threshold, hot_rows))
+        numbered = _number_keyed(base)
         dedup = numbered.dropDuplicates()
         bad = dedup.filter(_q(SEARCH_NO) > threshold).select(*[_q(k) for k in GROUP_KEYS]).distinct()
         kept = dedup.join(bad, GROUP_KEYS, "left_anti")
@@ -194,13 +194,7 @@ def clean_referrals(
     else:
         keyed = base.filter(keys_present())
         null_part = _null_key_rows(base, distinct=True)
-    oversized = (
-        keyed.groupBy(*[_q(k) for k in GROUP_KEYS])
-        .count()
-        .filter(F.col("count") > threshold)
-        .drop("count")
-    )
-    kept = keyed.join(oversized, GROUP_KEYS, "left_anti")
+    kept = keyed.join(_oversized(keyed, threshold), GROUP_KEYS, "left_anti")
     numbered = kept.withColumn(SEARCH_NO, F.row_number().over(_number_window()).cast("bigint"))
     return _project(numbered).unionByName(null_part)
 
@@ -231,6 +225,7 @@ def flatten_json(
     column: str = NOTES,
     schema: str | None = None,
     clash_suffix: str = "_filter",
+    on_clash: str = "suffix",
 ) -> DataFrame:
     """Replace a JSON-object text column by one column per leaf (nested objects
     become dotted names such as ``b.c``; lists stay whole).
@@ -239,7 +234,7 @@ def flatten_json(
     (``schema_of_variant_agg`` over object values only) unless ``schema`` (a
     Spark DDL type such as ``struct<a: bigint, b: struct<c: bigint>>``) is
     given.  Non-object values give an all-null row.  A leaf named like an
-    existing column gets ``clash_suffix``.
+    existing column gets ``clash_suffix``, or raises with ``on_clash="error"``.
     """
     from pyspark.sql import types as T
 
@@ -279,6 +274,8 @@ def flatten_json(
         type_name = "string" if isinstance(leaf_type, (T.VariantType, T.NullType)) else leaf_type.simpleString()
         name = ".".join(path)
         if name in taken:
+            if on_clash == "error":
+                raise ValueError(f"leaf {name!r} of {column!r} is named like a column")
             name = name + clash_suffix
         taken.add(name)
         out_cols.append(F.try_variant_get(obj, json_path, type_name).alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -227,45 +227,30 @@ def forward_fill(
     columns: Sequence[str],
     partition_by: Sequence[str],
     order_by: Sequence[str],
-    hot_rows: int = 2_000_000,
-    bucket_rows: int = 500_000,
 ) -> DataFrame:
     """Fill nulls downward with the last non-null value in ``order_by`` order
-    (ascending, nulls first) within ``partition_by``.
+    (ascending, nulls first) within ``partition_by``; a null there is a value
+    like any other.
 
-    Groups above ``hot_rows`` rows are cut into range buckets: each bucket is
-    filled by its own window, and a value is carried in from the last non-null
-    of the earlier buckets (a table with one row per bucket).  No task holds
-    more than about ``bucket_rows`` rows of one group.
+    Rows are range-partitioned as for numbering: each partition fills its part
+    of a group, and the last value of the group's earlier partitions (a row a
+    group and partition) is carried in.  One plan for every group size.
     """
-    from pyspark.sql import Window
-
-    from sheetcraft.operators.numbering import hot_keys, range_buckets
-
-    keys = [_q(c) for c in partition_by]
-    order = [_q(c).asc_nulls_first() for c in order_by]
-    running = Window.unboundedPreceding, Window.currentRow
-
-    def local_fill(frame: DataFrame, part: list) -> DataFrame:
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(*running)
-        return frame.withColumns({c: F.last(_q(c), ignorenulls=True).over(w) for c in columns})
-
-    hot = hot_keys(df, partition_by, hot_rows)
-    if hot is None:
-        return local_fill(df, keys)
-    cold = local_fill(df.join(hot, list(partition_by), "left_anti"), keys)
-    bucketed = range_buckets(df.join(hot, list(partition_by), "left_semi"), partition_by, order_by, bucket_rows)
-    filled = local_fill(bucketed, keys + [F.col("__b")])
-    # last non-null per bucket, then carried into the later buckets
-    last = bucketed.groupBy(*keys, "__b").agg(
-        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), F.col("__t"))).alias(f"__last{i}") for i, c in enumerate(columns)]
+    from sheetcraft.operators.numbering import COPY, KEY, ORDER, PART, TIE, earlier_parts, in_order, within_part
+
+    rows = in_order(df, partition_by, order_by)
+    running = within_part().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = rows.withColumns({c: F.last(_q(c), ignorenulls=True).over(running) for c in columns})
+    place = F.struct(ORDER, TIE, COPY)
+    ends = rows.groupBy(PART, KEY).agg(
+        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), place)).alias(f"__end{i}") for i, c in enumerate(columns)]
     )
-    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select(
-        *keys, "__b", *[F.last(f"__last{i}", ignorenulls=True).over(earlier).alias(f"__in{i}") for i in range(len(columns))]
+    carried = ends.select(
+        PART,
+        KEY,
+        *[F.last(f"__end{i}", ignorenulls=True).over(earlier_parts()).alias(f"__in{i}") for i in range(len(columns))],
     )
-    hot_out = filled.join(carry, list(partition_by) + ["__b"]).withColumns(
+    out = filled.join(carried, [PART, KEY]).withColumns(
         {c: F.coalesce(_q(c), F.col(f"__in{i}")) for i, c in enumerate(columns)}
     )
-    cols = [_q(c) for c in df.columns]
-    return cold.select(*cols).unionByName(hot_out.select(*cols))
+    return out.select(*[_q(c) for c in df.columns])

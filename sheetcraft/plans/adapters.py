@@ -60,12 +60,12 @@ from {part}
 """
 
 DETAILS_SQL = """
-select p_partkey as record_id,
+select case when p_partkey % 5 = 4 then -p_partkey else p_partkey end as record_id,
   case when p_partkey % 3 = 0 then p_retailprice end as infant_rate,
   case when p_partkey % 4 = 0 then p_size end as infant_capacity,
   case when p_partkey % 6 = 0 then p_retailprice * 2 end as toddler_rate,
   case when p_partkey % 8 = 0 then p_size + 1 end as toddler_capacity
-from {part} where p_partkey % 5 <> 4
+from {part}
 """
 
 ADAPTERS = {

@@ -18,7 +18,6 @@ from sheetcraft.functions.regions import REGIONS, counties
 from sheetcraft.functions.text import snake
 from sheetcraft.operators import action_logs, referrals
 from sheetcraft.operators import headers as H
-from sheetcraft.operators import metrics as M
 from sheetcraft.operators import programs as P
 from sheetcraft.operators import reshape as R
 from sheetcraft.plans import adapters as A
@@ -228,7 +227,8 @@ def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.read_table(spark, sf_dir, "documents").select("lang", "source").dropDuplicates()
+    """Whole rows, key aside: documents' text, language, source and length."""
+    return A.read_table(spark, sf_dir, "documents").drop("doc_id").dropDuplicates()
 
 
 def rename_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,20 +350,21 @@ def county_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read, search rows, rows kept and removed by the cleaning.
-
-    Input counts come from one aggregate over the (column-pruned) export; the
-    kept count is an ``Observation`` on the output while it is written, so no
-    extra job re-runs the cleaning.  Four numbers reach the driver.
-    """
+    """Rows read, search rows, rows kept and removed by the cleaning, as one
+    aggregate over the export and the cleaned rows."""
     export = A.referral_export(spark, sf_dir)
     is_search = F.col(f"`{referrals.LOG_NAME}`").isin(*referrals.SEARCH_LOG_NAMES)
-    inp = export.agg(F.count(F.lit(1)).alias("r"), F.count(F.when(is_search, 1)).alias("s")).first()
-    cleaned, obs = M.observe_rows(referrals.clean_referrals(referrals.filter_search_logs(export)), "kept")
-    cleaned.write.format("noop").mode("overwrite").save()
-    kept = obs.get["rows"]
-    row = (inp["r"], inp["s"], kept, inp["s"] - kept)
-    return spark.createDataFrame([row], "rows_read bigint, rows_searches bigint, rows_kept bigint, rows_removed bigint")
+    cleaned = referrals.clean_referrals(referrals.filter_search_logs(export))
+    one, none = F.lit(1), F.lit(0)
+    seen = export.select(one.alias("r"), F.coalesce(is_search.cast("int"), none).alias("s"), none.alias("k"))
+    seen = seen.union(cleaned.select(none.alias("r"), none.alias("s"), one.alias("k")))
+    total = {n: F.coalesce(F.sum(n), F.lit(0)).cast("bigint") for n in "rsk"}
+    return seen.agg(
+        total["r"].alias("rows_read"),
+        total["s"].alias("rows_searches"),
+        total["k"].alias("rows_kept"),
+        (total["s"] - total["k"]).alias("rows_removed"),
+    )
 
 
 QUERIES.update(
@@ -585,7 +586,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     window) -> read back with a declared schema."""
     out = scratch_dir(spark, "customer-csv")
     FS.write_csv(_customer(spark, sf_dir), out, index=True, order_by=["c_custkey"])
-    return spark.read.option("header", True).schema(CUSTOMER_SCHEMA).csv(out)
+    return FS.read_csv(spark, out, schema=CUSTOMER_SCHEMA, null_tokens=False)
 
 
 def forward_fill_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -601,7 +602,24 @@ def forward_fill_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("o_orderkey", "o_custkey", F.col("p").alias("first_priority"))
 
 
-QUERIES.update({"csv_roundtrip": csv_roundtrip, "forward_fill_sheet": forward_fill_sheet})
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> CSV -> back: line breaks, quotes, outer blanks, empty and
+    null texts come back as they were."""
+    out = scratch_dir(spark, "documents-csv")
+    docs = A.read_table(spark, sf_dir, "documents")
+    n = F.col("doc_id") % 6
+    text = (
+        F.when(n == 0, F.col("text"))
+        .when(n == 1, F.concat(F.lit("  "), F.col("text"), F.lit("\t ")))
+        .when(n == 2, F.concat(F.lit('"'), F.col("text"), F.lit('",\r\n"')))
+        .when(n == 3, F.lit(""))
+        .when(n == 4, F.concat(F.col("text"), F.lit("\\")))
+    )
+    FS.write_csv(docs.select("doc_id", text.alias("text"), "lang"), out)
+    return FS.read_csv(spark, out, schema="doc_id bigint, text string, lang string", null_tokens=False)
+
+
+QUERIES.update({"csv_text_roundtrip": csv_text_roundtrip, "csv_roundtrip": csv_roundtrip, "forward_fill_sheet": forward_fill_sheet})
 
 
 # --- end-to-end jobs over exported workbooks --------------------------------------------

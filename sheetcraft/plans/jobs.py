@@ -1,33 +1,34 @@
 """The two end-to-end jobs: referral processing and program action logs.
 
 Each reads a folder of workbook exports through the refresh-if-stale
-materialization, runs the DataFrame steps and writes CSV outputs; it returns
-the written outputs read back with the schemas they were written with.
+materialization, runs the DataFrame steps, writes the result as Parquet and
+CSV, and returns the Parquet table.  A ``RunReport`` takes the rows read, kept
+and removed and the time of each stage.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetcraft.operators import action_logs, metrics, referrals
+from sheetcraft.operators import action_logs, referrals
+from sheetcraft.operators.metrics import RunReport
 from sheetcraft.sources import files as FS
 from sheetcraft.sources.refresh import WorkbookRefresher
 
+log = logging.getLogger(__name__)
+
 # Output file names of the referral job.
 REFERRALS_CSV = "ProcessedReferrals.csv"
 FILTERS_CSV = "ProcessedReferralFiltersOnly.csv"
 ACTION_LOGS_CSV = "ProcessedActionLogs.csv"
 
 
-def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    return (
-        spark.read.option("header", True)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("escape", '"')
-        .schema(df.schema)
-        .csv(path)
-    )
+def _saved(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def process_referrals(
@@ -37,6 +38,7 @@ def process_referrals(
     target: str | None = None,
     policy: str = "check",
     notes_schema: str | None = None,
+    report: RunReport | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Workbooks -> search logs (materialized, refreshed per ``policy``) ->
     cleaned referrals (written once as Parquet, shared by both outputs) ->
@@ -46,19 +48,19 @@ def process_referrals(
     refresher = WorkbookRefresher(
         spark, source, target or f"{out_dir}/_materialized", pre_process=referrals.filter_search_logs
     )
+    report = report or RunReport("referrals")
     logs = refresher.refresh(policy)
-    cleaned = referrals.clean_referrals(logs)
-    cleaned.write.mode("overwrite").parquet(f"{out_dir}/_cleaned")
-    cleaned = spark.read.parquet(f"{out_dir}/_cleaned")
-    main = cleaned.drop(referrals.NOTES)
-    observed, obs = metrics.observe_rows(main, "referrals")
-    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{REFERRALS_CSV}"), obs, "Wrote", ("referral", "referrals"))
-    filters = referrals.process_referral_notes(cleaned, schema=notes_schema)
-    observed, obs = metrics.observe_rows(filters, "filters")
-    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{FILTERS_CSV}"), obs, "Wrote", ("filter", "filters"))
-    return _read_back(spark, main, f"{out_dir}/{REFERRALS_CSV}"), _read_back(
-        spark, filters, f"{out_dir}/{FILTERS_CSV}"
-    )
+    cleaned_path, main_path, filters_path = (f"{out_dir}/_{x}" for x in ("cleaned", "referrals", "filters"))
+    report.run("read", lambda: report.watch(logs, read=None).write.format("noop").mode("overwrite").save())
+    cleaned = report.watch(referrals.clean_referrals(logs), kept=None)
+    report.run("clean", lambda: cleaned.write.mode("overwrite").parquet(cleaned_path))
+    log.info("referrals: removed=%d", report.count("read") - report.count("kept"))
+    cleaned = spark.read.parquet(cleaned_path)
+    main = _saved(cleaned.drop(referrals.NOTES), main_path)
+    report.run("referrals csv", lambda: FS.write_csv(report.watch(main, referrals=None), f"{out_dir}/{REFERRALS_CSV}"))
+    filters = _saved(referrals.process_referral_notes(cleaned, schema=notes_schema), filters_path)
+    report.run("filters csv", lambda: FS.write_csv(report.watch(filters, filters=None), f"{out_dir}/{FILTERS_CSV}"))
+    return main, filters
 
 
 def process_action_logs(
@@ -67,6 +69,7 @@ def process_action_logs(
     out_dir: str,
     target: str | None = None,
     policy: str = "check",
+    report: RunReport | None = None,
 ) -> DataFrame:
     """Workbooks -> renamed 7-column program action log -> CSV with a leading
     0-based ``index`` in file, sheet and row order (computed without a
@@ -86,6 +89,9 @@ def process_action_logs(
     table = refresher.refresh(policy)
     indexed = FS.with_row_index(table, order).drop(*order)
     out = indexed.select("index", *[F.col(f"`{c}`") for c in action_logs.OUT_COLUMNS])
-    observed, obs = metrics.observe_rows(out, "action_logs")
-    metrics.measure(lambda: FS.write_csv(observed, f"{out_dir}/{ACTION_LOGS_CSV}"), obs, "Wrote", ("log", "logs"))
-    return _read_back(spark, out, f"{out_dir}/{ACTION_LOGS_CSV}")
+    report = report or RunReport("action logs")
+    path = f"{out_dir}/_action_logs"
+    report.run("index", lambda: report.watch(out, read=None).write.mode("overwrite").parquet(path))
+    out = spark.read.schema(out.schema).parquet(path)
+    report.run("csv", lambda: FS.write_csv(report.watch(out, written=None), f"{out_dir}/{ACTION_LOGS_CSV}"))
+    return out

@@ -212,7 +212,7 @@ DISTINCT_IDS = """
 select distinct record_id from {details} x where infant_rate is not null or toddler_rate is not null
 """
 
-ROW_DEDUP = "select distinct lang, source from documents"
+ROW_DEDUP = "select distinct text, lang, source, n_chars from documents"
 
 RENAME_PATTERN = """
 select p_partkey as "ODHS_id", p_name as "ODHS_name", p_brand as "brand_ODHS", p_size as size
@@ -287,17 +287,29 @@ select event_id, json_extract_string(props, '$.k') as k,
 from events
 """
 
-_URL_RE = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
-_ABS_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"
+# Parts of a url by the places of its marks (the implementation matches one
+# pattern): fragment after the first #, query after the first ? before it,
+# scheme up to a colon that no / comes before, authority after // up to a /.
+_URL_PARTS = """
+h as (select page_id, url, case when instr(url, '#') > 0 then substr(url, instr(url, '#')) else '' end as fragment,
+        case when instr(url, '#') > 0 then substr(url, 1, instr(url, '#') - 1) else url end as u0 from pages),
+q as (select *, case when instr(u0, '?') > 0 then substr(u0, instr(u0, '?')) else '' end as query,
+        case when instr(u0, '?') > 0 then substr(u0, 1, instr(u0, '?') - 1) else u0 end as u1 from h),
+c as (select *, case when instr(u1, ':') > 1 and ascii(lower(u1)) between 97 and 122
+        and length(translate(lower(substr(u1, 1, instr(u1, ':') - 1)), 'abcdefghijklmnopqrstuvwxyz0123456789+-.', '')) = 0
+        then substr(u1, 1, instr(u1, ':') - 1) else '' end as scheme from q),
+d as (select *, case when scheme = '' then u1 else substr(u1, length(scheme) + 2) end as u2 from c),
+n as (select *, case when starts_with(u2, '//') then string_split(substr(u2, 3), '/')[1] else '' end as netloc,
+        case when starts_with(u2, '//') then substr(u2, 3 + length(string_split(substr(u2, 3), '/')[1])) else u2 end as path
+      from d),
+s as (select *, scheme <> '' and netloc <> '' as is_absolute from n)
+"""
 
-URL_ABSOLUTE = f"select page_id, regexp_matches(url, '{_ABS_RE}') as is_absolute from pages"
+URL_ABSOLUTE = f"with {_URL_PARTS} select page_id, is_absolute from s"
 
 URL_JOIN = f"""
-with s as (select page_id, url,
-  regexp_extract(url, '{_URL_RE}', 1) as scheme, regexp_extract(url, '{_URL_RE}', 2) as netloc,
-  regexp_extract(url, '{_URL_RE}', 3) as path, regexp_extract(url, '{_URL_RE}', 4) as query,
-  regexp_extract(url, '{_URL_RE}', 5) as fragment from pages)
-select page_id, case when regexp_matches(url, '{_ABS_RE}') then
+with {_URL_PARTS}
+select page_id, case when is_absolute then
   scheme || '://' || netloc || '/' ||
   array_to_string(list_filter(string_split(path || '/about', '/'), lambda x: x <> '' and x <> '.'), '/')
   || query || fragment end as joined
@@ -306,11 +318,8 @@ from s
 
 
 URL_NORMALIZED = f"""
-with s as (select page_id, url,
-  regexp_extract(url, '{_URL_RE}', 1) as scheme, regexp_extract(url, '{_URL_RE}', 2) as netloc,
-  regexp_extract(url, '{_URL_RE}', 3) as path, regexp_extract(url, '{_URL_RE}', 4) as query,
-  regexp_extract(url, '{_URL_RE}', 5) as fragment from pages)
-select page_id, case when regexp_matches(url, '{_ABS_RE}') then
+with {_URL_PARTS}
+select page_id, case when is_absolute then
   lower(scheme) || '://' || netloc || path || case when query = '?' then '' else query end
   || case when fragment = '#' then '' else fragment end end as url_text
 from s
@@ -359,6 +368,9 @@ def workbook_oracles() -> dict[str, str]:
 select referral_id as program_id, recorded_by, strftime(action_ts, '%Y-%m-%d %H:%M:%S') as recorded_date,
        strftime(action_ts, '%Y-%m-%d %H:%M:%S') as action_date, log_name, log_type, notes from {logs} a
 """),
+        "csv_text_roundtrip": """select doc_id, case doc_id % 6 when 0 then text
+          when 1 then '  ' || text || chr(9) || ' ' when 2 then '"' || text || '",' || chr(13) || chr(10) || '"'
+          when 3 then '' when 4 then text || chr(92) end as text, lang from documents""",
         "csv_roundtrip": """select row_number() over (order by c_custkey) - 1 as index, c_custkey, c_name, c_nationkey,
                              c_acctbal, c_mktsegment from customer""",
         "forward_fill_sheet": """select o_orderkey, o_custkey,

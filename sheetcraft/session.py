@@ -41,14 +41,17 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only with a local
+    master, as in tests, a fresh folder is made where it is unset; elsewhere
+    that raises, as a folder of one machine would not do.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sheetcraft-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

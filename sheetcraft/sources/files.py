@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sheetcraft.session import scratch_dir
 
@@ -23,10 +24,35 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, infer_schema: bool = True, null_tokens: bool = True) -> DataFrame:
-    """Header row, inferred types; with ``null_tokens`` the pandas null texts
-    become null (one extra projection, no extra pass)."""
-    df = spark.read.option("header", True).option("inferSchema", infer_schema).csv(path)
+# One set of options for both directions: a field may hold line breaks, quotes
+# and outer blanks; an empty text is written quoted and a null is not.  Files
+# with line breaks in fields cannot be split, so the writer bounds their rows.
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+}
+# What an unquoted empty field reads as; a text never holds it.
+CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\0", "emptyValue": ""}
+CSV_WRITE_OPTIONS = CSV_OPTIONS | {"nullValue": "", "emptyValue": '""', "maxRecordsPerFile": "1000000"}
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    infer_schema: bool = True,
+    null_tokens: bool = True,
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """Header row, inferred types or ``schema``; with ``null_tokens`` the pandas
+    null texts become null (one extra projection, no extra pass)."""
+    reader = spark.read.options(**CSV_READ_OPTIONS)
+    df = (reader.schema(schema) if schema is not None else reader.option("inferSchema", infer_schema)).csv(path)
     if not null_tokens:
         return df
     cols = []
@@ -37,9 +63,8 @@ def read_csv(spark: SparkSession, path: str, infer_schema: bool = True, null_tok
 
 
 def with_row_index(df: DataFrame, order_by: list[str], name: str = "index") -> DataFrame:
-    """A 0-based row index in ``order_by`` order.  The whole table is one
-    group for ``number_rows``: a plain window while it is small, range buckets
-    with offsets once it is large, so no task holds the whole table."""
+    """A 0-based row index in ``order_by`` order: the whole table is one group
+    for ``number_rows``, which spreads it over range partitions."""
     from sheetcraft.operators.numbering import number_rows
 
     one = df.withColumn("__all", F.lit(0))
@@ -48,23 +73,16 @@ def with_row_index(df: DataFrame, order_by: list[str], name: str = "index") -> D
 
 
 def write_csv(df: DataFrame, path: str, index: bool = False, order_by: list[str] | None = None) -> None:
-    """CSV with a header row; ``index=True`` adds a leading 0-based ``index``
-    column in ``order_by`` order (computed without a global single-partition
-    window).  Booleans print ``true``/``false``."""
+    """CSV that ``read_csv`` reads back as it was; ``index=True`` adds a leading
+    0-based ``index`` column in ``order_by`` order (computed without a global
+    single-partition window).  Booleans print ``true``/``false``."""
     out = df
     if index:
         if not order_by:
             raise ValueError("index=True needs order_by (a Spark table has no row order)")
         out = with_row_index(df, order_by)
         out = out.select("index", *[F.col(f"`{c}`") for c in df.columns])
-    (
-        out.write.mode("overwrite")
-        .option("header", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("escape", '"')
-        .csv(path)
-    )
+    out.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -26,11 +26,13 @@ import os
 import uuid
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheetcraft.operators.reshape import nan_text_to_null
 from sheetcraft.session import local_path, ship_package
 
 CELL = T.StructType([T.StructField("t", T.StringType()), T.StructField("v", T.StringType())])
@@ -48,8 +50,6 @@ SCAN_SCHEMA = T.StructType(
     ]
 )
 CATALOG_SCHEMA = "path string, sheet_pos int, sheet string, error string"
-MAX_LAYOUTS = 10000
-MAX_PROFILE_ROWS = 1_000_000
 _CHUNK = 4096
 _PA_CELL = pa.list_(pa.struct([("t", pa.string()), ("v", pa.string())]))
 _PA_SCAN = pa.schema(
@@ -344,67 +344,77 @@ def pandas_names(texts: Sequence[str | None]) -> list[str]:
     return out
 
 
-def layouts(cells: DataFrame, limit: int = MAX_LAYOUTS) -> dict[str, list[str | None]]:
-    """Distinct header rows: layout key -> header texts (bounded collect)."""
-    rows = (
-        cells.filter(F.col("_line") == 0)
-        .select("layout", F.transform("cells", lambda c: c.getField("v")).alias("texts"))
-        .dropDuplicates(["layout"])
-        .limit(limit + 1)
-        .collect()
+_NAMES = T.ArrayType(T.StringType())
+
+
+def layout_names(cells: DataFrame, header: bool = True) -> DataFrame:
+    """One row a layout: ``layout, first`` (its first file and sheet) and
+    ``names``, a column name for every cell of its widest row."""
+    ship_package(cells.sparkSession)
+    texts = F.transform("cells", lambda c: c.getField("v"))
+    heads = cells.groupBy("layout").agg(
+        F.min(F.struct("path", "sheet_pos")).alias("first"),
+        F.max(F.size("cells")).alias("width"),
+        F.any_value(F.when(F.col("_line") == 0, texts), F.lit(True)).alias("head"),
+    )
+
+    def unique(head: pd.Series, width: pd.Series) -> pd.Series:
+        out = []
+        for own, n in zip(head, width):
+            own = [] if own is None else list(own)
+            out.append(pandas_names(own + [None] * (n - len(own))))
+        return pd.Series(out)
+
+    if header:
+        names = F.pandas_udf(unique, _NAMES)("head", "width")
+    else:
+        names = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: i.cast("string"))
+        names = F.when(F.col("width") > 0, names).otherwise(F.array().cast(_NAMES))
+    return heads.select("layout", "first", names.alias("names"))
+
+
+def by_name(cells: DataFrame) -> DataFrame:
+    """Adds ``named``: a map from the row's ``names`` to its cells (null where
+    the row is short); cells without a name are left out."""
+    pairs = F.arrays_zip("names", "cells")
+    return cells.withColumn(
+        "named",
+        F.map_from_entries(
+            F.filter(
+                F.transform(pairs, lambda x: F.struct(x["names"].alias("key"), x["cells"].alias("value"))),
+                lambda x: x["key"].isNotNull(),
+            )
+        ),
     )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct header layouts")
-    return {r["layout"]: list(r["texts"]) for r in rows}
-
-
-def project_layouts(cells: DataFrame, names_by_layout: dict[str, list[str]], first_line: int = 1) -> DataFrame:
-    """Data rows -> one ``struct<t, v>`` column per name (union by name over
-    layouts; a name absent from a layout is null)."""
-    frames = []
-    for layout, names in names_by_layout.items():
-        cols = [F.try_element_at("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
-        part = cells.filter((F.col("layout") == layout) & (F.col("_line") >= first_line))
-        frames.append(part.select("path", "sheet_pos", "sheet", "_row", *cols))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
 
 
-def infer_cell_types(tagged: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """Best type per struct<t, v> column from one aggregate over the tags:
-    integral numbers -> bigint, numbers -> double, booleans -> boolean,
-    dates -> timestamp_ntz, all strings -> string, mixed -> string, empty ->
-    None (an all-null column)."""
-    aggs = []
-    for i, c in enumerate(columns):
-        t = _q(c).getField("t")
-        v = _q(c).getField("v")
-        num = v.try_cast("double")
-        aggs += [
-            F.count(cell_value(_q(c))).alias(f"all{i}"),
-            F.count(F.when(t == "n", 1)).alias(f"n{i}"),
-            F.count(F.when((t == "n") & (num == F.floor(num)) & (F.abs(num) < 9.2e18), 1)).alias(f"i{i}"),
-            F.count(F.when(t == "b", 1)).alias(f"b{i}"),
-            F.count(F.when(t == "d", 1)).alias(f"d{i}"),
-        ]
-    r = tagged.agg(*aggs).first()
+def column_order(named: DataFrame, order: Sequence[str] = ()) -> list[str]:
+    """Distinct names of ``first, names`` rows, by where they first occur: what
+    reaches the driver is one row a column of the table."""
+    places = named.select("first", F.posexplode("names").alias("pos", "name"), *order)
+    firsts = places.groupBy("name").agg(F.min(F.struct(*order, "first", "pos")).alias("at"))
+    return [r["name"] for r in firsts.orderBy("at", "name").collect()]
+
+
+def column_types(named: DataFrame, null_tokens: bool = True) -> dict[str, tuple[str | None, bool]]:
+    """Best type of each name over the maps of ``by_name``, and whether it
+    mixes texts with other cells, from one aggregate: integral numbers ->
+    bigint, numbers -> double, booleans -> boolean, dates -> timestamp_ntz,
+    else string; None if there is no value."""
+    cell = named.select(F.explode("named").alias("name", "c"))
+    t, num = F.col("c.t"), F.col("c.v").try_cast("double")
+    whole = (num == F.floor(num)) & (F.abs(num) < 9.2e18)
+    counts = cell.groupBy("name").agg(
+        F.count(cell_value(F.col("c"), null_tokens)).alias("all"),
+        F.count_if(t == "n").alias("n"),
+        F.count_if((t == "n") & whole).alias("i"),
+        F.count_if(t == "b").alias("b"),
+        F.count_if(t == "d").alias("d"),
+    )
     out = {}
-    for i, c in enumerate(columns):
-        n = r[f"all{i}"]
-        if n == 0:
-            out[c] = None
-        elif r[f"i{i}"] == n:
-            out[c] = "bigint"
-        elif r[f"n{i}"] == n:
-            out[c] = "double"
-        elif r[f"b{i}"] == n:
-            out[c] = "boolean"
-        elif r[f"d{i}"] == n:
-            out[c] = "timestamp_ntz"
-        else:
-            out[c] = "string"
+    for r in counts.collect():
+        kind = _decide(r["all"], r["n"], r["i"], r["b"], r["d"])
+        out[r["name"]] = kind, kind == "string" and r["n"] + r["b"] + r["d"] > 0
     return out
 
 
@@ -415,42 +425,11 @@ def typed_value(c: Column, dtype: str | None, null_tokens: bool = True) -> Colum
         t = c.getField("t")
         return F.when(t == "b", F.when(v == "true", F.lit("True")).otherwise(F.lit("False"))).otherwise(v)
     if dtype == "bigint":
-        return v.cast("double").cast("bigint")
+        # through double only for texts such as 3.0 or 1E3: 2**53 + 1 is no double
+        return F.coalesce(v.try_cast("bigint"), v.cast("double").cast("bigint"))
     return v.cast(dtype)
 
 
-def layout_profile(
-    cells: DataFrame, first_line: int = 1, limit: int = MAX_LAYOUTS, null_tokens: bool = True
-) -> dict[str, dict]:
-    """One aggregate job: per layout, the header texts and, per cell position,
-    counters of the data cells' tags (how many non-null, numbers, integral
-    numbers, booleans, dates).  Result size: layouts x width (bounded)."""
-    num = F.col("c.v").try_cast("double")
-    exploded = cells.select("layout", "_line", F.posexplode("cells").alias("pos", "c"))
-    is_data = F.col("_line") >= first_line
-    prof = exploded.groupBy("layout", "pos").agg(
-        F.max(F.when(F.col("_line") == 0, F.col("c.v"))).alias("head"),
-        F.max(F.when(F.col("_line") == 0, F.lit(1))).alias("has_head"),
-        F.count(F.when(is_data, cell_value(F.col("c"), null_tokens))).alias("all"),
-        F.count(F.when(is_data & (F.col("c.t") == "n"), 1)).alias("n"),
-        F.count(F.when(is_data & (F.col("c.t") == "n") & (num == F.floor(num)) & (F.abs(num) < 9.2e18), 1)).alias("i"),
-        F.count(F.when(is_data & (F.col("c.t") == "b"), 1)).alias("b"),
-        F.count(F.when(is_data & (F.col("c.t") == "d"), 1)).alias("d"),
-    )
-    rows = prof.limit(MAX_PROFILE_ROWS + 1).collect()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(f"header layouts x columns exceed {MAX_PROFILE_ROWS}")
-    out: dict[str, dict] = {}
-    for r in rows:
-        entry = out.setdefault(r["layout"], {"head": {}, "stats": {}})
-        if r["has_head"]:
-            entry["head"][r["pos"]] = r["head"]
-        entry["stats"][r["pos"]] = (r["all"], r["n"], r["i"], r["b"], r["d"])
-    if len(out) > limit:
-        raise ValueError(f"more than {limit} distinct header layouts")
-    return out
-
-
 def _decide(all_, n, i, b, d) -> str | None:
     if all_ == 0:
         return None
@@ -480,34 +459,28 @@ def to_table(
     are unioned by name.  ``drop_empty`` drops all-null columns, then all-null
     rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.
     ``null_tokens``: string cells with a pandas default NA text are null.
-    Layouts and types come from one aggregate job (``layout_profile``).
+    The plan joins the cells to a table with a row a layout, whatever their
+    number; column names and types come from one aggregate each.  In columns
+    that mix texts with other cells the text ``nan`` is null.
     """
     first = 1 if header else 0
-    prof = layout_profile(cells, first, null_tokens=null_tokens)
-    if not prof:
+    layouts = layout_names(cells, header)
+    order = column_order(layouts)
+    if not order:
         return cells.sparkSession.createDataFrame([], T.StructType([]))
-    names: dict[str, list[str]] = {}
-    for layout, entry in prof.items():
-        width = max(list(entry["stats"]) + list(entry["head"]), default=-1) + 1
-        if header:
-            names[layout] = pandas_names([entry["head"].get(j) for j in range(width)])
-        else:
-            names[layout] = [str(j) for j in range(width)]
-    # counters per output name, summed over layouts
-    totals: dict[str, list[int]] = {}
-    order: list[str] = []
-    for layout, ns in names.items():
-        for j, n in enumerate(ns):
-            if n not in totals:
-                totals[n] = [0, 0, 0, 0, 0]
-                order.append(n)
-            st = prof[layout]["stats"].get(j, (0, 0, 0, 0, 0))
-            totals[n] = [a + b for a, b in zip(totals[n], st)]
-    types = {n: _decide(*totals[n]) for n in order} if infer_types else {n: "string" for n in order}
-    tagged = project_layouts(cells, names, first)
-    keep = [n for n in order if not (drop_empty and types[n] is None)]
+    data = cells.filter(F.col("_line") >= first).join(layouts.select("layout", "names"), "layout")
+    named = by_name(data)
+    found = column_types(named, null_tokens)
+    kinds = {n: found.get(n, (None, False)) for n in order}
+    if not infer_types:
+        kinds = {n: ("string", False) for n in order}
+    keep = [n for n in order if not (drop_empty and kinds[n][0] is None)]
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
-    out = tagged.select(*src, *[typed_value(_q(n), types[n], null_tokens).alias(n) for n in keep])
+    value = {n: typed_value(F.col("named")[n], kinds[n][0], null_tokens) for n in keep}
+    out = named.select(*src, *[v.alias(n) for n, v in value.items()])
+    mixed = [n for n in keep if kinds[n][1]]
+    if mixed:
+        out = nan_text_to_null(out, mixed)
     if drop_empty and keep:
         out = out.na.drop(how="all", subset=keep)
     return out

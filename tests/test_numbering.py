@@ -1,62 +1,90 @@
-"""Hot-group numbering equals the plain window."""
+"""Numbering and forward fill over range partitions equal the plain window."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sheetcraft.operators import numbering as N
 from sheetcraft.operators import referrals as R
-from sheetcraft.operators.numbering import number_rows
+from sheetcraft.operators.reshape import forward_fill
 from sheetcraft.plans import catalog as C
 
 from .conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("hot,bucket", [(3, 1), (5, 2), (12, 4)])
-def test_bucketed_numbering_is_exact(spark, hot, bucket):
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def plain(df, keys, order, out):
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+
+
+def test_numbering_equals_the_window(spark):
     base = R.parse_times(R.anonymise(C._search_logs(spark, SF_SMALL)))
-    a = R.number_searches(base)
-    b = R.number_searches(base, hot_rows=hot, bucket_rows=bucket)
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    keyed = R._project(base.withColumn(R.SEARCH_NO, F.lit(None).cast("bigint"))).drop(R.SEARCH_NO)
+    keyed = keyed.filter(R.keys_present())
+    want = R._project(keyed.withColumn(R.SEARCH_NO, F.row_number().over(R._number_window()).cast("bigint")))
+    assert same(R.number_searches(base).filter(R.keys_present()), want)
+
+
+def test_hot_null_and_small_groups(spark):
+    rows = [("k" if i % 3 else None, None if i % 7 == 0 else f"v{i % 130}", i) for i in range(400)]
+    rows += [(f"s{i % 50}", "x", i) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, v string, w int")
+    assert same(N.number_rows(df, ["k"], ["v", "w"], "n"), plain(df, ["k"], ["v", "w"], "n"))
 
 
-def test_one_hot_group_with_nulls_in_order(spark):
-    rows = [("k", None if i % 7 == 0 else f"v{i % 13}", i % 3) for i in range(200)]
+def test_copies_of_one_row(spark):
+    rows = [("k", "same", 1)] * 300 + [("k", f"v{i}", i) for i in range(100)]
     df = spark.createDataFrame(rows, "k string, v string, w int")
-    plain = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10_000)
-    split = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10, bucket_rows=16)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    assert split.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 200, 200)
+    assert same(N.number_rows(df, ["k"], ["v", "w"], "n"), plain(df, ["k"], ["v", "w"], "n"))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k string, v string")
+    assert N.number_rows(df, ["k"], ["v"], "n").count() == 0
+    assert forward_fill(df, ["v"], ["k"], ["k"]).count() == 0
+
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_largest_part_shrinks_with_partitions(spark, copies):
+    """One key holds all rows: more partitions, fewer rows in each, be the
+    rows distinct or copies of one row."""
+    df = spark.range(20_000).select(F.lit("k").alias("k"), (F.lit(0) if copies else F.col("id")).alias("v"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    largest = {}
+    try:
+        for n in (4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            parts = N.in_order(df, ["k"], ["v"]).groupBy(N.PART).count()
+            largest[n] = parts.agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert largest[4] < 20_000 / 2 and largest[16] < largest[4] / 2
 
-def test_forward_fill_hot_groups_equal_plain(spark):
-    from sheetcraft.operators.reshape import forward_fill
 
-    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority")
+def test_forward_fill_equals_the_window(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority")
     blank = o.withColumn("p", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")))
-    # one hot group: every order in segment 0
-    one = blank.withColumn("g", F.lit(0))
-    plain = forward_fill(one, ["p"], ["g"], ["o_orderkey"])
-    split = forward_fill(one, ["p"], ["g"], ["o_orderkey"], hot_rows=50, bucket_rows=40)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    assert split.filter(F.col("p").isNull()).count() == plain.filter(F.col("p").isNull()).count()
+    for group in (F.lit(0), F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey") % 4)):
+        df = blank.withColumn("g", group)
+        w = Window.partitionBy("g").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        assert same(forward_fill(df, ["p"], ["g"], ["o_orderkey"]), df.withColumn("p", F.last("p", True).over(w)))
 
 
-def test_clean_methods_agree_with_hot_paths(spark):
+def test_clean_methods_agree(spark):
     logs = C._search_logs(spark, SF_SMALL)
     want = R.clean_referrals(logs)
     for method in ("window", "antijoin"):
-        got = R.clean_referrals(logs, method=method, hot_rows=10)
-        assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+        assert same(want, R.clean_referrals(logs, method=method))
 
 
-def test_hot_block_of_copies(spark):
-    # 300 copies of one row plus 100 distinct rows, all on one key
-    rows = [("k", "same", 1)] * 300 + [("k", f"v{i}", i) for i in range(100)]
-    df = spark.createDataFrame(rows, "k string, v string, w int")
-    plain = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10_000)
-    split = number_rows(df, ["k"], ["v", "w"], "n", hot_rows=10, bucket_rows=16)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    from sheetcraft.operators import numbering
-
-    chunked = numbering._number_collapsed(df, ["k"], ["v", "w"], "n", bucket_rows=16, chunk_rows=7)
-    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+def test_dedup_first_counts_a_copy_once(spark):
+    logs = C._search_logs(spark, SF_SMALL).filter(R.keys_present()).limit(3)
+    many = logs
+    for _ in range(4):
+        many = many.unionByName(many)
+    assert R.clean_referrals(many).count() < R.clean_referrals(many, dedup_first=True).count()
+    assert same(R.clean_referrals(many, dedup_first=True), R.clean_referrals(logs, dedup_first=True))
