@@ -2,17 +2,25 @@
 
 Layout under ``target`` (any Hadoop path; the shared folder in tests):
 
-* ``cells/src=<key>/``  parsed cells of one source file (Parquet), so a
-  changed file replaces only its own partition (dynamic partition overwrite);
-* ``manifest/v=<n>/``   one row per source file: path, src, mtime, length,
-  ops fingerprint, status, error; a new version per refresh;
-* ``table/``            the collected table (pre-processors applied), in the
-  chosen format.
+* ``cells/g=<n>/``     cells of all files that refresh n parsed (one Parquet
+  table); a generation goes when no file of the manifest refers to it, and
+  many generations are merged into one;
+* ``table/v=<n>/``     the collected table (pre-processors applied), in the
+  chosen format;
+* ``manifest/v=<n>/``  one row per source file: path, src, mtime, length, ops
+  fingerprint, status, error, generation of its cells.
+
+A refresh writes generation n, then table n, then manifest n.  The manifest is
+the commit: readers take the newest complete one and the table it names, so a
+refresh that fails at any point leaves the previous state as it was, and stale.
 
 A file is fresh when its (path, mtime, length) and the fingerprint of the
 reading options and pre-processors equal the manifest's; a deleted file makes
 the table stale too.  Only stale files are parsed; the table is rebuilt from
-the cells (Parquet), never by re-parsing fresh workbooks.
+the cells (Parquet), never by re-parsing fresh workbooks.  The fingerprint
+covers a processor's source, the values it captured, its defaults and the
+plain module values it names; a processor that cannot be described that way
+counts as changed.
 
 Policies (``refresh(policy=...)``):
   ``check`` (default)  reuse when fresh, else parse stale files and rebuild;
@@ -27,20 +35,26 @@ Post-processors run on every returned table and are never persisted.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import inspect
+import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetcraft.sources import files as FS
 from sheetcraft.sources import workbooks as W
 from sheetcraft.sources.files import materialize
 
 Processor = Callable[[DataFrame], DataFrame]
+MAX_GENERATIONS = 16  # cell tables before they are merged into one
 POLICIES = ("check", "fallback", "force", "skip", "only_cached")
 MANIFEST_SCHEMA = (
-    "path string, src string, mtime timestamp, length bigint, ops_fingerprint string, status string, error string"
+    "path string, src string, mtime timestamp, length bigint, ops_fingerprint string, status string, error string,"
+    " generation int"
 )
 
 
@@ -52,12 +66,47 @@ def _listify(p) -> list[Processor]:
     return list(p)
 
 
-def _fingerprint_of(fn: Callable) -> str:
+_PLAIN = (str, bytes, int, float, bool, complex, type(None), re.Pattern)
+
+
+def _describe(value, seen: tuple = ()) -> str:
+    """A text that is equal for equal values; new each time for values that
+    cannot be told apart by their parts."""
+    if isinstance(value, _PLAIN):
+        return f"{type(value).__name__}:{value!r}"
+    if isinstance(value, (list, tuple)):
+        return f"{type(value).__name__}({','.join(_describe(v, seen) for v in value)})"
+    if isinstance(value, (set, frozenset)):
+        return f"set({','.join(sorted(_describe(v, seen) for v in value))})"
+    if isinstance(value, dict):
+        return f"dict({','.join(sorted(_describe(k, seen) + '=' + _describe(v, seen) for k, v in value.items()))})"
+    if isinstance(value, functools.partial):
+        return f"partial({_describe(value.func, seen)},{_describe(value.args, seen)},{_describe(value.keywords, seen)})"
+    if inspect.ismodule(value) or inspect.isclass(value) or inspect.isbuiltin(value):
+        return f"named:{getattr(value, '__module__', '')}.{getattr(value, '__qualname__', value.__name__)}"
+    if inspect.ismethod(value):
+        return f"method({_describe(value.__func__, seen)},{_describe(vars(value.__self__), seen)})"
+    if inspect.isfunction(value):
+        return _fingerprint_of(value, seen)
+    return f"unknown:{uuid.uuid4()}"
+
+
+def _fingerprint_of(fn: Callable, seen: tuple = ()) -> str:
+    if not inspect.isfunction(fn):
+        return _describe(fn, seen)
+    if fn in seen:
+        return f"again:{fn.__qualname__}"
+    seen = (*seen, fn)
     try:
         body = inspect.getsource(fn)
     except (OSError, TypeError):
-        body = repr(getattr(fn, "__code__", fn))
-    return f"{getattr(fn, '__module__', '')}.{getattr(fn, '__qualname__', repr(fn))}:{body}"
+        body = fn.__code__.co_code.hex() + _describe([c for c in fn.__code__.co_consts if isinstance(c, _PLAIN)])
+    captured = [_describe(c.cell_contents, seen) for c in fn.__closure__ or ()]
+    defaults = _describe([fn.__defaults__, fn.__kwdefaults__], seen)
+    local = fn.__module__ and not fn.__module__.startswith("pyspark")
+    named = {n: fn.__globals__[n] for n in fn.__code__.co_names if local and n in fn.__globals__}
+    named = {n: v for n, v in named.items() if isinstance(v, (*_PLAIN, list, tuple, set, dict)) or inspect.isfunction(v)}
+    return f"{fn.__module__}.{fn.__qualname__}:{body}:{captured}:{defaults}:{_describe(named, seen)}"
 
 
 class _FS:
@@ -116,9 +165,10 @@ class WorkbookRefresher:
         self._post = _listify(post_process)
         self.fmt = fmt
         self.options = dict(options or {})
-        if fmt == "csv":
-            self.options.setdefault("header", "true")
-            self.options.setdefault("inferSchema", "true")  # read back typed, as a CSV reader infers
+        self.read_options, self.write_options = dict(self.options), dict(self.options)
+        if fmt == "csv":  # read back typed, as a CSV reader infers
+            self.read_options = FS.CSV_READ_OPTIONS | {"inferSchema": "true"} | self.options
+            self.write_options = FS.CSV_WRITE_OPTIONS | self.options
         self.recursive = recursive
         self.exclude = tuple(exclude)
         self.fs = _FS(spark, self.target)
@@ -152,29 +202,23 @@ class WorkbookRefresher:
 
     # --- paths -----------------------------------------------------------------------
 
-    @property
-    def cells_path(self) -> str:
-        return f"{self.target}/cells"
+    def _versions(self) -> list[int]:
+        """Complete manifests, oldest first."""
+        names = [n for n in self.fs.children(f"{self.target}/manifest") if re.fullmatch(r"v=\d+", n)]
+        done = [n for n in names if self.fs.exists(f"{self.target}/manifest/{n}/_SUCCESS")]
+        return sorted(int(n[2:]) for n in done)
 
     @property
-    def table_path(self) -> str:
-        return f"{self.target}/table"
-
-    def _manifest_versions(self) -> list[int]:
-        out = []
-        for name in self.fs.children(f"{self.target}/manifest"):
-            if name.startswith("v="):
-                try:
-                    out.append(int(name[2:]))
-                except ValueError:
-                    pass
-        return sorted(out)
+    def table_path(self) -> str | None:
+        """Where the table of the newest manifest is; None before the first."""
+        versions = self._versions()
+        return f"{self.target}/table/v={versions[-1]}" if versions else None
 
     def manifest(self) -> DataFrame:
-        versions = self._manifest_versions()
+        versions = self._versions()
         if not versions:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.parquet(f"{self.target}/manifest/v={versions[-1]}")
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.target}/manifest/v={versions[-1]}")
 
     # --- staleness (K3, K4) ------------------------------------------------------------
 
@@ -197,21 +241,21 @@ class WorkbookRefresher:
         return self.manifest().select("path", "src").join(self.listing().select("path"), "path", "left_anti")
 
     def is_stale(self) -> bool:
-        """Table missing, any file new/changed/reprocessed, or any file deleted."""
-        if not self.fs.exists(self.table_path):
+        """No table yet, any file new/changed/reprocessed, or any file deleted."""
+        if self.table_path is None:
             return True
         return bool(self.stale_files().limit(1).count() or self.deleted_files().limit(1).count())
 
     # --- reading ---------------------------------------------------------------------------
 
-    def _read_table(self) -> DataFrame:
-        return self.spark.read.format(self.fmt).options(**self.options).load(self.table_path)
-
     def read_cache(self) -> DataFrame:
         """Materialized table + post-processors (K2)."""
-        if not self.fs.exists(self.table_path):
-            raise FileNotFoundError(f"no materialized table at {self.table_path}")
-        return self.post_process(self._read_table())
+        path = self.table_path
+        if path is None:
+            raise FileNotFoundError(f"no materialized table below {self.target}")
+        if not self.fs.exists(path):  # a refresh without any usable input
+            return self.post_process(self.spark.createDataFrame([], "_empty string").drop("_empty"))
+        return self.post_process(self.spark.read.format(self.fmt).options(**self.read_options).load(path))
 
     def _from_sources(self) -> DataFrame:
         cells = W.scan_workbooks(self.spark, self.source, self.sheet_name, self.glob, self.recursive, self.exclude)
@@ -219,92 +263,85 @@ class WorkbookRefresher:
 
     # --- writing ----------------------------------------------------------------------------
 
-    def _parse(self, stale_paths: list[str] | None, errors: str) -> tuple[DataFrame, dict[str, str]]:
-        """Parse the stale files once into a staging table; return it and the
-        per-file errors (bounded by the number of failed files).
-        ``stale_paths=None`` means every listed file (the directory is read
-        as such, no path list on the driver)."""
-        if stale_paths is None:
-            files = W._exclude(W._reader(self.spark, self.glob, self.recursive).load(self.source), self.exclude)
-        else:
-            files = self.spark.read.format("binaryFile").load(stale_paths)
-        src = F.substring(F.sha1(F.col("path")), 1, 16)
-        staged = materialize(W.scan_files(files, self.sheet_name, errors).withColumn("src", src), "refresh-stage")
-        bad = {r["path"]: r["error"] for r in staged.filter(F.col("_row") == -1).select("path", "error").collect()}
-        return staged.filter(F.col("_row") >= 0), bad
-
-    def _rebuild(self, errors: str) -> DataFrame:
+    def _files(self, stale: DataFrame, every: bool) -> DataFrame:
+        """Contents of the stale files.  Spark's reader takes their names as a
+        list; when every file is stale the directory is read as such."""
+        self.last_parsed = ["*"] if every else [r["path"] for r in stale.select("path").collect()]
+        if every:
+            return W._exclude(W._reader(self.spark, self.glob, self.recursive).load(self.source), self.exclude)
+        return self.spark.read.format("binaryFile").load(self.last_parsed)
+
+    def _refuse(self, bad: DataFrame, what: str) -> None:
+        some = [f"{r['path']}: {r['error']}" for r in bad.select("path", "error").limit(5).collect()]
+        if some:
+            raise RuntimeError(f"{what}: {'; '.join(some)}{' ...' if len(some) == 5 else ''}")
+
+    def _live_cells(self, manifest: DataFrame) -> DataFrame | None:
+        """Cells of the files of a manifest, from the generations it names."""
+        generations = [r[0] for r in manifest.where("generation is not null").select("generation").distinct().collect()]
+        if not generations:
+            return None
+        tables = [
+            self.spark.read.parquet(f"{self.target}/cells/g={g}").withColumn("generation", F.lit(g)) for g in sorted(generations)
+        ]
+        cells = functools.reduce(DataFrame.unionByName, tables)
+        return cells.join(manifest.select("src", "generation"), ["src", "generation"], "left_semi").drop("generation")
+
+    def _rebuild(self, errors: str, every: bool = False) -> DataFrame:
+        """Parse what is stale (or every file), write cells, table, manifest."""
+        key = ["path", "mtime", "length", "ops_fingerprint"]
         listing = materialize(self.listing(), "refresh-listing")
-        old = self.manifest()
-        ok_old = old.filter(F.col("status") == "ok")
-        stale_df = listing.join(
-            ok_old.select("path", "mtime", "length", "ops_fingerprint"), ["path", "mtime", "length", "ops_fingerprint"],
-            "left_anti",
-        )
-        n_stale, n_listed = stale_df.count(), listing.count()
-        every = n_stale == n_listed
-        # File-level metadata only: the stale paths (or none when every file
-        # is stale and the directory is read as such) and deleted sources.
-        stale_paths = None if every else [r["path"] for r in stale_df.select("path").collect()]
-        deleted = [r["src"] for r in old.join(listing.select("path"), "path", "left_anti").select("src").collect()]
-        self.parsed_count = n_stale
-        self.last_parsed = stale_paths if stale_paths is not None else ["*"]
-        failed: dict[str, str] = {}
-        if n_stale:
-            staged, failed = self._parse(stale_paths, errors)
-            if failed and errors == "raise":
-                raise RuntimeError(f"unreadable workbooks: {failed}")
-            keep_old = set()
-            if failed:
-                had = {r["path"] for r in ok_old.select("path").collect() if r["path"] in failed}
-                missing = set(failed) - had
-                if missing:
-                    raise RuntimeError(f"unreadable workbooks without previous data: {sorted(missing)}")
-                keep_old = had
-            good = staged.filter(~F.col("path").isin(*keep_old)) if keep_old else staged
-            (
-                good.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("src")
-                .parquet(self.cells_path)
-            )
-            # A stale file that now has no rows must not keep old cells.
-            emptied = stale_df.join(good.select("src").distinct(), "src", "left_anti")
-            if failed:
-                emptied = emptied.filter(~F.col("path").isin(*failed))
-            for r in emptied.select("src").collect():
-                self.fs.delete(f"{self.cells_path}/src={r['src']}")
-        for s in deleted:
-            self.fs.delete(f"{self.cells_path}/src={s}")
-        # new manifest: fresh entries kept, stale ones replaced, failures noted
-        fresh = listing.join(stale_df.select("path"), "path", "left_anti").join(
-            ok_old.select("path", "status", "error"), "path"
-        )
-        parsed = stale_df.withColumn(
-            "status", F.when(F.col("path").isin(*failed), F.lit("error")).otherwise(F.lit("ok")) if failed else F.lit("ok")
-        ).withColumn("error", F.lit(None).cast("string"))
-        if failed:
-            # keep the previous successful entry of a failed file (fallback)
-            prev = ok_old.filter(F.col("path").isin(*failed))
-            parsed = parsed.filter(~F.col("path").isin(*failed)).unionByName(prev)
-        cols = ["path", "src", "mtime", "length", "ops_fingerprint", "status", "error"]
-        new_manifest = fresh.select(*cols).unionByName(parsed.select(*cols))
-        versions = self._manifest_versions()
-        version = (versions or [0])[-1] + 1
-        new_manifest.write.mode("overwrite").parquet(f"{self.target}/manifest/v={version}")
-        for v in versions[:-1]:
-            self.fs.delete(f"{self.target}/manifest/v={v}")
-        # rebuild the table from the cells of the listed files
-        live = self.spark.read.parquet(f"{self.target}/manifest/v={version}").select("src")
-        if n_listed == 0 or not self.fs.exists(self.cells_path):
-            # zero usable inputs: an empty table (nothing to write: no columns)
-            self.fs.delete(self.table_path)
-            return self.post_process(self.spark.createDataFrame([], "_empty string").drop("_empty"))
-        cells = self.spark.read.parquet(self.cells_path).join(live, "src", "left_semi")
-        table = self.pre_process(W.to_table(cells, header=self.header, with_source=self.with_source))
-        table.write.mode("overwrite").format(self.fmt).options(**self.options).save(self.table_path)
+        before = self.manifest().filter(F.col("status") == "ok")
+        stale = listing if every else listing.join(before.select(*key), key, "left_anti")
+        fresh = before.join(listing.select(*key), key, "left_semi") if not every else before.limit(0)
+        self.parsed_count, self.last_parsed = stale.count(), []
+        version = (self._versions() or [0])[-1] + 1
+        columns = [f.split()[0] for f in MANIFEST_SCHEMA.split(", ")]
+        entries = fresh.select(*columns)
+        if self.parsed_count:
+            files = self._files(stale, self.parsed_count == listing.count())
+            src = F.substring(F.sha1(F.col("path")), 1, 16)
+            staged = materialize(W.scan_files(files, self.sheet_name, errors).withColumn("src", src), "refresh-stage")
+            bad = staged.filter(F.col("_row") == -1).select("path", "error")
+            if errors == "raise":
+                self._refuse(bad, "unreadable workbooks")
+            self._refuse(bad.join(before, "path", "left_anti"), "unreadable workbooks without previous data")
+            good = staged.filter(F.col("_row") >= 0)
+            good.write.mode("overwrite").parquet(f"{self.target}/cells/g={version}")
+            parsed = stale.join(bad, "path", "left_anti").select(
+                "path", "src", "mtime", "length", "ops_fingerprint", F.lit("ok").alias("status"),
+                F.lit(None).cast("string").alias("error"), F.lit(version).alias("generation"),
+            )
+            kept = before.join(bad.select("path"), "path", "left_semi").select(*columns)
+            entries = entries.unionByName(parsed).unionByName(kept)
+        entries = materialize(entries, "refresh-manifest")
+        cells = self._live_cells(entries)
+        if cells is not None and entries.select("generation").distinct().count() > MAX_GENERATIONS:
+            cells = materialize(cells, "refresh-merge")
+            cells.write.mode("overwrite").parquet(f"{self.target}/cells/g={version}")
+            entries = entries.withColumn("generation", F.lit(version))
+        if cells is not None:
+            table = self.pre_process(W.to_table(cells, header=self.header, with_source=self.with_source))
+            if table.columns:
+                table.write.mode("overwrite").format(self.fmt).options(**self.write_options).save(f"{self.target}/table/v={version}")
+        entries.select(*columns).write.mode("overwrite").parquet(f"{self.target}/manifest/v={version}")  # the commit
+        self._sweep(version, {r[0] for r in entries.select("generation").distinct().collect()})
         return self.read_cache()
 
+    def _sweep(self, version: int, generations: set[int]) -> None:
+        """Drop what the two newest manifests do not need."""
+        for kind in ("manifest", "table"):
+            for name in self.fs.children(f"{self.target}/{kind}"):
+                if re.fullmatch(r"v=\d+", name) and int(name[2:]) < version - 1:
+                    self.fs.delete(f"{self.target}/{kind}/{name}")
+        previous = f"{self.target}/manifest/v={version - 1}"
+        if self.fs.exists(f"{previous}/_SUCCESS"):
+            held = self.spark.read.schema(MANIFEST_SCHEMA).parquet(previous).select("generation").distinct()
+            generations = generations | {r[0] for r in held.collect()}
+        for name in self.fs.children(f"{self.target}/cells"):
+            if re.fullmatch(r"g=\d+", name) and int(name[2:]) not in generations:
+                self.fs.delete(f"{self.target}/cells/{name}")
+
     # --- policies (K5-K10, F3) ---------------------------------------------------------------
 
     def refresh(self, policy: str | Callable[[WorkbookRefresher], DataFrame] = "check") -> DataFrame:
@@ -317,10 +354,7 @@ class WorkbookRefresher:
             self.last_parsed = []
             return self.post_process(self._from_sources())
         if policy == "force":
-            for v in self._manifest_versions():
-                self.fs.delete(f"{self.target}/manifest/v={v}")
-            self.fs.delete(self.cells_path)
-            return self._rebuild("raise")
+            return self._rebuild("raise", every=True)
         if policy in ("check", "fallback"):
             if not self.is_stale():
                 self.last_parsed, self.parsed_count = [], 0

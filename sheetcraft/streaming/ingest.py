@@ -56,8 +56,16 @@ def ingest_workbooks(
 
 
 def ingested_table(spark: SparkSession, cells_path: str, header: bool = True) -> DataFrame:
-    """The typed table over everything ingested so far (rejected files left out)."""
+    """The typed table over everything ingested so far (unreadable files are
+    left out; ``rejected_files`` lists them)."""
     from pyspark.sql import functions as F
 
     cells = spark.read.parquet(cells_path).filter(F.col("_row") >= 0)
     return W.to_table(cells, header=header)
+
+
+def rejected_files(spark: SparkSession, cells_path: str) -> DataFrame:
+    """``path, error`` of every ingested file that could not be read."""
+    from pyspark.sql import functions as F
+
+    return spark.read.parquet(cells_path).filter(F.col("_row") == -1).select("path", "error").distinct()

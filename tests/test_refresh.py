@@ -67,7 +67,7 @@ def test_skip_and_only_cached_and_csv(spark, setup):
     with pytest.raises(FileNotFoundError):
         r.refresh("only_cached")
     assert r.refresh("skip").count() == cust.count()
-    assert not os.path.exists(local_path(r.table_path))
+    assert r.table_path is None
     t = r.refresh("check")
     assert t.count() == cust.count()
     assert dict(t.dtypes)["c_acctbal"] == "double"
@@ -82,3 +82,68 @@ def test_empty_folder_gives_empty_table(spark):
     t = r.refresh("check")
     assert t.count() == 0 and t.columns == []
     assert W.to_table(W.scan_workbooks(spark, src)).count() == 0
+
+
+def test_a_failed_refresh_changes_nothing(spark, setup):
+    cust, src = setup
+    tgt = scratch_dir(spark, "t-target4")
+    n = WorkbookRefresher(spark, src, tgt).refresh("check").count()
+
+    def fails(df):
+        raise ValueError("no")
+
+    broken = WorkbookRefresher(spark, src, tgt, pre_process=fails)
+    with pytest.raises(ValueError):
+        broken.refresh("check")
+    late = WorkbookRefresher(spark, src, tgt, pre_process=lambda d: d.withColumn("x", F.raise_error(F.lit("late"))))
+    with pytest.raises(Exception):
+        late.refresh("check")
+    assert broken.is_stale() and late.is_stale()
+    assert WorkbookRefresher(spark, src, tgt).refresh("only_cached").count() == n
+    assert not WorkbookRefresher(spark, src, tgt).is_stale()
+
+
+def test_force_on_a_bad_file_keeps_the_data(spark, setup):
+    cust, src = setup
+    r = WorkbookRefresher(spark, src, scratch_dir(spark, "t-target5"))
+    n = r.refresh("check").count()
+    name = sorted(os.listdir(local_path(src)))[0]
+    with open(os.path.join(local_path(src), name), "wb") as fh:
+        fh.write(b"broken")
+    with pytest.raises(RuntimeError):
+        r.refresh("force")
+    assert r.refresh("fallback").count() == n
+
+
+def _at_least(low):
+    return lambda d: d.filter(F.col("c_custkey") >= low)
+
+
+def test_captured_values_are_part_of_the_fingerprint(spark, setup):
+    from functools import partial
+
+    cust, src = setup
+    tgt = scratch_dir(spark, "t-target6")
+    for low in (2, 7, 7):
+        t = WorkbookRefresher(spark, src, tgt, pre_process=_at_least(low)).refresh("check")
+        assert t.count() == cust.filter(F.col("c_custkey") >= low).count()
+    same = WorkbookRefresher(spark, src, tgt, pre_process=_at_least(7))
+    assert not same.is_stale()
+    prints = {WorkbookRefresher(spark, src, tgt, pre_process=partial(lambda d, k: d, k=k)).fingerprint for k in (1, 2)}
+    assert len(prints) == 2
+
+
+def test_generations_are_merged_and_swept(spark, setup, monkeypatch):
+    from sheetcraft.sources import refresh as M
+
+    monkeypatch.setattr(M, "MAX_GENERATIONS", 2)
+    cust, src = setup
+    r = WorkbookRefresher(spark, src, scratch_dir(spark, "t-target7"))
+    n = r.refresh("check").count()
+    files = sorted(os.listdir(local_path(src)))
+    for k in range(3):
+        p = os.path.join(local_path(src), files[k])
+        os.utime(p, (time.time() + 10 + k, time.time() + 10 + k))
+        assert r.refresh("check").count() == n and r.parsed_count == 1
+    cells = [x for x in os.listdir(local_path(r.target) + "/cells") if x.startswith("g=")]
+    assert len(cells) <= 4 and len(os.listdir(local_path(r.target) + "/table")) == 2
