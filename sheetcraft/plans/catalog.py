@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetcraft.functions import jsonpath as J
@@ -622,6 +622,97 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update({"csv_text_roundtrip": csv_text_roundtrip, "csv_roundtrip": csv_roundtrip, "forward_fill_sheet": forward_fill_sheet})
 
 
+# --- cells built from the given tables (no workbook in between) -------------------------
+
+
+def cells_of(df: DataFrame, path: Column, line: Column, cells: list[Column], heads: dict[str, list[list[str | None]]]) -> DataFrame:
+    """Cells as a scan gives them: data rows of ``df`` in the sheet ``path``
+    at ``line``, and each sheet's header rows.  A cell is (tag, text) or null."""
+    spark = df.sparkSession
+    kind = "array<struct<t: string, v: string>>"
+    data = df.select(path.alias("path"), line.cast("int").alias("_line"), F.array(*cells).cast(kind).alias("cells"))
+    rows = [(p, i, [None if t is None else ("s", t) for t in row]) for p, own in heads.items() for i, row in enumerate(own)]
+    both = data.unionByName(spark.createDataFrame(rows, f"path string, _line int, cells {kind}"))
+    layouts = spark.createDataFrame([(p, W._layout_key([None if t is None else ("s", t) for t in own[0]])) for p, own in heads.items()],
+                                    "path string, layout string")
+    return both.join(F.broadcast(layouts), "path").select(
+        "path", F.lit(None).cast("timestamp").alias("mtime"), F.lit(0).alias("sheet_pos"), F.lit("s").alias("sheet"),
+        F.col("_line").alias("_row"), "_line", "layout", "cells", F.lit(None).cast("string").alias("error"),
+    )
+
+
+def _cell(tag: str, value: Column) -> Column:
+    return F.when(value.isNotNull(), F.struct(F.lit(tag).alias("t"), value.cast("string").alias("v")))
+
+
+def _detail_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details as two sheets with one top row and different rows below it."""
+    d = A.adapter(spark, sf_dir, "details")
+    even = F.col("record_id") % 2 == 0
+    pairs = [(f"{g}_rate", f"{g}_capacity") for g in ("infant", "toddler")]
+    cells = [_cell("n", F.col("record_id"))]
+    for rate, capacity in pairs:
+        cells.append(F.when(even, _cell("n", F.col(rate))).otherwise(_cell("n", F.col(capacity))))
+        cells.append(F.when(even, _cell("n", F.col(capacity))).otherwise(_cell("n", F.col(rate))))
+    top = ["Record ID", "Infant", "Infant", "Toddler", "Toddler"]
+    heads = {"even": [top, [None, "Rate", "Capacity", "Rate", "Capacity"]], "odd": [top, [None, "Capacity", "Rate", "Capacity", "Rate"]]}
+    return cells_of(d, F.when(even, "even").otherwise("odd"), F.abs("record_id") + 10, cells, heads)
+
+
+def headers_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = H.infer_header_table(_detail_cells(spark, sf_dir))
+    names = [(g, m) for g in ("Infant", "Toddler") for m in ("Rate", "Capacity")]
+    return t.select(F.col("Record ID").alias("record_id"), *[F.col(f"{g}.{m}").alias(f"{g}_{m}".lower()) for g, m in names])
+
+
+def headers_custom_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule of the caller: the row below names the measure, in lower case."""
+
+    def rule(names, rows):
+        below = [names[0]] + [str(x).lower() for x in rows[0][1:]]
+        levels = [[n.split(".")[0], b] for n, b in zip(names, below)]
+        return H.HeaderSpec([n.split(".")[0] for n in names], 1, [0], levels)
+
+    t = H.infer_header_table(_detail_cells(spark, sf_dir), inferrer=rule)
+    names = [(g, m) for g in ("Infant", "Toddler") for m in ("rate", "capacity")]
+    return t.select(F.col("Record ID").alias("record_id"), *[F.col(f"{g}.{m}").alias(f"{g}_{m}".lower()) for g, m in names])
+
+
+def headers_all_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One header row whose repeated names a function makes unique: the table
+    stays flat."""
+    d = A.adapter(spark, sf_dir, "details")
+    cells = [_cell("n", F.col(c)) for c in ("record_id", "infant_rate", "infant_capacity")]
+    cells = cells_of(d, F.lit("x"), F.abs("record_id") + 10, cells, {"x": [["id", "infant", "infant"]]})
+    return H.infer_header_table(cells, pattern=r"\.(\d+)$", repl=lambda m: f"_{m[1]}")
+
+
+def table_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as two sheets of different columns: union by name, exact large
+    integers, a column that mixes numbers, texts and the text ``nan``."""
+    c = A.read_table(spark, sf_dir, "customer")
+    first = F.col("c_custkey") % 3 == 0
+    key = _cell("n", F.col("c_custkey") + F.lit(9007199254740993))
+    text = F.when(F.col("c_custkey") % 5 == 0, F.lit("nan")).otherwise(F.col("c_name"))
+    cells = [
+        key,
+        F.when(first, _cell("n", F.col("c_acctbal"))).otherwise(_cell("s", text)),
+        F.when(first, _cell("n", F.col("c_nationkey"))).otherwise(_cell("s", F.col("c_mktsegment"))),
+    ]
+    heads = {"a": [["key", "balance", "mixed"]], "b": [["key", "mixed", "segment"]]}
+    return W.to_table(cells_of(c, F.when(first, "a").otherwise("b"), F.col("c_custkey") + 1, cells, heads), null_tokens=False)
+
+
+QUERIES.update(
+    {
+        "headers_from_cells": headers_from_cells,
+        "headers_custom_rule": headers_custom_rule,
+        "headers_all_unique": headers_all_unique,
+        "table_from_cells": table_from_cells,
+    }
+)
+
+
 # --- end-to-end jobs over exported workbooks --------------------------------------------
 
 def _referral_job(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -368,6 +368,16 @@ def workbook_oracles() -> dict[str, str]:
 select referral_id as program_id, recorded_by, strftime(action_ts, '%Y-%m-%d %H:%M:%S') as recorded_date,
        strftime(action_ts, '%Y-%m-%d %H:%M:%S') as action_date, log_name, log_type, notes from {logs} a
 """),
+        "headers_from_cells": _sub("""select record_id, infant_rate,
+          cast(infant_capacity as bigint) as infant_capacity, toddler_rate, cast(toddler_capacity as bigint) as toddler_capacity
+          from {details} d"""),
+        "headers_custom_rule": _sub("""select record_id, infant_rate,
+          cast(infant_capacity as bigint) as infant_capacity, toddler_rate, cast(toddler_capacity as bigint) as toddler_capacity
+          from {details} d"""),
+        "headers_all_unique": _sub("select record_id as id, infant_rate as infant, cast(infant_capacity as bigint) as infant_1 from {details} d"),
+        "table_from_cells": """select c_custkey + 9007199254740993 as key, case when c_custkey % 3 = 0 then c_acctbal end as balance,
+          case when c_custkey % 3 = 0 then cast(c_nationkey as varchar) when c_custkey % 5 <> 0 then c_name end as mixed,
+          case when c_custkey % 3 <> 0 then c_mktsegment end as segment from customer""",
         "csv_text_roundtrip": """select doc_id, case doc_id % 6 when 0 then text
           when 1 then '  ' || text || chr(9) || ' ' when 2 then '"' || text || '",' || chr(13) || chr(10) || '"'
           when 3 then '' when 4 then text || chr(92) end as text, lang from documents""",
