@@ -39,10 +39,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that repeat earlier passages, with the word ranges to remove."""
+    """Documents that repeat passages of earlier ones, which, and what to remove."""
     docs = read_table(spark, sf_dir, "documents")
     words = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["to_word"] - x["from_word"])
-    return repeated_spans(docs).select(F.col("id").alias("doc_id"), "removed", words.alias("n_removed_words"))
+    return repeated_spans(docs).select(F.col("id").alias("doc_id"), "repeats_of", "removed", words.alias("n_removed_words"))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,21 +203,22 @@ def near_paragraphs(rows: DataFrame, described: DataFrame, num: int, den: int) -
 
 def marked_segments(described: DataFrame, near: DataFrame) -> DataFrame:
     """``(id, key, marks)``: the segment ranges of each document that repeat
-    one of an earlier document, as an array of (from, to)."""
+    one of an earlier document, as an array of (from, to, of): of is the id of
+    the first document that holds it."""
     place = F.struct("id", "key")
     segments = described.select(
         "id", "key", "seg_words", F.posexplode("seg_hash").alias("from", "hash")
     ).where(F.expr(f"seg_words[from] >= {MIN_SEGMENT}"))
     segments = segments.select("id", "key", "from", (F.col("from") + 1).alias("to"), "hash")
     firsts = segments.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-    repeats = segments.join(firsts.select("hash", "first"), "hash").where(place > F.col("first")).select("id", "key", "from", "to")
+    repeats = segments.join(firsts.select("hash", "first"), "hash").where(place > F.col("first")).select("id", "key", "from", "to", F.col("first.id").alias("of"))
     paras = described.select("id", "key", F.explode(F.arrays_zip("para", "para_from", "para_to")).alias("p")).select(
         "id", "key", F.col("p.para_from").alias("from"), F.col("p.para_to").alias("to"), F.col("p.para").alias("node")
     )
     paras = paras.join(near, "node")
     kept = paras.groupBy("root").agg(F.min(place).alias("first"))
-    copies = paras.join(kept, "root").where(place > F.col("first")).select("id", "key", "from", "to")
-    return repeats.union(copies).groupBy("id", "key").agg(F.collect_list(F.struct("from", "to")).alias("marks"))
+    copies = paras.join(kept, "root").where(place > F.col("first")).select("id", "key", "from", "to", F.col("first.id").alias("of"))
+    return repeats.union(copies).groupBy("id", "key").agg(F.collect_list(F.struct("from", "to", "of")).alias("marks"))
 
 
 def removed_runs(sizes: np.ndarray, marks: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -234,15 +235,20 @@ def removed_runs(sizes: np.ndarray, marks: list[tuple[int, int]]) -> list[tuple[
 
 def _spans(batches):
     for batch in batches:
-        out = []
+        out, sources = [], []
         for sizes, marks in zip(batch.column("seg_words").to_pylist(), batch.column("marks").to_pylist()):
             sizes = np.array(sizes, dtype=np.int64)
             at = np.concatenate(([0], np.cumsum(sizes)))
             runs = removed_runs(sizes, [(m["from"], m["to"]) for m in marks])
             out.append([{"from_word": int(at[a]), "to_word": int(at[z])} for a, z in runs])
+            gone = np.zeros(len(sizes), dtype=bool)
+            for a, z in runs:
+                gone[a:z] = True
+            sources.append(sorted({m["of"] for m in marks if m["of"] is not None and gone[m["from"] : m["to"]].any()}))
         kind = pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("key"), pa.array(out, kind)], ["id", "key", "removed"]
+            [batch.column("id"), batch.column("key"), pa.array(out, kind), pa.array(sources, pa.list_(pa.int64()))],
+            ["id", "key", "removed", "repeats_of"],
         )
 
 
@@ -271,8 +277,10 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 80, den: int = 100, recall: float = 0.95
 ) -> DataFrame:
-    """``(id, key, removed)`` for documents with something to remove: key is
-    the hash of the text, removed an array of word ranges (from_word, to_word).
+    """``(id, key, removed, repeats_of)`` for documents with something to
+    remove: key is the hash of the text, removed an array of word ranges
+    (from_word, to_word), repeats_of the ids of the documents where the
+    removed passages stay.
 
     Rows equal in id and text count as one; null and wordless texts have
     nothing to remove; an empty table gives an empty result."""
@@ -294,14 +302,14 @@ def repeated_spans(
     together = sizes.join(marks, (sizes["id"].eqNullSafe(marks["id"])) & (sizes["key"] == marks["key"]))
     together = together.select(sizes["id"], sizes["key"], "seg_words", "marks")
     spans = together.mapInArrow(
-        _spans, "id long, key long, removed array<struct<from_word: bigint, to_word: bigint>>"
+        _spans, "id long, key long, removed array<struct<from_word: bigint, to_word: bigint>>, repeats_of array<long>"
     )
     return spans.where(F.size("removed") > 0)
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All rows and columns of ``docs``; the text without its repeated words."""
-    spans = repeated_spans(docs, id_col, text_col, **options).withColumnsRenamed(
+    spans = repeated_spans(docs, id_col, text_col, **options).drop("repeats_of").withColumnsRenamed(
         {"id": "__id", "key": "__key", "removed": "__removed"}
     )
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(F.col(text_col).cast("string")) == F.col("__key"))
