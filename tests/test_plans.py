@@ -60,10 +60,11 @@ def test_window_variant_shares_one_key_exchange(spark):
     df = E.queries()["referral_clean_window"](spark, SF_SMALL)
     p = _final_plan(df)
     assert "Window [max(" in p and "Window [row_number()" in p
-    # the numbered branch: exactly one exchange, hash-partitioned on the two keys
+    # one exchange on the two keys for the group sizes, and one that numbering,
+    # distinct and the max window share
     ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     key_ex = [e for e in ex if e.count("#") == 2]
-    assert len(key_ex) == 1, ex
+    assert len(key_ex) == 2, ex
 
 
 def test_referral_scans_get_key_null_filters(spark):
