@@ -68,15 +68,27 @@ def shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _scratch_base(spark: SparkSession) -> str:
+    return f"{shared_base(spark)}/sheetcraft/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one job's written tables."""
-    path = f"{shared_base(spark)}/sheetcraft/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_scratch_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     local = local_path(path)
     if local is not None:
         os.makedirs(local, exist_ok=True)
     return path
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application; call it when its results
+    are stored, as DataFrames may still read them."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(_scratch_base(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(path: str) -> str | None:
     """POSIX path for a ``file:`` URI or a plain path; None for other schemes."""
     if path.startswith("file:"):

@@ -42,3 +42,25 @@ def test_referral_job_writes_both_files(spark):
     # second run: nothing stale, same outputs (the first frames' files are replaced)
     main2, _ = JOBS.process_referrals(spark, src, out_dir)
     assert main2.count() == first
+
+
+def test_jobs_report_their_rows(spark):
+    from sheetcraft.operators.metrics import RunReport
+
+    src = export_workbooks(A.referral_export(spark, SF_SMALL), "t-job-report")
+    report = RunReport("t")
+    main, filters = JOBS.process_referrals(spark, src, scratch_dir(spark, "t-job-report-out"), report=report)
+    assert [r.stage for r in report.records] == ["read", "clean", "referrals csv", "filters csv"]
+    assert report.count("kept") == main.count() == report.count("referrals") <= report.count("read")
+    assert report.count("filters") == filters.count()
+    assert all(r.seconds >= 0 for r in report.records)
+
+
+def test_clear_scratch(spark):
+    from sheetcraft.session import _scratch_base, clear_scratch
+
+    made = local_path(scratch_dir(spark, "t-clear"))
+    assert os.path.isdir(made)
+    clear_scratch(spark)
+    assert not os.path.exists(local_path(_scratch_base(spark)))
+    assert os.path.isdir(local_path(scratch_dir(spark, "t-clear")))
