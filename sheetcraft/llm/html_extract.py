@@ -23,7 +23,7 @@ from collections import Counter
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetcraft.llm.common import once_a_worker, prepare
@@ -291,7 +291,7 @@ def extract_main_text(
     decoded, white space made one blank, joined by line feeds; nothing else is
     dropped or cut.  The model learns from ``layouts`` built pages and at most
     ``sample_pages`` of the table's pages of up to ``sample_chars`` characters
-    (those of the smallest id hash).  A null or empty page, and one without
+    (those of the smallest text hash).  A null or empty page, and one without
     content, has an empty text.  Repeated rows keep their rows; other columns
     are not read."""
     prepare(pages.sparkSession)
@@ -299,7 +299,12 @@ def extract_main_text(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")
     )
     short = rows.where((F.length("html") <= sample_chars) & F.col("html").contains("<article"))
-    found = short.orderBy(F.xxhash64("id"), "id", "html").limit(sample_pages).select("html").collect()
+    # Of each partition only the smallest hashes are shuffled; the pages
+    # themselves are then fetched by hash.
+    keyed = short.select(F.xxhash64("html").alias("key"), "html")
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("key"))
+    chosen = keyed.select("key").withColumn("rank", rank).where(F.col("rank") <= sample_pages).select("key").distinct()
+    found = keyed.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html")).orderBy("key").collect()
     sample = [r["html"] for r in found]
 
     def run(batches):
