@@ -163,7 +163,8 @@ def labelled_rows(
     chosen = own.where(F.col("label").isin([r["label"] for r in counts])).withColumn("rank", rank)
     chosen = chosen.where(F.col("rank") <= per_class).drop("rank")
     texts = docs.select(F.col(id_col).alias("key"), F.substring("text", 1, chars).alias("excerpt"))
-    found = texts.join(F.broadcast(chosen), "key").where("excerpt is not null").collect()  # per_class * classes rows, barring repeated ids
+    found = texts.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("excerpt").alias("excerpt"))
+    found = found.where("excerpt is not null").collect()  # per_class * classes rows at most
     found.sort(key=lambda r: (hash_order(r["key"]), r["label"], r["excerpt"]))
     return (
         [r["excerpt"].encode("utf-8", "surrogatepass") for r in found],

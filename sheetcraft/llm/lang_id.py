@@ -174,7 +174,8 @@ def labelled_sample(
     chosen = chosen.join(F.broadcast(frequent), lang_col).select(F.col(id_col).alias("chosen"), F.col(lang_col).alias("language"))
     found = (
         rows.join(F.broadcast(chosen), (F.col(id_col) == F.col("chosen")) & (F.col(lang_col) == F.col("language")))
-        .select("language", F.substring(text_col, 1, chars).alias("excerpt"), F.xxhash64(id_col).alias("order"))
+        .groupBy("language", F.xxhash64("chosen").alias("order"), "chosen")  # repeated ids count once
+        .agg(F.min(F.substring(text_col, 1, chars)).alias("excerpt"))
         .collect()  # languages * docs_per_lang excerpts at most
     )
     return [(r["language"], r["excerpt"]) for r in sorted(found, key=lambda r: (r["language"], r["order"], r["excerpt"]))]
@@ -219,7 +220,7 @@ def identify_documents(
     sample = labelled_sample(docs, learn, id_col, text_col, lang_col, docs_per_lang, languages, per_doc)
     carry = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry is None else carry
     names = [f"c{i}" for i in range(len(carry))]
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(n) for c, n in zip(carry, names)))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)))
     fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
 
     def run(batches):

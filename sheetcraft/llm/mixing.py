@@ -34,7 +34,7 @@ def memberships(docs: DataFrame, model, carry: list[str], text_col: str) -> Data
     """``carry`` columns with n_tokens (words of the whole text) and posterior."""
     carried = [f"c{i}" for i in range(len(carry))]
     rows = docs.select(
-        F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(n) for c, n in zip(carry, carried))
+        F.col(text_col).cast("string").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in zip(carry, carried))
     )
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     width = len(model.classes)

@@ -179,13 +179,13 @@ def jaccard_components(
     )
     postings = described.select(F.col("set_id").alias("node"), F.explode("sigs").alias("sig"))
     clusters = components(star_edges(postings, "sig", "node"))
-    chosen = (
+    # Copies collapse in the aggregate's map side before anything is joined.
+    firsts = (
         described.where("set_id is not null")
-        .select(F.col("set_id").alias("node"), "id", "key")
-        .join(clusters, "node")
-        .groupBy("node", "root")
-        .agg(F.min(F.struct("id", "key")).alias("at"))
+        .groupBy(F.col("set_id").alias("node"))
+        .agg(F.min("id").alias("first"), F.min(F.struct("id", "key")).alias("at"))
     )
+    chosen = firsts.join(clusters, "node").select("node", "root", "at")
     holder = rows.join(chosen, rows["id"].eqNullSafe(chosen["at.id"]) & (rows["key"] == chosen["at.key"]))
     sets = written(
         holder.select("node", "root", "text").mapInArrow(
@@ -194,15 +194,11 @@ def jaccard_components(
         "sets",
     )
     parts = components(linked_sets(sets, num, den))
-    firsts = (
-        described.where("set_id is not null")
-        .groupBy("set_id")
-        .agg(F.min("id").alias("first"))
-        .join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
-        .withColumn("root", F.coalesce("root", "set_id"))
+    grouped = (
+        firsts.select("node", "first").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     )
-    smallest = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_set = firsts.join(smallest, "root").select("set_id", "component_id")
+    smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
+    by_set = grouped.join(smallest, "root").select(F.col("node").alias("set_id"), "component_id")
     return (
         described.select("id", "n_items", "set_id")
         .join(by_set, "set_id", "left")

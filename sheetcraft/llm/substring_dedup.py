@@ -314,7 +314,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(F.col(text_col).cast("string")) == F.col("__key"))
     cut = F.pandas_udf(_cut, "string")
-    return docs.join(spans, same, "left").withColumn(text_col, cut(F.col(text_col), F.to_json("__removed"))).select(*docs.columns)
+    return docs.join(spans, same, "left").withColumn(text_col, cut(F.col(text_col), F.to_json("__removed"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
