@@ -326,17 +326,36 @@ from s
 """
 
 
-def _county_oracle() -> str:
-    from sheetcraft.functions.regions import REGIONS
+# Region, SDA code and counties, stated here a second time so that
+# a slip in the package's table shows.
+_SDA_COUNTIES = """
+Blue Mountain 1: Morrow, Umatilla, Union
+Multnomah 2: Multnomah
+Marion-Polk-Yamhill 3: Marion, Polk, Yamhill
+North Coast 4: Clatsop, Tillamook, Columbia
+Linn-Benton-Lincoln 5: Linn, Benton, Lincoln
+Lane 6: Lane
+South Central 7: Douglas, Klamath, Lake
+South Coast 8: Coos, Curry
+Southern 9: Jackson, Josephine
+The Gorge 10: Gilliam, Hood River, Sherman, Wasco, Wheeler
+Grant-Harney 11: Grant, Harney
+Central 12: Crook, Deschutes, Jefferson
+Eastern 14: Baker, Malheur, Wallowa
+Clackamas 15: Clackamas
+Washington 16: Washington
+"""
 
-    names = [c for _, _, cs in REGIONS for c in cs]
-    values = ", ".join(f"('{c}', '{r}', {s})" for r, s, cs in REGIONS for c in cs)
-    arr = ", ".join(f"'{c}'" for c in names)
+
+def _county_oracle() -> str:
+    """DuckDB takes the lines apart: place, county, region and code."""
     return f"""
-with p as (select p_partkey as record_id, list_extract([{arr}], cast(p_partkey % {len(names) + 1} + 1 as int)) as county
-           from part)
-select p.record_id, p.county, d.region, d.sda from p left join (values {values}) d(county, region, sda)
-  on p.county = d.county
+with l as (select string_split(line, ': ') as x from (select unnest(string_split(trim('{_SDA_COUNTIES}', chr(10)), chr(10))) as line)),
+d as (select unnest(string_split(x[2], ', ')) as county, regexp_extract(x[1], '^(.*) [0-9]+$', 1) as region,
+        cast(regexp_extract(x[1], '([0-9]+)$', 1) as int) as sda from l),
+n as (select list(county order by sda, spot) as names from (select *, row_number() over () as spot from d)),
+p as (select p_partkey as record_id, list_extract(names, cast(p_partkey % (len(names) + 1) + 1 as int)) as county from part, n)
+select p.record_id, p.county, d.region, d.sda from p left join d on p.county = d.county
 """
 
 
