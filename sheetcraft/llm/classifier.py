@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import EXACT, joined, shingle_hashes, word_hashes
+from sheetcraft.llm.common import EXACT, joined, shingle_hashes, text_groups, word_hashes
 
 BITS = 17
 _WIDE = 1 << BITS
@@ -63,6 +63,15 @@ def byte_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return columns.astype(np.int64), rows
 
 
+def grouped_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``hashed_features`` of many texts, a bounded group at a time, compact."""
+    parts = []
+    for positions, group in text_groups(range(len(texts)), texts):
+        rows, columns, values = hashed_features(group)
+        parts.append(((rows + positions[0]).astype(np.int32), columns.astype(np.int32), values.astype(np.float32)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 @dataclass
 class Classifier:
     """Class scores are linear in the features, then calibrated."""
@@ -109,12 +118,14 @@ def train(texts: list[bytes], labels: list[str], priors: dict[str, float], round
         return model
     held = np.arange(n) % 4 == 3
     fit = np.flatnonzero(~held)
-    rows, columns, values = hashed_features([texts[i] for i in fit])
+    rows, columns, values = grouped_features([texts[i] for i in fit])
     hot = np.eye(len(classes))[target[fit]]
     balance = 1.0 / np.maximum(hot.sum(axis=0), 1)
     share = (hot * balance).sum(axis=1, keepdims=True)
     share = share / share.sum()
     used, place = np.unique(columns, return_inverse=True)
+    place = place.astype(np.int32)
+    del columns
     weights, bias = np.zeros((len(classes), len(used))), np.zeros(len(classes))
     squares, bias_squares = np.full(weights.shape, 1e-8), np.full(len(classes), 1e-8)
     for _ in range(rounds):
@@ -137,7 +148,7 @@ def calibrate(model: Classifier, texts: list[bytes], target: np.ndarray, priors:
     """Slope and offsets that minimise the weighted log loss on held-out rows."""
     if not len(texts):
         return
-    raw = model.raw_scores(texts)
+    raw = np.concatenate([model.raw_scores(group) for _, group in text_groups(range(len(texts)), texts)])
     hot = np.eye(len(model.classes))[target]
     share = np.array([priors.get(c, 0.0) for c in model.classes]) / np.maximum(hot.sum(axis=0), 1)
     weight = (hot * share).sum(axis=1, keepdims=True)

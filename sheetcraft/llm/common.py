@@ -9,6 +9,7 @@ the shared folder (``spark.checkpoint.dir``), which also cuts their lineage.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
@@ -57,6 +58,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps that are over: it
+    follows the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *others: str) -> DataFrame:
     """Only id (long), text (string) and named others; the rest never reaches
     Python."""
@@ -189,11 +197,11 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(acc)
 
 
-def text_groups(ids: Iterable, texts: Iterable[str | None]) -> Iterator[tuple[list, list[bytes]]]:
+def text_groups(ids: Iterable, texts: Iterable[str | bytes | None]) -> Iterator[tuple[list, list[bytes]]]:
     """Groups of (ids, UTF-8 texts) of bounded total size; null is empty."""
     out_ids, out_texts, size = [], [], 0
     for i, t in zip(ids, texts):
-        raw = t.encode("utf-8", "surrogatepass") if t else b""
+        raw = t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") if t else b""
         if out_ids and size + len(raw) > BATCH_TEXT:
             yield out_ids, out_texts
             out_ids, out_texts, size = [], [], 0

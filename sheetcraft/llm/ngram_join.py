@@ -28,6 +28,7 @@ from sheetcraft.llm.common import (
     keyed_text,
     mix,
     prepare,
+    release,
     shingle_hashes,
     text_groups,
     text_key,
@@ -179,6 +180,7 @@ def jaccard_components(
     )
     postings = described.select(F.col("set_id").alias("node"), F.explode("sigs").alias("sig"))
     clusters = components(star_edges(postings, "sig", "node"))
+    release(spark)
     # Copies collapse in the aggregate's map side before anything is joined.
     firsts = (
         described.where("set_id is not null")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import FOLDED, joined, mix, powers, prepare, shingle_hashes, text_groups, text_key, word_hashes, written
+from sheetcraft.llm.common import FOLDED, joined, mix, powers, prepare, release, shingle_hashes, text_groups, text_key, word_hashes, written
 from sheetcraft.llm.graph import components, star_edges
 from sheetcraft.llm.setjoin import band_of, linked_sets, size_bands
 
@@ -186,6 +186,7 @@ def near_paragraphs(rows: DataFrame, described: DataFrame, num: int, den: int) -
     pairs = described.select("para", per_para.cast("int").alias("bands_each"), F.posexplode("bands").alias("at", "band"))
     postings = pairs.select(F.expr("para[at div bands_each]").alias("node"), "band")
     clusters = components(star_edges(postings, "band", "node"))
+    release(rows.sparkSession)
     holders = (
         described.select("id", "key", F.explode("para").alias("node"))
         .join(clusters, "node")
@@ -297,6 +298,7 @@ def repeated_spans(
         "paragraphs",
     )
     near = near_paragraphs(rows, described, num, den)
+    release(docs.sparkSession)
     marks = marked_segments(described, near)
     sizes = described.select("id", "key", "seg_words").dropDuplicates(["id", "key"])
     together = sizes.join(marks, (sizes["id"].eqNullSafe(marks["id"])) & (sizes["key"] == marks["key"]))
