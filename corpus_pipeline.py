@@ -15,7 +15,7 @@ from sheetcraft.llm.byte_bpe import bpe_round_trip
 from sheetcraft.llm.common import read_table, written
 from sheetcraft.llm.lang_id import UNDETERMINED, identify_documents
 from sheetcraft.llm.mixing import mix_documents
-from sheetcraft.llm.ngram_join import jaccard_components
+from sheetcraft.llm.ngram_join import one_a_component
 from sheetcraft.llm.queries import QUALITY_MIX
 from sheetcraft.llm.substring_dedup import dedup_passages
 
@@ -28,9 +28,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id stays."""
-    first = jaccard_components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    """Of each group of near copies one row stays, that of the smallest id;
+    texts without a word are in no group and stay."""
+    return one_a_component(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

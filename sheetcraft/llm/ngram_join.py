@@ -157,21 +157,9 @@ def _members(num: int, den: int, k: int):
     return run
 
 
-def jaccard_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    k: int = 3,
-    num: int = 90,
-    den: int = 100,
-) -> DataFrame:
-    """``(id_col, n_shingles, component_id)``, a row a document row.
-
-    Two documents link when den * |intersection| >= num * |union| of their
-    k-gram sets; component_id is the smallest id reachable.  Null and wordless
-    texts have an empty set and are their own component.  Repeated ids keep
-    their rows; a null id is ignored by the minimum.  Other columns are not
-    read.  An empty table gives an empty result."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, key, n_items, set_id, sigs)``, a row a document row, and
+    ``(node, first, root)``: each set, its smallest id and its component."""
     spark = docs.sparkSession
     prepare(spark)
     rows = keyed_text(docs, id_col, text_col).toDF("id", "text").select("id", text_key(F.col("text")).alias("key"), "text")
@@ -196,9 +184,26 @@ def jaccard_components(
         "sets",
     )
     parts = components(linked_sets(sets, num, den))
-    grouped = (
-        firsts.select("node", "first").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    )
+    grouped = firsts.select("node", "first").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return described, grouped
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 3,
+    num: int = 90,
+    den: int = 100,
+) -> DataFrame:
+    """``(id_col, n_shingles, component_id)``, a row a document row.
+
+    Two documents link when den * |intersection| >= num * |union| of their
+    k-gram sets; component_id is the smallest id reachable.  Null and wordless
+    texts have an empty set and are their own component.  Repeated ids keep
+    their rows; a null id is ignored by the minimum.  Other columns are not
+    read.  An empty table gives an empty result."""
+    described, grouped = _linked(docs, id_col, text_col, k, num, den)
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     by_set = grouped.join(smallest, "root").select(F.col("node").alias("set_id"), "component_id")
     return (
@@ -210,3 +215,33 @@ def jaccard_components(
             F.coalesce("component_id", "id").alias("component_id"),
         )
     )
+
+
+def one_a_component(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 3,
+    num: int = 90,
+    den: int = 100,
+) -> DataFrame:
+    """Rows and columns of ``docs``, exactly one row of each component.
+
+    The row of the smallest id stays, a null id only where no row of the
+    component has one; of several rows of that id the one of the smallest text
+    hash; of rows equal in id and text the smallest in its other columns.
+    Null and wordless texts are no copies of anything: all their rows stay."""
+    described, grouped = _linked(docs, id_col, text_col, k, num, den)
+    held = described.where("set_id is not null").groupBy("set_id", "id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "rows")).alias("at")
+    by_set = held.groupBy(F.col("set_id").alias("node")).agg(least)
+    chosen = by_set.join(grouped.select("node", "root"), "node").groupBy("root").agg(F.min("at").alias("at"))
+    wordless = described.where("set_id is null").select("id", "key", F.lit(1).cast("long").alias("rows")).distinct()
+    chosen = written(chosen.select("at.id", "at.key", "at.rows").union(wordless), "chosen").toDF("__id", "__key", "__rows")
+    key = text_key(F.col(text_col).cast("string"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    alone = docs.join(chosen.where("__rows = 1"), same, "left_semi").select(columns)
+    # Only rows that are there several times are grouped.
+    several = docs.join(chosen.where("__rows > 1"), same).groupBy("__id", "__key").agg(F.min(F.struct(columns)).alias("row"))
+    return alone.union(several.select("row.*"))

@@ -152,6 +152,24 @@ def test_pipeline_near_copies(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 9, 9]
 
 
+def test_pipeline_near_copies_by_row(spark):
+    """Null ids, repeated rows with text, and rows of one id in two groups."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (None, "unique text of a null id", "x"),
+        (None, "g h i j k l", "x"), (7, "G h i j k l", "x"),  # the id goes first
+        (None, "m n o p q r", "y"), (None, "m n o p q r", "x"),  # null ids only
+        (1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "a b c d e f", "w"),  # repeated rows
+        (3, "s t u v w x", "x"), (3, long, "x"), (2, long + " end", "x"),  # 3 heads a group and is a copy in another
+        (None, None, "x"), (None, " ", "x"), (4, None, "x"), (4, None, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = corpus_pipeline.one_of_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = [0, 2, 4, 7, 8, 10, 11, 12, 13, 14]
+    assert sorted(map(str, left.collect())) == sorted(str(r) for n, r in enumerate(docs.collect()) if n in kept)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
     assert numbers == list(range(1, 11))
