@@ -5,21 +5,24 @@ copies together.  Paragraphs that share a band form candidate clusters, which
 are verified exactly (Jaccard of at least num / den) in blocks; of each
 component of near copies those of the first document stay.
 
-A passage may also sit inside longer paragraphs.  So paragraphs are cut
-further into segments at words whose hash is smallest among ``REACH``
-neighbours on either side: the cuts depend on the words around them only, so
-two copies of a passage are cut alike but for their rims.  Segments have few
-shingles, for which that Jaccard means equality; equal segments are clusters,
-and the first stays.  Repeats inside one document are left alone.
-
-What is removed is words, in runs of marked segments of at least ``MIN_RUN``
-words.  "First" is by document id.
+A passage may also sit inside longer paragraphs, or be wrapped otherwise.  So
+whatever the lines, each run of ``MIN_RUN`` words that an earlier document
+holds is found, by its hash.  Not all these hashes are compared: every run has
+an anchor, the shingle of ``ANCHOR`` words with the smallest hash among those
+it holds, so equal runs have equal anchors, and about one word in three starts
+one.  Runs are compared only where their anchor is in several documents, each
+with the first document that holds it; overlapping ones join, so what is
+removed ends where the match ends.  Repeats inside one document are left alone.
+
+What is removed is words: those of such runs, and whole paragraphs that are
+near copies, whatever their length.  "First" is by document id.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,9 +35,9 @@ from sheetcraft.llm.graph import components, star_edges
 from sheetcraft.llm.setjoin import band_of, linked_sets, size_bands
 
 SHINGLE = 5
-REACH = 5  # words to either side over which a cut is the smallest
-MIN_SEGMENT = 4  # words; shorter segments are marked only between marked ones
-MIN_RUN = 12  # words of a run that is removed
+MIN_RUN = 12  # words of a repeated run that is removed
+ANCHOR = 8  # words of the shingles of which a run has the smallest as anchor
+SLICES = 4  # parts in which anchors are compared, so that less lies on disk at a time
 _U = np.uint64
 _WIDE = 1 << 16
 _UP: list[np.ndarray] = []
@@ -48,7 +51,7 @@ def tuned_bands(similarity: float, recall: float, rows: int = 2) -> tuple[int, i
 
 
 class Layout:
-    """Words, paragraphs and segments of a group of texts."""
+    """Words and paragraphs of a group of texts."""
 
     def __init__(self, texts: list[bytes]):
         self.data, self.offsets = joined(texts)
@@ -59,24 +62,24 @@ class Layout:
         fresh = np.ones(n, dtype=bool)
         fresh[1:] = line[1:] != line[:-1]
         self.para_first = np.flatnonzero(fresh)
-        pair = self.words.copy()
-        if n:
-            inner = ~fresh[1:]
-            pair[:-1][inner] += self.words[1:][inner] * _U(0x9FB21C651E98DF25)
-        key = mix(pair)
-        cut = np.ones(n, dtype=bool)
-        for d in range(1, min(REACH, n - 1) + 1):
-            same = line[d:] == line[:-d]
-            cut[d:] &= (key[d:] < key[:-d]) | ~same
-            cut[:-d] &= (key[:-d] <= key[d:]) | ~same
-        self.seg_first = np.flatnonzero(cut | fresh)
-        self.seg_words = np.diff(np.append(self.seg_first, n))
         self.para_words = np.diff(np.append(self.para_first, n))
-        # By text: first segment and first paragraph.
-        first_word = np.searchsorted(self.starts, self.offsets)
-        self.text_words = first_word
-        self.text_segs = np.searchsorted(self.seg_first, first_word)
-        self.text_paras = np.searchsorted(self.para_first, first_word)
+        # By text: first word and first paragraph.
+        self.text_words = np.searchsorted(self.starts, self.offsets)
+        self.text_paras = np.searchsorted(self.para_first, self.text_words)
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words of all runs of MIN_RUN words inside a text, and the
+        hash of the anchor of each."""
+        shingles = shingle_hashes(self.words, ANCHOR)
+        n = len(self.words) - MIN_RUN + 1
+        if n <= 0:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=_U)
+        anchor = shingles[:n].copy()
+        for d in range(1, MIN_RUN - ANCHOR + 1):
+            np.minimum(anchor, shingles[d : d + n], out=anchor)
+        text_of = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.text_words))
+        first = np.flatnonzero(text_of[:n] == text_of[MIN_RUN - 1 :])
+        return first, anchor[first]
 
     def sequence_hashes(self, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """A hash of the words of each run, in order."""
@@ -124,34 +127,54 @@ def _describe(bands: int, rows: int):
             texts = batch.column(2).to_pylist()
             for positions, group in text_groups(range(len(texts)), texts):
                 own = Layout(group)
-                seg_hash = own.sequence_hashes(own.seg_first, own.seg_words).view(np.int64)
+                first, anchor = own.runs()
+                bounds = np.searchsorted(first, own.text_words)
+                anchors = [np.unique(anchor[a:z]) for a, z in zip(bounds[:-1], bounds[1:])]
+                anchor_cuts = np.concatenate(([0], np.cumsum([len(x) for x in anchors])))
                 nodes = own.sequence_hashes(own.para_first, own.para_words).view(np.int64)
                 paras, shingles, sizes = own.shingles()
-                long = sizes >= SHINGLE  # fewer shingles: similar means equal
-                shingles, sizes = shingles[np.repeat(long, sizes)], sizes[long]
-                paras = paras[long]
                 keys = band_keys(shingles, sizes, bands, rows).view(np.int64)
                 cuts = np.searchsorted(paras, own.text_paras)
-                seg_of_para = np.searchsorted(own.seg_first, own.para_first[paras])
-                last = np.searchsorted(own.seg_first, own.para_first[paras] + own.para_words[paras])
-                base = np.repeat(own.text_segs[:-1], np.diff(cuts))
+                from_word = own.para_first[paras] - np.repeat(own.text_words[:-1], np.diff(cuts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(positions)),
                         batch.column(1).take(pa.array(positions)),
-                        _lists(seg_hash, own.text_segs, pa.int64()),
-                        _lists(own.seg_words, own.text_segs, pa.int32()),
+                        _lists(np.concatenate(anchors).view(np.int64), anchor_cuts, pa.int64()),
                         _lists(nodes[paras], cuts, pa.int64()),
-                        _lists(seg_of_para - base, cuts, pa.int32()),
-                        _lists(last - base, cuts, pa.int32()),
+                        _lists(from_word, cuts, pa.int64()),
+                        _lists(from_word + own.para_words[paras], cuts, pa.int64()),
                         _lists(keys.ravel(), cuts * bands, pa.int64()),
                     ],
-                    ["id", "key", "seg_hash", "seg_words", "para", "para_from", "para_to", "bands"],
+                    ["id", "key", "anchors", "para", "para_from", "para_to", "bands"],
                 )
 
     return run
 
 
+def _runs(batches):
+    """Runs, as hash and first word, of which the anchor is wanted."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        wanted = batch.column("wanted")
+        for positions, group in text_groups(range(len(texts)), texts):
+            own = Layout(group)
+            first, anchor = own.runs()
+            bounds = np.searchsorted(first, own.text_words)
+            every = shingle_hashes(own.words, MIN_RUN).view(np.int64)
+            found, at, sizes = [], [], []
+            for t, (p, a, z) in enumerate(zip(positions, bounds[:-1], bounds[1:])):
+                some = first[a:z][np.isin(anchor[a:z].view(np.int64), wanted[p].values.to_numpy())]
+                found.append(every[some])
+                at.append(some - own.text_words[t])
+                sizes.append(len(some))
+            ids = batch.select(["id", "key"]).take(pa.array(np.repeat(positions, sizes)))
+            yield pa.RecordBatch.from_arrays(
+                [*ids.columns, pa.array(np.concatenate(found), pa.int64()), pa.array(np.concatenate(at), pa.int64())],
+                ["id", "key", "hash", "from"],
+            )
+
+
 def _members(num: int, den: int):
     ranges = size_bands(num, den)
 
@@ -202,50 +225,61 @@ def near_paragraphs(rows: DataFrame, described: DataFrame, num: int, den: int) -
     return components(linked_sets(sets, num, den))
 
 
-def marked_segments(described: DataFrame, near: DataFrame) -> DataFrame:
-    """``(id, key, marks)``: the segment ranges of each document that repeat
-    one of an earlier document, as an array of (from, to, of): of is the id of
-    the first document that holds it."""
+def repeated_runs(rows: DataFrame, described: DataFrame) -> DataFrame:
+    """``(id, key, from, to, of)``: the runs of MIN_RUN words, as word ranges,
+    that an earlier document holds; of is the id of the first that does."""
+    anchors = described.select("id", "key", F.explode("anchors").alias("anchor"))
+    slices = []
+    for part in range(SLICES):
+        own = anchors.where(F.pmod("anchor", F.lit(SLICES)) == part)
+        shared = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("anchor")
+        wanted = own.join(shared, "anchor").groupBy("id", "key").agg(F.collect_set("anchor").alias("wanted"))
+        slices.append(written(wanted, "anchors"))
+        release(rows.sparkSession)
+    wanted = reduce(DataFrame.union, slices).groupBy("id", "key").agg(F.flatten(F.collect_list("wanted")).alias("wanted"))
+    same = rows["id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["key"])
+    found = rows.join(wanted, same).select(rows["id"], rows["key"], "text", "wanted")
+    runs = written(found.mapInArrow(_runs, "id long, key long, hash long, from long"), "runs")
+    release(rows.sparkSession)
+    place = F.struct("id", "key")
+    firsts = runs.groupBy("hash").agg(F.min(place).alias("first"))
+    later = runs.join(firsts, "hash").where(place > F.col("first"))
+    return later.select("id", "key", "from", (F.col("from") + MIN_RUN).alias("to"), F.col("first.id").alias("of"))
+
+
+def repeated_paragraphs(described: DataFrame, near: DataFrame) -> DataFrame:
+    """``(id, key, from, to, of)``: the paragraphs, as word ranges, that equal
+    or nearly equal one of an earlier document, ``of``."""
     place = F.struct("id", "key")
-    segments = described.select(
-        "id", "key", "seg_words", F.posexplode("seg_hash").alias("from", "hash")
-    ).where(F.expr(f"seg_words[from] >= {MIN_SEGMENT}"))
-    segments = segments.select("id", "key", "from", (F.col("from") + 1).alias("to"), "hash")
-    firsts = segments.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-    repeats = segments.join(firsts.select("hash", "first"), "hash").where(place > F.col("first")).select("id", "key", "from", "to", F.col("first.id").alias("of"))
     paras = described.select("id", "key", F.explode(F.arrays_zip("para", "para_from", "para_to")).alias("p")).select(
         "id", "key", F.col("p.para_from").alias("from"), F.col("p.para_to").alias("to"), F.col("p.para").alias("node")
     )
-    paras = paras.join(near, "node")
-    kept = paras.groupBy("root").agg(F.min(place).alias("first"))
-    copies = paras.join(kept, "root").where(place > F.col("first")).select("id", "key", "from", "to", F.col("first.id").alias("of"))
-    return repeats.union(copies).groupBy("id", "key").agg(F.collect_list(F.struct("from", "to", "of")).alias("marks"))
-
-
-def removed_runs(sizes: np.ndarray, marks: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Segment ranges to remove: runs of marked segments, short segments
-    between marked ones included, of at least MIN_RUN words."""
-    marked = np.zeros(len(sizes), dtype=bool)
-    for a, z in marks:
-        marked[a:z] = True
-    inner = np.flatnonzero(~marked[1:-1] & marked[:-2] & marked[2:] & (sizes[1:-1] < MIN_SEGMENT)) + 1
-    marked[inner] = True
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], marked.astype(np.int8), [0]))))
-    return [(a, z) for a, z in zip(edge[::2].tolist(), edge[1::2].tolist()) if sizes[a:z].sum() >= MIN_RUN]
+    ends = paras.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    groups = ends.join(near, "node", "left").where("root is not null or first < last")
+    groups = groups.select("node", "first", F.coalesce("root", "node").alias("root"))
+    kept = groups.groupBy("root").agg(F.min("first").alias("kept"))
+    nodes = groups.join(kept, "root").select("node", "kept")
+    copies = paras.join(nodes, "node").where(place > F.col("kept"))
+    return copies.select("id", "key", "from", "to", F.col("kept.id").alias("of"))
+
+
+def joined_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges in order, those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
 
 
 def _spans(batches):
     for batch in batches:
         out, sources = [], []
-        for sizes, marks in zip(batch.column("seg_words").to_pylist(), batch.column("marks").to_pylist()):
-            sizes = np.array(sizes, dtype=np.int64)
-            at = np.concatenate(([0], np.cumsum(sizes)))
-            runs = removed_runs(sizes, [(m["from"], m["to"]) for m in marks])
-            out.append([{"from_word": int(at[a]), "to_word": int(at[z])} for a, z in runs])
-            gone = np.zeros(len(sizes), dtype=bool)
-            for a, z in runs:
-                gone[a:z] = True
-            sources.append(sorted({m["of"] for m in marks if m["of"] is not None and gone[m["from"] : m["to"]].any()}))
+        for marks in batch.column("marks").to_pylist():
+            out.append([{"from_word": a, "to_word": z} for a, z in joined_ranges([(m["from"], m["to"]) for m in marks])])
+            sources.append(sorted({m["of"] for m in marks if m["of"] is not None}))
         kind = pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("key"), pa.array(out, kind), pa.array(sources, pa.list_(pa.int64()))],
@@ -292,21 +326,19 @@ def repeated_spans(
     described = written(
         rows.mapInArrow(
             _describe(bands, width),
-            "id long, key long, seg_hash array<long>, seg_words array<int>, para array<long>,"
-            " para_from array<int>, para_to array<int>, bands array<long>",
+            "id long, key long, anchors array<long>, para array<long>,"
+            " para_from array<long>, para_to array<long>, bands array<long>",
         ),
         "paragraphs",
     )
     near = near_paragraphs(rows, described, num, den)
     release(docs.sparkSession)
-    marks = marked_segments(described, near)
-    sizes = described.select("id", "key", "seg_words").dropDuplicates(["id", "key"])
-    together = sizes.join(marks, (sizes["id"].eqNullSafe(marks["id"])) & (sizes["key"] == marks["key"]))
-    together = together.select(sizes["id"], sizes["key"], "seg_words", "marks")
+    marks = repeated_runs(rows, described).union(repeated_paragraphs(described, near))
+    together = marks.groupBy("id", "key").agg(F.collect_list(F.struct("from", "to", "of")).alias("marks"))
     spans = together.mapInArrow(
         _spans, "id long, key long, removed array<struct<from_word: bigint, to_word: bigint>>, repeats_of array<long>"
     )
-    return spans.where(F.size("removed") > 0)
+    return spans
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

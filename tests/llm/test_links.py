@@ -146,6 +146,45 @@ def test_planted_passages_go_and_clean_texts_stay(spark):
     assert len(after[60].split()) < 40  # a near copy of a paragraph
 
 
+def brute_repeats(rows: list[tuple]) -> dict:
+    """Places of words in a run of 12 that a document of a smaller id holds."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        own = words(fold(text))
+        runs = [tuple(own[k : k + 12]) for k in range(len(own) - 11)]
+        out[i] = {p for k, run in enumerate(runs) if run in seen for p in range(k, k + 12)}
+        seen.update(runs)
+    return out
+
+
+def test_repeats_of_any_wrapping_go_to_their_ends(spark):
+    """Passages of 11 to 80 words, inside longer lines or wrapped at other places."""
+    rng = random.Random(17)
+    passages = [sentence(rng, "bcdfghjklm", n).split() for n in (11, 12, 13, 20, 30, 40, 55, 80)]
+    rows = []
+    for n in range(80):
+        own = sentence(rng, "etaoinshr", rng.randint(8, 40)).split()
+        for p in rng.sample(passages, 2):
+            own += p + sentence(rng, "etaoinshr", rng.randint(4, 20)).split()
+        if n % 2:  # lines of 10 to 15 words, from any word on
+            width, k = rng.randint(10, 15), rng.randint(1, 14)
+            own = [" ".join(own[:k])] + [" ".join(own[j : j + width]) for j in range(k, len(own), width)]
+            rows.append((n, "\n".join(own)))
+        else:
+            rows.append((n, " ".join(own)))
+    want = brute_repeats(rows)
+    found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r["id"]: {p for s in r["removed"] for p in range(s["from_word"], s["to_word"])} for r in found}
+    assert all(got.get(i, set()) == places for i, places in want.items())
+    assert sum(map(bool, want.values())) > 60
+
+
+def test_short_equal_paragraphs_go(spark):
+    rows = [(1, "a b c d e f\nown words here"), (2, "other\nA b c d e f\nlast line"), (3, "x a b c d e f y")]
+    found = substring_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == {**dict(rows), 2: "other\nlast line"}
+
+
 def test_removal_keeps_the_other_words():
     rng = random.Random(12)
     for _ in range(200):
