@@ -10,9 +10,10 @@ over the documents); the rates are a function of a document's own posterior
 and the few vectors of the steps so far, so no state is kept between steps.
 
 Copies follow from the rate: its whole part, and one more where the fraction
-exceeds a hash of the id; rates that differ from one by less than ``steady``
-count as one, so that a mix does not drop the odd document of a domain that is
-wanted whole.
+exceeds a hash of the id, so that the expected tokens of the copies are those
+of the rates.  Under the default budget the scarcest domain is wanted whole:
+the rates of its documents are then bounded by one from below, if the targets
+can be met so.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from sheetcraft.llm.common import EXACT, joined, prepare, text_groups, word_hash
 
 STEPS = 40
 TOLERANCE = 1e-6
+MET = 1e-3  # share of the budget by which a domain may miss its target
 ADDED = ("n_tokens", "posterior", "domain", "rate", "copies")
 
 
@@ -56,12 +58,16 @@ def memberships(docs: DataFrame, model, carry: list[str], text_col: str) -> Data
     return found.toDF(*carry, "n_tokens", "posterior")
 
 
-def rate_column(steps: list[np.ndarray], most: float) -> Column:
-    """The rate after the given steps, from a document's posterior."""
+def rate_column(steps: list[np.ndarray], most: float, whole: int | None = None) -> Column:
+    """The rate after the given steps, from a document's posterior; at least
+    one where domain ``whole`` is the most probable."""
+    least = F.lit(0.0)
+    if whole is not None:
+        least = F.when(F.array_position("posterior", F.array_max("posterior")) == whole + 1, F.lit(1.0)).otherwise(least)
     rate = F.lit(1.0)
     for step in steps:
         change = sum((F.col("posterior")[k] * float(y) for k, y in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), F.least(F.lit(float(most)), rate - change))
+        rate = F.greatest(least, F.least(F.lit(float(most)), rate - change))
     return rate
 
 
@@ -70,18 +76,20 @@ def totals(rows: DataFrame, weight: Column, width: int) -> np.ndarray:
     return np.array([x or 0.0 for x in found])
 
 
-def fit_rates(rows: DataFrame, classes: list[str], weights: dict[str, float], budget: float | None, most: float) -> list[np.ndarray]:
-    """Steps of the projected gradient; only domain totals reach the driver."""
+def fit_rates(rows: DataFrame, classes: list[str], weights: dict[str, float], budget: float | None, most: float) -> Column:
+    """The rate by projected gradient; only domain totals reach the driver."""
     width = len(classes)
     wanted = np.array([weights.get(c, 0.0) for c in classes])
     if not width or wanted.sum() <= 0:
-        return []
+        return F.lit(1.0)
     wanted = wanted / wanted.sum()
     present = totals(rows, F.lit(1.0), width)
     if present.sum() <= 0:
-        return []
+        return F.lit(1.0)
+    whole = None
     if budget is None:  # as much as the scarcest domain gives without repeating it
-        budget = float(min(present[k] / wanted[k] for k in range(width) if wanted[k] > 0))
+        whole = min((k for k in range(width) if wanted[k] > 0), key=lambda k: present[k] / wanted[k])
+        budget = float(present[whole] / wanted[whole])
     target = wanted * budget
     posterior = F.col("posterior")
     pairs = rows.agg(
@@ -89,19 +97,30 @@ def fit_rates(rows: DataFrame, classes: list[str], weights: dict[str, float], bu
     ).first()
     gram = np.array([x or 0.0 for x in pairs]).reshape(width, width)
     gram += np.eye(width) * 1e-9 * np.trace(gram)
+    if whole is not None:
+        steps, gap = projected_steps(rows, present, target, gram, budget, most, whole)
+        if gap <= MET * budget:
+            return rate_column(steps, most, whole)
+    return rate_column(projected_steps(rows, present, target, gram, budget, most)[0], most)
+
+
+def projected_steps(
+    rows: DataFrame, present: np.ndarray, target: np.ndarray, gram: np.ndarray, budget: float, most: float, whole: int | None = None
+) -> tuple[list[np.ndarray], float]:
+    """Steps of the projected gradient, and the largest gap to a target that is left."""
     steps: list[np.ndarray] = []
     now = present
     for _ in range(STEPS):
         gap = now - target
         if np.abs(gap).max() <= TOLERANCE * max(budget, 1.0):
             break
-        step = np.linalg.solve(gram, gap)
-        steps.append(step)
-        new = totals(rows, rate_column(steps, most), width)
-        if np.abs(new - now).max() <= TOLERANCE * max(budget, 1.0):
-            break
+        steps.append(np.linalg.solve(gram, gap))
+        new = totals(rows, rate_column(steps, most, whole), len(target))
+        settled = np.abs(new - now).max() <= TOLERANCE * max(budget, 1.0)
         now = new
-    return steps
+        if settled:
+            break
+    return steps, float(np.abs(now - target).max())
 
 
 def mix_documents(
@@ -114,7 +133,6 @@ def mix_documents(
     carry: list[str] | None = None,
     budget: float | None = None,
     most: float = 4.0,
-    steady: float = 0.1,
     per_class: int = 1200,
     classes: int = 32,
     chars: int = 20_000,
@@ -134,11 +152,9 @@ def mix_documents(
     texts, found, priors = labelled_rows(docs, labels, label_col, per_class, classes, chars, id_col)
     model = train(texts, found, priors)
     rows = written(memberships(docs, model, carry, text_col), "memberships")
-    steps = fit_rates(rows, model.classes, weights, budget, most)
+    rate = fit_rates(rows, model.classes, weights, budget, most)
     names = F.array(*(F.lit(c) for c in model.classes)) if model.classes else F.lit(None).cast("array<string>")
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
     domain = F.when(F.size("posterior") > 0, F.get(names, best - 1))
-    rate = rate_column(steps, most)
-    used = F.when(F.abs(rate - 1) < steady, F.lit(1.0)).otherwise(rate)
     share = F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.select("*", domain.alias("domain"), rate.alias("rate"), F.floor(used + share).cast("int").alias("copies"))
+    return rows.select("*", domain.alias("domain"), rate.alias("rate"), F.floor(rate + share).cast("int").alias("copies"))

@@ -221,6 +221,20 @@ def test_mixing_meets_its_targets(spark):
     assert any(r["copies"] == 0 for r in rows if truth[r["doc_id"]] == 0)
 
 
+def test_mixing_copies_meet_the_targets(spark):
+    """Also where every rate of a domain lies within a tenth of one."""
+    rng = random.Random(18)
+    rows = [(i, sentence(rng, "etaoinshr" if i % 2 else "bcdfgjklm", 20)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 6000, 5)], "doc_id long, quality int")
+    for share in (0.91, 1.09):
+        target = 60_000 * share  # of each domain's 60,000 tokens
+        mixed = mixing.mix_documents(docs, labels, {"1": 1.0, "0": 1.0}, budget=2 * target).collect()
+        for domain in (0, 1):
+            got = sum(r["copies"] * r["n_tokens"] for r in mixed if r["doc_id"] % 2 == domain)
+            assert got == pytest.approx(target, rel=0.02)
+
+
 def test_mixing_equals_driver_side_least_squares(spark):
     docs, labels, _ = labelled(spark, 10)
     rows = mixing.mix_documents(docs, labels, {"1": 0.5, "0": 0.5}, budget=9000.0).collect()
