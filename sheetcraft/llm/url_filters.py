@@ -14,7 +14,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ITEM, ALLOW_ITEM = "label:block", "label:allow"
+BLOCK_ITEM = "label:block"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -67,24 +67,28 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_pages: int, min_confidence: float, min_lift: float, longest: int) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_pages: int, min_confidence: float) -> DataFrame:
     """``(tokens, confidence, support)`` of the rules that conclude block.
 
-    ``labelled``: tokens and blocked (boolean).  A rule needs the share
-    ``min_support`` of the labelled pages, and ``min_pages`` of them at least.  Tokens that every page or too
-    few pages carry cannot decide and are dropped before mining, so that one
-    common token does not multiply the itemsets."""
-    n = labelled.count()
-    if not n:
+    ``labelled``: tokens and blocked (boolean).  A rule needs ``min_pages``
+    blocked pages, whatever the number of pages, and a confidence that reaches
+    ``min_confidence`` and is above the share of blocked pages, or one.  Tokens
+    that every page or too few blocked pages carry cannot decide and are
+    dropped before mining.  A token that is a rule alone is not mined further:
+    any longer rule with it would not be minimal."""
+    n, blocked = labelled.agg(F.count(F.lit(1)), F.count(F.when(F.col("blocked"), 1))).first()
+    if not blocked:
         return labelled.select("tokens", F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")).limit(0)
-    min_support = min(1.0, max(min_support, min_pages / n))
-    useful = (
-        labelled.select(F.explode("tokens").alias("token"))
+    confident = (F.col("confidence") >= min_confidence) & ((F.col("confidence") > blocked / n) | (F.col("confidence") == 1))
+    tokens = (
+        labelled.select("blocked", F.explode("tokens").alias("token"))
         .groupBy("token")
-        .count()
-        .where((F.col("count") >= min_support * n) & (F.col("count") < n))
-        .select("token")
+        .agg(F.count(F.lit(1)).alias("pages"), F.count(F.when(F.col("blocked"), 1)).alias("bad"))
+        .where((F.col("bad") >= min_pages) & (F.col("pages") < n))
+        .withColumn("confidence", F.col("bad") / F.col("pages"))
     )
+    alone = tokens.where(confident).select(F.array("token").alias("tokens"), "confidence", (F.col("bad") / n).alias("support"))
+    useful = tokens.where(~confident).select("token")
     kept = (
         labelled.withColumn("page", F.monotonically_increasing_id())
         .select("page", "blocked", F.explode("tokens").alias("token"))
@@ -92,15 +96,20 @@ def mine_rules(labelled: DataFrame, min_support: float, min_pages: int, min_conf
         .groupBy("page")
         .agg(F.collect_set("token").alias("tokens"), F.first("blocked").alias("blocked"))
     )
-    mark = F.when(F.col("blocked"), F.lit(BLOCK_ITEM)).otherwise(F.lit(ALLOW_ITEM))
-    items = kept.select(F.concat("tokens", F.array(mark)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    return (
+    mark = F.when(F.col("blocked"), F.array(F.lit(BLOCK_ITEM))).otherwise(F.array().cast("array<string>"))
+    items = kept.select(F.concat("tokens", mark).alias("items"))
+    mined = items.count()
+    if not mined:
+        return alone
+    # Half a page less, so that rounding drops no itemset of min_pages pages.
+    share = min(1.0, max(0.0, (min_pages - 0.5) / mined))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
+    combined = (
         model.associationRules.where(F.array_contains("consequent", BLOCK_ITEM))
-        .where((F.col("lift") >= min_lift) & (F.size("antecedent") <= longest))
-        .where(~F.array_contains("antecedent", ALLOW_ITEM))
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+        .where(confident)
+        .select(F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * mined / n).alias("support"))
     )
+    return alone.union(combined)
 
 
 def minimal_rules(rules: DataFrame) -> DataFrame:
@@ -125,11 +134,8 @@ def filter_urls(
     rules: list[tuple[str, str]],
     id_col: str = "page_id",
     url_col: str = "url",
-    min_support: float = 0.002,
     min_pages: int = 30,
     min_confidence: float = 0.7,
-    min_lift: float = 1.5,
-    longest: int = 4,
 ) -> DataFrame:
     """``(id_col, host, path, rule, verdict, mined)``, a row a page row.
 
@@ -147,7 +153,7 @@ def filter_urls(
     )
     known = labels.where(F.col("blocked").isNotNull()).groupBy(F.col(id_col).alias("page_id")).agg(F.max("blocked").alias("blocked"))
     labelled = base.join(known, "page_id").select("tokens", "blocked")
-    mined = minimal_rules(mine_rules(labelled, min_support, min_pages, min_confidence, min_lift, longest))
+    mined = minimal_rules(mine_rules(labelled, min_pages, min_confidence))
     # The index: each rule under its rarest token; a url meets only the rules
     # of its own tokens, and the distinct token sets are matched once.
     sets = base.groupBy("tokens").agg(F.count(F.lit(1)).alias("pages"))

@@ -132,6 +132,31 @@ def test_mined_combinations(spark):
     assert {r["page_id"]: r["verdict"] == "block" for r in found} == truth
 
 
+def test_mining_at_any_base_rate_size_and_length(spark):
+    """Hosts that are bad in all pages where most pages are bad, rules of few
+    among many pages, and a rule of five tokens."""
+    rows = [(i, f"http://a{i % 3}.org/p/{i}") for i in range(900)]  # a0 is mixed, a1 and a2 bad
+    bad = {i for i in range(900) if i % 3 or i % 2}
+    mostly = url_filters.filter_urls(
+        spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([(i, i in bad) for i, _ in rows], "page_id long, blocked boolean"), []
+    )
+    assert {r["page_id"] for r in mostly.collect() if r["verdict"] == "block"} == {i for i in range(900) if i % 3}
+
+    rows = [(i, f"http://h{i % 400}.org/p/{i}") for i in range(20_000)]  # 50 pages a host
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 400 == 7) for i, _ in rows], "page_id long, blocked boolean")
+    rare = url_filters.filter_urls(pages, labels, []).where("verdict = 'block'").collect()
+    assert {r["host"] for r in rare} == {"h7.org"} and len(rare) == 50
+
+    rows, bad = [], set()
+    for i in range(32 * 40):
+        rows.append((i, "http://a.org/" + "/".join(f"{'xy'[i >> k & 1]}{'abcde'[k]}" for k in range(5))))
+        bad |= {i} if i % 32 == 0 else set()
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i in bad) for i, _ in rows], "page_id long, blocked boolean")
+    assert {r["page_id"] for r in url_filters.filter_urls(pages, labels, []).collect() if r["verdict"] == "block"} == bad
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     columns = docs.columns
