@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import bpe_round_trip
 from sheetcraft.llm.common import read_table, written
-from sheetcraft.llm.lang_id import UNDETERMINED, identify_documents
+from sheetcraft.llm.lang_id import identify_documents
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import one_a_component
 from sheetcraft.llm.queries import QUALITY_MIX
@@ -21,10 +21,10 @@ from sheetcraft.llm.substring_dedup import dedup_passages
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language stay; those without a letter, or
-    without text, go."""
-    found = identify_documents(docs, F.lit(True))
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(docs.columns)
+    """Documents with a letter stay, whether or not there is a language to
+    learn; those without one, or without text, go."""
+    found = identify_documents(docs, F.lit(True), lettered="__lettered")
+    return found.where("__lettered").select(docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

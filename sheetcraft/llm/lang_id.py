@@ -32,6 +32,7 @@ SYMBOLS = 64  # of a table row: gap, unseen letter, letters, padding
 GAP, UNSEEN, FIRST, LAST, PADDING = 0, 1, 2, SYMBOLS - 2, SYMBOLS - 1
 ENDED = 1 << 30  # a phrase ended on the way to this state
 UNDETERMINED = "und"
+TABLES = 40  # parse tables held at a time
 
 
 def suffix_automaton(symbols: list[int]) -> np.ndarray:
@@ -91,10 +92,19 @@ class LanguageModel:
         for i, c in enumerate(letters):
             table[ord(c)] = FIRST + (i if i < alone else alone + ord(c) % 9)
         self.symbols = table
-        self.tables = []
+        self.samples = []
         for lang in self.languages:
             own = np.concatenate([self.row_symbols(x)[0] for x in ([t] for t in texts[lang])])
-            self.tables.append(parse_table(own[:chars].tolist()))
+            self.samples.append(own[:chars].copy())
+        self.held: tuple[int, list[np.ndarray]] = (-1, [])
+
+    def tables(self, first: int) -> list[np.ndarray]:
+        """Parse tables of the TABLES languages from ``first`` on; those asked
+        for last are kept."""
+        if self.held[0] != first:
+            self.held = (-1, [])
+            self.held = (first, [parse_table(x.tolist()) for x in self.samples[first : first + TABLES]])
+        return self.held[1]
 
     def row_symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the texts one after another, runs of gaps made one and
@@ -113,8 +123,29 @@ class LanguageModel:
         at = kept[np.concatenate(([0], ends))]
         return symbols[keep], np.diff(at)
 
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Phrases by text and language, symbols by text, whether it has letters."""
+    def phrases(self, groups: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each group of texts: phrases by text and language, and whether
+        a text has letters.  All groups are parsed by some tables before the next."""
+        grids = [self.grid(texts) for texts in groups]
+        counts = [np.zeros((len(texts), len(self.languages)), dtype=np.int64) for texts in groups]
+        for first in range(0, len(self.languages), TABLES):
+            tables = self.tables(first)
+            for (grid, some, row_first, rows, _), own in zip(grids, counts):
+                for k, table in enumerate(tables, first):
+                    state = np.zeros(grid.shape[1], dtype=np.int32)
+                    ended = np.zeros(grid.shape[1], dtype=np.int32)
+                    for column in grid:
+                        state += column
+                        state = table.take(state)
+                        ended += state >> 30
+                        state &= ENDED - 1
+                    if len(some):
+                        own[some, k] = np.add.reduceat(ended, row_first[some]) + rows[some]
+        return [(own, lettered) for own, (*_, lettered) in zip(counts, grids)]
+
+    def grid(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """Symbols in columns of ROW, the texts with any, the first column and
+        the number of columns of each text, and whether it has letters."""
         symbols, sizes = self.row_symbols(texts)
         rows = -(-sizes // ROW)
         row_first = np.cumsum(rows) - rows
@@ -122,28 +153,20 @@ class LanguageModel:
         grid = np.full(int(rows.sum()) * ROW, PADDING, dtype=np.uint8)
         grid[np.arange(len(symbols)) + np.repeat(row_first * ROW - first, sizes)] = symbols
         grid = np.ascontiguousarray(grid.reshape(int(rows.sum()), ROW).T).astype(np.int32)
-        counts = np.zeros((len(texts), len(self.tables)), dtype=np.int64)
         some = np.flatnonzero(rows)
-        for k, table in enumerate(self.tables):
-            state = np.zeros(grid.shape[1], dtype=np.int32)
-            ended = np.zeros(grid.shape[1], dtype=np.int32)
-            for column in grid:
-                state += column
-                state = table.take(state)
-                ended += state >> 30
-                state &= ENDED - 1
-            if len(some):
-                counts[some, k] = np.add.reduceat(ended, row_first[some]) + rows[some]
         lettered = np.zeros(len(texts), dtype=bool)
         if len(some):
             lettered[some] = np.logical_or.reduceat(symbols != GAP, first[some])
-        return counts, sizes, lettered
+        return grid, some, row_first, rows, lettered
+
+    def predict(self, groups: list[list[str]]) -> list[tuple[list[str], list[float], list[bool]]]:
+        """Language, score and whether it has letters of each text, by group."""
+        return [self.best(counts, lettered) for counts, lettered in self.phrases(groups)]
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        """Language and score of each text.  The score is the share of phrases
+    def best(self, counts: np.ndarray, lettered: np.ndarray) -> tuple[list[str], list[float], list[bool]]:
+        """Language and score from the phrases of each text.  The score is the share of phrases
         saved against the second-best language; with equal counts the first
         language in alphabetical order wins, at 0."""
-        counts, _, lettered = self.phrases(texts)
         langs, scores = [], []
         for own, ok in zip(counts.tolist(), lettered.tolist()):
             if not ok or not own:
@@ -154,7 +177,7 @@ class LanguageModel:
             others = own[:best] + own[best + 1 :]
             langs.append(self.languages[best])
             scores.append(1.0 - own[best] / min(others) if others else 1.0)
-        return langs, scores
+        return langs, scores, lettered.tolist()
 
 
 def _model(sample: list[tuple[str, str]], chars: int) -> LanguageModel:
@@ -163,15 +186,14 @@ def _model(sample: list[tuple[str, str]], chars: int) -> LanguageModel:
 
 
 def labelled_sample(
-    docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, docs_per_lang: int, languages: int, chars: int
+    docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, docs_per_lang: int, chars: int
 ) -> list[tuple[str, str]]:
-    """At most ``docs_per_lang`` rows of each of the ``languages`` most
-    frequent labels: those of the smallest id hash, cut at ``chars``."""
+    """At most ``docs_per_lang`` rows of each label: those of the smallest id
+    hash, cut at ``chars``."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    frequent = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(languages).select(lang_col)
     rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
     chosen = rows.select(id_col, lang_col).withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
-    chosen = chosen.join(F.broadcast(frequent), lang_col).select(F.col(id_col).alias("chosen"), F.col(lang_col).alias("language"))
+    chosen = chosen.select(F.col(id_col).alias("chosen"), F.col(lang_col).alias("language"))
     found = (
         rows.join(F.broadcast(chosen), (F.col(id_col) == F.col("chosen")) & (F.col(lang_col) == F.col("language")))
         .groupBy("language", F.xxhash64("chosen").alias("order"), "chosen")  # repeated ids count once
@@ -204,20 +226,21 @@ def identify_documents(
     lang_col: str = "lang",
     carry: list[str] | None = None,
     docs_per_lang: int = 30,
-    languages: int = 40,
     sample_chars: int = 12_000,
+    lettered: str | None = None,
 ) -> DataFrame:
     """The ``carry`` columns (all by default, but for those named lang_pred or
     score) with lang_pred and score, a row a document row, in one pass.
 
     The model is learnt from rows where ``learn`` holds and the label is not
     null, from at most ``docs_per_lang`` rows and ``sample_chars`` symbols of
-    each of the ``languages`` most frequent labels.  A null text, one without
+    each label; ``lettered`` names a column to add that holds whether the text
+    has a letter.  A null text, one without
     a letter, and any text when there is no labelled row give ``und`` and 0.
     Repeated rows keep their rows; columns not carried are not read."""
     prepare(docs.sparkSession)
     per_doc = math.ceil(4 * sample_chars / docs_per_lang)
-    sample = labelled_sample(docs, learn, id_col, text_col, lang_col, docs_per_lang, languages, per_doc)
+    sample = labelled_sample(docs, learn, id_col, text_col, lang_col, docs_per_lang, per_doc)
     carry = [c for c in docs.columns if c not in ("lang_pred", "score")] if carry is None else carry
     names = [f"c{i}" for i in range(len(carry))]
     rows = docs.select(F.col(text_col).cast("string").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)))
@@ -226,15 +249,18 @@ def identify_documents(
     def run(batches):
         model = _model(sample, sample_chars)
         for batch in batches:
-            for positions, group in text_runs(batch.column(0).to_pylist()):
-                langs, scores = model.predict(group)
+            groups = list(text_runs(batch.column(0).to_pylist()))
+            for (positions, _), found in zip(groups, model.predict([group for _, group in groups])):
                 own = batch.take(pa.array(positions))
+                kinds = (pa.string(), pa.float64(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    [*names, "lang_pred", "score"],
+                    [*own.columns[1:], *(pa.array(x, kind) for x, kind in zip(found, kinds))],
+                    [*names, "lang_pred", "score", "lettered"],
                 )
 
-    return rows.mapInArrow(run, fields + "lang_pred string, score double").toDF(*carry, "lang_pred", "score")
+    found = rows.mapInArrow(run, fields + "lang_pred string, score double, lettered boolean")
+    added = ["lang_pred", "score", lettered or "lettered"]
+    return found.toDF(*carry, *added) if lettered else found.drop("lettered").toDF(*carry, *added[:2])
 
 
 def held_out(id_col: str = "doc_id") -> Column:

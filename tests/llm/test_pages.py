@@ -171,6 +171,12 @@ def test_pipeline_stages(spark):
     assert docs.join(digest, "doc_id").where("want <> decoded_sha256").count() == 0
 
 
+def test_pipeline_language_without_labels(spark):
+    rows = [(1, "some text", None), (2, "12 !?", None), (3, None, None), (4, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()) == [1, 4]
+
+
 def test_pipeline_near_copies(spark):
     docs = spark.createDataFrame([(5, "a b c d e f"), (2, "A b c d e f"), (9, None), (9, "")], "doc_id long, text string")
     left = corpus_pipeline.one_of_near_copies(spark, docs, "")

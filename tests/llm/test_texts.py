@@ -88,6 +88,15 @@ def test_language_without_labels_or_rows(spark, docs, empty):
     assert len(found) == docs.count() and {r["lang_pred"] for r in found} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    rng = random.Random(19)
+    letters = {f"l{k:02}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for k in range(45)}
+    rows = [(n, sentence(rng, own, 40), lang) for n, (lang, own) in enumerate([*letters.items()] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    found = {r["doc_id"]: r["lang_pred"] for r in lang_id.identify_languages(docs, F.col("doc_id") < 135).collect()}
+    assert all(found[n] == lang for n, _, lang in rows[135:])
+
+
 def test_token_ids_equal_the_library(spark, docs):
     folder = scratch_dir(spark, "t") + "/ids"
     files = token_ids.write_token_shards(docs, folder, MODEL, shards=3)
