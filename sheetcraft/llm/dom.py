@@ -10,10 +10,15 @@ from html import unescape
 # Elements by their part in the block structure.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins del kbd label mark nobr q rp rt ruby s samp small"
-    " span strike strong sub sup time tt u var wbr img picture source map area track".split()
+    " span strike strong sub sup time tt u var wbr img picture source map area track object param"
+    " math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt"
+    " mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template head title noscript textarea select svg math iframe object canvas audio video".split())
+UNSEEN = frozenset(
+    "script style template head title noscript textarea select svg iframe canvas audio video annotation annotation-xml".split()
+)
+IN_HEAD = frozenset("base link meta noscript script style template title head html".split())  # any other tag ends an open head
 RAW = frozenset("script style textarea title iframe noscript".split())
 CLOSES = {
     "p": frozenset(("p",)),
@@ -60,7 +65,7 @@ def block_tree(html: str) -> list[Node]:
     """Nodes in page order, parents first; node 0 stands for the page."""
     nodes = [Node(-1, "#page")]
     stack = [0]
-    hidden: list[str] = []  # open elements whose text is not shown
+    hidden: list[str] = []  # open elements whose text is not shown, and those in them
     run: Node | None = None
     in_link = False
 
@@ -75,6 +80,8 @@ def block_tree(html: str) -> list[Node]:
 
     def add_text(raw: str) -> None:
         nonlocal run
+        if hidden == ["head"] and raw.strip():
+            hidden.clear()
         if hidden or not raw:
             return
         text = unescape(raw) if "&" in raw else raw
@@ -96,6 +103,17 @@ def block_tree(html: str) -> list[Node]:
                 return 0
         return 0
 
+    def after_raw(tag: str, at: int) -> int:
+        """Where a raw element ends whose start tag ends at ``at``.  Without
+        an end tag, scripts and styles take the rest of the page, a noscript
+        nothing, others the text up to the next tag."""
+        if end := _RAW_END[tag].search(html, at):
+            return end.end()
+        if tag == "noscript":
+            return at
+        following = -1 if tag in ("script", "style") else html.find("<", at)
+        return len(html) if following < 0 else following
+
     at = 0
     while True:
         found = _TOKEN.search(html, at)
@@ -108,19 +126,19 @@ def block_tree(html: str) -> list[Node]:
         if not name:
             continue
         tag = name.lower()
+        if hidden == ["head"] and not ending and tag not in IN_HEAD:
+            hidden.clear()
         if hidden:
             if ending and tag in hidden:
                 del hidden[len(hidden) - 1 - hidden[::-1].index(tag) :]
                 continue
-            if tag != "body":
-                if not ending and tag in UNSEEN and tag not in VOID and not rest.rstrip().endswith("/"):
-                    if tag in RAW:
-                        end = _RAW_END[tag].search(html, at)
-                        at = end.end() if end else len(html)
-                    else:
-                        hidden.append(tag)
+            if tag != "body" and not (ending and nearest(frozenset((tag,)))):
+                if not ending and tag in RAW:
+                    at = after_raw(tag, at)
+                elif not ending and tag not in VOID and not rest.rstrip().endswith("/"):
+                    hidden.append(tag)
                 continue
-            hidden.clear()  # <body> ends an open <head>
+            hidden.clear()  # <body> ends an open <head>, a parent's end what is open in it
         if tag == "br":
             add_text(" ")
         elif tag in INLINE:
@@ -135,8 +153,7 @@ def block_tree(html: str) -> list[Node]:
         elif tag in UNSEEN:
             end_run()
             if tag in RAW:
-                end = _RAW_END[tag].search(html, at)
-                at = end.end() if end else len(html)
+                at = after_raw(tag, at)
             elif not rest.rstrip().endswith("/"):
                 hidden.append(tag)
         else:

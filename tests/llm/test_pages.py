@@ -27,6 +27,20 @@ def test_blocks_of_a_tree():
     assert dom.block_tree("<div class=\"x") and dom.block_tree("<p/>") and len(dom.block_tree("")) == 1
 
 
+def test_open_and_left_out_tags_hide_nothing_else():
+    def runs(html):
+        return [n.text for n in dom.block_tree(html) if n.tag == "#run"]
+
+    assert runs("<html><head><title>T</title><meta charset=x><article><p>One<p>Two</article>") == ["One", "Two"]
+    assert runs("<head><title>T</title> Text") == ["Text"]
+    assert runs("<head><script>x</script><title>T</title></head><p>One") == ["One"]
+    for tag in ("select", "svg", "audio", "video", "canvas"):
+        assert runs(f"<div><{tag}><div>no</div><option>no</div><p>One") == ["One"]
+        assert runs(f"<div>a<{tag}><div>no</div></{tag}>b</div>") == ["a", "b"]
+    assert runs("<head><title>T<body><p>One") == runs("<div><noscript><p>One</div>") == ["One"]
+    assert runs("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <object data=y><b>it</b></object>.") == ["Let x=1 be it."]
+
+
 def test_table_pages_give_their_article(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     found = {r["page_id"]: r for r in html_extract.extract_main_text(pages).collect()}
