@@ -162,13 +162,14 @@ def calibrate(model: Classifier, texts: list[bytes], target: np.ndarray, priors:
 
 
 def labelled_rows(
-    docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, classes: int, chars: int, id_col: str = "doc_id"
+    docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, classes: int, chars: int, id_col: str = "doc_id", named: list[str] | None = None
 ) -> tuple[list[bytes], list[str], dict[str, float]]:
     """Texts and labels of at most ``per_class`` labelled documents of each of
-    the ``classes`` most frequent labels (those of the smallest id hash, cut
+    the ``named`` and then most frequent labels, ``classes`` or all named (those of the smallest id hash, cut
     at ``chars`` characters), and the share of each label among all labels."""
     own = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(label_col).cast("string").alias("label"))
-    counts = own.groupBy("label").count().orderBy(F.desc("count"), "label").limit(classes).collect()
+    counts = own.groupBy("label").count().orderBy(F.desc(F.col("label").isin(named or [])), F.desc("count"), "label")
+    counts = counts.limit(max(classes, len(named or []))).collect()
     total = sum(r["count"] for r in counts)
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
     chosen = own.where(F.col("label").isin([r["label"] for r in counts])).withColumn("rank", rank)

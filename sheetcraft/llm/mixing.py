@@ -18,6 +18,8 @@ can be met so.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -101,7 +103,10 @@ def fit_rates(rows: DataFrame, classes: list[str], weights: dict[str, float], bu
         steps, gap = projected_steps(rows, present, target, gram, budget, most, whole)
         if gap <= MET * budget:
             return rate_column(steps, most, whole)
-    return rate_column(projected_steps(rows, present, target, gram, budget, most)[0], most)
+    steps, gap = projected_steps(rows, present, target, gram, budget, most)
+    if gap > MET * budget:
+        warnings.warn(f"rates of 0 to {most} miss the target of a domain by {gap:.0f} of {budget:.0f} tokens", stacklevel=3)
+    return rate_column(steps, most)
 
 
 def projected_steps(
@@ -144,12 +149,17 @@ def mix_documents(
     domains not named get none.  ``budget``: expected tokens of the mix; by
     default what the scarcest domain allows without repeats.  ``most``: the
     largest rate.  The classifier learns from at most ``per_class`` documents
-    of each of the ``classes`` most frequent labels.  Null texts have no
+    of each wanted domain and of the most frequent other labels, ``classes``
+    in all or as many as are wanted; a wanted domain without such a document is
+    an error, a target that the rates cannot reach a warning.  Null texts have no
     tokens and keep their prior posterior; without labels every rate is one.
     Repeated rows keep their rows; equal ids get equal hashes."""
     prepare(docs.sparkSession)
     carry = [c for c in docs.columns if c not in ADDED] if carry is None else carry
-    texts, found, priors = labelled_rows(docs, labels, label_col, per_class, classes, chars, id_col)
+    named = [c for c, w in weights.items() if w > 0]
+    texts, found, priors = labelled_rows(docs, labels, label_col, per_class, classes, chars, id_col, named)
+    if found and (missing := sorted(set(named) - set(found))):
+        raise ValueError(f"no labelled document to learn the wanted domains from: {missing}")
     model = train(texts, found, priors)
     rows = written(memberships(docs, model, carry, text_col), "memberships")
     rate = fit_rates(rows, model.classes, weights, budget, most)

@@ -252,6 +252,16 @@ def test_mixing_equals_driver_side_least_squares(spark):
     assert np.allclose(a @ rates, [4500, 4500], rtol=1e-3)
 
 
+def test_mixing_tells_of_domains_it_cannot_give(spark):
+    docs, labels, _ = labelled(spark, 20)
+    with pytest.raises(ValueError, match="poetry"):
+        mixing.mix_documents(docs, labels, {"1": 0.5, "poetry": 0.5})
+    with pytest.warns(UserWarning, match="miss the target"):
+        mixing.mix_documents(docs, labels, {"0": 0.9, "1": 0.1}, budget=100_000.0)
+    found = mixing.mix_documents(docs, labels, {"0": 1.0}, classes=1).select("domain").distinct().collect()
+    assert [r["domain"] for r in found] == ["0"]
+
+
 def test_mixing_without_labels_or_rows(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     rows = mixing.mix_documents(docs, none, {"1": 1.0}).collect()
