@@ -81,6 +81,8 @@ def split_pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
     text = "".join(texts)
     chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     n = len(chars)
+    if not n:
+        return pa.array([], pa.large_string()), np.zeros(len(texts), dtype=np.int64)
     begins = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
     kind = np.concatenate((char_classes().take(chars), [SPACE, SPACE, SPACE])).astype(np.uint8)
     first = np.zeros(n + 4, dtype=bool)  # of a text

@@ -30,11 +30,11 @@ def char_classes() -> np.ndarray:
     return _CLASSES[0]
 
 
-def text_runs(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Positions and texts (null: empty) in groups of bounded total length."""
+def text_runs(texts: list[str | None], limit: int | None = None) -> Iterator[tuple[list[int], list[str]]]:
+    """Positions and texts (null: empty) in groups of at most ``limit`` characters."""
     positions, group, size = [], [], 0
     for i, text in enumerate(texts):
-        if group and size + len(text or "") > GROUP_CHARS:
+        if group and size + len(text or "") > (limit or GROUP_CHARS):
             yield positions, group
             positions, group, size = [], [], 0
         positions.append(i)
