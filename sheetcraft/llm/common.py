@@ -46,6 +46,11 @@ def once_a_worker(key: object, build: Callable[[], T]) -> T:
     return _WORKER[key]
 
 
+def forget() -> None:
+    """Drop the model that this worker holds."""
+    _WORKER.clear()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import split_pieces
-from sheetcraft.llm.common import keyed_text, once_a_worker, prepare, written
-from sheetcraft.llm.pieces import packed, spread_ids, text_runs
+from sheetcraft.llm.common import forget, keyed_text, once_a_worker, prepare, written
+from sheetcraft.llm.pieces import spread_ids, text_runs
 
 GROUP_IDS = 1 << 22  # ids of a group of rests, on average
-REMEMBERED = 200_000  # pieces in each of two generations that a worker remembers
+REMEMBERED = 100_000  # pieces in each of two generations that a worker remembers
 SHORT = 48  # characters up to which a piece is remembered
-RUN_CHARS = 1 << 22  # characters whose pieces are told apart at once
+RUN_CHARS = 3 << 20  # characters whose pieces are told apart at once
 ROW_BATCH = 4096
+PIECE_BATCH = 1 << 14  # pieces that the library gets at once
 FAMILIAR = 0x530  # characters below are in the same class in all Unicode versions
 _GROUP_SEQUENCE = 1 << 62  # sequences of groups are numbered from here on
 _PIECE = [
@@ -168,13 +169,22 @@ class LibraryEncoder:
                 else:
                     out[i] = before
                     self.remember(p, before)
-        if missing:
-            for i, found in zip(missing, self.model.encode_batch_fast([pieces[i] for i in missing], add_special_tokens=False)):
-                out[i] = packed(found.ids)
+        for at in range(0, len(missing), PIECE_BATCH):
+            some = missing[at : at + PIECE_BATCH]
+            for i, ids in zip(some, self.encode_pieces([pieces[i] for i in some])):
+                out[i] = ids
                 if len(pieces[i]) <= SHORT:
-                    self.remember(pieces[i], out[i])
+                    self.remember(pieces[i], ids)
         return out
 
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each piece, by one call of the library."""
+        coded = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded.ids, dtype=np.uint32).tobytes()
+        ends = np.searchsorted(np.array(coded.word_ids, dtype=np.int64), np.arange(1, len(pieces) + 1))
+        bounds = [0, *(4 * ends).tolist()]
+        return [ids[a:z] for a, z in zip(bounds, bounds[1:])]
+
     def strange(self, text: str) -> bool:
         """Whether a character is in another class for the library than for
         ``split_pieces``: their Unicode versions may differ."""
@@ -213,9 +223,9 @@ def _batches(rows: list[tuple], schema: list) -> Iterator[pa.RecordBatch]:
 
 
 def cut_documents(docs: DataFrame, model_path: str, end_id: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """Pieces of all documents: whole sequences with their sequence_id, and
-    rests (sequence_id null).  ``ids`` holds unsigned 16-bit integers if the
-    model has no larger id, else 32-bit ones."""
+    """Pieces of all documents: whole sequences with their sequence_id, ids as
+    unsigned 32-bit integers, and rests (sequence_id null), which are shuffled,
+    as 16-bit ones unless the model has larger ids."""
     model_json = Path(model_path).read_text(encoding="utf-8")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -233,7 +243,7 @@ def cut_documents(docs: DataFrame, model_path: str, end_id: int, size: int, id_c
                         full = len(part) == size
                         sequence = (task << 33) + n if full else None
                         n += full
-                        rows.append((own[i], start, len(part), len(ids), sequence, 0, part.tobytes()))
+                        rows.append((own[i], start, len(part), len(ids), sequence, 0, (part.astype("<u4") if full else part).tobytes()))
                 yield from _batches(rows, _PIECE)
 
     return keyed_text(docs, id_col, text_col).mapInArrow(run, _PIECE_DDL)
@@ -245,6 +255,7 @@ def _kind(largest: int) -> str:
 
 def _pack_group(capacity: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        forget()  # the worker may still hold the encoder
         table = table.sort_by([("length", "descending"), ("salt", "ascending")])
         sizes = table.column("length").to_pylist()
         starts, ids = table.column("start").to_pylist(), table.column("ids").to_pylist()
@@ -254,9 +265,10 @@ def _pack_group(capacity: int):
         for s, pieces in enumerate(sequences):
             offset = 0
             for i, a, z in pieces:
-                width = len(ids[i]) // sizes[i]
+                kind = "<u2" if len(ids[i]) == 2 * sizes[i] else "<u4"
+                part = np.frombuffer(ids[i], kind)[a:z].astype("<u4").tobytes()
                 place.append(i)
-                for name, value in zip(out, (starts[i] + a, z - a, first + s, offset, ids[i][a * width : z * width])):
+                for name, value in zip(out, (starts[i] + a, z - a, first + s, offset, part)):
                     out[name].append(value)
                 offset += z - a
         kept = table.select(["doc_id", "doc_tokens"]).take(pa.array(place, pa.int64()))
@@ -277,8 +289,7 @@ def pack_documents(
 ) -> DataFrame:
     """``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``: the
     pieces of all documents, each with its place in its document and in its
-    sequence; ids are little-endian unsigned 16- or 32-bit integers (the length
-    tells which).  Sequences hold ``size`` ids, but for those that hold a
+    sequence; ids are little-endian unsigned 32-bit integers.  Sequences hold ``size`` ids, but for those that hold a
     smaller power of two of them (a few a group).
 
     A null or empty text is the end id alone; every row is packed, so repeated
@@ -298,12 +309,3 @@ def pack_documents(
     packs = dealt.groupBy("bin").applyInArrow(_pack_group(size), _PIECE_DDL)
     return cut.where("sequence_id is not null").unionByName(packs)
 
-
-def wide_ids(ids: str = "ids", length: str = "length"):
-    """Ids of a piece as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("binary")
-    def widen(raw, n):
-        return raw.combine(n, lambda x, k: x if len(x) == 4 * k else np.frombuffer(x, "<u2").astype("<u4").tobytes())
-
-    return widen(ids, length)

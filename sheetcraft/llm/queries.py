@@ -13,7 +13,7 @@ from sheetcraft.llm.html_extract import extract_main_text
 from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
-from sheetcraft.llm.packing import pack_documents, wide_ids
+from sheetcraft.llm.packing import pack_documents
 from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.substring_dedup import repeated_spans
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
@@ -91,7 +91,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return pieces.withColumn("ids_crc32", F.crc32(wide_ids())).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 QUERIES = {

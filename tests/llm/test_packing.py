@@ -83,7 +83,7 @@ def check_pieces(rows, texts, size):
                     break
                 own.remove(nxt)
                 n, part = nxt["doc_tokens"], nxt["ids"]
-                ids += np.frombuffer(part, "<u4" if len(part) == 4 * nxt["length"] else "<u2").tolist()
+                ids += np.frombuffer(part, "<u4").tolist()
                 at += nxt["length"]
                 if at == n:
                     break
