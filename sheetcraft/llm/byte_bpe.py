@@ -110,10 +110,13 @@ def split_pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
         rest = quote + taken
         start[rest[(kind[rest] == LETTER) & ~first[rest]]] = True
     at = np.flatnonzero(start[:n])
-    widths = 1 + (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF)
-    place = np.concatenate(([0], np.cumsum(widths)))
-    offsets = np.append(place[at], place[-1]).astype(np.int64)
-    pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+    raw = text.encode()
+    offsets = np.append(at, n).astype(np.int64)
+    if len(raw) > n:  # where more than a byte a character comes before
+        wide = np.flatnonzero(chars > 0x7F).astype(np.int64)
+        more = 1 + (chars[wide] > 0x7FF).astype(np.int64) + (chars[wide] > 0xFFFF)
+        offsets += np.concatenate(([0], np.cumsum(more)))[np.searchsorted(wide, offsets)]
+    pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(raw))
     return pieces, np.diff(np.searchsorted(at, begins))
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +48,9 @@ def once_a_worker(key: object, build: Callable[[], T]) -> T:
 
 
 def forget() -> None:
-    """Drop the model that this worker holds."""
+    """Drop the model that this worker holds, and memory that Arrow keeps."""
     _WORKER.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,9 +32,9 @@ from sheetcraft.llm.common import forget, keyed_text, once_a_worker, prepare, wr
 from sheetcraft.llm.pieces import spread_ids, text_runs
 
 GROUP_IDS = 1 << 22  # ids of a group of rests, on average
-REMEMBERED = 100_000  # pieces in each of two generations that a worker remembers
+REMEMBERED = 250_000  # pieces in each of two generations that a worker remembers
 SHORT = 48  # characters up to which a piece is remembered
-RUN_CHARS = 3 << 20  # characters whose pieces are told apart at once
+RUN_CHARS = 1 << 22  # characters whose pieces are told apart at once
 ROW_BATCH = 4096
 PIECE_BATCH = 1 << 14  # pieces that the library gets at once
 FAMILIAR = 0x530  # characters below are in the same class in all Unicode versions
@@ -245,6 +245,7 @@ def cut_documents(docs: DataFrame, model_path: str, end_id: int, size: int, id_c
                         n += full
                         rows.append((own[i], start, len(part), len(ids), sequence, 0, (part.astype("<u4") if full else part).tobytes()))
                 yield from _batches(rows, _PIECE)
+                pa.default_memory_pool().release_unused()
 
     return keyed_text(docs, id_col, text_col).mapInArrow(run, _PIECE_DDL)
 
