@@ -14,10 +14,12 @@ from sheetcraft.llm.lang_id import held_out, identify_languages
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
 from sheetcraft.llm.packing import pack_documents
+from sheetcraft.llm.prefix_trie import prefix_trie
 from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.substring_dedup import repeated_spans
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.llm.url_filters import filter_urls
+from sheetcraft.llm.sql import OP13_SQL
 from sheetcraft.session import scratch_dir
 
 # Token share of each quality label in the mix.
@@ -94,6 +96,12 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    shared = F.crc32(conv.cast("string")) % 4
+    return prefix_trie(read_table(spark, sf_dir, "conversations"), shared, conv - conv % 20)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -106,6 +114,7 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filters": op10_url_filters,
     "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op13_prefix_trie": OP13_SQL}
