@@ -11,6 +11,7 @@ from sheetcraft.llm.common import read_table
 from sheetcraft.llm.embed_dedup import embedding_components
 from sheetcraft.llm.html_extract import extract_main_text
 from sheetcraft.llm.lang_id import held_out, identify_languages
+from sheetcraft.llm.lexical_search import lexical_search
 from sheetcraft.llm.mixing import mix_documents
 from sheetcraft.llm.ngram_join import jaccard_components
 from sheetcraft.llm.packing import pack_documents
@@ -19,7 +20,7 @@ from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.substring_dedup import repeated_spans
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.llm.url_filters import filter_urls
-from sheetcraft.llm.sql import OP13_SQL
+from sheetcraft.llm.sql import OP11_SQL, OP13_SQL
 from sheetcraft.session import scratch_dir
 
 # Token share of each quality label in the mix.
@@ -91,6 +92,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"), known, URL_RULES)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -113,8 +118,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filters": op10_url_filters,
+    "op11_lexical_search": op11_lexical_search,
     "op12_packing": op12_packing,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op13_prefix_trie": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op13_prefix_trie": OP13_SQL}

@@ -38,3 +38,28 @@ select n.conv_id::bigint conv_id, n.d::bigint depth, u.conv_id::bigint parent_co
 from nodes n join below w on w.path = n.path left join kids k on k.path = n.path left join ends e on e.path = n.path
      left join nodes u on u.d = n.d - 1 and n.d > 0 and u.path = left(n.path, len(n.path) - 64)
 """
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11_SQL = f"""
+with docs as (
+    select row_number() over () row, doc_id, {_TERMS} terms from documents),
+lengths as (select row, doc_id, len(terms)::bigint n from docs where len(terms) > 0),
+totals as (select count(*) nd, sum(n)::bigint nt from lengths),
+asked as (
+    select distinct item_id, text, unnest({_TERMS}) term from benchmark),
+postings as (
+    select row, term, count(*) tf from (select row, unnest(terms) term from docs)
+    where term in (select term from asked) group by row, term),
+weights as (
+    select term, floor(1000 * ln((2 * any_value(nd) + 2)::double / (2 * count(*) + 1)::double))::bigint w
+    from postings, totals group by term),
+scores as (
+    select a.item_id, a.text, l.doc_id, l.row,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // nt)))))::bigint score
+    from asked a join postings p using (term) join weights using (term) join lengths l on l.row = p.row, totals
+    group by a.item_id, a.text, l.doc_id, l.row),
+ranked as (
+    select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last) rank from scores where score > 0)
+select item_id, rank::int rank, doc_id, score from ranked where rank <= 50
+"""
