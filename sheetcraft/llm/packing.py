@@ -16,7 +16,6 @@ padding.  Only rests are shuffled, never whole documents.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -29,14 +28,10 @@ from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import split_pieces
 from sheetcraft.llm.common import forget, keyed_text, once_a_worker, prepare, written
-from sheetcraft.llm.pieces import spread_ids, text_runs
+from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, spread_ids, text_runs
 
 GROUP_IDS = 1 << 22  # ids of a group of rests, on average
-REMEMBERED = 250_000  # pieces in each of two generations that a worker remembers
-SHORT = 48  # characters up to which a piece is remembered
-RUN_CHARS = 1 << 22  # characters whose pieces are told apart at once
 ROW_BATCH = 4096
-PIECE_BATCH = 1 << 14  # pieces that the library gets at once
 FAMILIAR = 0x530  # characters below are in the same class in all Unicode versions
 _GROUP_SEQUENCE = 1 << 62  # sequences of groups are numbered from here on
 _PIECE = [
@@ -137,53 +132,15 @@ def power_cuts(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int,
     return out
 
 
-class LibraryEncoder:
+class LibraryEncoder(LibraryPieces):
     """A byte-level model of the tokenizers library, asked once for each
     distinct piece; a text that holds a special token's string, or a character
-    of a newer Unicode version, goes to the library whole.  Two generations of pieces are remembered: when the younger
-    is full it becomes the older, from which pieces that return are taken over."""
+    of a newer Unicode version, goes to the library whole."""
 
     def __init__(self, model_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_str(model_json)
+        super().__init__(model_json)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.classes = np.zeros(0x110000, dtype=np.uint8)  # 0 not looked at, 1 same class, 2 another
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def remember(self, piece: str, ids: bytes) -> None:
-        if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young[piece] = ids
-
-    def lookup(self, pieces: list[str]) -> list[bytes]:
-        out = [self.young.get(p) for p in pieces]
-        missing = []
-        for i, known in enumerate(out):
-            if known is None:
-                p = pieces[i]
-                if (before := self.old.get(p)) is None:
-                    missing.append(i)
-                else:
-                    out[i] = before
-                    self.remember(p, before)
-        for at in range(0, len(missing), PIECE_BATCH):
-            some = missing[at : at + PIECE_BATCH]
-            for i, ids in zip(some, self.encode_pieces([pieces[i] for i in some])):
-                out[i] = ids
-                if len(pieces[i]) <= SHORT:
-                    self.remember(pieces[i], ids)
-        return out
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Packed ids of each piece, by one call of the library."""
-        coded = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, dtype=np.uint32).tobytes()
-        ends = np.searchsorted(np.array(coded.word_ids, dtype=np.int64), np.arange(1, len(pieces) + 1))
-        bounds = [0, *(4 * ends).tolist()]
-        return [ids[a:z] for a, z in zip(bounds, bounds[1:])]
 
     def strange(self, text: str) -> bool:
         """Whether a character is in another class for the library than for

@@ -3,6 +3,7 @@ piece is looked up once and the ids are spread over its places with numpy."""
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
@@ -12,6 +13,10 @@ import pyarrow as pa
 import regex
 
 GROUP_CHARS = 1 << 20  # characters whose pieces are told apart at once
+RUN_CHARS = 1 << 22  # the same, for pieces that a library encodes
+REMEMBERED = 250_000  # pieces in each of two generations that a worker remembers
+SHORT = 48  # characters up to which a piece is remembered
+PIECE_BATCH = 1 << 14  # pieces that a library gets at once
 
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -67,3 +72,49 @@ def spread_ids(
     ids = flat.take(np.repeat(first.take(index) - (ends - counts), counts) + np.arange(int(ends[-1])))
     cuts = np.concatenate(([0], ends))[np.cumsum(per_text)]
     return np.split(ids, cuts[:-1])
+
+
+class LibraryPieces:
+    """A model of the tokenizers library, asked once for each distinct piece.
+    Two generations of pieces are remembered: when the younger is full it
+    becomes the older, from which pieces that return are taken over."""
+
+    def __init__(self, model_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_str(model_json)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def remember(self, piece: str, ids: bytes) -> None:
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        self.young[piece] = ids
+
+    def lookup(self, pieces: list[str]) -> list[bytes]:
+        out = [self.young.get(p) for p in pieces]
+        missing = []
+        for i, known in enumerate(out):
+            if known is None:
+                p = pieces[i]
+                if (before := self.old.get(p)) is None:
+                    missing.append(i)
+                else:
+                    out[i] = before
+                    self.remember(p, before)
+        for at in range(0, len(missing), PIECE_BATCH):
+            some = missing[at : at + PIECE_BATCH]
+            for i, ids in zip(some, self.encode_pieces([pieces[i] for i in some])):
+                out[i] = ids
+                if len(pieces[i]) <= SHORT:
+                    self.remember(pieces[i], ids)
+        return out
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each piece, by one call of the library."""
+        coded = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded.ids, dtype=np.uint32).tobytes()
+        ends = np.searchsorted(np.array(coded.word_ids, dtype=np.int64), np.arange(1, len(pieces) + 1))
+        bounds = [0, *(4 * ends).tolist()]
+        return [ids[a:z] for a, z in zip(bounds, bounds[1:])]

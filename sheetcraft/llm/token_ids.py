@@ -20,7 +20,6 @@ position; nothing but these totals is ever in one place.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -32,13 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import joined, keyed_text, once_a_worker, prepare, spaces, written
-from sheetcraft.llm.pieces import packed, spread_ids, text_runs
+from sheetcraft.llm.common import joined, keyed_text, once_a_worker, prepare, spaces, text_key, written
+from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, spread_ids, text_runs
 
 MAGIC = b"TID1"
 BLOCK_IDS = 1 << 20  # ids after which a block ends (documents are whole)
-REMEMBERED = 400_000  # pieces whose ids a worker remembers
-SHORT = 48  # characters up to which a piece is remembered
 _BYTES = np.arange(256, dtype=np.uint8)
 _LETTER = np.isin(_BYTES, np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", dtype=np.uint8))
 _MARK = np.isin(_BYTES, np.frombuffer(b".,;:!?", dtype=np.uint8))
@@ -90,34 +87,13 @@ def read_block(raw: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray
     return shard, block, doc_ids, lengths, unpack(rest[:controls], rest[controls:], m)
 
 
-class PieceEncoder:
+class PieceEncoder(LibraryPieces):
     """A tokenizers model applied to pieces of texts.
 
     The model lower-cases, drops white space and never joins a letter with a
     punctuation mark, so the ids of a text are those of its pieces one after
     another; distinct pieces are encoded once and remembered."""
 
-    def __init__(self, model_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_str(model_json)
-        self.known: dict[str, bytes] = {}
-
-    def lookup(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        out = [known.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        if missing:
-            coded = self.model.encode_batch_fast([pieces[i] for i in missing], add_special_tokens=False)
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-            for i, found in zip(missing, coded):
-                out[i] = packed(found.ids)
-                if len(pieces[i]) <= SHORT:
-                    known[pieces[i]] = out[i]
-        return out
-
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text.  A piece is white space and what follows it up to
         the next white space, or to a mark after an ASCII letter.  ASCII
@@ -187,7 +163,8 @@ def _block_ids(raw: bytes, lengths: np.ndarray) -> np.ndarray:
 
 def token_blocks(docs: DataFrame, model_path: str, end_id: int, id_col: str, text_col: str, shards: int) -> DataFrame:
     """One row a block: shard, block, doc_ids, lengths, ids (binary), and the
-    distinct ids with their counts.  Shards are id ranges in ascending order."""
+    distinct ids with their counts.  Shards are ranges of (id, hash of the text)
+    in ascending order."""
     model_json = Path(model_path).read_text(encoding="utf-8")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -195,7 +172,7 @@ def token_blocks(docs: DataFrame, model_path: str, end_id: int, id_col: str, tex
         keys, parts, size = [], [], 0
         for batch in batches:
             own = batch.column(0).to_pylist()
-            for positions, group in text_runs(batch.column(1).to_pylist()):
+            for positions, group in text_runs(batch.column(1).to_pylist(), RUN_CHARS):
                 for i, ids in zip(positions, coder.encode_all(group)):
                     keys.append(own[i])
                     parts.append(np.append(ids, np.uint32(end_id)))
@@ -203,11 +180,16 @@ def token_blocks(docs: DataFrame, model_path: str, end_id: int, id_col: str, tex
                     if size >= BLOCK_IDS:
                         yield _block_row(shard, block, keys, parts)
                         keys, parts, size, block = [], [], 0, block + 1
+                pa.default_memory_pool().release_unused()
         if keys:
             yield _block_row(shard, block, keys, parts)
 
     rows = keyed_text(docs, id_col, text_col).toDF("id", "text")
-    return rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text").mapInArrow(
+    # Rows of one id, or of none, and copies of a row may lie in several shards.
+    order = ["id", "key", "copy"]
+    rows = rows.withColumns({"key": text_key(F.col("text")), "copy": F.monotonically_increasing_id()})
+    ranged = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("id", "text")
+    return ranged.mapInArrow(
         run,
         "shard long, block long, doc_ids array<long>, lengths array<long>, ids binary, used array<long>, counts array<long>",
     )

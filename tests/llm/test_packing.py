@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sheetcraft.llm import packing
+from sheetcraft.llm import packing, pieces
 from tests.llm.cases import SCHEMA, awkward_documents
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,7 +57,7 @@ def test_encoder_equals_the_library():
 
 
 def test_remembered_pieces_have_two_generations(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    monkeypatch.setattr(pieces, "REMEMBERED", 10)
     coder = packing.LibraryEncoder(open(MODEL).read())
     texts = [f"w{i} the{i % 7}" for i in range(200)]
     again = [x.tolist() for x in coder.encode_all(texts)]
