@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sheetcraft.llm.byte_bpe import split_pieces
 from sheetcraft.llm.common import forget, keyed_text, once_a_worker, prepare, written
-from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, spread_ids, text_runs
+from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, text_runs
 
 GROUP_IDS = 1 << 22  # ids of a group of rests, on average
 ROW_BATCH = 4096
@@ -162,7 +162,7 @@ class LibraryEncoder(LibraryPieces):
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special) or self.strange(t)}
         pieces, per_text = split_pieces(["" if i in whole else t for i, t in enumerate(texts)])
-        out = spread_ids(pieces, per_text, self.lookup)
+        out = self.spread(pieces, per_text)
         for i in whole:
             out[i] = np.array(self.model.encode(texts[i], add_special_tokens=False).ids, dtype=np.uint32)
         return out

@@ -10,12 +10,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 GROUP_CHARS = 1 << 20  # characters whose pieces are told apart at once
 RUN_CHARS = 1 << 22  # the same, for pieces that a library encodes
 REMEMBERED = 250_000  # pieces in each of two generations that a worker remembers
-SHORT = 48  # characters up to which a piece is remembered
+SHORT = 48  # bytes up to which a piece is remembered
 PIECE_BATCH = 1 << 14  # pieces that a library gets at once
 
 
@@ -74,6 +75,32 @@ def spread_ids(
     return np.split(ids, cuts[:-1])
 
 
+class Known:
+    """Pieces and their ids, one after another in ``flat``."""
+
+    def __init__(self, texts: pa.Array, sizes: np.ndarray, flat: np.ndarray):
+        self.texts, self.sizes, self.flat = texts, sizes, flat
+        self.first = np.cumsum(sizes) - sizes
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def take(self, at: np.ndarray) -> Known:
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        spread = np.repeat(self.first[at] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        return Known(self.texts.take(pa.array(at)), sizes, self.flat[spread])
+
+    def find(self, texts: pa.Array) -> np.ndarray:
+        """Where each text is among the pieces, or -1."""
+        return pc.index_in(texts, value_set=self.texts).fill_null(-1).to_numpy().astype(np.int64)
+
+
+def _together(parts: list[Known]) -> Known:
+    texts = pa.concat_arrays([p.texts for p in parts])
+    return Known(texts, np.concatenate([p.sizes for p in parts]), np.concatenate([p.flat for p in parts]))
+
+
 class LibraryPieces:
     """A model of the tokenizers library, asked once for each distinct piece.
     Two generations of pieces are remembered: when the younger is full it
@@ -84,37 +111,41 @@ class LibraryPieces:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model_json)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def remember(self, piece: str, ids: bytes) -> None:
-        if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young[piece] = ids
-
-    def lookup(self, pieces: list[str]) -> list[bytes]:
-        out = [self.young.get(p) for p in pieces]
-        missing = []
-        for i, known in enumerate(out):
-            if known is None:
-                p = pieces[i]
-                if (before := self.old.get(p)) is None:
-                    missing.append(i)
-                else:
-                    out[i] = before
-                    self.remember(p, before)
-        for at in range(0, len(missing), PIECE_BATCH):
-            some = missing[at : at + PIECE_BATCH]
-            for i, ids in zip(some, self.encode_pieces([pieces[i] for i in some])):
-                out[i] = ids
-                if len(pieces[i]) <= SHORT:
-                    self.remember(pieces[i], ids)
+        self.young = self.old = self.encode_pieces([])
+
+    def encode_pieces(self, pieces: list[str]) -> Known:
+        sizes, flat = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint32)]
+        for at in range(0, len(pieces), PIECE_BATCH):
+            some = pieces[at : at + PIECE_BATCH]
+            coded = self.model.encode(some, is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(coded.ids, dtype=np.uint32))
+            sizes.append(np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(some)))
+        return Known(pa.array(pieces, pa.large_string()), np.concatenate(sizes), np.concatenate(flat))
+
+    def lookup(self, pieces: pa.Array) -> Known:
+        """The pieces, which are distinct, in some order."""
+        at = self.young.find(pieces)
+        rest = pieces.filter(pa.array(at < 0))
+        before = self.old.find(rest)
+        back = self.old.take(before[before >= 0])
+        new = self.encode_pieces(rest.filter(pa.array(before < 0)).to_pylist())
+        out = _together([self.young.take(at[at >= 0]), back, new])
+        kept = _together([back, new])
+        kept = kept.take(np.flatnonzero(pc.binary_length(kept.texts).to_numpy() <= SHORT))
+        if len(self.young) + len(kept) > REMEMBERED:
+            self.old, self.young = self.young, kept
+        else:
+            self.young = _together([self.young, kept])
         return out
 
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Packed ids of each piece, by one call of the library."""
-        coded = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, dtype=np.uint32).tobytes()
-        ends = np.searchsorted(np.array(coded.word_ids, dtype=np.int64), np.arange(1, len(pieces) + 1))
-        bounds = [0, *(4 * ends).tolist()]
-        return [ids[a:z] for a, z in zip(bounds, bounds[1:])]
+    def spread(self, pieces: pa.Array, per_text: np.ndarray) -> list[np.ndarray]:
+        """Ids (uint32) of each text from its pieces."""
+        if not len(pieces):
+            return [np.empty(0, dtype=np.uint32)] * len(per_text)
+        coded = pieces.dictionary_encode()
+        known = self.lookup(coded.dictionary)
+        place = known.find(coded.dictionary)[coded.indices.to_numpy()]
+        counts = known.sizes[place]
+        ends = np.cumsum(counts)
+        ids = known.flat.take(np.repeat(known.first[place] - (ends - counts), counts) + np.arange(int(ends[-1])))
+        return np.split(ids, np.concatenate(([0], ends))[np.cumsum(per_text)][:-1])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetcraft.llm.common import joined, keyed_text, once_a_worker, prepare, spaces, text_key, written
-from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, spread_ids, text_runs
+from sheetcraft.llm.pieces import RUN_CHARS, LibraryPieces, text_runs
 
 MAGIC = b"TID1"
 BLOCK_IDS = 1 << 20  # ids after which a block ends (documents are whole)
@@ -95,22 +95,22 @@ class PieceEncoder(LibraryPieces):
     another; distinct pieces are encoded once and remembered."""
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text.  A piece is white space and what follows it up to
-        the next white space, or to a mark after an ASCII letter.  ASCII
-        letters are lower-cased first, unless there may be the text of a
+        """Ids of each text.  A piece is what stands between white space, cut
+        before a mark after an ASCII letter; white space itself is dropped.
+        ASCII letters are lower-cased first, unless there may be the text of a
         special token, which is told by its case."""
         data, offsets = joined([t.encode() for t in texts])
         if b"<|" not in data.tobytes():
             data = _LOWER.take(data)
         blank = spaces(data)
-        start = blank.copy()
-        start[1:] &= ~blank[:-1]
-        start[1:] |= _MARK.take(data[1:]) & _LETTER.take(data[:-1])
-        start[offsets[:-1]] = True
+        start = ~blank
+        start[1:] &= blank[:-1] | (_MARK.take(data[1:]) & _LETTER.take(data[:-1]))
         at = np.flatnonzero(start)
-        bounds = np.append(at, len(data)).astype(np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(data))
-        return spread_ids(pieces, np.diff(np.searchsorted(at, offsets)), self.lookup)
+        gone = np.cumsum(blank, dtype=np.int32)
+        dense = data[~blank]
+        bounds = np.append(at - gone[at], len(dense)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(dense))
+        return self.spread(pieces, np.diff(np.searchsorted(at, offsets)))
 
 
 def _encoder(model_json: str) -> PieceEncoder:
@@ -172,7 +172,7 @@ def token_blocks(docs: DataFrame, model_path: str, end_id: int, id_col: str, tex
         keys, parts, size = [], [], 0
         for batch in batches:
             own = batch.column(0).to_pylist()
-            for positions, group in text_runs(batch.column(1).to_pylist(), RUN_CHARS):
+            for positions, group in text_runs(batch.column(1).to_pylist(), 2 * RUN_CHARS):
                 for i, ids in zip(positions, coder.encode_all(group)):
                     keys.append(own[i])
                     parts.append(np.append(ids, np.uint32(end_id)))
