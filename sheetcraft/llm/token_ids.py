@@ -21,7 +21,7 @@ position; nothing but these totals is ever in one place.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -143,7 +143,9 @@ def _ranks(folder: str) -> np.ndarray:
 
 def _block_row(shard: int, block: int, doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
     flat = np.concatenate(ids)
-    used, counts = np.unique(flat, return_counts=True)
+    counts = np.bincount(flat)  # ids are places in a vocabulary
+    used = np.flatnonzero(counts)
+    counts = counts[used]
     columns = [
         pa.array([shard], pa.int64()),
         pa.array([block], pa.int64()),
@@ -240,9 +242,7 @@ def write_token_shards(
     return rows.mapInArrow(run, "name string").distinct().count()
 
 
-def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """One row a document: doc_id, shard, block, place (of its first id in the
-    block), n_tokens and ids (binary, little-endian unsigned 32-bit)."""
+def _read(spark: SparkSession, folder: str, value: Callable[[list[np.ndarray]], pa.Array], kind: str) -> DataFrame:
     prepare(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder).select("content")
 
@@ -250,7 +250,7 @@ def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for raw in batch.column(0):
                 shard, block, doc_ids, lengths, ranks = read_block(raw.as_py())
-                ids = _ranks(folder).take(ranks)
+                ids = _ranks(folder).take(ranks).astype("<u4", copy=False)
                 ends = np.cumsum(lengths)
                 n = len(doc_ids)
                 yield pa.RecordBatch.from_arrays(
@@ -260,18 +260,25 @@ def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(np.full(n, block), pa.int64()),
                         pa.array(ends - lengths, pa.int64()),
                         pa.array(lengths, pa.int64()),
-                        pa.array([x.astype("<u4").tobytes() for x in np.split(ids, ends[:-1])], pa.binary()),
+                        value(np.split(ids, ends[:-1])),
                     ],
-                    ["doc_id", "shard", "block", "place", "n_tokens", "ids"],
+                    ["doc_id", "shard", "block", "place", "n_tokens", "value"],
                 )
 
-    return files.mapInArrow(run, "doc_id long, shard long, block long, place long, n_tokens long, ids binary")
+    return files.mapInArrow(run, f"doc_id long, shard long, block long, place long, n_tokens long, value {kind}")
+
+
+def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a document: doc_id, shard, block, place (of its first id in the
+    block), n_tokens and ids (binary, little-endian unsigned 32-bit)."""
+    rows = _read(spark, folder, lambda ids: pa.array([x.tobytes() for x in ids], pa.binary()), "binary")
+    return rows.withColumnRenamed("value", "ids")
 
 
 def shard_digest(spark: SparkSession, folder: str, files: int) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` from the files of a folder."""
-    rows = read_token_shards(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    rows = written(rows, "token-digest")
+    rows = _read(spark, folder, lambda ids: pa.array([zlib.crc32(x) for x in ids], pa.int64()), "long")
+    rows = written(rows.withColumnRenamed("value", "ids_crc32"), "token-digest")
     blocks = rows.groupBy("shard", "block").agg(F.sum("n_tokens").alias("ids"))
     if blocks.count() != files:
         raise RuntimeError(f"{folder} does not hold the {files} files that were written")
