@@ -65,6 +65,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def erase(*tables: DataFrame) -> None:
+    """Delete what ``written`` made, once all that reads it is written too."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+            spark = df.sparkSession
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of steps that are over: it
     follows the driver's garbage collection."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import written
+from sheetcraft.llm.common import erase, written
 
 
 def star_edges(postings: DataFrame, key: str, node: str) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = written(_oriented(edges), "cc")
     seen = _state(now)
     for _ in range(max_rounds):
-        now = written(_small_star(_large_star(now)), "cc")
+        before, now = now, written(_small_star(_large_star(now)), "cc")
+        erase(before)
         state = _state(now)
         if state == seen:
             break

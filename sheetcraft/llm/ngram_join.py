@@ -238,10 +238,11 @@ def one_a_component(
     chosen = by_set.join(grouped.select("node", "root"), "node").groupBy("root").agg(F.min("at").alias("at"))
     wordless = described.where("set_id is null").select("id", "key", F.lit(1).cast("long").alias("rows")).distinct()
     chosen = written(chosen.select("at.id", "at.key", "at.rows").union(wordless), "chosen").toDF("__id", "__key", "__rows")
-    key = text_key(F.col(text_col).cast("string"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    alone = docs.join(chosen.where("__rows = 1"), same, "left_semi").select(columns)
+    # The row as one value, so that its columns may have any name.
+    own = lambda c: F.col("row").getField(c)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = own(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(own(text_col).cast("string")) == F.col("__key"))
+    alone = rows.join(chosen.where("__rows = 1"), same, "left_semi")
     # Only rows that are there several times are grouped.
-    several = docs.join(chosen.where("__rows > 1"), same).groupBy("__id", "__key").agg(F.min(F.struct(columns)).alias("row"))
-    return alone.union(several.select("row.*"))
+    several = rows.join(chosen.where("__rows > 1"), same).groupBy("__id", "__key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return alone.union(several.select("row")).select(*[own(c).alias(c) for c in docs.columns])

@@ -14,8 +14,11 @@ one.  Runs are compared only where their anchor is in several documents, each
 with the first document that holds it; overlapping ones join, so what is
 removed ends where the match ends.  Repeats inside one document are left alone.
 
-What is removed is words: those of such runs, and whole paragraphs that are
-near copies, whatever their length.  "First" is by document id.
+What is removed is words: whole paragraphs that are near copies, whatever their
+length, and those of such runs.  Paragraphs come first: a run with a word of a
+paragraph that goes as a near, not equal, copy is no source of another, so
+every word that is removed within a run has a copy, in the run's first holder
+or in turn in that of a run or equal paragraph there, that stays.  "First" is by document id.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetcraft.llm.common import FOLDED, joined, mix, powers, prepare, release, shingle_hashes, text_groups, text_key, word_hashes, written
+from sheetcraft.llm.common import FOLDED, erase, joined, mix, powers, prepare, release, shingle_hashes, text_groups, text_key, word_hashes, written
 from sheetcraft.llm.graph import components, star_edges
 from sheetcraft.llm.setjoin import band_of, linked_sets, size_bands
 
@@ -153,26 +156,37 @@ def _describe(bands: int, rows: int):
 
 
 def _runs(batches):
-    """Runs, as hash and first word, of which the anchor is wanted."""
+    """Runs, as hash and first word, of which the anchor is wanted, but for
+    those inside one paragraph that goes (the document where an equal one stays
+    holds these runs too).  A run is a source only if none of its words is in
+    a paragraph that goes as a near, not equal, copy."""
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        wanted = batch.column("wanted")
+        wanted, gone = batch.column("wanted"), batch.column("gone").to_pylist()
         for positions, group in text_groups(range(len(texts)), texts):
             own = Layout(group)
             first, anchor = own.runs()
+            near = np.zeros(len(own.words) + 1, dtype=np.int64)
+            paragraph = np.full(len(own.words), -1, dtype=np.int64)
+            for t, p in enumerate(positions):
+                for mark in gone[p] or ():
+                    a, z = own.text_words[t] + mark["from"], own.text_words[t] + mark["to"]
+                    paragraph[a:z] = a
+                    near[a + 1 : z + 1] = not mark["equal"]
+            near = np.cumsum(near)
+            good = (paragraph[first] < 0) | (paragraph[first] != paragraph[first + MIN_RUN - 1])
+            first, anchor = first[good], anchor[good]
+            source = near[first + MIN_RUN] == near[first]
             bounds = np.searchsorted(first, own.text_words)
             every = shingle_hashes(own.words, MIN_RUN).view(np.int64)
-            found, at, sizes = [], [], []
-            for t, (p, a, z) in enumerate(zip(positions, bounds[:-1], bounds[1:])):
-                some = first[a:z][np.isin(anchor[a:z].view(np.int64), wanted[p].values.to_numpy())]
-                found.append(every[some])
-                at.append(some - own.text_words[t])
-                sizes.append(len(some))
-            ids = batch.select(["id", "key"]).take(pa.array(np.repeat(positions, sizes)))
-            yield pa.RecordBatch.from_arrays(
-                [*ids.columns, pa.array(np.concatenate(found), pa.int64()), pa.array(np.concatenate(at), pa.int64())],
-                ["id", "key", "hash", "from"],
-            )
+            held = np.zeros(len(first), dtype=bool)
+            for p, a, z in zip(positions, bounds[:-1], bounds[1:]):
+                held[a:z] = np.isin(anchor[a:z].view(np.int64), wanted[p].values.to_numpy())
+            first, source = first[held], source[held]
+            text = np.searchsorted(own.text_words, first, side="right") - 1
+            ids = batch.select(["id", "key"]).take(pa.array(np.array(positions, dtype=np.int64)[text]))
+            columns = [*ids.columns, pa.array(every[first], pa.int64()), pa.array(first - own.text_words[text], pa.int64()), pa.array(source)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "hash", "from", "source"])
 
 
 def _members(num: int, den: int):
@@ -222,12 +236,23 @@ def near_paragraphs(rows: DataFrame, described: DataFrame, num: int, den: int) -
     found = rows.join(holders, (rows["id"].eqNullSafe(holders["id"])) & (rows["key"] == holders["key"]))
     sets = found.select("text", "wanted").mapInArrow(_members(num, den), "node long, root long, band int, items array<long>")
     sets = written(sets.dropDuplicates(["node"]), "paragraph-sets")
-    return components(linked_sets(sets, num, den))
+    parts = written(components(linked_sets(sets, num, den)), "near-paragraphs")
+    erase(sets)
+    return parts
 
 
-def repeated_runs(rows: DataFrame, described: DataFrame) -> DataFrame:
-    """``(id, key, from, to, of)``: the runs of MIN_RUN words, as word ranges,
-    that an earlier document holds; of is the id of the first that does."""
+def _of_document(marks: DataFrame, out: str, *columns: str) -> DataFrame:
+    return marks.groupBy("id", "key").agg(F.collect_list(F.struct(*columns)).alias(out))
+
+
+def _beside(rows: DataFrame, more: DataFrame, how: str) -> DataFrame:
+    """Rows with the columns that ``more`` has for their document."""
+    more = more.withColumnsRenamed({"id": "__id", "key": "__key"})
+    return rows.join(more, F.col("id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), how).drop("__id", "__key")
+
+
+def shared_anchors(described: DataFrame) -> DataFrame:
+    """``(id, key, wanted)``: the anchors of a document that others hold too."""
     anchors = described.select("id", "key", F.explode("anchors").alias("anchor"))
     slices = []
     for part in range(SLICES):
@@ -235,21 +260,37 @@ def repeated_runs(rows: DataFrame, described: DataFrame) -> DataFrame:
         shared = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("anchor")
         wanted = own.join(shared, "anchor").groupBy("id", "key").agg(F.collect_set("anchor").alias("wanted"))
         slices.append(written(wanted, "anchors"))
-        release(rows.sparkSession)
-    wanted = reduce(DataFrame.union, slices).groupBy("id", "key").agg(F.flatten(F.collect_list("wanted")).alias("wanted"))
-    same = rows["id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["key"])
-    found = rows.join(wanted, same).select(rows["id"], rows["key"], "text", "wanted")
-    runs = written(found.mapInArrow(_runs, "id long, key long, hash long, from long"), "runs")
+        release(described.sparkSession)
+    whole = reduce(DataFrame.union, slices).groupBy("id", "key").agg(F.flatten(F.collect_list("wanted")).alias("wanted"))
+    whole = written(whole, "anchors")
+    erase(*slices)
+    return whole
+
+
+def repeated_runs(rows: DataFrame, wanted: DataFrame, paragraphs: DataFrame) -> list[DataFrame]:
+    """``(id, key, marks)``: the runs of MIN_RUN words, as word ranges, that an
+    earlier document holds in words that may be a source; a table a slice.
+    ``of`` is the id of the first that holds the run."""
+    gone = _of_document(paragraphs, "gone", "from", "to", "equal")
+    found = _beside(_beside(rows, wanted, "inner"), gone, "left")
+    runs = written(found.select("id", "key", "text", "wanted", "gone").mapInArrow(_runs, "id long, key long, hash long, from long, source boolean"), "runs")
     release(rows.sparkSession)
-    place = F.struct("id", "key")
-    firsts = runs.groupBy("hash").agg(F.min(place).alias("first"))
-    later = runs.join(firsts, "hash").where(place > F.col("first"))
-    return later.select("id", "key", "from", (F.col("from") + MIN_RUN).alias("to"), F.col("first.id").alias("of"))
+    place, out = F.struct("id", "key"), []
+    for part in range(SLICES):
+        own = runs.where(F.pmod("hash", F.lit(SLICES)) == part)
+        firsts = own.groupBy("hash").agg(F.min(F.when(F.col("source"), place)).alias("first"), F.max(place).alias("last")).where("first < last")
+        later = own.join(firsts.select("hash", "first"), "hash").where(place > F.col("first"))
+        later = later.select("id", "key", "from", (F.col("from") + MIN_RUN).alias("to"), F.col("first.id").alias("of"))
+        spans = _of_document(later, "marks", "from", "to", "of").mapInArrow(_narrowed, f"id long, key long, marks {_MARKS}")
+        out.append(written(spans, "run-marks"))
+        release(rows.sparkSession)
+    erase(runs)
+    return out
 
 
 def repeated_paragraphs(described: DataFrame, near: DataFrame) -> DataFrame:
-    """``(id, key, from, to, of)``: the paragraphs, as word ranges, that equal
-    or nearly equal one of an earlier document, ``of``."""
+    """``(id, key, from, to, of, equal)``: the paragraphs, as word ranges, that
+    equal or nearly equal one of an earlier document, ``of``."""
     place = F.struct("id", "key")
     paras = described.select("id", "key", F.explode(F.arrays_zip("para", "para_from", "para_to")).alias("p")).select(
         "id", "key", F.col("p.para_from").alias("from"), F.col("p.para_to").alias("to"), F.col("p.para").alias("node")
@@ -258,9 +299,9 @@ def repeated_paragraphs(described: DataFrame, near: DataFrame) -> DataFrame:
     groups = ends.join(near, "node", "left").where("root is not null or first < last")
     groups = groups.select("node", "first", F.coalesce("root", "node").alias("root"))
     kept = groups.groupBy("root").agg(F.min("first").alias("kept"))
-    nodes = groups.join(kept, "root").select("node", "kept")
+    nodes = groups.join(kept, "root").select("node", "kept", (F.col("first") == F.col("kept")).alias("equal"))
     copies = paras.join(nodes, "node").where(place > F.col("kept"))
-    return copies.select("id", "key", "from", "to", F.col("kept.id").alias("of"))
+    return copies.select("id", "key", "from", "to", F.col("kept.id").alias("of"), F.coalesce("equal", F.lit(False)).alias("equal"))
 
 
 def joined_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -274,6 +315,22 @@ def joined_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+_MARK = pa.struct([("from", pa.int64()), ("to", pa.int64()), ("of", pa.int64())])
+_MARKS = "array<struct<`from`: bigint, `to`: bigint, `of`: bigint>>"
+
+
+def _narrowed(batches):
+    """Marks of a document, those of one source that overlap made one."""
+    for batch in batches:
+        out = []
+        for marks in batch.column("marks").to_pylist():
+            sources: dict = {}
+            for m in marks:
+                sources.setdefault(m["of"], []).append((m["from"], m["to"]))
+            out.append([{"from": a, "to": z, "of": of} for of, own in sources.items() for a, z in joined_ranges(own)])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(out, pa.list_(_MARK))], ["id", "key", "marks"])
+
+
 def _spans(batches):
     for batch in batches:
         out, sources = [], []
@@ -333,8 +390,12 @@ def repeated_spans(
     )
     near = near_paragraphs(rows, described, num, den)
     release(docs.sparkSession)
-    marks = repeated_runs(rows, described).union(repeated_paragraphs(described, near))
-    together = marks.groupBy("id", "key").agg(F.collect_list(F.struct("from", "to", "of")).alias("marks"))
+    paragraphs = written(repeated_paragraphs(described, near), "paragraph-marks")
+    wanted = shared_anchors(described)
+    erase(described)
+    marks = [_of_document(paragraphs, "marks", "from", "to", "of"), *repeated_runs(rows, wanted, paragraphs)]
+    erase(wanted)
+    together = reduce(DataFrame.union, marks).groupBy("id", "key").agg(F.flatten(F.collect_list("marks")).alias("marks"))
     spans = together.mapInArrow(
         _spans, "id long, key long, removed array<struct<from_word: bigint, to_word: bigint>>, repeats_of array<long>"
     )
@@ -342,13 +403,15 @@ def repeated_spans(
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """All rows and columns of ``docs``; the text without its repeated words."""
-    spans = repeated_spans(docs, id_col, text_col, **options).drop("repeats_of").withColumnsRenamed(
-        {"id": "__id", "key": "__key", "removed": "__removed"}
-    )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(F.col(text_col).cast("string")) == F.col("__key"))
-    cut = F.pandas_udf(_cut, "string")
-    return docs.join(spans, same, "left").withColumn(text_col, cut(F.col(text_col), F.to_json("__removed"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """All rows and columns of ``docs``, whatever their names; the text without
+    its repeated words."""
+    spans = repeated_spans(docs, id_col, text_col, **options).select("id", "key", "removed")
+    own = lambda c: F.col("row").getField(c)
+    text = own(text_col).cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", own(id_col).cast("long").alias("id"), text_key(text).alias("key"))
+    cut = F.pandas_udf(_cut, "string")(text, F.to_json("removed"))
+    return _beside(rows, spans, "left").select(*[(cut if c == text_col else own(c)).alias(c) for c in docs.columns])
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -261,3 +261,53 @@ def test_lattice_points_are_nearest():
     own = ((x - point) ** 2).sum(axis=1)
     other = ((x[:, None] - point[:, None] - embed_dedup._NEIGHBOURS[None]) ** 2).sum(axis=2).min(axis=1)
     assert (own <= other + 1e-9).all()
+
+
+def test_near_copies_are_no_source_of_runs(spark):
+    """The 14 words of its own that a near copy holds stay where they are elsewhere."""
+    rng = random.Random(23)
+    base = sentence(rng, "etaoinshr", 400).split()
+    own = sentence(rng, "bcdfgjklm", 14).split()
+    rows = [(1, " ".join(base)), (2, " ".join(base[:200] + own + base[200:])), (3, sentence(rng, "pqvwxyz", 60) + " " + " ".join(own))]
+    found = {r[0]: r for r in substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) == {2} and found[2]["repeats_of"] == [1]
+    after = {r[0]: r[1] for r in substring_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert after == {1: rows[0][1], 2: "", 3: rows[2][1]}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_words_removed_within_runs_stay_somewhere(spark, seed):
+    rng = random.Random(seed)
+    lines = [sentence(rng, "etaoinshrdlu", rng.choice((6, 14, 25, 40))) for _ in range(25)]
+    rows = []
+    for n in range(90):
+        own = []
+        for line in rng.sample(lines, 4):
+            line = line.split()
+            if rng.random() < 0.5:  # nearly the line
+                line[rng.randrange(len(line))] = sentence(rng, "bcfgjk", 1)
+            if rng.random() < 0.5:  # inside a longer one
+                line = sentence(rng, "pqvwxyz", rng.randint(1, 30)).split() + line
+            own.append(" ".join(line))
+        rows.append((n, rng.choice("\n ").join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.repeated_spans(docs).collect()
+    gone = {r["id"]: {p for s in r["removed"] for p in range(s["from_word"], s["to_word"])} for r in found}
+    left = {w for n, t in rows for p, w in enumerate(words(fold(t))) if p not in gone.get(n, set())}
+    # Words of a line as it was made are in many documents: none may vanish.
+    assert {w for line in lines for w in line.split()} & {w for _, t in rows for w in t.split()} <= left
+    assert sum(map(len, gone.values())) > 2000
+
+
+def test_columns_of_any_name_and_kind(spark):
+    rng = random.Random(5)
+    line = sentence(rng, "etaoin", 40)
+    rows = [(1, line, 7, {"a": 1}, "x"), (1, line, 7, {"a": 1}, "x"), (2, line, 8, {}, None), (None, "own words", 9, None, "y"), (3, None, 1, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, __key map<string,int>, `row.id` string")
+    out = substring_dedup.dedup_passages(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r[0], r[1], r[2]) for r in out.collect()), key=str)
+    assert got == sorted([(1, line, 7), (1, line, 7), (2, "", 8), (None, "own words", 9), (3, None, 1)], key=str)
+    kept = ngram_join.one_a_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[2]) for r in kept.collect()), key=str) == [(1, 7), (3, 1), (None, 9)]
