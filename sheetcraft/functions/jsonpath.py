@@ -6,45 +6,90 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILTERS_SCHEMA = "struct<Filters:array<string>>"
+_END = "end of the text 5f3a"
+_NUMBERS = r'(?:NaN|-?Infinity)(?=(?:[^"\\]|"(?:[^"\\]|\\.)*")*$)'
 
 
-def parse_filters(c: Column | str) -> Column:
-    """``{"Filters": [...]}`` with a non-empty list -> array of element JSON
-    texts; anything else (bad JSON, not an object, no or empty ``Filters``,
-    ``Filters`` not a list) -> null.  Runs JVM-side.
+def accept_repeated_keys(spark: SparkSession) -> None:
+    """Of a key that an object holds twice the last value counts, as for
+    ``json.loads``; without this such a text does not parse."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
-    The whole text must be one JSON value (``from_json`` alone would accept text
-    after it).  ``parse_filters_strict`` matches ``json.loads`` exactly.
-    """
+
+def _plain(text: Column) -> Column:
+    """JSON text with null in place of NaN and infinities outside strings."""
+    odd = text.contains("NaN") | text.contains("Infinity")
+    return F.when(odd, F.regexp_replace(text, _NUMBERS, "null")).otherwise(text)
+
+
+def parse_whole(text: Column) -> Column:
+    """A text as VARIANT if all of it is one JSON value, else null.  The parser
+    does not look at what follows a value, so the text is parsed as the first
+    of two elements, of which the second must come out again."""
+    both = F.try_parse_json(F.concat(F.lit("["), _plain(text), F.lit(f',"{_END}"]')))
+    whole = (F.try_variant_get(both, "$[1]", "string") == _END) & F.try_variant_get(both, "$[2]", "variant").isNull()
+    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+
+
+def filter_values(c: Column | str) -> Column:
+    """``{"Filters": [...]}`` with a non-empty list -> its elements, each a
+    VARIANT that keeps its kind; anything else (bad JSON, text after it, not an
+    object, no or empty ``Filters``, ``Filters`` not a list) -> null."""
+    values = F.try_variant_get(parse_whole(F.col(c) if isinstance(c, str) else c), "$.Filters", "array<variant>")
+    return F.when(F.size(values) > 0, values)
+
+
+def parse_filters(c: Column | str) -> Column:
+    """As ``filter_values``, with the JSON text of each element (a text element
+    as it is).  Runs JVM-side; ``parse_filters_strict`` uses ``json.loads``."""
     col = F.col(c) if isinstance(c, str) else c
-    arr = F.from_json(col, FILTERS_SCHEMA).getField("Filters")
-    return F.when((F.size(arr) > 0) & F.try_parse_json(col).isNotNull(), arr)
+    return F.when(filter_values(col).isNotNull(), F.from_json(_plain(col), FILTERS_SCHEMA).getField("Filters"))
+
+
+def _loaded(text: str | None) -> list | None:
+    """The elements of ``Filters`` by ``json.loads``; NaN and infinities are null."""
+    import json
+    from collections.abc import Mapping
+
+    if text is None:
+        return None
+    try:
+        data = json.loads(text, parse_constant=lambda _: None)
+    except (ValueError, RecursionError):
+        return None
+    found = data.get("Filters") if isinstance(data, Mapping) else None
+    return found if isinstance(found, list) and found else None
+
+
+def _dumped(value) -> str | None:
+    import json
+
+    return None if value is None else json.dumps(value, separators=(",", ":"))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def parse_filters_strict(s: pd.Series) -> pd.Series:
     """Arrow-batched exact ``json.loads`` variant of :func:`parse_filters`."""
-    import json
-    from collections.abc import Mapping
 
     def one(text):
-        if text is None:
-            return None
-        try:
-            data = json.loads(text)
-        except (json.JSONDecodeError, TypeError):
-            return None
-        if not isinstance(data, Mapping) or "Filters" not in data:
-            return None
-        flt = data["Filters"]
-        if not isinstance(flt, list) or len(flt) == 0:
-            return None
-        return [e if isinstance(e, str) else json.dumps(e, separators=(",", ":")) for e in flt]
+        found = _loaded(text)
+        return None if found is None else [e if isinstance(e, str) else _dumped(e) for e in found]
+
+    return s.map(one)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def filter_texts_strict(s: pd.Series) -> pd.Series:
+    """As :func:`parse_filters_strict`, text elements as JSON strings too."""
+
+    def one(text):
+        found = _loaded(text)
+        return None if found is None else ["null" if e is None else _dumped(e) for e in found]
 
     return s.map(one)
 

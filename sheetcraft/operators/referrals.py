@@ -6,20 +6,21 @@ Plan notes (see README "Scale"):
   abusive group; they are split off before any key-partitioned step, so a hot
   null key cannot pile up in one task.  Their whole-row distinct is a hash
   aggregate with map-side partial aggregation.
-* ``clean_referrals`` (default) sizes groups first with a partial aggregate,
-  drops groups above the threshold with an anti join (AQE turns it into a
-  broadcast when the oversized-key set is small, and splits skewed partitions
-  otherwise) and only then numbers rows: the numbering window sees groups of at
-  most ``threshold`` rows, so a hot key is removed before it is shuffled whole.
+* ``clean_referrals`` (default) keeps at most ``threshold`` + 1 numbered rows of
+  a key, which Spark does before the shuffle too, so a hot key is never shuffled
+  whole; a key that still has that many goes.  One scan, one exchange.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetcraft.functions.jsonpath import parse_filters
+from sheetcraft.functions.names import with_headers
 from sheetcraft.functions.timeparse import parse_action_time
+from sheetcraft.operators.json_trie import Leaf, is_object, json_leaves
 
 # Display column names of the referral export and the pipeline.
 REFERRAL_ID = "ReferralID"
@@ -149,17 +150,22 @@ def clean_referrals(
     df: DataFrame,
     on_error: str = "raise",
     threshold: int = MAX_SEARCHES_PER_MINUTE,
-    method: str = "presize",
+    method: str = "ranked",
     dedup_first: bool = False,
 ) -> DataFrame:
     """process + clean in one plan.
 
     ``method``:
-      * ``"presize"`` (default): group sizes by partial aggregate, anti join the
+      * ``"ranked"`` (default): number the rows of a key up to threshold + 1;
+        as the limit is on the number itself, Spark cuts every key to so many
+        rows before the shuffle (``WindowGroupLimit``).  A key that still has
+        threshold + 1 rows goes.  The keyed rows are scanned once and shuffled
+        once, whatever the size of a key.
+      * ``"presize"``: group sizes by partial aggregate, anti join the
         oversized keys, number the survivors (groups of <= threshold rows).
       * ``"window"``: number everything, then a max window on the same keys.
       * ``"antijoin"``: the reference's numbered -> distinct -> anti join.
-    All three give the same rows.  ``dedup_first`` drops copies of a whole row
+    All give the same rows.  ``dedup_first`` drops copies of a whole row
     before anything is counted or numbered, so copies do not add up to an
     oversized group.
     """
@@ -181,7 +187,7 @@ def clean_referrals(
         bad = dedup.filter(_q(SEARCH_NO) > threshold).select(*[_q(k) for k in GROUP_KEYS]).distinct()
         kept = dedup.join(bad, GROUP_KEYS, "left_anti")
         return _project(kept).unionByName(_null_key_rows(base, distinct=True))
-    if method != "presize":
+    if method not in ("ranked", "presize"):
         raise ValueError(f"unknown method {method!r}")
     if on_error == "raise":
         # A parsed time is null exactly when its text is: test the keys on the
@@ -194,25 +200,35 @@ def clean_referrals(
     else:
         keyed = base.filter(keys_present())
         null_part = _null_key_rows(base, distinct=True)
+    if method == "ranked":
+        ranked = keyed.withColumn("__n", F.row_number().over(_number_window())).filter(F.col("__n") <= threshold + 1)
+        top = F.max("__n").over(Window.partitionBy(*[_q(k) for k in GROUP_KEYS]))
+        kept = ranked.withColumn("__top", top).filter(F.col("__top") <= threshold)
+        return _project(kept.withColumn(SEARCH_NO, F.col("__n").cast("bigint"))).unionByName(null_part)
     kept = keyed.join(_oversized(keyed, threshold), GROUP_KEYS, "left_anti")
     numbered = kept.withColumn(SEARCH_NO, F.row_number().over(_number_window()).cast("bigint"))
     return _project(numbered).unionByName(null_part)
 
 
-def explode_filters(df: DataFrame, strict: bool = False, position: str | None = None) -> DataFrame:
+def explode_filters(df: DataFrame, strict: bool = False, position: str | None = None, values: bool = False) -> DataFrame:
     """Rows with notes -> one row per element of a non-empty ``Filters`` list.
 
-    The element (JSON text) replaces ``Notes``; rows without usable filters are
+    The element (JSON text, or with ``values`` a VARIANT, which tells a text
+    element from an object) replaces ``Notes``; rows without usable filters are
     dropped.  ``position`` names an optional 0-based element index column.
     """
-    from sheetcraft.functions.jsonpath import parse_filters_strict
+    from sheetcraft.functions import jsonpath as J
 
+    J.accept_repeated_keys(df.sparkSession)
     notes = _q(NOTES)
     if strict:
         from sheetcraft.session import ship_package
 
         ship_package(df.sparkSession)
-    parsed = parse_filters_strict(notes) if strict else parse_filters(notes)
+    if values:
+        parsed = F.transform(J.filter_texts_strict(notes), F.try_parse_json) if strict else J.filter_values(notes)
+    else:
+        parsed = J.parse_filters_strict(notes) if strict else parse_filters(notes)
     rest = [_q(c) for c in df.columns if c != NOTES]
     with_list = df.filter(notes.isNotNull()).select(*rest, parsed.alias(NOTES)).filter(_q(NOTES).isNotNull())
     if position:
@@ -220,6 +236,24 @@ def explode_filters(df: DataFrame, strict: bool = False, position: str | None =
     return with_list.select(*rest, F.explode(_q(NOTES)).alias(NOTES))
 
 
+def _schema_leaves(df: DataFrame, schema: str) -> list[Leaf]:
+    kind = df.sparkSession.range(0).select(F.lit(None).cast(schema).alias("x")).schema["x"].dataType
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"schema must be a struct type, got {schema!r}")
+    leaves: list[Leaf] = []
+
+    def walk(prefix: tuple[str, ...], fields: T.StructType) -> None:
+        for f in fields.fields:
+            if isinstance(f.dataType, T.StructType):
+                walk((*prefix, f.name), f.dataType)
+            else:
+                text = isinstance(f.dataType, (T.VariantType, T.NullType))
+                leaves.append(Leaf((*prefix, f.name), "string" if text else f.dataType.simpleString()))
+
+    walk((), kind)
+    return leaves
+
+
 def flatten_json(
     df: DataFrame,
     column: str = NOTES,
@@ -227,61 +261,36 @@ def flatten_json(
     clash_suffix: str = "_filter",
     on_clash: str = "suffix",
 ) -> DataFrame:
-    """Replace a JSON-object text column by one column per leaf (nested objects
-    become dotted names such as ``b.c``; lists stay whole).
-
-    The leaf set is the union over all rows: found by one aggregate
-    (``schema_of_variant_agg`` over object values only) unless ``schema`` (a
-    Spark DDL type such as ``struct<a: bigint, b: struct<c: bigint>>``) is
-    given.  Non-object values give an all-null row.  A leaf named like an
+    """Replace a column of JSON objects (VARIANT, or text) by one column per
+    leaf (nested objects become dotted names such as ``b.c``; lists stay whole).
+
+    The leaf set is the union over all rows, a trie of paths (``json_trie``),
+    unless ``schema`` (a Spark DDL type such as
+    ``struct<a: bigint, b: struct<c: bigint>>``) is given.  Keys that differ in
+    case are leaves of their own; the column of the later gets a number, as
+    tables cannot hold both names.  Values that are no objects, a text that
+    looks like one included, give an all-null row.  A leaf named like an
     existing column gets ``clash_suffix``, or raises with ``on_clash="error"``.
     """
-    from pyspark.sql import types as T
-
-    from sheetcraft.functions.jsonpath import path_segment
+    from sheetcraft.functions.jsonpath import accept_repeated_keys, parse_whole, path_segment
 
+    accept_repeated_keys(df.sparkSession)
     rest = [c for c in df.columns if c != column]
-    v = F.try_parse_json(_q(column))
-    # JSON objects are the texts starting with "{" that parse (a cheap test
-    # instead of computing each value's schema)
-    is_object = F.ltrim(_q(column)).startswith("{") & v.isNotNull()
-    if schema is None:
-        found = df.select(F.schema_of_variant_agg(F.when(is_object, v)).alias("s")).first()
-        ddl = found["s"] if found is not None else None
-        if not ddl or not ddl.startswith("OBJECT"):
-            return df.select(*[_q(c) for c in rest])
-        schema = "STRUCT" + ddl[len("OBJECT"):].replace("OBJECT<", "STRUCT<")
-    dtype = df.sparkSession.range(0).select(F.lit(None).cast(schema).alias("x")).schema["x"].dataType
-    if not isinstance(dtype, T.StructType):
-        raise ValueError(f"schema must be a struct type, got {schema!r}")
-
-    leaves: list[tuple[list[str], T.DataType]] = []
-
-    def walk(prefix: list[str], st: T.StructType) -> None:
-        for f in st.fields:
-            if isinstance(f.dataType, T.StructType):
-                walk(prefix + [f.name], f.dataType)
-            else:
-                leaves.append((prefix + [f.name], f.dataType))
-
-    walk([], dtype)
-    taken = set(rest)
-    out_cols = [_q(c) for c in rest]
-    obj = F.when(is_object, v)
-    for path, leaf_type in leaves:
-        json_path = "$" + "".join(path_segment(p) for p in path)
-        # mixed leaves (VARIANT) come out as JSON text; never-valued ones (VOID) as null text
-        type_name = "string" if isinstance(leaf_type, (T.VariantType, T.NullType)) else leaf_type.simpleString()
-        name = ".".join(path)
-        if name in taken:
+    own = _q(column) if dict(df.dtypes)[column] == "variant" else parse_whole(_q(column))
+    leaves = json_leaves(df.select(own.alias("v")), "v") if schema is None else _schema_leaves(df, schema)
+    obj = F.when(is_object(own), own)
+    names, cells = list(rest), [_q(c) for c in rest]
+    for leaf in leaves:
+        name = ".".join(leaf.path)
+        if name in names:
             if on_clash == "error":
                 raise ValueError(f"leaf {name!r} of {column!r} is named like a column")
             name = name + clash_suffix
-        taken.add(name)
-        out_cols.append(F.try_variant_get(obj, json_path, type_name).alias(name))
-    return df.select(*out_cols)
+        names.append(name)
+        cells.append(F.try_variant_get(obj, "$" + "".join(path_segment(p) for p in leaf.path), leaf.kind))
+    return with_headers(df.select(*[c.alias(f"c{i}") for i, c in enumerate(cells)]), names)
 
 
 def process_referral_notes(df: DataFrame, strict: bool = False, schema: str | None = None) -> DataFrame:
     """Rows with notes -> one row per filter -> filter leaves as columns."""
-    return flatten_json(explode_filters(df, strict=strict), NOTES, schema=schema)
+    return flatten_json(explode_filters(df, strict=strict, values=True), NOTES, schema=schema)

@@ -9,41 +9,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AGE_GROUP = "Age Group"
-
+from sheetcraft.functions.names import (
+    ColumnDictionary,
+    any_present,
+    by_position,
+    fields_by_position,
+    headers_of,
+    quoted,
+    with_headers,
+)
+from sheetcraft.operators.lattice import text_states, with_types
 
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+AGE_GROUP = "Age Group"
+Place = str | tuple[str, str]  # of a measure: a column, or a struct column and its field
 
 
 # --- wide -> long ------------------------------------------------------------
 
 
-def groups_from_structs(df: DataFrame, keys: Sequence[str]) -> dict[str, dict[str, str]]:
+def groups_from_structs(df: DataFrame, keys: Sequence[str]) -> dict[str, dict[str, Place]]:
     """Group layout of a header-inferred table: each non-key struct column is a
     group, its fields are the measures."""
-    out: dict[str, dict[str, str]] = {}
-    for f in df.schema.fields:
-        if f.name in keys:
+    out: dict[str, dict[str, Place]] = {}
+    for f, header in zip(df.schema.fields, headers_of(df)):
+        if f.name in keys or header in keys:
             continue
         if not isinstance(f.dataType, T.StructType):
             raise ValueError(f"column {f.name!r} is not a group (struct) column")
-        out[f.name] = {m.name: f"{f.name}.{m.name}" for m in f.dataType.fields}
+        out[header] = {m.name: (f.name, m.name) for m in f.dataType.fields}
     return out
 
 
-def _ref(path: str) -> Column:
-    # "group.measure" on a struct column; plain names otherwise.
-    if "." in path:
-        group, measure = path.split(".", 1)
-        return _q(group).getField(measure)
-    return _q(path)
+class _Places:
+    """Measures of a table by place: no name is resolved by Spark."""
+
+    def __init__(self, df: DataFrame):
+        self.own, headers = by_position(df)
+        self.names = {n: i for i, n in reversed(list(enumerate(df.columns)))}
+        self.names = {h: i for i, h in reversed(list(enumerate(headers)))} | self.names
+        self.kinds = [f.dataType for f in df.schema.fields]
+
+    def __call__(self, place: Place) -> tuple[Column, T.DataType]:
+        if isinstance(place, str) and place not in self.names and "." in place:
+            place = next(((a, place[len(a) + 1 :]) for a in sorted(self.names, key=len) if place.startswith(a + ".")), place)
+        column, *field = (place,) if isinstance(place, str) else place
+        i = self.names[column]
+        if not field:
+            return F.col(f"c{i}"), self.kinds[i]
+        at = next(k for k, f in enumerate(self.kinds[i].fields) if f.name == field[0])
+        return fields_by_position(F.col(f"c{i}"), self.kinds[i]).getField(f"f{at}"), self.kinds[i].fields[at].dataType
 
 
 def unstack_groups(
     df: DataFrame,
     keys: Sequence[str],
-    groups: Mapping[str, Mapping[str, str]] | None = None,
+    groups: Mapping[str, Mapping[str, Place]] | None = None,
     group_col: str = AGE_GROUP,
     drop_all_null: bool = True,
     key_casts: Mapping[str, str] | None = None,
@@ -58,37 +78,24 @@ def unstack_groups(
     """
     if groups is None:
         groups = groups_from_structs(df, keys)
-    measures: list[str] = []
-    for m in groups.values():
-        for name in m:
-            if name not in measures:
-                measures.append(name)
-    src = df
+    at = _Places(df)
+    measures = list(dict.fromkeys(name for m in groups.values() for name in m))
+    found = {(g, name): at(place) for g, m in groups.items() for name, place in m.items()}
+    src = at.own
     if drop_all_null:
-        any_value = F.lit(False)
-        for m in groups.values():
-            for path in m.values():
-                any_value = any_value | _ref(path).isNotNull()
-        src = src.filter(any_value)
+        src = src.filter(any_present([c for c, _ in found.values()]))
     # Common type per measure across groups (e.g. int capacity vs bigint).
-    schema_types: dict[str, T.DataType] = {}
-    for m in groups.values():
-        for name, path in m.items():
-            dt = src.select(_ref(path)).schema.fields[0].dataType
-            prev = schema_types.get(name)
-            schema_types[name] = dt if prev is None else _wider(prev, dt)
+    types: dict[str, T.DataType] = {}
+    for (_, name), (_, kind) in found.items():
+        types[name] = _wider(types[name], kind) if name in types else kind
     rows = []
-    for g, m in groups.items():
-        fields = [F.lit(g).alias(group_col)]
-        for name in measures:
-            dt = schema_types[name]
-            val = _ref(m[name]).cast(dt) if name in m else F.lit(None).cast(dt)
-            fields.append(val.alias(name))
-        rows.append(F.struct(*fields))
-    key_cols = [_q(k) for k in keys]
-    if key_casts:
-        key_cols = [_q(k).cast(key_casts[k]).alias(k) if k in key_casts else _q(k) for k in keys]
-    return src.select(*key_cols, F.inline(F.array(*rows)))
+    for g in groups:
+        values = [found.get((g, name), (F.lit(None), None))[0].cast(types[name]) for name in measures]
+        rows.append(F.struct(F.lit(g).alias("g"), *[v.alias(f"m{i}") for i, v in enumerate(values)]))
+    casts = key_casts or {}
+    key_cols = [at(k)[0].cast(casts[k]) if k in casts else at(k)[0] for k in keys]
+    long = src.select(*[k.alias(f"k{i}") for i, k in enumerate(key_cols)], F.inline(F.array(*rows)))
+    return with_headers(long, [*keys, group_col, *measures])
 
 
 def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -104,11 +111,16 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
 
 
 def drop_all_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop(how="all", subset=list(subset) if subset else None)
+    """Without the rows that hold no value (in the columns of ``subset``)."""
+    own, headers = by_position(df)
+    wanted = None if subset is None else set(subset)
+    cells = [F.col(f"c{i}") for i, (n, h) in enumerate(zip(df.columns, headers)) if wanted is None or n in wanted or h in wanted]
+    return with_headers(own.filter(any_present(cells)), headers) if cells else df
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
-    """Drop all-null columns, then all-null rows.
+    """Drop all-null columns, then all-null rows; column names may hold
+    anything and repeat.
 
     The live-column test is one aggregate (a single result row reaches the
     driver); pass the output through a written table when the input is
@@ -116,107 +128,98 @@ def drop_empty(df: DataFrame) -> DataFrame:
     """
     if not df.columns:
         return df
-    counts = df.agg(*[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    live = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
+    own, headers = by_position(df)
+    counts = own.agg(*[F.count(c).alias(c) for c in own.columns]).first()
+    live = [i for i, c in enumerate(own.columns) if counts[c] > 0]
     if not live:
         return df.sparkSession.createDataFrame([], T.StructType([]))
-    return df.select(*[_q(c) for c in live]).na.drop(how="all")
+    cells = [F.col(f"c{i}") for i in live]
+    return with_headers(own.select(*cells).filter(any_present([F.col(f"c{i}") for i in live])), [headers[i] for i in live])
 
 
-# --- type inference over text ----------------------------------------------------
-
-BOOL_TEXT = ("true", "false")
+# --- types of texts ---------------------------------------------------------------
 
 
 def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Best type per text column, from one aggregate: every non-null value an
-    integer -> bigint; a number -> double; true/false -> boolean; else string.
-    All-null columns stay string."""
-    cols = [c for c, t in df.dtypes if t == "string"] if columns is None else list(columns)
-    if not cols:
-        return {}
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.trim(_q(c))
-        present = v.isNotNull()
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.count(F.when(present & v.try_cast("bigint").isNotNull() & ~v.contains("."), 1)).alias(f"i{i}"),
-            F.count(F.when(present & v.try_cast("double").isNotNull(), 1)).alias(f"d{i}"),
-            F.count(F.when(present & F.lower(v).isin(*BOOL_TEXT), 1)).alias(f"b{i}"),
-        ]
-    r = df.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(cols):
-        n = r[f"n{i}"]
-        if n == 0:
-            out[c] = "string"
-        elif r[f"i{i}"] == n:
-            out[c] = "bigint"
-        elif r[f"d{i}"] == n:
-            out[c] = "double"
-        elif r[f"b{i}"] == n:
-            out[c] = "boolean"
-        else:
-            out[c] = "string"
-    return out
+    """The type of each text column that keeps every value, from one aggregate
+    (see ``lattice``).  All-null columns stay text."""
+    places = None if columns is None else [df.columns.index(c) for c in columns]
+    return {df.columns[i]: state.type() for i, state in text_states(df, places).items()}
 
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    cols = []
-    for c in df.columns:
-        if c in types and types[c] != "string":
-            v = F.trim(_q(c))
-            if types[c] == "boolean":
-                cols.append(F.lower(v).cast("boolean").alias(c))
-            else:
-                cols.append(v.cast(types[c]).alias(c))
-        else:
-            cols.append(_q(c))
-    return df.select(*cols)
+    return with_types(df, {df.columns.index(c): t for c, t in types.items()})
 
 
 def retype(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Infer and apply the best types for text columns (one extra pass)."""
+    """Infer and apply the types of text columns (one extra pass); no value
+    changes its text."""
     return apply_types(df, infer_text_types(df, columns))
 
 
 def nan_text_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Mixed columns as text with the literal ``nan`` as null."""
+    own, headers = by_position(df)
     cols = set(columns) if columns is not None else {c for c, t in df.dtypes if t == "string"}
-    return df.select(*[F.nullif(_q(c), F.lit("nan")).alias(c) if c in cols else _q(c) for c in df.columns])
+    cells = [F.nullif(F.col(f"c{i}"), F.lit("nan")) if c in cols else F.col(f"c{i}") for i, c in enumerate(df.columns)]
+    return with_headers(own.select(*[c.alias(f"c{i}") for i, c in enumerate(cells)]), headers)
 
 
 # --- union -----------------------------------------------------------------------
 
 
-def union_mixed(frames: Sequence[DataFrame], infer: bool = True) -> DataFrame:
-    """Vertical union by column name; a column missing from a frame is null.
+def _text(c: Column, kind: T.DataType) -> Column:
+    """A value as it reads in a mixed column: booleans as True and False."""
+    if isinstance(kind, T.BooleanType):
+        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    return c.cast("string")
+
 
-    Columns whose types differ between frames are unioned as text (a direct
-    union would widen int with string to bigint and fail at run time under
-    ANSI) and then re-typed by ``retype`` when ``infer`` is set.
+def union_mixed(frames: Sequence[DataFrame], infer: bool = False) -> DataFrame:
+    """Vertical union by header text, case included; a column missing from a
+    frame is null, and one that repeats in a frame counts as the next column of
+    that name.
+
+    Number columns of several types get the widest; columns whose kinds differ
+    otherwise are text, with the text ``nan`` as null, and no text changes.
+    With ``infer`` such columns are typed again where that loses nothing.
     """
     if not frames:
         raise ValueError("no frames")
-    types: dict[str, set[str]] = {}
-    order: list[str] = []
-    for f in frames:
-        for c, t in f.dtypes:
-            if c not in types:
-                types[c] = set()
-                order.append(c)
-            types[c].add(t)
-    mixed = [c for c in order if len(types[c]) > 1]
+    order, own, kinds = ColumnDictionary(), [], {}
+    for frame in frames:
+        times: dict[str, int] = {}
+        places = {}
+        for i, (header, field) in enumerate(zip(headers_of(frame), frame.schema.fields)):
+            times[header] = times.get(header, 0) + 1
+            at = order.add(header if times[header] == 1 else f"{header}.{times[header] - 1}")
+            places[at] = i, field.dataType
+            kinds.setdefault(at, []).append(field.dataType)
+        own.append(places)
+    final, mixed = {}, []
+    for at, found in kinds.items():
+        kind = found[0]
+        for other in found[1:]:
+            kind = _wider(kind, other)
+        final[at] = kind
+        if kind == T.StringType() and any(f != kind for f in found):
+            mixed.append(at)
     aligned = []
-    for f in frames:
-        aligned.append(f.select(*[_q(c).cast("string").alias(c) if c in mixed else _q(c) for c in f.columns]))
+    for frame, places in zip(frames, own):
+        cells = []
+        for at in range(len(order)):
+            c = F.lit(None).cast(final[at])
+            if at in places:
+                i, kind = places[at]
+                c = F.col(f"c{i}")
+                c = F.nullif(_text(c, kind), F.lit("nan")) if at in mixed else c.cast(final[at])
+            cells.append(c.alias(f"u{at}"))
+        aligned.append(by_position(frame)[0].select(*cells))
     out = aligned[0]
-    for f in aligned[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    if infer and mixed:
-        out = retype(out, mixed)
-    return out
+    for frame in aligned[1:]:
+        out = out.union(frame)
+    out = order.named(out)
+    return retype(out, [out.columns[at] for at in mixed]) if infer and mixed else out
 
 
 # --- forward fill ---------------------------------------------------------------------
@@ -240,10 +243,10 @@ def forward_fill(
 
     rows = in_order(df, partition_by, order_by)
     running = within_part().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = rows.withColumns({c: F.last(_q(c), ignorenulls=True).over(running) for c in columns})
+    filled = rows.withColumns({c: F.last(quoted(c), ignorenulls=True).over(running) for c in columns})
     place = F.struct(ORDER, TIE, COPY)
     ends = rows.groupBy(PART, KEY).agg(
-        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), place)).alias(f"__end{i}") for i, c in enumerate(columns)]
+        *[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), place)).alias(f"__end{i}") for i, c in enumerate(columns)]
     )
     carried = ends.select(
         PART,
@@ -251,6 +254,6 @@ def forward_fill(
         *[F.last(f"__end{i}", ignorenulls=True).over(earlier_parts()).alias(f"__in{i}") for i in range(len(columns))],
     )
     out = filled.join(carried, [PART, KEY]).withColumns(
-        {c: F.coalesce(_q(c), F.col(f"__in{i}")) for i, c in enumerate(columns)}
+        {c: F.coalesce(quoted(c), F.col(f"__in{i}")) for i, c in enumerate(columns)}
     )
-    return out.select(*[_q(c) for c in df.columns])
+    return out.select(*[quoted(c) for c in df.columns])

@@ -703,12 +703,81 @@ def table_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.to_table(cells_of(c, F.when(first, "a").otherwise("b"), F.col("c_custkey") + 1, cells, heads), null_tokens=False)
 
 
+def odd_headers_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as two sheets whose headers are no column names: dots,
+    back-ticks, a repeated text, and texts that differ in case alone."""
+    c = A.read_table(spark, sf_dir, "customer")
+    first = F.col("c_custkey") % 2 == 0
+    cells = [
+        _cell("n", F.col("c_custkey")),
+        _cell("n", F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal"))),
+        _cell("s", F.col("c_name")),
+        _cell("s", F.col("c_mktsegment")),
+        _cell("n", F.col("c_nationkey")),
+    ]
+    heads = {"a": [["No.", "a.b", "a`b", "x", "x"]], "b": [["No.", "A.b", "a`b", "x", "X"]]}
+    t = W.to_table(cells_of(c, F.when(first, "a").otherwise("b"), F.col("c_custkey") + 1, cells, heads))
+    return t.toDF("no", "a_b", "a_tick_b", "x", "x_1", "upper_a_b", "upper_x")
+
+
+def union_of_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables that share header texts but for case: union, empty drop and
+    wide to long, all by position."""
+    o = A.read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").alias("No.")
+    even = o.where("o_orderkey % 2 = 0").select(key, F.col("o_totalprice").alias("Infant (0.5-1).Rate"), F.lit(None).cast("int").alias("none."))
+    odd = o.where("o_orderkey % 2 = 1").select(key, F.col("o_totalprice").alias("infant (0.5-1).rate"), F.substring("o_orderpriority", 1, 1).cast("int").alias("b`t"))
+    wide = R.drop_empty(R.union_mixed([even, odd]))
+    groups = {"Infant (0.5-1)": {"Rate": "Infant (0.5-1).Rate"}, "infant (0.5-1)": {"Rate": "infant (0.5-1).rate", "b`t": "b`t"}}
+    return R.unstack_groups(wide, ["No."], groups).toDF("no", "age_group", "rate", "b_t")
+
+
+def notes_case_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes whose filters hold keys that differ in case, a repeated key, NaN
+    and infinities, a text that looks like an object, and text after the JSON."""
+    e = A.read_table(spark, sf_dir, "events")
+    n, who = F.col("event_id"), F.col("user_id")
+    at = F.format_string
+    note = (
+        F.when(n % 6 == 0, at('{"Filters":[{"a":%d,"id":"x"}]}', who))
+        .when(n % 6 == 1, at('{"Filters":[{"A":%d},{"a":1,"a":%d}]}', who, who))
+        .when(n % 6 == 2, at('{"Filters":["{\\"a\\":%d}"]}', who))
+        .when(n % 6 == 3, at('{"Filters":[{"b":{"c":NaN,"C":%d},"ID":-Infinity}]}', who))
+        .when(n % 6 == 4, at('{"Filters":[{"a":%d}]} and more', who))
+        .otherwise(at('{"Filters":[{"b":{"c":"NaN"},"ID":%d}],"Filters":[{"b":{"c":"NaN %d"}}]}', who, who))
+    )
+    t = referrals.process_referral_notes(e.select(n.alias("id"), note.alias(referrals.NOTES)))
+    return t.toDF("event_id", "upper_a", "upper_id", "a", "b_upper_c", "b_c", "id")
+
+
+def typed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns that become numbers only where no value changes its text."""
+    c = A.read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    texts = c.select(
+        k.cast("string").alias("key"),
+        F.when(k % 7 == 0, F.lpad(k.cast("string"), 6, "0")).otherwise(k.cast("string")).alias("code"),
+        (k.cast("decimal(38,0)") + F.lit("9223372036854775807").cast("decimal(38,0)")).cast("string").alias("large"),
+        F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("false")).alias("flag"),
+        F.when(k % 2 == 0, F.lit("1.50")).otherwise(F.lit("1.5")).alias("price"),
+        (k.cast("double") + 0.5).cast("string").alias("half"),
+    )
+    t = R.retype(texts)
+    kinds = dict(t.dtypes)
+    large = F.col("large").cast("decimal(38,0)").cast("string").alias("large")
+    return t.select("key", "code", large, F.lit(kinds["large"].startswith("decimal")).alias("large_is_number"), "flag", "price", "half")
+
+
 QUERIES.update(
     {
         "headers_from_cells": headers_from_cells,
         "headers_custom_rule": headers_custom_rule,
         "headers_all_unique": headers_all_unique,
         "table_from_cells": table_from_cells,
+        "odd_headers_from_cells": odd_headers_from_cells,
+        "union_of_odd_headers": union_of_odd_headers,
+        "notes_case_twins": notes_case_twins,
+        "typed_texts": typed_texts,
     }
 )
 

@@ -397,6 +397,27 @@ select referral_id as program_id, recorded_by, strftime(action_ts, '%Y-%m-%d %H:
         "table_from_cells": """select c_custkey + 9007199254740993 as key, case when c_custkey % 3 = 0 then c_acctbal end as balance,
           case when c_custkey % 3 = 0 then cast(c_nationkey as varchar) when c_custkey % 5 <> 0 then c_name end as mixed,
           case when c_custkey % 3 <> 0 then c_mktsegment end as segment from customer""",
+        "odd_headers_from_cells": """select c_custkey as no, case when c_custkey % 2 = 0 and c_custkey % 3 = 0 then c_acctbal end as a_b,
+          c_name as a_tick_b, c_mktsegment as x, case when c_custkey % 2 = 0 then cast(c_nationkey as bigint) end as x_1,
+          case when c_custkey % 2 = 1 and c_custkey % 3 = 0 then c_acctbal end as upper_a_b,
+          case when c_custkey % 2 = 1 then cast(c_nationkey as bigint) end as upper_x from customer""",
+        "union_of_odd_headers": """select o_orderkey as no, 'Infant (0.5-1)' as age_group,
+          case when o_orderkey % 2 = 0 then o_totalprice end as rate, cast(null as integer) as b_t from orders
+          union all select o_orderkey, 'infant (0.5-1)', case when o_orderkey % 2 = 1 then o_totalprice end,
+          case when o_orderkey % 2 = 1 then cast(o_orderpriority[1:1] as integer) end from orders""",
+        "notes_case_twins": """with e as (select event_id, cast(user_id as bigint) as u, event_id % 6 as m from events)
+          select event_id, cast(null as bigint) as upper_a, cast(null as varchar) as upper_id, u as a,
+                 cast(null as bigint) as b_upper_c, cast(null as varchar) as b_c, 'x' as id from e where m = 0
+          union all select event_id, u, null, null, null, null, null from e where m = 1
+          union all select event_id, null, null, u, null, null, null from e where m = 1
+          union all select event_id, null, null, null, null, null, null from e where m = 2
+          union all select event_id, null, null, null, u, null, null from e where m = 3
+          union all select event_id, null, null, null, null, 'NaN ' || u, null from e where m = 5""",
+        "typed_texts": """select c_custkey as key,
+          case when c_custkey % 7 = 0 then lpad(cast(c_custkey as varchar), 6, '0') else cast(c_custkey as varchar) end as code,
+          cast(cast(c_custkey as hugeint) + 9223372036854775807 as varchar) as large, true as large_is_number,
+          c_custkey % 2 = 0 as flag, case when c_custkey % 2 = 0 then '1.50' else '1.5' end as price, c_custkey + 0.5::double as half
+          from customer""",
         "csv_text_roundtrip": """select doc_id, case doc_id % 6 when 0 then text
           when 1 then '  ' || text || chr(9) || ' ' when 2 then '"' || text || '",' || chr(13) || chr(10) || '"'
           when 3 then '' when 4 then text || chr(92) end as text, lang from documents""",

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetcraft.operators.reshape import nan_text_to_null
+from sheetcraft.functions.names import any_present, with_headers
 from sheetcraft.session import local_path, ship_package
 
 CELL = T.StructType([T.StructField("t", T.StringType()), T.StructField("v", T.StringType())])
@@ -426,8 +426,9 @@ def typed_value(c: Column, dtype: str | None, null_tokens: bool = True) -> Colum
         return F.when(t == "b", F.when(v == "true", F.lit("True")).otherwise(F.lit("False"))).otherwise(v)
     if dtype == "bigint":
         # through double only for texts such as 3.0 or 1E3: 2**53 + 1 is no double
-        return F.coalesce(v.try_cast("bigint"), v.cast("double").cast("bigint"))
-    return v.cast(dtype)
+        return F.coalesce(v.try_cast("bigint"), v.try_cast("double").try_cast("bigint"))
+    # A filter on the value may run on header rows too, before they are left out.
+    return v.try_cast(dtype)
 
 
 def _decide(all_, n, i, b, d) -> str | None:
@@ -456,7 +457,9 @@ def to_table(
 
     ``header``: the first present row of each sheet names the columns (pandas
     names); otherwise columns are ``0, 1, ...``.  Files with different headers
-    are unioned by name.  ``drop_empty`` drops all-null columns, then all-null
+    are unioned by header text, case included; texts that differ in case alone
+    get a suffix (``names.stored_names``), as tables could not be written
+    otherwise.  ``drop_empty`` drops all-null columns, then all-null
     rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.
     ``null_tokens``: string cells with a pandas default NA text are null.
     The plan joins the cells to a table with a row a layout, whatever their
@@ -476,14 +479,16 @@ def to_table(
         kinds = {n: ("string", False) for n in order}
     keep = [n for n in order if not (drop_empty and kinds[n][0] is None)]
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
-    value = {n: typed_value(F.col("named")[n], kinds[n][0], null_tokens) for n in keep}
-    out = named.select(*src, *[v.alias(n) for n, v in value.items()])
-    mixed = [n for n in keep if kinds[n][1]]
-    if mixed:
-        out = nan_text_to_null(out, mixed)
+    cells = []
+    for n in keep:
+        kind, mixed = kinds[n]
+        value = typed_value(F.col("named")[n], kind, null_tokens)
+        cells.append(F.nullif(value, F.lit("nan")) if mixed else value)
+    places = [f"c{i}" for i in range(len(keep))]
+    out = named.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(src)], *[v.alias(c) for v, c in zip(cells, places)])
     if drop_empty and keep:
-        out = out.na.drop(how="all", subset=keep)
-    return out
+        out = out.filter(any_present([F.col(c) for c in places]))
+    return with_headers(out, [*src, *keep])
 
 
 # --- sink ---------------------------------------------------------------------------------

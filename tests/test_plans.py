@@ -37,7 +37,8 @@ def test_age_details_is_one_generate(spark):
 def test_referral_clean_shape(spark):
     df = E.queries()["referral_clean"](spark, SF_SMALL)
     p = _final_plan(df)
-    assert "LeftAnti" in p
+    # keys are cut to a few rows before the shuffle, not sized in another scan
+    assert "LeftAnti" not in p and p.count("WindowGroupLimit") >= 2
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     # one key-partitioned exchange feeds the numbering window
     assert len(re.findall(r"Window \[row_number", p)) == 1

@@ -59,7 +59,7 @@ def test_skewed_cleaning_matches_oracle(spark):
     hot = logs.filter(F.col("ReferralID") == 7).count()
     assert hot > logs.count() / 4  # one key holds a large share
     want = rows_of(_oracle())
-    for method in ("presize", "window", "antijoin"):
+    for method in ("ranked", "presize", "window", "antijoin"):
         got = R.clean_referrals(logs, method=method).withColumnsRenamed(REFERRAL_SNAKE)
         assert rows_of(got.toArrow()) == want, method
 
