@@ -217,11 +217,12 @@ def test_pipeline_near_copies_by_row(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Operators 11 to 13 return ranks, pieces and nodes; their own tests compare these whole.
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("op11_", "op12_", "op13_"))))
 def test_queries_keep_every_row(spark, name):
     table, key = ("pages", "page_id") if name.startswith(("op5_", "op10_")) else ("embeddings", "vec_id") if name.startswith("op9_") else ("documents", "doc_id")
     found = QUERIES[name](spark, SF_SMALL)
