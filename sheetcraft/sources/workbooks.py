@@ -471,24 +471,109 @@ def to_table(
     order = column_order(layouts)
     if not order:
         return cells.sparkSession.createDataFrame([], T.StructType([]))
-    data = cells.filter(F.col("_line") >= first).join(layouts.select("layout", "names"), "layout")
-    named = by_name(data)
+    named = _named_rows(cells, layouts, first)
     found = column_types(named, null_tokens)
     kinds = {n: found.get(n, (None, False)) for n in order}
     if not infer_types:
         kinds = {n: ("string", False) for n in order}
-    keep = [n for n in order if not (drop_empty and kinds[n][0] is None)]
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
-    cells = []
-    for n in keep:
-        kind, mixed = kinds[n]
+    return _typed_rows(named, [(n, *kinds[n]) for n in order], src, drop_empty, null_tokens)
+
+
+def _named_rows(cells: DataFrame, layouts: DataFrame, first: int) -> DataFrame:
+    return by_name(cells.filter(F.col("_line") >= first).join(layouts.select("layout", "names"), "layout"))
+
+
+def _typed_rows(
+    named: DataFrame, columns: Sequence[tuple[str, str | None, bool]], src: Sequence[str], drop_empty: bool, null_tokens: bool
+) -> DataFrame:
+    """Rows of ``by_name`` -> typed columns ``(name, type, mixed)`` after ``src``."""
+    keep = [c for c in columns if not (drop_empty and c[1] is None)]
+    values = []
+    for n, kind, mixed in keep:
         value = typed_value(F.col("named")[n], kind, null_tokens)
-        cells.append(F.nullif(value, F.lit("nan")) if mixed else value)
+        values.append(F.nullif(value, F.lit("nan")) if mixed else value)
     places = [f"c{i}" for i in range(len(keep))]
-    out = named.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(src)], *[v.alias(c) for v, c in zip(cells, places)])
+    out = named.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(src)], *[v.alias(c) for v, c in zip(values, places)])
     if drop_empty and keep:
         out = out.filter(any_present([F.col(c) for c in places]))
-    return with_headers(out, [*src, *keep])
+    return with_headers(out, [*src, *[c[0] for c in keep]])
+
+
+# --- typed table from states of its files -------------------------------------------------
+
+
+STATE_SCHEMA = (
+    "src string, layout string, path string, sheet_pos int, pos int, head string,"
+    " `all` bigint, n bigint, i bigint, b bigint, d bigint"
+)
+
+
+def file_states(cells: DataFrame, header: bool = True, null_tokens: bool = True) -> DataFrame:
+    """What a file adds to the columns of the table: a row a file, sheet and
+    cell position, with the header text and the counters that decide a type.
+    The states of all files together give ``collected_columns``, so a file can
+    change without the cells of the others being read.  ``cells`` has a
+    column ``src`` that names the file."""
+    c, data = F.col("c"), F.col("_line") >= (1 if header else 0)
+    t, num = F.col("c.t"), F.col("c.v").try_cast("double")
+    whole = (num == F.floor(num)) & (F.abs(num) < 9.2e18)
+    key = ["src", "layout", "path", "sheet_pos"]
+    cell = cells.select(*key, "_line", F.posexplode("cells").alias("pos", "c"))
+    return cell.groupBy(*key, "pos").agg(
+        F.max(F.when(F.col("_line") == 0, F.col("c.v"))).alias("head"),
+        F.count(F.when(data, cell_value(c, null_tokens))).alias("all"),
+        F.count_if(data & (t == "n")).alias("n"),
+        F.count_if(data & (t == "n") & whole).alias("i"),
+        F.count_if(data & (t == "b")).alias("b"),
+        F.count_if(data & (t == "d")).alias("d"),
+    )
+
+
+def collected_columns(states: DataFrame, header: bool = True) -> tuple[DataFrame, list[tuple[str, str | None, bool]]]:
+    """``(layout, names)`` and the columns ``(name, type, mixed)``, in order,
+    of the table of all files with these states, as ``to_table`` finds them in
+    the cells.  Counters are added up a layout and position first, so what is
+    grouped is no larger than the header; the driver gets a row a column."""
+    ship_package(states.sparkSession)
+    places = states.groupBy("layout", "pos").agg(
+        F.max("head").alias("head"),
+        F.min(F.struct("path", "sheet_pos")).alias("first"),
+        *[F.sum(c).alias(c) for c in ("all", "n", "i", "b", "d")],
+    )
+    whole = places.groupBy("layout").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "head"))).alias("heads"), F.min("first").alias("first")
+    )
+    heads = F.transform("heads", lambda h: h["head"])
+
+    def unique(head: pd.Series) -> pd.Series:
+        return pd.Series([pandas_names(list(own)) for own in head])
+
+    names = F.pandas_udf(unique, _NAMES)(heads) if header else F.transform("heads", lambda h: h["pos"].cast("string"))
+    layouts = whole.select("layout", "first", names.alias("names"))
+    named = layouts.select("layout", "first", F.posexplode("names").alias("pos", "name"))
+    sums = [F.sum(c).alias(c) for c in ("all", "n", "i", "b", "d")]
+    found = named.join(places.drop("first"), ["layout", "pos"]).groupBy("name").agg(F.min(F.struct("first", "pos")).alias("at"), *sums)
+    columns = []
+    for r in found.orderBy("at", "name").collect():
+        kind = _decide(r["all"], r["n"], r["i"], r["b"], r["d"])
+        columns.append((r["name"], kind, kind == "string" and r["n"] + r["b"] + r["d"] > 0))
+    return layouts.select("layout", "names"), columns
+
+
+def to_table_of(
+    cells: DataFrame,
+    layouts: DataFrame,
+    columns: Sequence[tuple[str, str | None, bool]],
+    header: bool = True,
+    src: Sequence[str] = (),
+    null_tokens: bool = True,
+) -> DataFrame:
+    """The rows that ``cells``, of any of the files, give in the table of
+    ``collected_columns``; ``src`` are columns of the cells to keep."""
+    if not columns:
+        return cells.select(*src).limit(0)
+    return _typed_rows(_named_rows(cells, layouts, 1 if header else 0), columns, list(src), True, null_tokens)
 
 
 # --- sink ---------------------------------------------------------------------------------
