@@ -225,6 +225,24 @@ def union_mixed(frames: Sequence[DataFrame], infer: bool = False) -> DataFrame:
 # --- forward fill ---------------------------------------------------------------------
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Each row once, as ``dropDuplicates`` gives it, for rows with long texts:
+    a digest of 128 bits is counted (16 bytes a row are shuffled, summed up on
+    the map side), and only rows whose digest comes again are compared in full.
+    The others pass by the join with these digests, which AQE broadcasts where
+    they are few."""
+    headers = df.columns
+    rows = df.toDF(*[f"c{i}" for i in range(len(headers))])
+    columns = [F.col(c) for c in rows.columns]
+    # Two hashes of different column orders and seeds make up the digest.
+    digest = {"h1": F.xxhash64(*columns), "h2": F.xxhash64(F.lit(1), *reversed(columns))}
+    keyed = rows.withColumns(digest)
+    again = keyed.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2")
+    alone = keyed.join(again, ["h1", "h2"], "left_anti").select(*columns)
+    several = keyed.join(again, ["h1", "h2"], "left_semi").select(*columns).dropDuplicates()
+    return alone.unionAll(several).toDF(*headers)
+
+
 def forward_fill(
     df: DataFrame,
     columns: Sequence[str],
@@ -239,14 +257,13 @@ def forward_fill(
     of a group, and the last value of the group's earlier partitions (a row a
     group and partition) is carried in.  One plan for every group size.
     """
-    from sheetcraft.operators.numbering import COPY, KEY, ORDER, PART, TIE, earlier_parts, in_order, within_part
+    from sheetcraft.operators.numbering import KEY, PART, PLACE, earlier_parts, in_order, within_part
 
     rows = in_order(df, partition_by, order_by)
     running = within_part().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = rows.withColumns({c: F.last(quoted(c), ignorenulls=True).over(running) for c in columns})
-    place = F.struct(ORDER, TIE, COPY)
     ends = rows.groupBy(PART, KEY).agg(
-        *[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), place)).alias(f"__end{i}") for i, c in enumerate(columns)]
+        *[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), F.col(PLACE))).alias(f"__end{i}") for i, c in enumerate(columns)]
     )
     carried = ends.select(
         PART,

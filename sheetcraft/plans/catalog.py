@@ -228,7 +228,7 @@ def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole rows, key aside: documents' text, language, source and length."""
-    return A.read_table(spark, sf_dir, "documents").drop("doc_id").dropDuplicates()
+    return R.distinct_rows(A.read_table(spark, sf_dir, "documents").drop("doc_id"))
 
 
 def rename_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -528,9 +528,55 @@ def refresh_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.refresh(policy)
 
 
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-wise refresh: the first workbook's rows move to new workbooks, and a
+    refresh adds the rows of these files alone."""
+    import os
+
+    from sheetcraft.session import local_path
+
+    folder = export_workbooks(_customer(spark, sf_dir), "refresh-rows-src")
+    r = WorkbookRefresher(spark, folder, scratch_dir(spark, "refresh-rows-target"), pre_process=_positive_balance, row_wise=True)
+    r.refresh("check")
+    base = local_path(folder)
+    first = sorted(f for f in os.listdir(base) if f.endswith(".xlsx"))[0]
+    rows = W.to_table(W.scan_workbooks(spark, f"{folder}/{first}"))
+    made = export_workbooks(rows, "refresh-rows-new", prefix="again")
+    for name in sorted(os.listdir(local_path(made))):
+        if name.endswith(".xlsx"):
+            os.link(os.path.join(local_path(made), name), os.path.join(base, name))
+    os.remove(os.path.join(base, first))
+    return _customer_columns(r.refresh("check"))
+
+
+def collect_file_and_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of workbooks (customers), one workbook by its own path (the 25
+    nations) and a folder without any file: a table each."""
+    folder = export_workbooks(_customer(spark, sf_dir), "collect-folder")
+    single = scratch_dir(spark, "collect-file")
+    nation = A.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name").coalesce(1)
+    W.write_workbooks(nation, single).write.format("noop").mode("overwrite").save()
+    nations = W.to_table(W.scan_workbooks(spark, f"{single}/part-00000-0000.xlsx"))
+    none = W.to_table(W.scan_workbooks(spark, scratch_dir(spark, "collect-none")))
+    customers = W.to_table(W.scan_workbooks(spark, folder)).unionByName(none, allowMissingColumns=True)
+    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_name", "n_name")
+
+
+def refresh_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table kept as CSV, read back with the types it was written with."""
+    folder = export_workbooks(_customer(spark, sf_dir), "refresh-csv-src")
+    target = scratch_dir(spark, "refresh-csv-target")
+    r = WorkbookRefresher(spark, folder, target, pre_process=_positive_balance, post_process=_customer_columns, fmt="csv")
+    r.refresh("check")
+    return r.refresh("only_cached")
+
+
 QUERIES.update(
     {
         "refresh_check": refresh_check,
+        "refresh_incremental": refresh_incremental,
+        "refresh_csv": refresh_csv,
+        "collect_file_and_folder": collect_file_and_folder,
         "refresh_fallback": refresh_fallback,
         "refresh_force": refresh_force,
         "refresh_skip": refresh_skip,

@@ -428,11 +428,13 @@ select referral_id as program_id, recorded_by, strftime(action_ts, '%Y-%m-%d %H:
              from orders""",
         "stream_ingest": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
                              c_mktsegment from customer""",
+        "collect_file_and_folder": """select c_custkey, c_name, n_name
+             from customer left join nation on c_nationkey = n_nationkey""",
         "referral_clean_from_workbooks": _sub(REFERRAL_CLEAN),
         **{
             f"refresh_{k}": """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
                                 c_mktsegment from customer where c_acctbal > 0"""
-            for k in ("check", "fallback", "force", "skip", "only_cached", "custom")
+            for k in ("check", "fallback", "force", "skip", "only_cached", "custom", "incremental", "csv")
         },
         "age_details_from_workbook": _sub("""
 with d as (select * from {details} x where infant_rate is not null or infant_capacity is not null

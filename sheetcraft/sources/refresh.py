@@ -49,12 +49,14 @@ from __future__ import annotations
 import functools
 import hashlib
 import inspect
+import json
 import re
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetcraft.sources import files as FS
 from sheetcraft.sources import workbooks as W
@@ -189,8 +191,8 @@ class WorkbookRefresher:
         self.fmt = fmt
         self.options = dict(options or {})
         self.read_options, self.write_options = dict(self.options), dict(self.options)
-        if fmt == "csv":  # read back typed, as a CSV reader infers
-            self.read_options = FS.CSV_READ_OPTIONS | {"inferSchema": "true"} | self.options
+        if fmt == "csv":  # read back with the schema that the manifest keeps
+            self.read_options = FS.CSV_READ_OPTIONS | self.options
             self.write_options = FS.CSV_WRITE_OPTIONS | self.options
         self.recursive = recursive
         self.exclude = tuple(exclude)
@@ -291,7 +293,10 @@ class WorkbookRefresher:
             if rows is None:  # a refresh without any usable input
                 rows = self.spark.createDataFrame([], f"{SRC} string")
             return self.post_process(rows.drop(SRC))
-        return self.post_process(self.spark.read.format(self.fmt).options(**self.read_options).load(path))
+        reader = self.spark.read.format(self.fmt).options(**self.read_options)
+        if self.fmt == "csv" and (kept := self.manifest().select("table_columns").first()):
+            reader = reader.schema(T.StructType.fromJson(json.loads(kept[0])))
+        return self.post_process(reader.load(path))
 
     def _from_sources(self) -> DataFrame:
         cells = W.scan_workbooks(self.spark, self.source, self.sheet_name, self.glob, self.recursive, self.exclude)
@@ -406,12 +411,15 @@ class WorkbookRefresher:
         if self.row_wise:
             entries = self._write_parts(entries, fingerprint, version)
         else:
-            entries = entries.withColumns({c: F.lit(None).cast(t) for c, t in (("part", "int"), ("table_columns", "string"))})
+            schema = None
             if cells is not None:
                 table = self.pre_process(W.to_table(cells, header=self.header, with_source=self.with_source))
+                schema = table.schema.json() if self.fmt == "csv" else None  # a format without types
                 if table.columns:
                     writer = table.write.mode("overwrite").format(self.fmt).options(**self.write_options)
                     writer.save(f"{self.target}/table/v={version}")
+            kept = {"part": F.lit(None).cast("int"), "table_columns": F.lit(schema).cast("string")}
+            entries = entries.withColumns(kept)
         entries = entries.withColumn("table_fingerprint", F.lit(fingerprint)).select(*columns)
         entries.write.mode("overwrite").parquet(f"{self.target}/manifest/v={version}")  # the commit
         self._sweep(version)

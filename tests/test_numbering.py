@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sheetcraft.operators import numbering as N
 from sheetcraft.operators import referrals as R
-from sheetcraft.operators.reshape import forward_fill
+from sheetcraft.operators.reshape import distinct_rows, forward_fill
 from sheetcraft.plans import catalog as C
 
 from .conftest import SF_SMALL
@@ -88,3 +88,31 @@ def test_dedup_first_counts_a_copy_once(spark):
         many = many.unionByName(many)
     assert R.clean_referrals(many).count() < R.clean_referrals(many, dedup_first=True).count()
     assert same(R.clean_referrals(many, dedup_first=True), R.clean_referrals(logs, dedup_first=True))
+
+
+def test_rows_are_shuffled_once(spark):
+    """The rows of the written table are read in place: no window, no exchange."""
+    out = R.number_searches(R.parse_times(R.anonymise(C._search_logs(spark, SF_SMALL)))).filter(R.keys_present())
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_limit_of_rows_a_file_changes_nothing(spark):
+    df = spark.range(500).select(F.lit("k").alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        got = N.number_rows(df, ["k"], ["v"], "n")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert got.where("n <> v + 1").count() == 0 and got.count() == 500
+
+
+def test_distinct_rows_equal_dropped_duplicates(spark):
+    rows = [(f"t{i % 90}" * 40, i % 2, None if i % 9 == 0 else float(i % 90)) for i in range(600)]
+    rows += [(None, None, None)] * 3 + [("once", 1, 0.0), ("zero", 1, 0.0), ("zero", 1, -0.0)] + [("hot", 1, 1.0)] * 400
+    df = spark.createDataFrame(rows, "a string, h1 int, `a.b` double")
+    got = distinct_rows(df)
+    assert got.columns == df.columns
+    assert same(got, df.dropDuplicates())
+    assert distinct_rows(df.limit(0)).count() == 0
