@@ -20,7 +20,7 @@ from sheetcraft.llm.quality import quality_model, quality_rules
 from sheetcraft.llm.substring_dedup import repeated_spans
 from sheetcraft.llm.token_ids import shard_digest, write_token_shards
 from sheetcraft.llm.url_filters import filter_urls
-from sheetcraft.llm.sql import OP11_SQL, OP13_SQL
+from sheetcraft.llm.sql import OP3_SQL, OP9_SQL, OP11_SQL, OP13_SQL
 from sheetcraft.session import scratch_dir
 
 # Token share of each quality label in the mix.
@@ -123,4 +123,9 @@ QUERIES = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op13_prefix_trie": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard": OP3_SQL,
+    "op9_embedding_dedup": OP9_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
+}

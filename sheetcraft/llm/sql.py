@@ -63,3 +63,44 @@ ranked as (
     select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last) rank from scores where score > 0)
 select item_id, rank::int rank, doc_id, score from ranked where rank <= 50
 """
+
+# Sets of three-word runs, pairs by shared runs, components by all that is reachable.
+OP3_SQL = r"""
+with recursive docs as (
+    select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x20\x09-\x0D]+'), []) w from documents),
+runs as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))
+        end items from docs),
+sets as (
+    select md5(array_to_string(items, chr(10))) k, min(doc_id) id, any_value(items) items from runs where len(items) > 0 group by 1),
+postings as (select k, len(items) n, unnest(items) item from sets),
+links as (
+    select a.k a, b.k b from postings a join postings b on a.item = b.item and a.k <> b.k
+    group by a.k, b.k having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach as (
+    select k, k other from sets union select r.k, l.b from reach r join links l on l.a = r.other),
+components as (select r.k, min(s.id) component from reach r join sets s on s.k = r.other group by r.k)
+select doc_id, len(items)::bigint n_shingles, coalesce(component, doc_id) component_id
+from runs left join components on len(items) > 0 and k = md5(array_to_string(items, chr(10)))
+"""
+
+OP9_SQL = """
+with recursive vectors as (
+    select row_number() over () row, vec_id::bigint vec_id, embedding::double[] v from embeddings),
+usable as materialized (
+    select row, list_filter(v, lambda x: x is not null and isfinite(x)) v from vectors where len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(v, lambda x: x <> 0)) > 0),
+links as (
+    select a.row a, b.row b from usable a join usable b on a.row <> b.row and len(a.v) = len(b.v)
+    where case when len(a.v) = len(b.v) then list_cosine_similarity(a.v, b.v) end >= 0.95),
+reach as (
+    select row, row other from vectors union select r.row, l.b from reach r join links l on l.a = r.other),
+components as (
+    select r.row, min(v.vec_id) component from reach r join vectors v on v.row = r.other group by r.row),
+counts as (select a row, count(*) n from links group by a)
+select vec_id, coalesce(n, 0)::bigint n_links, coalesce(component, vec_id) component_id,
+       coalesce(vec_id = component, true) kept
+from vectors join components using (row) left join counts using (row)
+"""
