@@ -33,21 +33,40 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _STOPS = (".", "!", "?", ":", "…", '"', "”", "。")
 
 
+# Elements that tell what holds a block where none of its ancestors is named.
+_SECTIONS = ("article", "main", "section", "aside", "nav", "header", "footer", "form")
+
+
+NOWHERE = ["near -"]
+
+
 def node_features(nodes: list[Node]) -> list[list[str]]:
-    out = []
+    """Tag and names, or length, links and end of a run; and for both the names
+    (or the section tag) of the nearest ancestor that has some, so that every
+    paragraph inside a part bears witness to what the part is called.  That there
+    is no such ancestor tells something of a run alone."""
+    out, marks = [], []
     for node in nodes:
+        near = marks[node.parent] if node.parent >= 0 else NOWHERE
+        mark = near
         if node.tag != "#run":
             own = ["tag " + node.tag]
             if node.attributes:
                 words = {w.lower() for key, value in attribute_values(node) if key != "data-main" for w in _WORDS.findall(value)}
                 own.extend("word " + w for w in sorted(words))
+                mark = ["near " + w for w in sorted(words)] or mark
+            if mark is near and node.tag in _SECTIONS:
+                mark = ["near <" + node.tag]
         else:
             n = node.text.count(" ") + 1
             size = 0 if n < 3 else 1 if n < 6 else 2 if n < 13 else 3 if n < 31 else 4
             share = node.link_chars / len(node.text)
             stop = node.text.endswith(_STOPS)
             own = [f"run {size} {0 if share == 0 else 1 if share < 0.5 else 2} {stop}"]
+        if node.tag == "#run" or near != NOWHERE:
+            own.extend(near)
         out.append(own)
+        marks.append(mark)
     return out
 
 
@@ -62,13 +81,14 @@ class TreeModel:
     def __init__(self) -> None:
         self.features: dict[str, list[float]] = {}
         self.kinds: dict[str, list[float]] = {}
-        self.steps = [[0.5] * 3 for _ in STATES]
+        # From an element to an element, and to a run of text.
+        self.steps = {kind: [[0.5] * 3 for _ in STATES] for kind in (False, True)}
         self.weights: dict[str, tuple[float, float, float]] = {}
 
     def add(self, nodes: list[Node], labels: list[int]) -> None:
         for node, label, own in zip(nodes, labels, node_features(nodes)):
             if node.parent >= 0:
-                self.steps[labels[node.parent]][label] += 1
+                self.steps[node.tag == "#run"][labels[node.parent]][label] += 1
             for f in own:
                 self.features.setdefault(f, [0.0] * 3)[label] += 1
                 self.kinds.setdefault(f.split(" ")[0], [0.0] * 3)[label] += 1
@@ -80,7 +100,7 @@ class TreeModel:
             self.weights[f] = tuple(
                 math.log((counts[y] + UNSEEN) / (self.kinds[kind][y] + UNSEEN * sizes[kind])) for y in STATES
             )
-        self.steps = [[x / sum(row) for x in row] for row in self.steps]
+        self.steps = {kind: [[x / sum(row) for x in row] for row in rows] for kind, rows in self.steps.items()}
 
     def node_potential(self, own: list[str]) -> list[float]:
         logs = [0.0] * 3
@@ -92,14 +112,14 @@ class TreeModel:
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Probability of content of every node; the page itself is frame."""
-        n, steps = len(nodes), self.steps
+        n, tables = len(nodes), [self.steps[node.tag == "#run"] for node in nodes]
         below = [self.node_potential(own) for own in node_features(nodes)]
         to_parent: list[list[float]] = [[]] * n
         # Upward: what a node's subtree says about the node, then, through the
         # potential, about its parent; scaled, so deep pages do not underflow.
         for i in range(n - 1, 0, -1):
             own = below[i] = _scaled(below[i])
-            message = to_parent[i] = _scaled([sum(step[y] * own[y] for y in STATES) for step in steps])
+            message = to_parent[i] = _scaled([sum(step[y] * own[y] for y in STATES) for step in tables[i]])
             p = nodes[i].parent
             below[p] = [x * m for x, m in zip(below[p], message)]
             if max(below[p]) < 1e-150:
@@ -108,7 +128,7 @@ class TreeModel:
         belief = [[1.0, 0.0, 0.0]] * n
         for i in range(1, n):
             rest = [x / m for x, m in zip(belief[nodes[i].parent], to_parent[i])]
-            down = [sum(r * step[y] for r, step in zip(rest, steps)) for y in STATES]
+            down = [sum(r * step[y] for r, step in zip(rest, tables[i])) for y in STATES]
             belief[i] = _scaled([x * d for x, d in zip(below[i], down)])
         return [x[CONTENT] for x in belief]
 
@@ -136,7 +156,9 @@ PARTS = {
     "talk": (("section", "div", "ol", "ul"), "comments comment replies reply respond discussion responses disqus thread commentlist feedback"),
     "share": (("div", "ul", "p"), "share social sharing follow tags meta byline author print tools"),
 }
+COMMENTS = {"comments", "comment", "commentlist", "replies", "disqus"}
 BODIES = (("article", "main", "div", "section"), "article content post entry story body text main single blog news articlebody postcontent entrycontent")
+CHAPTERS = "introduction background methods results discussion summary conclusion chapter feedback responses thread more"
 WRAPS = "wrapper container page row col layout outer inner grid root app shell"
 _LETTERS = "etaoinshrdlu"
 
@@ -180,7 +202,13 @@ def _part(rng: random.Random, kind: str) -> str:
     elif kind == "talk":
         item = "li" if tag in ("ol", "ul") else rng.choice(("div", "p", "article"))
         inner = "" if item == "li" else f"<h3>{_sentence(rng, 1, 3, False)}</h3>"
-        inner += "".join(f"<{item}>{_sentence(rng, 1, 2, False)}<p>{_sentence(rng, 4, 30)}</p></{item}>" for _ in range(rng.randint(1, 4)))
+        for _ in range(rng.randint(1, 6)):
+            own = f' class="{rng.choice(names.split()[:4])}"' if rng.random() < 0.5 else ""
+            said = " ".join(_sentence(rng, 1, 20) for _ in range(rng.randint(1, 4)))
+            if item == "p":
+                inner += f"<p{own}>{said}</p>"
+            else:
+                inner += f"<{item}{own}>{_sentence(rng, 1, 2, False)}<p>{said}</p></{item}>"
     else:
         inner = rng.choice(("{}", "{}", "<p>{}</p>", "<span>{}</span> <a href='/y'>more</a>")).format(_sentence(rng, 4, 30))
     return f"<{tag}{name}>{inner}</{tag}>"
@@ -189,8 +217,6 @@ def _part(rng: random.Random, kind: str) -> str:
 def _article(rng: random.Random) -> str:
     tag = rng.choice(("article", "article") + BODIES[0])
     name = _named(rng, BODIES[1])
-    if not name and tag in ("div", "section"):
-        name = f' class="{rng.choice(BODIES[1].split())}"'
     out = [f"<h1>{_sentence(rng, 2, 14, rng.random() < 0.3)}</h1>"]
     for _ in range(rng.randint(1, 9)):
         kind = rng.random()
@@ -207,11 +233,20 @@ def _article(rng: random.Random) -> str:
             out.append(f'<p>{text} <a href="/z">{_sentence(rng, 1, 3, False)}</a> {text}</p>')
         elif kind < 0.94:
             out.append(f"<pre>{text}</pre><table><tr><td>{text}</td><td>{_sentence(rng, 1, 3, False)}</td></tr></table>")
-        elif kind < 0.96:
+        elif kind < 0.95:
             out.append(f"<div>{text}</div>")
+        elif kind < 0.965:
+            out.append(f'<section id="{rng.choice(CHAPTERS.split())}"><h2>{_sentence(rng, 1, 4, False)}</h2><p>{text}</p></section>')
         else:
             part = _part(rng, rng.choice(("ad", "note", "share", "form", "side", "nav")))
             out.append(part.replace(">", ' data-main="0">', 1))
+    if rng.random() < 0.2:  # readers' comments inside the article
+        out.append(_part(rng, "talk").replace(">", ' data-main="0">', 1))
+    elif rng.random() < 0.3:  # and without a part around them
+        item, own = rng.choice(("article", "div", "li")), rng.choice(("comment", "comment", "reply", "comment-body"))
+        for _ in range(rng.randint(1, 12)):
+            said = " ".join(_sentence(rng, 1, 20) for _ in range(rng.randint(1, 4)))
+            out.append(f'<{item} class="{own}" data-main="0"><p>{said}</p></{item}>')
     return f'<{tag}{name} data-main="1">{"".join(out)}</{tag}>'
 
 
@@ -248,14 +283,17 @@ def marked_labels(nodes: list[Node]) -> list[int]:
 
 
 def article_labels(nodes: list[Node]) -> list[int] | None:
-    """Labels by the page's only article element; None if there is not one."""
-    if sum(n.tag == "article" for n in nodes) != 1:
-        return None
-    content = []
+    """Labels by the page's only article element that is no comment, without
+    parts and comments inside it; None if there is not one."""
+    content, other, articles = [], [], 0
     for node in nodes:
-        inside = node.parent >= 0 and content[node.parent]
-        content.append(node.tag == "article" or (inside and node.tag not in ("nav", "aside", "form", "footer", "header")))
-    return with_frame(nodes, content, [False] * len(nodes))
+        inside, out = node.parent >= 0 and content[node.parent], node.parent >= 0 and other[node.parent]
+        names = {w.lower() for _, value in attribute_values(node) for w in _WORDS.findall(value)} if node.attributes else set()
+        out = out or bool(names & COMMENTS) or (inside and node.tag in ("nav", "aside", "form", "footer", "header"))
+        articles += node.tag == "article" and not out
+        content.append(not out and (inside or node.tag == "article"))
+        other.append(out)
+    return with_frame(nodes, content, other) if articles == 1 else None
 
 
 def train_model(sample: Iterable[str], layouts: int) -> TreeModel:
@@ -292,7 +330,8 @@ def extract_main_text(
     dropped or cut.  The model learns from ``layouts`` built pages and at most
     ``sample_pages`` of the table's pages of up to ``sample_chars`` characters
     (those of the smallest text hash).  A null or empty page, and one without
-    content, has an empty text.  Repeated rows keep their rows; other columns
+    content, has an empty text; so has a page of text without any element that
+    could be told from its frame.  Repeated rows keep their rows; other columns
     are not read."""
     prepare(pages.sparkSession)
     rows = pages.select(
