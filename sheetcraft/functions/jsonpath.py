@@ -27,21 +27,34 @@ def _plain(text: Column) -> Column:
     return F.when(odd, F.regexp_replace(text, _NUMBERS, "null")).otherwise(text)
 
 
+def parse_ended(text: Column) -> Column:
+    """A text parsed as the first of two elements of a list: the parser does
+    not look at what follows a value, so the second must come out again."""
+    return F.try_parse_json(F.concat(F.lit("["), _plain(text), F.lit(f',"{_END}"]')))
+
+
+def _whole(both: Column) -> Column:
+    return (F.try_variant_get(both, "$[1]", "string") == _END) & F.try_variant_get(both, "$[2]", "variant").isNull()
+
+
 def parse_whole(text: Column) -> Column:
-    """A text as VARIANT if all of it is one JSON value, else null.  The parser
-    does not look at what follows a value, so the text is parsed as the first
-    of two elements, of which the second must come out again."""
-    both = F.try_parse_json(F.concat(F.lit("["), _plain(text), F.lit(f',"{_END}"]')))
-    whole = (F.try_variant_get(both, "$[1]", "string") == _END) & F.try_variant_get(both, "$[2]", "variant").isNull()
-    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+    """A text as VARIANT if all of it is one JSON value, else null."""
+    both = parse_ended(text)
+    return F.when(_whole(both), F.try_variant_get(both, "$[0]", "variant"))
+
+
+def filters_ended(both: Column) -> Column:
+    """``filter_values`` of a text from its ``parse_ended``.  With that in a
+    column of its own a text is parsed once, however often it is looked at."""
+    values = F.try_variant_get(both, "$[0].Filters", "array<variant>")
+    return F.when(_whole(both) & (F.size(values) > 0), values)
 
 
 def filter_values(c: Column | str) -> Column:
     """``{"Filters": [...]}`` with a non-empty list -> its elements, each a
     VARIANT that keeps its kind; anything else (bad JSON, text after it, not an
     object, no or empty ``Filters``, ``Filters`` not a list) -> null."""
-    values = F.try_variant_get(parse_whole(F.col(c) if isinstance(c, str) else c), "$.Filters", "array<variant>")
-    return F.when(F.size(values) > 0, values)
+    return filters_ended(parse_ended(F.col(c) if isinstance(c, str) else c))
 
 
 def parse_filters(c: Column | str) -> Column:

@@ -225,15 +225,23 @@ def explode_filters(df: DataFrame, strict: bool = False, position: str | None =
         from sheetcraft.session import ship_package
 
         ship_package(df.sparkSession)
-    if values:
-        parsed = F.transform(J.filter_texts_strict(notes), F.try_parse_json) if strict else J.filter_values(notes)
-    else:
-        parsed = J.parse_filters_strict(notes) if strict else parse_filters(notes)
     rest = [_q(c) for c in df.columns if c != NOTES]
-    with_list = df.filter(notes.isNotNull()).select(*rest, parsed.alias(NOTES)).filter(_q(NOTES).isNotNull())
+    if values and not strict:
+        # Parsed once, as a column; the explode takes the list itself, not a column
+        # of it, as Spark filters on such a column and would parse again for that.
+        df = df.select(*rest, J.parse_ended(notes).alias(NOTES))
+        parsed = J.filters_ended(notes)
+    else:
+        df = df.filter(notes.isNotNull())
+        if values:
+            parsed = F.transform(J.filter_texts_strict(notes), F.try_parse_json)
+        else:
+            parsed = J.parse_filters_strict(notes) if strict else parse_filters(notes)
+        df = df.select(*rest, parsed.alias(NOTES)).filter(notes.isNotNull())
+        parsed = notes
     if position:
-        return with_list.select(*rest, F.posexplode(_q(NOTES)).alias(position, NOTES))
-    return with_list.select(*rest, F.explode(_q(NOTES)).alias(NOTES))
+        return df.select(*rest, F.posexplode(parsed).alias(position, NOTES))
+    return df.select(*rest, F.explode(parsed).alias(NOTES))
 
 
 def _schema_leaves(df: DataFrame, schema: str) -> list[Leaf]:

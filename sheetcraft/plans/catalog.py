@@ -387,14 +387,18 @@ QUERIES.update(
 ROWS_PER_WORKBOOK = 1000
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least a partition a core: a scan deals out no less than a row group."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parallelism) if df.rdd.getNumPartitions() < parallelism else df
+
+
 def export_workbooks(df: DataFrame, name: str, **kw) -> str:
     """Write ``df`` as workbooks into a fresh shared folder; return the folder."""
     spark = df.sparkSession
     out = scratch_dir(spark, name)
     kw.setdefault("rows_per_file", ROWS_PER_WORKBOOK)
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)  # writers run in parallel tasks
+    df = _spread(df)  # writers run in parallel tasks
     W.write_workbooks(df, out, **kw).write.format("noop").mode("overwrite").save()
     return out
 
@@ -781,7 +785,7 @@ def union_of_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notes_case_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notes whose filters hold keys that differ in case, a repeated key, NaN
     and infinities, a text that looks like an object, and text after the JSON."""
-    e = A.read_table(spark, sf_dir, "events")
+    e = _spread(A.read_table(spark, sf_dir, "events").select("event_id", "user_id"))
     n, who = F.col("event_id"), F.col("user_id")
     at = F.format_string
     note = (
