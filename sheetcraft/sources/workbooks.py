@@ -351,11 +351,14 @@ def layout_names(cells: DataFrame, header: bool = True) -> DataFrame:
     """One row a layout: ``layout, first`` (its first file and sheet) and
     ``names``, a column name for every cell of its widest row."""
     ship_package(cells.sparkSession)
+    # A row a sheet by hash aggregate, its header row apart: no sort of the cells.
+    sheets = cells.groupBy("layout", "path", "sheet_pos").agg(F.max(F.size("cells")).alias("width"))
     texts = F.transform("cells", lambda c: c.getField("v"))
-    heads = cells.groupBy("layout").agg(
-        F.min(F.struct("path", "sheet_pos")).alias("first"),
-        F.max(F.size("cells")).alias("width"),
-        F.any_value(F.when(F.col("_line") == 0, texts), F.lit(True)).alias("head"),
+    tops = cells.filter(F.col("_line") == 0).select("layout", texts.alias("head"))
+    heads = (
+        sheets.groupBy("layout")
+        .agg(F.min(F.struct("path", "sheet_pos")).alias("first"), F.max("width").alias("width"))
+        .join(tops.groupBy("layout").agg(F.any_value("head").alias("head")), "layout", "left")
     )
 
     def unique(head: pd.Series, width: pd.Series) -> pd.Series:
@@ -402,15 +405,23 @@ def column_types(named: DataFrame, null_tokens: bool = True) -> dict[str, tuple[
     bigint, numbers -> double, booleans -> boolean, dates -> timestamp_ntz,
     else string; None if there is no value."""
     cell = named.select(F.explode("named").alias("name", "c"))
-    t, num = F.col("c.t"), F.col("c.v").try_cast("double")
+    return _kinds(cell.groupBy("name").agg(*_counters(F.col("c"), null_tokens)))
+
+
+def _counters(c: Column, null_tokens: bool) -> list[Column]:
+    t = c.getField("t")
+    num = F.when(t == "n", c.getField("v").try_cast("double"))
     whole = (num == F.floor(num)) & (F.abs(num) < 9.2e18)
-    counts = cell.groupBy("name").agg(
-        F.count(cell_value(F.col("c"), null_tokens)).alias("all"),
+    return [
+        F.count(cell_value(c, null_tokens)).alias("all"),
         F.count_if(t == "n").alias("n"),
-        F.count_if((t == "n") & whole).alias("i"),
+        F.count_if(whole).alias("i"),
         F.count_if(t == "b").alias("b"),
         F.count_if(t == "d").alias("d"),
-    )
+    ]
+
+
+def _kinds(counts: DataFrame) -> dict[str, tuple[str | None, bool]]:
     out = {}
     for r in counts.collect():
         kind = _decide(r["all"], r["n"], r["i"], r["b"], r["d"])
@@ -418,6 +429,16 @@ def column_types(named: DataFrame, null_tokens: bool = True) -> dict[str, tuple[
     return out
 
 
+def _place_types(cells: DataFrame, layouts: DataFrame, first: int, null_tokens: bool) -> dict[str, tuple[str | None, bool]]:
+    """As ``column_types``, from the cells themselves: counters a layout and
+    position first, so only these meet the names."""
+    cell = cells.filter(F.col("_line") >= first).select("layout", F.posexplode("cells").alias("pos", "c"))
+    places = cell.groupBy("layout", "pos").agg(*_counters(F.col("c"), null_tokens))
+    named = layouts.select("layout", F.posexplode("names").alias("pos", "name"))
+    sums = [F.sum(c).alias(c) for c in ("all", "n", "i", "b", "d")]
+    return _kinds(named.join(places, ["layout", "pos"]).groupBy("name").agg(*sums))
+
+
 def typed_value(c: Column, dtype: str | None, null_tokens: bool = True) -> Column:
     v = cell_value(c, null_tokens)
     if dtype is None or dtype == "string":
@@ -463,38 +484,51 @@ def to_table(
     rows.  ``with_source`` keeps ``path, sheet_pos, sheet, _row``.
     ``null_tokens``: string cells with a pandas default NA text are null.
     The plan joins the cells to a table with a row a layout, whatever their
-    number; column names and types come from one aggregate each.  In columns
-    that mix texts with other cells the text ``nan`` is null.
+    number; column names and types come from one aggregate each.  That table is
+    written first: of known size, it is broadcast where small, and cells of one
+    layout are not dealt to one task.  In columns that mix texts with other
+    cells the text ``nan`` is null.
     """
     first = 1 if header else 0
-    layouts = layout_names(cells, header)
+    layouts = _written(layout_names(cells, header))
     order = column_order(layouts)
     if not order:
         return cells.sparkSession.createDataFrame([], T.StructType([]))
-    named = _named_rows(cells, layouts, first)
-    found = column_types(named, null_tokens)
+    found = _place_types(cells, layouts, first, null_tokens)
     kinds = {n: found.get(n, (None, False)) for n in order}
     if not infer_types:
         kinds = {n: ("string", False) for n in order}
     src = ["path", "sheet_pos", "sheet", "_row"] if with_source else []
-    return _typed_rows(named, [(n, *kinds[n]) for n in order], src, drop_empty, null_tokens)
+    return _typed_rows(cells, layouts, first, [(n, *kinds[n]) for n in order], src, drop_empty, null_tokens)
+
 
+def _written(layouts: DataFrame) -> DataFrame:
+    from sheetcraft.sources.files import materialize
 
-def _named_rows(cells: DataFrame, layouts: DataFrame, first: int) -> DataFrame:
-    return by_name(cells.filter(F.col("_line") >= first).join(layouts.select("layout", "names"), "layout"))
+    return materialize(layouts, "layouts")
 
 
 def _typed_rows(
-    named: DataFrame, columns: Sequence[tuple[str, str | None, bool]], src: Sequence[str], drop_empty: bool, null_tokens: bool
+    cells: DataFrame,
+    layouts: DataFrame,
+    first: int,
+    columns: Sequence[tuple[str, str | None, bool]],
+    src: Sequence[str],
+    drop_empty: bool,
+    null_tokens: bool,
 ) -> DataFrame:
-    """Rows of ``by_name`` -> typed columns ``(name, type, mixed)`` after ``src``."""
+    """Cells -> typed columns ``(name, type, mixed)`` after ``src``: a layout
+    holds the position of each column in its rows, null where it has none."""
     keep = [c for c in columns if not (drop_empty and c[1] is None)]
+    at = [F.nullif(F.array_position("names", F.lit(c[0])), F.lit(0)).cast("int") - 1 for c in keep]
+    at = F.array(*at).cast("array<int>").alias("__at")
+    rows = cells.filter(F.col("_line") >= first).join(layouts.select("layout", at), "layout")
     values = []
-    for n, kind, mixed in keep:
-        value = typed_value(F.col("named")[n], kind, null_tokens)
+    for i, (_, kind, mixed) in enumerate(keep):
+        value = typed_value(F.get(F.col("cells"), F.get(F.col("__at"), F.lit(i))), kind, null_tokens)
         values.append(F.nullif(value, F.lit("nan")) if mixed else value)
     places = [f"c{i}" for i in range(len(keep))]
-    out = named.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(src)], *[v.alias(c) for v, c in zip(values, places)])
+    out = rows.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(src)], *[v.alias(c) for v, c in zip(values, places)])
     if drop_empty and keep:
         out = out.filter(any_present([F.col(c) for c in places]))
     return with_headers(out, [*src, *[c[0] for c in keep]])
@@ -550,7 +584,7 @@ def collected_columns(states: DataFrame, header: bool = True) -> tuple[DataFrame
         return pd.Series([pandas_names(list(own)) for own in head])
 
     names = F.pandas_udf(unique, _NAMES)(heads) if header else F.transform("heads", lambda h: h["pos"].cast("string"))
-    layouts = whole.select("layout", "first", names.alias("names"))
+    layouts = _written(whole.select("layout", "first", names.alias("names")))
     named = layouts.select("layout", "first", F.posexplode("names").alias("pos", "name"))
     sums = [F.sum(c).alias(c) for c in ("all", "n", "i", "b", "d")]
     found = named.join(places.drop("first"), ["layout", "pos"]).groupBy("name").agg(F.min(F.struct("first", "pos")).alias("at"), *sums)
@@ -573,7 +607,7 @@ def to_table_of(
     ``collected_columns``; ``src`` are columns of the cells to keep."""
     if not columns:
         return cells.select(*src).limit(0)
-    return _typed_rows(_named_rows(cells, layouts, 1 if header else 0), columns, list(src), True, null_tokens)
+    return _typed_rows(cells, layouts, 1 if header else 0, columns, list(src), True, null_tokens)
 
 
 # --- sink ---------------------------------------------------------------------------------

@@ -37,6 +37,26 @@ def _cells(spark, n, name):
     return out
 
 
+def test_cells_of_one_layout_are_not_dealt_to_one_task(spark):
+    cells = materialize(W.scan_workbooks(spark, _cells(spark, 4000, "t-growth")), "t-growth-cells")
+    with _broadcast_up_to(spark, "20k"):
+        t = W.to_table(cells)
+        assert "hashpartitioning(layout" not in _final_plan(t)
+        assert t.exceptAll(_rows(spark, 4000)).count() == 0 and t.count() == 4000
+
+
+def test_columns_by_place_in_sheets_of_other_order(spark):
+    cell = lambda t, v: (t, str(v))
+    rows = []
+    for path, head, one in (("a", ["x", "y", ""], [1, 2.5, "q"]), ("b", ["y", "z"], [None, "True"]), ("c", ["z", "x"], ["nan", 3])):
+        for line, values in enumerate((head, one)):
+            cells = [None if v is None else cell("s" if isinstance(v, str) else "n", v) for v in values]
+            rows.append((path, None, 0, "s", line, line, path, cells, None))
+    t = W.to_table(spark.createDataFrame(rows, W.SCAN_SCHEMA))
+    assert t.dtypes == [("x", "bigint"), ("y", "double"), ("Unnamed: 2", "string"), ("z", "string")]
+    assert sorted(map(tuple, t.collect()), key=str) == [(1, 2.5, "q", None), (3, None, None, None), (None, None, None, "True")]
+
+
 def test_a_note_is_parsed_once(spark):
     notes = ['{"Filters":[{"a":1},{"a":NaN}]}', '{"Filters":[]}', '{"Filters":[1]} and more', None, "x", '{"Filters":{}}']
     df = spark.createDataFrame([(i, n) for i, n in enumerate(notes)], f"id int, {R.NOTES} string")
