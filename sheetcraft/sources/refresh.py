@@ -327,7 +327,9 @@ class WorkbookRefresher:
         ]
         rows = functools.reduce(DataFrame.unionByName, tables)
         src = SRC if SRC in entries.columns else "src"
-        return rows.join(entries.select(src, F.col(generation).alias("g")), [src, "g"], "left_semi").drop("g")
+        # A short row a file, which the driver's listing holds too: no shuffle of the cells.
+        live = F.broadcast(entries.select(src, F.col(generation).alias("g")))
+        return rows.join(live, [src, "g"], "left_semi").drop("g")
 
     def _live_cells(self, entries: DataFrame) -> DataFrame | None:
         cells = self._live("cells", entries)

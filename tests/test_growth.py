@@ -45,6 +45,15 @@ def test_cells_of_one_layout_are_not_dealt_to_one_task(spark):
         assert t.exceptAll(_rows(spark, 4000)).count() == 0 and t.count() == 4000
 
 
+def test_live_cells_are_not_shuffled(spark):
+    src = _cells(spark, 1000, "t-growth-live")
+    r = WorkbookRefresher(spark, src, scratch_dir(spark, "t-growth-target"))
+    assert r.refresh().count() == 1000
+    with _broadcast_up_to(spark, "-1"):
+        cells = r._live_cells(r.manifest())
+        assert "hashpartitioning(src" not in _final_plan(cells) and cells.count() == 1004
+
+
 def test_columns_by_place_in_sheets_of_other_order(spark):
     cell = lambda t, v: (t, str(v))
     rows = []
