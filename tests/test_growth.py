@@ -74,3 +74,19 @@ def test_a_note_is_parsed_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(R.NOTES) and plan.count("parseJson") + plan.count("try_parse_json") == 1, plan
     assert sorted(map(tuple, out.select("id", "at", F.to_json(R.NOTES)).collect())) == [(0, 0, '{"a":1}'), (0, 1, '{"a":null}')]
+
+
+def test_long_sheets_keep_their_rows(spark):
+    import io
+
+    rows = [[f"{i} " + "é<&" * 40, i, None, i % 2 == 0] for i in range(4000)]
+    raw = io.BytesIO()
+    w = xlsx.WorkbookWriter(raw)
+    for sheet in ("one", "two", "none"):
+        w.start_sheet(sheet)
+        for row in rows if sheet != "none" else ():
+            w.write_row(row)
+    w.close()
+    found = list(xlsx.read_workbook(raw.getvalue()))
+    want = [[("s", a), ("n", str(b)), None, ("b", str(d).lower())] for a, b, _, d in rows]
+    assert [f[3] for f in found] == want * 2 and [f[2] for f in found] == list(range(4000)) * 2
